@@ -70,10 +70,10 @@ def tag_words(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame |
         F.lit(0).alias("match_no"), "word_no")
 
 
-def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
-    """Every multi-word term, ``\\b``-bounded, whitespace-flexible, case-insensitive;
-    non-overlapping per phrase, overlaps across phrases kept; B on the first word, I on
-    the rest.
+def phrase_matches(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
+    """J2 + F16: every multi-word term, ``\\b``-bounded, whitespace-flexible, case-insensitive;
+    non-overlapping per phrase, overlaps across phrases kept.  Output
+    ``(doc_id, chunk_no, term, label, priority, match_no, m struct<text,start,end>)``.
 
     Candidate (chunk, phrase) pairs come from an equi-join of the chunk's distinct
     lower-cased tokens with the phrase keys (broadcast), so each chunk is tested only
@@ -95,8 +95,14 @@ def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None
             F.filter(lits, lambda p: F.col("text").rlike(p["pattern"]))).alias("p")).select(
             *KEYS, "text", "p.term", "p.label", "p.priority", "p.pattern")
         cand = cand.unionByName(extra)
-    matches = cand.select(*KEYS, "text", "term", "label", "priority",
-                          F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
+    return cand.select(*KEYS, "term", "label", "priority",
+                       F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
+
+
+def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
+    """Phrase matches (``phrase_matches``) cut into word labels, B on the first word
+    and I on the rest (F17)."""
+    matches = phrase_matches(chunks, dictionary, dict_rows)
     words = matches.select(*KEYS, "term", "label", "priority", "match_no",
                            F.posexplode(phrase_word_spans(F.col("m.text"), F.col("m.start")))
                            .alias("word_no", "w"))
@@ -114,6 +120,22 @@ def refine_labels(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFram
         tag_words(chunks, dictionary, exclusions, candidates, dict_rows))
 
 
+def reviewed_spans(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
+                   candidates: DataFrame | None = None, dict_rows: int | None = None) -> DataFrame:
+    """Entity spans in the training label space, as a reviewed export holds them:
+    one span per phrase match (not per word) and one per tagged word; ``entity`` is the
+    type without prefix, mapped by the label alias table."""
+    from .dataset import alias_type
+
+    ph = phrase_matches(chunks, dictionary, dict_rows).select(
+        *KEYS, F.col("m.start").alias("start"), F.col("m.end").alias("end"),
+        alias_type(F.col("label")).alias("entity"), F.col("m.text").alias("text"),
+        F.lit(ORIGIN_PHRASE).alias("origin"), "priority", "term", "match_no", F.lit(0).alias("word_no"))
+    wd = tag_words(chunks, dictionary, exclusions, candidates, dict_rows).withColumn(
+        "entity", alias_type(F.col("entity")))
+    return ph.unionByName(wd)
+
+
 def label_order():
     """O1: total order of labels inside a chunk: start, phrases before words, category
     priority, term, match and word number."""

@@ -48,3 +48,29 @@ def flat_dictionary(mapping: dict) -> list[tuple[str, str, int, str]]:
                     seen.add(t)
                     rows.append((t, name, priority, label))
     return rows
+
+
+def test_specs(sf: str):
+    """Source registry over the test tables, in union order: two titled sources
+    (pages: ``<title>`` element / html; part: name / type) and three untitled ones."""
+    from pyspark.sql import functions as F
+
+    from ..sources.registry import SourceSpec
+
+    base = sf.rstrip("/")
+    page_title = F.nullif(F.regexp_extract(F.col("html"), r"(?is)<title>(.*?)</title>", 1), F.lit(""))
+    return [
+        SourceSpec("pages", f"{base}/pages.parquet", description="html", title=page_title, rank=0),
+        SourceSpec("part", f"{base}/part.parquet", description="p_type", title="p_name", rank=1),
+        SourceSpec("documents", f"{base}/documents.parquet", description="text", rank=2),
+        SourceSpec("benchmark", f"{base}/benchmark.parquet", description="text", rank=3),
+        SourceSpec("conversations", f"{base}/conversations.parquet", description="text", rank=4),
+    ]
+
+
+def broken_spec(sf: str):
+    """A registry row whose description column does not exist (status check)."""
+    from ..sources.registry import SourceSpec
+
+    return SourceSpec("benchmark_jobs", f"{sf.rstrip('/')}/benchmark.parquet",
+                      description="jobdescription", title="title", rank=5)

@@ -191,3 +191,105 @@ ORACLE_SQL["refine_labels"] = with_base(
     ' AS label_no FROM labels')
 
 ORACLE_SQL["entity_counts"] = with_base("SELECT entity, count(*) AS n FROM labels GROUP BY entity")
+
+PAGE_TITLE = "nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '')"
+SOURCES_SQL = f"""
+src AS (
+  SELECT 'pages' AS source, 0 AS source_rank, {PAGE_TITLE} AS title, html AS description FROM pages
+  UNION ALL SELECT 'part', 1, p_name, p_type FROM part
+  UNION ALL SELECT 'documents', 2, NULL, text FROM documents
+  UNION ALL SELECT 'benchmark', 3, NULL, text FROM benchmark
+  UNION ALL SELECT 'conversations', 4, NULL, text FROM conversations),
+titled AS (
+  SELECT source, source_rank, lower(title) AS title, description FROM src
+  WHERE source_rank <= 1 AND description IS NOT NULL AND title IS NOT NULL
+    AND (contains(lower(title), 'ring') OR contains(lower(title), 'then'))),
+corpus_union AS (
+  SELECT source, source_rank, description FROM titled
+  UNION ALL SELECT source, source_rank, description FROM src WHERE source_rank >= 2),
+corpus AS (
+  SELECT md5(description) AS doc_id, arg_min(source, source_rank) AS source, description
+  FROM corpus_union WHERE description IS NOT NULL GROUP BY description)"""
+
+ORACLE_SQL["scan_sources"] = f"WITH {SOURCES_SQL.strip()} SELECT source, source_rank, title, description FROM src"
+ORACLE_SQL["source_status"] = """
+SELECT 'pages' AS source, true AS ok, NULL::VARCHAR AS reason, count(*) AS rows FROM pages
+UNION ALL SELECT 'part', true, NULL, count(*) FROM part
+UNION ALL SELECT 'documents', true, NULL, count(*) FROM documents
+UNION ALL SELECT 'benchmark', true, NULL, count(*) FROM benchmark
+UNION ALL SELECT 'conversations', true, NULL, count(*) FROM conversations
+UNION ALL SELECT 'benchmark_jobs', false, 'missing jobdescription, title', 0"""
+ORACLE_SQL["drop_missing"] = (f"SELECT {PAGE_TITLE} AS title, CAST(length(html) AS INTEGER) AS n_chars FROM pages "
+                              f"WHERE {PAGE_TITLE} IS NOT NULL AND html IS NOT NULL")
+ORACLE_SQL["title_filter"] = f"WITH {SOURCES_SQL.strip()} SELECT source, title, description FROM titled"
+ORACLE_SQL["union_sources"] = f"WITH {SOURCES_SQL.strip()} SELECT source, source_rank, description FROM corpus_union"
+ORACLE_SQL["distinct_corpus"] = f"WITH {SOURCES_SQL.strip()} SELECT doc_id, source, description FROM corpus"
+ORACLE_SQL["null_counts"] = """
+SELECT count(*) AS n_rows, sum(CAST(d.doc_id IS NULL AS BIGINT)) AS null_doc_id,
+       sum(CAST(d.text IS NULL AS BIGINT)) AS null_text, sum(CAST(l.quality IS NULL AS BIGINT)) AS null_quality,
+       sum(CAST(l.toxic IS NULL AS BIGINT)) AS null_toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+ORACLE_SQL["dict_flatten"] = """
+SELECT DISTINCT p_type AS category, lower(t) AS term FROM (
+  SELECT p_type, unnest(flatten([string_split(p_name, ' '), [p_brand]])) AS t FROM part
+  WHERE p_type IS NOT NULL AND p_name IS NOT NULL AND p_brand IS NOT NULL)"""
+
+
+def alias_sql(x: str) -> str:
+    bare = f"regexp_replace({x}, '^[BI]-', '')"
+    return (f"(CASE {bare} WHEN 'FRAMEWORK_LIBRARY' THEN 'FRAMEWORKLIBARY' WHEN 'TOOLS' THEN 'TECHNOLOGY' "
+            f"ELSE {bare} END)")
+
+
+EXPORT_CTES = """
+, grp AS (SELECT doc_id, chunk_no FROM {src} GROUP BY doc_id, chunk_no),
+  rec AS (SELECT doc_id, chunk_no, row_number() OVER (ORDER BY doc_id, chunk_no) - 1 AS rec FROM grp),
+  exp AS (SELECT CAST(r.rec AS VARCHAR) AS id, r.rec, l.doc_id, l.chunk_no, c.text AS chunk_text,
+                 CAST(row_number() OVER (PARTITION BY l.doc_id, l.chunk_no ORDER BY l.start, l.origin, l.priority,
+                      l.term, l.match_no, l.word_no, l."end", l.entity, l.text) - 1 AS INTEGER) AS result_no,
+                 l.start, l."end", l.text AS span_text, l.entity AS label
+          FROM {src} l JOIN rec r ON l.doc_id = r.doc_id AND l.chunk_no = r.chunk_no
+          JOIN chunks c ON l.doc_id = c.doc_id AND l.chunk_no = c.chunk_no)"""
+
+REVIEWED_CTES = f"""
+, reviewed AS (
+    SELECT doc_id, chunk_no, m.start AS start, m."end" AS "end", {alias_sql('label')} AS entity, m.text AS text,
+           0 AS origin, priority, term, match_no, 0 AS word_no FROM pm
+    UNION ALL
+    SELECT doc_id, chunk_no, start, "end", {alias_sql('entity')}, text, origin, priority, term, match_no, word_no
+    FROM word_labels)"""
+
+FLAT_EXPORT = ("SELECT id, chunk_text AS text, result_no, 'result-' || id || '-' || result_no AS result_id, "
+               "start, \"end\", span_text, label FROM exp")
+
+ORACLE_SQL["export_records"] = with_base(EXPORT_CTES.format(src="labels") + """
+SELECT id, doc_id, chunk_no, any_value(chunk_text) AS text, CAST(count(*) AS INTEGER) AS n_results
+FROM exp GROUP BY id, doc_id, chunk_no""")
+ORACLE_SQL["export_labels"] = with_base(EXPORT_CTES.format(src="labels") + "\n" + FLAT_EXPORT)
+ORACLE_SQL["export_roundtrip"] = ORACLE_SQL["export_labels"]
+ORACLE_SQL["record_parts"] = with_base(EXPORT_CTES.format(src="labels") + """
+SELECT DISTINCT id, CAST(floor(rec / 50) + 1 AS INTEGER) AS part_no FROM exp""")
+ORACLE_SQL["flatten_export"] = with_base(REVIEWED_CTES + EXPORT_CTES.format(src="reviewed") + "\n" + FLAT_EXPORT)
+
+BIO_CTES = REVIEWED_CTES + EXPORT_CTES.format(src="reviewed") + f"""
+, rtext AS (SELECT DISTINCT id, chunk_text FROM exp),
+  rt0 AS (SELECT id, {spans_sql('chunk_text', TOKEN_RE)} AS sp FROM rtext),
+  rt AS (SELECT id, CAST(generate_subscripts(sp, 1) - 1 AS INTEGER) AS idx, unnest(sp) AS s FROM rt0),
+  cov AS (SELECT t.id, t.idx, e.result_no, e.label,
+                 min(t.idx) OVER (PARTITION BY t.id, e.result_no) AS first_idx
+          FROM rt t JOIN exp e ON t.id = e.id AND t.s.start >= e.start AND t.s."end" <= e."end"),
+  tagged AS (SELECT id, idx, arg_max(CASE WHEN idx = first_idx THEN 'B-' ELSE 'I-' END || label, result_no) AS tagname
+             FROM cov GROUP BY id, idx),
+  lmap AS (SELECT * FROM {labels_values()}),
+  bio AS (SELECT rt.id, rt.idx, rt.s.text AS token, CAST(coalesce(lmap.id, 0) AS INTEGER) AS tag
+          FROM rt LEFT JOIN tagged ON rt.id = tagged.id AND rt.idx = tagged.idx
+          LEFT JOIN lmap ON lmap.tag = tagged.tagname),
+  wl AS (SELECT id, string_agg(token, ' ' ORDER BY idx) AS tokens,
+                string_agg(CAST(tag AS VARCHAR), ' ' ORDER BY idx) AS tags, CAST(count(*) AS INTEGER) AS n_tokens
+         FROM bio GROUP BY id)"""
+
+ORACLE_SQL["bio_tags"] = with_base(BIO_CTES + "\nSELECT id, idx, token, tag FROM bio")
+ORACLE_SQL["word_level"] = with_base(BIO_CTES + "\nSELECT id, tokens, tags, n_tokens FROM wl")
+ORACLE_SQL["train_val_split"] = with_base(BIO_CTES + """
+, sh AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS shuffle_no, count(*) OVER () AS n FROM wl)
+SELECT id, shuffle_no, CASE WHEN shuffle_no < floor(n * 0.8) THEN 'train' ELSE 'validation' END AS split FROM sh""")

@@ -11,7 +11,16 @@ from ..functions.text import clean_text as clean_col
 from ..operators.chunking import chunk_corpus, clean_corpus
 from ..operators.tagging import entity_counts, label_order, refine_labels, tag_phrases, tag_words
 from ..sources.dictionary import dictionary, term_list
-from .fixtures import CHUNK_MAX_LEN, TEST_DICTIONARY, TEST_EXCLUSIONS
+from ..functions.arrays import flatten_terms
+from ..operators.corpus import distinct_corpus, null_counts, require, titled_rows, union_sources
+from ..sources.registry import read_source, source_status
+from ..operators.dataset import bio_long, train_val_split, word_level
+from ..operators.export import export_records, flatten_export, record_entities
+from ..operators.tagging import reviewed_spans
+from ..session import reliable_checkpoint
+from ..sources.records import read_label_export, record_parts, scratch_path, write_records
+from .fixtures import (CHUNK_MAX_LEN, PART_SIZE, SPLIT_RATIO, SPLIT_SEED, TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec,
+                       test_specs)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -98,6 +107,103 @@ def q_entity_counts(spark, sf):
     return entity_counts(english_labels(spark, sf))
 
 
+# ---- step 1: sources and corpus --------------------------------------------------
+
+def q_scan_sources(spark, sf):
+    from functools import reduce
+    parts = [read_source(spark, s) for s in test_specs(sf)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_source_status(spark, sf):
+    return source_status(spark, test_specs(sf) + [broken_spec(sf)])
+
+
+def q_drop_missing(spark, sf):
+    pages = read_source(spark, test_specs(sf)[0])
+    return require(pages, ["title", "description"]).select("title", F.length("description").alias("n_chars"))
+
+
+def q_title_filter(spark, sf):
+    from functools import reduce
+    parts = [titled_rows(spark, s, TITLE_KEYWORDS) for s in test_specs(sf) if s.titled]
+    return reduce(DataFrame.unionByName, parts).select("source", "title", "description")
+
+
+def q_union_sources(spark, sf):
+    return union_sources(spark, test_specs(sf), TITLE_KEYWORDS)
+
+
+def q_distinct_corpus(spark, sf):
+    return distinct_corpus(union_sources(spark, test_specs(sf), TITLE_KEYWORDS))
+
+
+def q_null_counts(spark, sf):
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return null_counts(docs.select("doc_id", "text", "quality", "toxic"))
+
+
+def q_dict_flatten(spark, sf):
+    part = require(table(spark, sf, "part"), ["p_type", "p_name", "p_brand"])
+    items = F.array(F.split("p_name", " "), F.array("p_brand"))
+    terms = part.select(F.col("p_type").alias("category"), F.explode(flatten_terms(items)).alias("term"))
+    return terms.distinct()
+
+
+# ---- steps 4-5: export records, BIO data set, split -------------------------------
+
+def english_export(spark, sf, reviewed=False, mapping=None):
+    """Chunks are materialised once in the shared checkpoint folder: the taggers and the
+    record text both read them, so cleaning and packing run a single time."""
+    d, x, n = test_dictionary(spark, mapping)
+    chunks = reliable_checkpoint(english_chunks(spark, sf))
+    spans = (reviewed_spans if reviewed else refine_labels)(chunks, d, x, dict_rows=n)
+    return export_records(chunks, spans)
+
+
+def q_export_records(spark, sf):
+    return english_export(spark, sf).select(
+        "id", "doc_id", "chunk_no", F.col("data.text").alias("text"),
+        F.size(F.col("annotations")[0]["result"]).alias("n_results"))
+
+
+def q_export_labels(spark, sf):
+    return flatten_export(english_export(spark, sf))
+
+
+def q_flatten_export(spark, sf):
+    return flatten_export(english_export(spark, sf, reviewed=True))
+
+
+def q_record_parts(spark, sf):
+    return record_parts(english_export(spark, sf), PART_SIZE).select("id", "part_no")
+
+
+def q_export_roundtrip(spark, sf):
+    path = scratch_path(spark, "export")
+    write_records(english_export(spark, sf).select("id", "data", "annotations"), path)
+    return flatten_export(read_label_export(spark, path))
+
+
+def english_word_level(spark, sf, mapping=None):
+    return word_level(record_entities(english_export(spark, sf, reviewed=True, mapping=mapping)))
+
+
+def q_bio_tags(spark, sf):
+    return bio_long(english_word_level(spark, sf))
+
+
+def q_word_level(spark, sf):
+    return english_word_level(spark, sf).select(
+        "id", F.array_join("tokens", " ").alias("tokens"),
+        F.array_join(F.transform("ner_tags", lambda t: t.cast("string")), " ").alias("tags"),
+        F.size("tokens").alias("n_tokens"))
+
+
+def q_train_val_split(spark, sf):
+    return train_val_split(english_word_level(spark, sf).select("id"), "id", SPLIT_RATIO, SPLIT_SEED)
+
+
 QUERIES = {
     "strip_tags": q_strip_tags,
     "clean_text": q_clean_text,
@@ -109,4 +215,20 @@ QUERIES = {
     "tag_phrases": q_tag_phrases,
     "refine_labels": q_refine_labels,
     "entity_counts": q_entity_counts,
+    "scan_sources": q_scan_sources,
+    "source_status": q_source_status,
+    "drop_missing": q_drop_missing,
+    "title_filter": q_title_filter,
+    "union_sources": q_union_sources,
+    "distinct_corpus": q_distinct_corpus,
+    "null_counts": q_null_counts,
+    "dict_flatten": q_dict_flatten,
+    "export_records": q_export_records,
+    "export_labels": q_export_labels,
+    "flatten_export": q_flatten_export,
+    "record_parts": q_record_parts,
+    "export_roundtrip": q_export_roundtrip,
+    "bio_tags": q_bio_tags,
+    "word_level": q_word_level,
+    "train_val_split": q_train_val_split,
 }
