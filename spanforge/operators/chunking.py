@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import chunk_text
 from ..functions.text import clean_text
+from ..session import spread
 
 
 def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: Iterable[str] | None = None,
                  keep: Iterable[str] = ("doc_id",)) -> DataFrame:
     """F10 per row; rows whose cleaned text is empty never reach chunking (null rule 3)."""
-    cleaned = corpus.select(*keep, clean_text(F.col(text_col), stopwords).alias("text"))
+    cleaned = spread(corpus).select(*keep, clean_text(F.col(text_col), stopwords).alias("text"))
     return cleaned.where(F.col("text") != "")
 
 

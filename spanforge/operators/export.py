@@ -62,11 +62,11 @@ def flatten_export(records: DataFrame) -> DataFrame:
         F.col("r.value.text").alias("span_text"), F.col("r.value.labels")[0].alias("label"))
 
 
-def record_entities(records: DataFrame) -> DataFrame:
+def record_entities(records: DataFrame, keep=()) -> DataFrame:
     """N2 in array form: ``(id, text, entities array<struct<start,end,label>>)`` in result
     order, ready for the row-local BIO tagger; no explode, no regrouping."""
     return records.select(
-        F.col("id").cast("string").alias("id"), F.col("data.text").alias("text"),
+        F.col("id").cast("string").alias("id"), *keep, F.col("data.text").alias("text"),
         F.transform(F.col("annotations")[0]["result"], lambda r: F.struct(
             r["value"]["start"].alias("start"), r["value"]["end"].alias("end"),
             r["value"]["labels"][0].alias("label"))).alias("entities"))

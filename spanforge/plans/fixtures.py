@@ -32,6 +32,7 @@ SPLIT_SEED = 42
 PART_SIZE = 50
 PIECE_HEAD = 4
 PAD_LEN = 128
+N_CLASSES = 9
 
 
 def flat_dictionary(mapping: dict) -> list[tuple[str, str, int, str]]:

@@ -12,7 +12,7 @@ import re
 
 from ..functions.stopwords import NLTK_ENGLISH
 from ..sources.dictionary import LABELS
-from .fixtures import CHUNK_MAX_LEN, TEST_DICTIONARY, TEST_EXCLUSIONS, flat_dictionary
+from .fixtures import CHUNK_MAX_LEN, PRED_DICTIONARY, TEST_DICTIONARY, TEST_EXCLUSIONS, flat_dictionary
 
 
 def lit(s: str) -> str:
@@ -117,11 +117,7 @@ def labels_values() -> str:
     return f"(VALUES {vals}) AS v(id, tag)"
 
 
-def base_ctes(mapping=None, exclusions=None, max_len: int = CHUNK_MAX_LEN, lang: str | None = "en") -> str:
-    """CTEs ``docs, clean, chunks, toks, word_labels, phrase_labels, labels`` over
-    ``documents`` (English by default)."""
-    excl = exclusions if exclusions is not None else TEST_EXCLUSIONS
-    excl_sql = ", ".join(lit(e.lower()) for e in excl) or "NULL"
+def corpus_ctes(max_len: int = CHUNK_MAX_LEN, lang: str | None = "en") -> str:
     where = f"WHERE lang = {lit(lang)}" if lang else ""
     return f"""
 docs AS (SELECT doc_id, text AS description FROM documents {where}),
@@ -131,25 +127,38 @@ packed0 AS (SELECT doc_id, {pack_sql('text', max_len)} AS p FROM clean),
 packed AS (SELECT doc_id, {pack_finish_sql('p')} AS cl FROM packed0),
 chunks AS (SELECT doc_id, CAST(generate_subscripts(cl, 1) - 1 AS INTEGER) AS chunk_no, unnest(cl) AS text FROM packed),
 toks0 AS (SELECT doc_id, chunk_no, {spans_sql('text', "'\\b\\w+\\b'")} AS sp FROM chunks),
-toks AS (SELECT doc_id, chunk_no, CAST(generate_subscripts(sp, 1) - 1 AS INTEGER) AS word_no, unnest(sp) AS s FROM toks0),
-dict AS (SELECT * FROM {dict_values(mapping)}),
-lookup AS (SELECT term, min_by(label, priority) AS label, min(priority) AS priority FROM dict
+toks AS (SELECT doc_id, chunk_no, CAST(generate_subscripts(sp, 1) - 1 AS INTEGER) AS word_no, unnest(sp) AS s FROM toks0)"""
+
+
+def label_ctes(sfx: str = "", mapping=None, exclusions=None) -> str:
+    """Dictionary tagger CTEs (suffix ``sfx``) over the shared ``chunks``/``toks``."""
+    excl = exclusions if exclusions is not None else TEST_EXCLUSIONS
+    excl_sql = ", ".join(lit(e.lower()) for e in excl) or "NULL"
+    return f"""
+dict{sfx} AS (SELECT * FROM {dict_values(mapping)}),
+lookup{sfx} AS (SELECT term, min_by(label, priority) AS label, min(priority) AS priority FROM dict{sfx}
            WHERE term NOT IN ({excl_sql}) GROUP BY term),
-word_labels AS (SELECT t.doc_id, t.chunk_no, t.s.start AS start, t.s."end" AS "end", 'B-' || l.label AS entity,
+word_labels{sfx} AS (SELECT t.doc_id, t.chunk_no, t.s.start AS start, t.s."end" AS "end", 'B-' || l.label AS entity,
                 t.s.text AS text, 1 AS origin, l.priority, l.term, 0 AS match_no, t.word_no
-                FROM toks t JOIN lookup l ON lower(trim(t.s.text)) = l.term),
-phr AS (SELECT * FROM {phrase_values(mapping)}),
-pm0 AS (SELECT c.doc_id, c.chunk_no, p.term, p.priority, p.label, {spans_sql('c.text', 'p.pattern')} AS ms
-        FROM chunks c, phr p WHERE regexp_matches(c.text, p.pattern)),
-pm AS (SELECT doc_id, chunk_no, term, priority, label, CAST(generate_subscripts(ms, 1) - 1 AS INTEGER) AS match_no,
-       unnest(ms) AS m FROM pm0),
-pw0 AS (SELECT *, {spans_sql('m.text', "'\\S+'")} AS ws FROM pm),
-pw AS (SELECT doc_id, chunk_no, term, priority, label, match_no, m.start AS mstart,
-       CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS word_no, unnest(ws) AS w FROM pw0),
-phrase_labels AS (SELECT doc_id, chunk_no, mstart + w.start AS start, mstart + w."end" AS "end",
+                FROM toks t JOIN lookup{sfx} l ON lower(trim(t.s.text)) = l.term),
+phr{sfx} AS (SELECT * FROM {phrase_values(mapping)}),
+pm0{sfx} AS (SELECT c.doc_id, c.chunk_no, p.term, p.priority, p.label, {spans_sql('c.text', 'p.pattern')} AS ms
+        FROM chunks c, phr{sfx} p WHERE regexp_matches(c.text, p.pattern)),
+pm{sfx} AS (SELECT doc_id, chunk_no, term, priority, label, CAST(generate_subscripts(ms, 1) - 1 AS INTEGER) AS match_no,
+       unnest(ms) AS m FROM pm0{sfx}),
+pw0{sfx} AS (SELECT *, {spans_sql('m.text', "'\\S+'")} AS ws FROM pm{sfx}),
+pw{sfx} AS (SELECT doc_id, chunk_no, term, priority, label, match_no, m.start AS mstart,
+       CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS word_no, unnest(ws) AS w FROM pw0{sfx}),
+phrase_labels{sfx} AS (SELECT doc_id, chunk_no, mstart + w.start AS start, mstart + w."end" AS "end",
                   CASE WHEN word_no = 0 THEN 'B-' ELSE 'I-' END || label AS entity, w.text AS text,
-                  0 AS origin, priority, term, match_no, word_no FROM pw),
-labels AS (SELECT * FROM phrase_labels UNION ALL SELECT * FROM word_labels)"""
+                  0 AS origin, priority, term, match_no, word_no FROM pw{sfx}),
+labels{sfx} AS (SELECT * FROM phrase_labels{sfx} UNION ALL SELECT * FROM word_labels{sfx})"""
+
+
+def base_ctes(mapping=None, exclusions=None, max_len: int = CHUNK_MAX_LEN, lang: str | None = "en") -> str:
+    """CTEs ``docs, clean, chunks, toks, word_labels, phrase_labels, labels`` over
+    ``documents`` (English by default)."""
+    return corpus_ctes(max_len, lang) + "," + label_ctes("", mapping, exclusions)
 
 
 def with_base(body: str, **kw) -> str:
@@ -293,3 +302,117 @@ ORACLE_SQL["word_level"] = with_base(BIO_CTES + "\nSELECT id, tokens, tags, n_to
 ORACLE_SQL["train_val_split"] = with_base(BIO_CTES + """
 , sh AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS shuffle_no, count(*) OVER () AS n FROM wl)
 SELECT id, shuffle_no, CASE WHEN shuffle_no < floor(n * 0.8) THEN 'train' ELSE 'validation' END AS split FROM sh""")
+
+
+def bio_ctes(sfx: str, ents: str) -> str:
+    """Token tags of the gold records' tokens (``rt``) from entity rows ``ents``
+    ``(id, result_no, start, end, label)``; later entity wins, B on its first token."""
+    return f"""
+, cov{sfx} AS (SELECT t.id, t.idx, e.result_no, e.label,
+                 min(t.idx) OVER (PARTITION BY t.id, e.result_no) AS first_idx
+          FROM rt t JOIN {ents} e ON t.id = e.id AND t.s.start >= e.start AND t.s."end" <= e."end"),
+  tagged{sfx} AS (SELECT id, idx, arg_max(CASE WHEN idx = first_idx THEN 'B-' ELSE 'I-' END || label, result_no)
+                  AS tagname FROM cov{sfx} GROUP BY id, idx),
+  bio{sfx} AS (SELECT rt.id, rt.idx, CAST(coalesce(lmap.id, 0) AS INTEGER) AS tag
+          FROM rt LEFT JOIN tagged{sfx} ON rt.id = tagged{sfx}.id AND rt.idx = tagged{sfx}.idx
+          LEFT JOIN lmap ON lmap.tag = tagged{sfx}.tagname)"""
+
+
+EVAL_CTES = (
+    "," + label_ctes("_p", PRED_DICTIONARY) + BIO_CTES + f"""
+, reviewed_p AS (
+    SELECT doc_id, chunk_no, m.start AS start, m."end" AS "end", {alias_sql('label')} AS entity, m.text AS text,
+           0 AS origin, priority, term, match_no, 0 AS word_no FROM pm_p
+    UNION ALL
+    SELECT doc_id, chunk_no, start, "end", {alias_sql('entity')}, text, origin, priority, term, match_no, word_no
+    FROM word_labels_p),
+  ents_p AS (SELECT r.rec, CAST(r.rec AS VARCHAR) AS id, l.start, l."end", l.entity AS label,
+             row_number() OVER (PARTITION BY l.doc_id, l.chunk_no ORDER BY l.start, l.origin, l.priority, l.term,
+                                l.match_no, l.word_no, l."end", l.entity, l.text) - 1 AS result_no
+             FROM reviewed_p l JOIN rec r ON l.doc_id = r.doc_id AND l.chunk_no = r.chunk_no)"""
+    + bio_ctes("_p", "ents_p") + f"""
+, pairs AS (SELECT b.id, b.idx AS pos, b.tag AS gold, coalesce(p.tag, 0) AS pred
+            FROM bio b LEFT JOIN bio_p p ON b.id = p.id AND b.idx = p.idx),
+  named AS (SELECT pairs.id, pos, gold, pred, g.tag AS gt, coalesce(q.tag, 'UNK') AS pt
+            FROM pairs LEFT JOIN lmap g ON g.id = pairs.gold LEFT JOIN lmap q ON q.id = pairs.pred)"""
+)
+
+
+def spans_of(col: str, name: str) -> str:
+    return f"""
+, {name}0 AS (SELECT id, pos, CASE WHEN {col} LIKE 'B-%' THEN 'B' WHEN {col} LIKE 'I-%' THEN 'I' ELSE 'O' END AS pf,
+                 CASE WHEN {col} LIKE 'B-%' OR {col} LIKE 'I-%' THEN substr({col}, 3) END AS ty FROM named),
+  {name}1 AS (SELECT *, CASE WHEN pf <> 'O' AND (pf = 'B' OR lag(ty) OVER w IS NULL OR lag(ty) OVER w <> ty)
+                        THEN 1 ELSE 0 END AS st FROM {name}0 WINDOW w AS (PARTITION BY id ORDER BY pos)),
+  {name}2 AS (SELECT *, sum(st) OVER (PARTITION BY id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS sp FROM {name}1),
+  {name} AS (SELECT id, any_value(ty) AS type, min(pos) AS start, max(pos) AS "end" FROM {name}2
+             WHERE pf <> 'O' GROUP BY id, sp)"""
+
+
+SCORE_CTES = spans_of("gt", "gspans") + spans_of("pt", "pspans") + """
+, both_sides AS (SELECT id, type, start, "end", 1 AS g, 0 AS p FROM gspans
+                 UNION ALL SELECT id, type, start, "end", 0, 1 FROM pspans),
+  per_span AS (SELECT id, type, start, "end", max(g) AS g, max(p) AS p FROM both_sides GROUP BY id, type, start, "end")"""
+
+
+def score_select(keys: str = "") -> str:
+    k = f"{keys}, " if keys else ""
+    grp = f" GROUP BY {keys}" if keys else ""
+    return f"""
+, sc AS (SELECT {k}CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold,
+                CAST(sum(g * p) AS BIGINT) AS tp FROM per_span{grp}),
+  sc2 AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+                    CASE WHEN n_gold > 0 THEN tp / n_gold ELSE 0.0 END AS recall FROM sc)
+SELECT {k}n_pred, n_gold, tp, precision, recall,
+       CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1"""
+
+
+BASE = with_base(EVAL_CTES)
+ORACLE_SQL["decode_spans"] = BASE + spans_of("gt", "gspans") + '\nSELECT id, type, start, "end" FROM gspans'
+ORACLE_SQL["entity_f1_by_type"] = BASE + SCORE_CTES + score_select("type") + " FROM sc2"
+ORACLE_SQL["entity_f1"] = BASE + SCORE_CTES + score_select() + """, acc.accuracy FROM sc2,
+  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pairs WHERE gold <> -100) acc"""
+ORACLE_SQL["token_accuracy"] = BASE + """
+SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy, count(*) AS n_tokens FROM pairs WHERE gold <> -100"""
+
+ORACLE_SQL["decode_ids"] = f"""
+SELECT vec_id, label, coalesce(m.tag, 'UNK') AS gold_tag FROM embeddings LEFT JOIN
+  (SELECT * FROM {labels_values()}) AS m ON m.id = embeddings.label"""
+ARGMAX = "CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER)"
+ORACLE_SQL["argmax_class"] = f"SELECT vec_id, {ARGMAX} AS pred_index, {ARGMAX} % 9 AS pred_id FROM embeddings"
+ORACLE_SQL["label_map_invert"] = f"""
+SELECT vec_id, m.tag, m.id AS tag_id FROM embeddings JOIN (SELECT * FROM {labels_values()}) AS m
+  ON m.id = {ARGMAX} % 9"""
+ORACLE_SQL["best_run"] = """
+SELECT event_type, event_id, value FROM (
+  SELECT event_type, event_id, value,
+         row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id ASC) AS r
+  FROM events WHERE value IS NOT NULL) WHERE r = 1"""
+
+ORACLE_SQL["pad_rows"] = with_base(BIO_CTES + """
+SELECT id, CAST(count(*) AS INTEGER) AS n_tags,
+       array_to_string(list_concat(list_slice(list(tag ORDER BY idx), 1, 128),
+                       list_transform(range(greatest(128 - count(*), 0)), lambda x: -100)), ' ') AS padded
+FROM bio GROUP BY id""")
+
+ORACLE_SQL["align_pieces"] = with_base(BIO_CTES + """
+, wp0 AS (SELECT id, idx AS word_id, tag, token,
+                 unnest(range(0, CAST(greatest(ceil((length(token) - 4) / 4.0), 0) AS BIGINT) + 1)) AS k FROM bio),
+  wp AS (SELECT id, word_id, tag, CASE WHEN k = 0 THEN substr(token, 1, 4) ELSE '##' || substr(token, 4 * k + 1, 4) END
+                AS piece, row_number() OVER (PARTITION BY id ORDER BY word_id, k) AS pos FROM wp0),
+  np AS (SELECT id, least(count(*), 126) AS m FROM wp GROUP BY id),
+  rows_ AS (
+    SELECT id, 0 AS pos, '[CLS]' AS piece, NULL::INTEGER AS word_id, -100 AS label FROM np
+    UNION ALL SELECT wp.id, wp.pos, wp.piece, wp.word_id, wp.tag FROM wp JOIN np ON wp.id = np.id WHERE wp.pos <= np.m
+    UNION ALL SELECT id, m + 1, '[SEP]', NULL, -100 FROM np
+    UNION ALL SELECT id, unnest(range(m + 2, 128)), '[PAD]', NULL, -100 FROM np)
+SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
+FROM rows_""")
+
+ORACLE_SQL["merge_pieces"] = with_base(BIO_CTES + """
+SELECT bio.id, bio.idx AS word_no, bio.token AS word, lmap.tag AS label FROM bio JOIN lmap ON lmap.id = bio.tag""")
+
+ORACLE_SQL["merge_candidates"] = with_base("""
+SELECT doc_id, chunk_no, word_no * 1000 AS seq, s.text AS word,
+       CASE WHEN length(s.text) >= 4 THEN 'B-SKILL' ELSE 'O' END AS entity, s.start AS start, s."end" AS "end"
+FROM toks""")

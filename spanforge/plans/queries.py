@@ -19,6 +19,14 @@ from ..operators.export import export_records, flatten_export, record_entities
 from ..operators.tagging import reviewed_spans
 from ..session import reliable_checkpoint
 from ..sources.records import read_label_export, record_parts, scratch_path, write_records
+from ..functions.arrays import invert_map, literal_map, pad
+from ..operators.dataset import bio_arrays
+from ..operators.evaluation import best_run, decode_spans, entity_scores, evaluate, tag_names, token_accuracy
+from ..operators.export import group_labels
+from ..operators.scoring import align_pieces, argmax_class, decode_ids, merge_pieces, piece_stream, word_pieces
+from ..operators.tagging import merge_candidates
+from ..sources.dictionary import LABELS, label_map, write_label_config
+from .fixtures import (PAD_LEN, PIECE_HEAD, PRED_DICTIONARY, N_CLASSES)
 from .fixtures import (CHUNK_MAX_LEN, PART_SIZE, SPLIT_RATIO, SPLIT_SEED, TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec,
                        test_specs)
 
@@ -204,6 +212,148 @@ def q_train_val_split(spark, sf):
     return train_val_split(english_word_level(spark, sf).select("id"), "id", SPLIT_RATIO, SPLIT_SEED)
 
 
+# ---- steps 6-7: scoring and evaluation ------------------------------------------
+
+def q_decode_ids(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", "label", decode_ids(F.col("label")).alias("gold_tag"))
+
+
+def q_argmax_class(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", argmax_class(F.col("embedding")).alias("pred_index"),
+                    argmax_class(F.col("embedding"), N_CLASSES).alias("pred_id"))
+
+
+def q_label_map_invert(spark, sf):
+    """S4 + N4: read ``id2label`` from a model config file, invert it, round-trip ids."""
+    path = scratch_path(spark, "model_config") + ".json"
+    write_label_config_file(spark, path)
+    pairs = [(r.id, r.tag) for r in label_map(spark, path).collect()]  # 9-row dimension table
+    id2tag = literal_map(pairs)
+    tag2id = invert_map(id2tag)
+    e = table(spark, sf, "embeddings").select(
+        "vec_id", argmax_class(F.col("embedding"), N_CLASSES).alias("pred_id"))
+    tagged = e.select("vec_id", F.element_at(id2tag, F.col("pred_id")).alias("tag"))
+    return tagged.select("vec_id", "tag", F.element_at(tag2id, F.col("tag")).alias("tag_id"))
+
+
+def write_label_config_file(spark, path):
+    """The label config is a 9-entry file written once by the driver (as a trainer does)."""
+    import os
+    if path.startswith("file:"):
+        path = path[5:]
+    if "://" in path:
+        spark.createDataFrame([(1,)], "x int").select(F.lit(_config_json()).alias("value")).coalesce(1) \
+            .write.mode("overwrite").text(path)
+    else:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        write_label_config(path)
+
+
+def _config_json():
+    import json
+    return json.dumps({"label2id": {t: i for i, t in LABELS}, "id2label": {str(i): t for i, t in LABELS},
+                       "model_name": "spanforge-tagger"})
+
+
+def gold_word_level(spark, sf):
+    return english_word_level(spark, sf)
+
+
+def q_pad_rows(spark, sf):
+    wl = gold_word_level(spark, sf)
+    return wl.select("id", F.size("ner_tags").alias("n_tags"),
+                     F.array_join(F.transform(pad(F.col("ner_tags"), PAD_LEN, -100), lambda t: t.cast("string")),
+                                  " ").alias("padded"))
+
+
+def q_align_pieces(spark, sf):
+    wl = gold_word_level(spark, sf)
+    rows = wl.select("id", F.posexplode(align_pieces(F.col("tokens"), F.col("ner_tags"), PAD_LEN, PIECE_HEAD))
+                     .alias("pos", "p"))
+    return rows.select("id", "pos", F.col("p.piece").alias("piece"), F.col("p.word_id").alias("word_id"),
+                       F.col("p.label").alias("label"))
+
+
+def piece_labels(tokens, tags):
+    """Pieces of each record with labels: a head piece carries its word's tag name,
+    ``##`` tails and special tokens carry ``O``."""
+    names = literal_map(LABELS)
+    return F.transform(piece_stream(tokens, PIECE_HEAD), lambda p: F.struct(
+        p["piece"].alias("piece"),
+        F.when(p["word_id"].isNull() | p["piece"].startswith("##"), F.lit("O"))
+        .otherwise(F.element_at(names, F.element_at(tags, p["word_id"] + 1))).alias("label")))
+
+
+def q_merge_pieces(spark, sf):
+    wl = gold_word_level(spark, sf)
+    merged = wl.select("id", F.posexplode(merge_pieces(piece_labels(F.col("tokens"), F.col("ner_tags"))))
+                       .alias("word_no", "w"))
+    return merged.select("id", "word_no", F.col("w.word").alias("word"), F.col("w.label").alias("label"))
+
+
+def candidate_pieces(chunks):
+    """NER-candidate stand-in: every word token cut into pieces with their offsets; the
+    entity depends on the piece, so the first piece's entity decides."""
+    toks = chunks.select("doc_id", "chunk_no", F.posexplode(token_spans("text")).alias("w_no", "t"))
+    pieces = toks.select("doc_id", "chunk_no", "w_no", "t",
+                         F.posexplode(word_pieces(F.col("t.text"), PIECE_HEAD)).alias("k", "piece"))
+    return pieces.select(
+        "doc_id", "chunk_no", (F.col("w_no") * 1000 + F.col("k")).alias("seq"), F.col("piece").alias("word"),
+        F.when(F.length("piece") >= 4, F.lit("B-SKILL")).otherwise(F.lit("O")).alias("entity"),
+        (F.col("t.start") + F.col("k") * PIECE_HEAD).alias("start"))
+
+
+def q_merge_candidates(spark, sf):
+    return merge_candidates(candidate_pieces(english_chunks(spark, sf)))
+
+
+def eval_pairs(spark, sf):
+    """Gold tags (full dictionary) and predicted tags (reduced dictionary) for the
+    tokens of every gold record: ``(id, pos, gold, pred)``."""
+    d, x, n = test_dictionary(spark)
+    dp, xp, npred = test_dictionary(spark, PRED_DICTIONARY)
+    chunks = reliable_checkpoint(english_chunks(spark, sf))
+    gold = export_records(chunks, reviewed_spans(chunks, d, x, dict_rows=n))
+    pred = group_labels(reviewed_spans(chunks, dp, xp, dict_rows=npred))
+    recs = record_entities(gold, keep=("doc_id", "chunk_no"))
+    j = recs.join(pred, ["doc_id", "chunk_no"], "left")
+    pred_ents = F.coalesce(F.transform("labels", lambda l: F.struct(
+        l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label"))),
+        F.array().cast("array<struct<start:int,end:int,label:string>>"))
+    t = j.select("id", token_spans("text").alias("toks"), "entities", pred_ents.alias("pred_entities"))
+    b = t.select("id", bio_arrays(F.col("toks"), F.col("entities")).alias("g"),
+                 bio_arrays(F.col("toks"), F.col("pred_entities")).alias("p"))
+    z = b.select("id", F.posexplode(F.arrays_zip(F.col("g.tag").alias("gold"), F.col("p.tag").alias("pred")))
+                 .alias("pos", "z"))
+    return z.select("id", "pos", F.col("z.gold").alias("gold"), F.col("z.pred").alias("pred"))
+
+
+def q_decode_spans(spark, sf):
+    pairs = tag_names(eval_pairs(spark, sf), "gold", "tag")
+    return decode_spans(pairs, "id", "pos", "tag")
+
+
+def q_entity_f1(spark, sf):
+    return evaluate(eval_pairs(spark, sf)).select("n_pred", "n_gold", "tp", "precision", "recall", "f1",
+                                                  "accuracy")
+
+
+def q_entity_f1_by_type(spark, sf):
+    pairs = tag_names(tag_names(eval_pairs(spark, sf), "gold", "gt"), "pred", "pt")
+    return entity_scores(decode_spans(pairs, "id", "pos", "gt"), decode_spans(pairs, "id", "pos", "pt"),
+                         "id", by_type=True)
+
+
+def q_token_accuracy(spark, sf):
+    return token_accuracy(eval_pairs(spark, sf))
+
+
+def q_best_run(spark, sf):
+    ev = table(spark, sf, "events").select("event_type", "event_id", "value")
+    return best_run(ev, "event_type", "value", "event_id")
+
+
 QUERIES = {
     "strip_tags": q_strip_tags,
     "clean_text": q_clean_text,
@@ -231,4 +381,16 @@ QUERIES = {
     "bio_tags": q_bio_tags,
     "word_level": q_word_level,
     "train_val_split": q_train_val_split,
+    "decode_ids": q_decode_ids,
+    "argmax_class": q_argmax_class,
+    "label_map_invert": q_label_map_invert,
+    "pad_rows": q_pad_rows,
+    "align_pieces": q_align_pieces,
+    "merge_pieces": q_merge_pieces,
+    "merge_candidates": q_merge_candidates,
+    "decode_spans": q_decode_spans,
+    "entity_f1": q_entity_f1,
+    "entity_f1_by_type": q_entity_f1_by_type,
+    "token_accuracy": q_token_accuracy,
+    "best_run": q_best_run,
 }

@@ -69,3 +69,13 @@ def sized_broadcast(df: DataFrame, known_rows: int | None = None,
     """
     n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer partitions.
+
+    Text cleaning is CPU-bound; a table stored as one large row group would otherwise be
+    cleaned by one task.  Large inputs already have many splits and pass unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
