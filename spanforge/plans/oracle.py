@@ -117,10 +117,11 @@ def labels_values() -> str:
     return f"(VALUES {vals}) AS v(id, tag)"
 
 
-def corpus_ctes(max_len: int = CHUNK_MAX_LEN, lang: str | None = "en") -> str:
+def corpus_ctes(max_len: int = CHUNK_MAX_LEN, lang: str | None = "en", docs: str | None = None) -> str:
     where = f"WHERE lang = {lit(lang)}" if lang else ""
+    docs = docs or f"SELECT doc_id, text AS description FROM documents {where}"
     return f"""
-docs AS (SELECT doc_id, text AS description FROM documents {where}),
+docs AS ({docs}),
 clean0 AS (SELECT doc_id, {clean_sql('description')} AS text FROM docs),
 clean AS (SELECT doc_id, text FROM clean0 WHERE text <> ''),
 packed0 AS (SELECT doc_id, {pack_sql('text', max_len)} AS p FROM clean),
@@ -416,3 +417,7 @@ ORACLE_SQL["merge_candidates"] = with_base("""
 SELECT doc_id, chunk_no, word_no * 1000 AS seq, s.text AS word,
        CASE WHEN length(s.text) >= 4 THEN 'B-SKILL' ELSE 'O' END AS entity, s.start AS start, s."end" AS "end"
 FROM toks""")
+
+ORACLE_SQL["corpus_entity_counts"] = (
+    "WITH " + SOURCES_SQL.strip() + "," + corpus_ctes(docs="SELECT doc_id, description FROM corpus") + ","
+    + label_ctes() + "\nSELECT entity, count(*) AS n FROM labels GROUP BY entity")

@@ -26,6 +26,9 @@ from ..operators.export import group_labels
 from ..operators.scoring import align_pieces, argmax_class, decode_ids, merge_pieces, piece_stream, word_pieces
 from ..operators.tagging import merge_candidates
 from ..sources.dictionary import LABELS, label_map, write_label_config
+from ..operators.scoring import CANDIDATE_SCHEMA, piece_candidate_scorer, score_tokens
+from ..operators.training import predict_pairs, token_features, train_tagger
+from .corpus_job import run_corpus
 from .fixtures import (PAD_LEN, PIECE_HEAD, PRED_DICTIONARY, N_CLASSES)
 from .fixtures import (CHUNK_MAX_LEN, PART_SIZE, SPLIT_RATIO, SPLIT_SEED, TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec,
                        test_specs)
@@ -354,6 +357,28 @@ def q_best_run(spark, sf):
     return best_run(ev, "event_type", "value", "event_id")
 
 
+# ---- steps 8-9: model and whole job ------------------------------------------------
+
+def q_score_tokens(spark, sf):
+    return score_tokens(english_chunks(spark, sf).select("doc_id", "chunk_no", "text"),
+                        piece_candidate_scorer(PIECE_HEAD), CANDIDATE_SCHEMA)
+
+
+def q_train_tagger(spark, sf):
+    wl = reliable_checkpoint(gold_word_level(spark, sf))
+    split = train_val_split(wl, "id", SPLIT_RATIO, SPLIT_SEED)
+    train = split.where(F.col("split") == "train")
+    valid = split.where(F.col("split") == "validation")
+    model, _metrics = train_tagger(train, valid, grid=(0.0, 0.01), max_iter=20)
+    return predict_pairs(model, token_features(valid))
+
+
+def q_corpus_entity_counts(spark, sf):
+    _chunks, labels = run_corpus(spark, test_specs(sf), TITLE_KEYWORDS, TEST_DICTIONARY, TEST_EXCLUSIONS,
+                                 CHUNK_MAX_LEN)
+    return entity_counts(labels)
+
+
 QUERIES = {
     "strip_tags": q_strip_tags,
     "clean_text": q_clean_text,
@@ -393,4 +418,7 @@ QUERIES = {
     "entity_f1_by_type": q_entity_f1_by_type,
     "token_accuracy": q_token_accuracy,
     "best_run": q_best_run,
+    "score_tokens": q_score_tokens,
+    "train_tagger": q_train_tagger,
+    "corpus_entity_counts": q_corpus_entity_counts,
 }
