@@ -113,9 +113,91 @@ def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None
         "match_no", "word_no")
 
 
+def lookup_table(dictionary: DataFrame, exclusions: DataFrame | None = None) -> DataFrame:
+    """One dimension table for both taggers: ``kind`` 'w' rows map a word to its label
+    (J1 + P8), ``kind`` 'p' rows map a phrase key word to a phrase and its regex (J2)."""
+    null = F.lit(None).cast("string")
+    words = word_lookup(dictionary, exclusions).select(
+        F.lit("w").alias("kind"), F.col("term").alias("key"), "term", "label", "priority", null.alias("pattern"))
+    phrases = phrase_table(dictionary).where(F.col("key") != "").select(
+        F.lit("p").alias("kind"), "key", "term", "label", "priority", "pattern")
+    return words.unionByName(phrases)
+
+
+def tag_chunks(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
+               dict_rows: int | None = None, reviewed: bool = False) -> DataFrame:
+    """T3 in one pass over the chunks: word labels and phrase labels together.
+
+    Each chunk row is tokenised once (F11/F12) and exploded into probes: every token
+    (word lookup) and every distinct lower-cased token (phrase key).  A single broadcast
+    hash join against ``lookup_table`` finds word hits and candidate phrases; candidate
+    phrases are then matched by regex on the carried chunk text.  No union, no second
+    scan of the chunk text, no shuffle.  ``reviewed`` gives one span per phrase match
+    with the training type (D2) instead of B/I word labels.
+    """
+    from .dataset import alias_type
+
+    bound = 2 * dict_rows if dict_rows is not None else None
+    lookup = sized_broadcast(lookup_table(dictionary, exclusions), bound)
+    null_i = F.lit(None).cast("int")
+    toks = chunks.select(*KEYS, "text", token_spans("text").alias("toks"))
+    word_probes = F.transform("toks", lambda t, i: F.struct(
+        F.lit("w").alias("kind"), normalize_word(t["text"]).alias("key"), t["text"].alias("word"),
+        t["start"].alias("start"), t["end"].alias("end"), i.alias("word_no")))
+    key_probes = F.transform(F.array_distinct(F.transform("toks", lambda t: F.lower(t["text"]))), lambda k: F.struct(
+        F.lit("p").alias("kind"), k.alias("key"), F.lit(None).cast("string").alias("word"),
+        null_i.alias("start"), null_i.alias("end"), null_i.alias("word_no")))
+    probes = toks.select(*KEYS, "text", F.explode(F.concat(word_probes, key_probes)).alias("q")).select(
+        *KEYS, "text", "q.*")
+    hit = probes.join(lookup, ["kind", "key"])
+    is_word = F.col("kind") == "w"
+    single = F.array(F.struct(F.col("word").alias("text"), F.col("start").alias("start"), F.col("end").alias("end")))
+    matched = hit.select(
+        *KEYS, "kind", "term", "label", "priority", F.col("word_no").alias("tok_no"),
+        F.posexplode(F.when(is_word, single).otherwise(find_spans("text", F.col("pattern")))).alias("match_no", "m"))
+    if reviewed:
+        pieces = F.array(F.col("m"))
+    else:
+        pieces = F.when(is_word, F.array(F.col("m"))).otherwise(
+            phrase_word_spans(F.col("m.text"), F.col("m.start")))
+    cut = matched.select(*KEYS, "kind", "term", "label", "priority", "tok_no", "match_no",
+                         F.posexplode(pieces).alias("piece_no", "w"))
+    if reviewed:
+        entity = alias_type(F.col("label"))
+    else:
+        entity = F.concat(F.when(is_word | (F.col("piece_no") == 0), F.lit("B-")).otherwise(F.lit("I-")),
+                          F.col("label"))
+    out = cut.select(
+        *KEYS, F.col("w.start").alias("start"), F.col("w.end").alias("end"), entity.alias("entity"),
+        F.col("w.text").alias("text"),
+        F.when(is_word, F.lit(ORIGIN_WORD)).otherwise(F.lit(ORIGIN_PHRASE)).alias("origin"),
+        "priority", "term", "match_no",
+        F.when(is_word, F.col("tok_no")).otherwise(F.col("piece_no")).alias("word_no"))
+    keyless = phrase_table(dictionary).where(F.col("key") == "")
+    if keyless.limit(1).count():
+        extra = (reviewed_phrases if reviewed else tag_phrases)(chunks, dictionary.where(
+            F.regexp_extract("term", r"(?U)\w+", 0) == ""), dict_rows)
+        out = out.unionByName(extra)
+    return out
+
+
+def reviewed_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
+    from .dataset import alias_type
+
+    return phrase_matches(chunks, dictionary, dict_rows).select(
+        *KEYS, F.col("m.start").alias("start"), F.col("m.end").alias("end"),
+        alias_type(F.col("label")).alias("entity"), F.col("m.text").alias("text"),
+        F.lit(ORIGIN_PHRASE).alias("origin"), "priority", "term", "match_no", F.lit(0).alias("word_no"))
+
+
 def refine_labels(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
                   candidates: DataFrame | None = None, dict_rows: int | None = None) -> DataFrame:
-    """Phrase labels and word labels as one bag (duplicates and overlaps kept)."""
+    """Phrase labels and word labels as one bag (duplicates and overlaps kept).
+
+    Without NER candidates this is the single-pass ``tag_chunks``; with candidates the
+    word labels come from the merged candidates instead of the chunk's tokens."""
+    if candidates is None:
+        return tag_chunks(chunks, dictionary, exclusions, dict_rows)
     return tag_phrases(chunks, dictionary, dict_rows).unionByName(
         tag_words(chunks, dictionary, exclusions, candidates, dict_rows))
 
@@ -127,13 +209,11 @@ def reviewed_spans(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFra
     type without prefix, mapped by the label alias table."""
     from .dataset import alias_type
 
-    ph = phrase_matches(chunks, dictionary, dict_rows).select(
-        *KEYS, F.col("m.start").alias("start"), F.col("m.end").alias("end"),
-        alias_type(F.col("label")).alias("entity"), F.col("m.text").alias("text"),
-        F.lit(ORIGIN_PHRASE).alias("origin"), "priority", "term", "match_no", F.lit(0).alias("word_no"))
+    if candidates is None:
+        return tag_chunks(chunks, dictionary, exclusions, dict_rows, reviewed=True)
     wd = tag_words(chunks, dictionary, exclusions, candidates, dict_rows).withColumn(
         "entity", alias_type(F.col("entity")))
-    return ph.unionByName(wd)
+    return reviewed_phrases(chunks, dictionary, dict_rows).unionByName(wd)
 
 
 def label_order():

@@ -17,7 +17,7 @@ from ..sources.registry import read_source, source_status
 from ..operators.dataset import bio_long, train_val_split, word_level
 from ..operators.export import export_records, flatten_export, record_entities
 from ..operators.tagging import reviewed_spans
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, spread
 from ..sources.records import read_label_export, record_parts, scratch_path, write_records
 from ..functions.arrays import invert_map, literal_map, pad
 from ..operators.dataset import bio_arrays
@@ -72,11 +72,11 @@ def q_strip_tags(spark, sf):
 
 
 def q_clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "lang", clean_col("text").alias("cleaned"))
+    return spread(table(spark, sf, "documents")).select("doc_id", "lang", clean_col("text").alias("cleaned"))
 
 
 def q_remove_stopwords(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", remove_stopwords(squeeze(F.lower("text"))).alias("kept"))
 
 
