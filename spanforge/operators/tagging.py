@@ -26,7 +26,8 @@ def word_lookup(dictionary: DataFrame, exclusions: DataFrame | None = None) -> D
     category per term and excluded terms removed (exclusion is tested first)."""
     d = dictionary
     if exclusions is not None:
-        d = d.join(exclusions.select("term").distinct(), "term", "left_anti")
+        # exclusion lists are driver-side config, bounded like the dictionary itself
+        d = d.join(F.broadcast(exclusions.select("term").distinct()), "term", "left_anti")
     return d.groupBy("term").agg(
         F.min_by("label", "priority").alias("label"), F.min("priority").alias("priority"))
 
@@ -92,7 +93,7 @@ def phrase_matches(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | No
                                   F.lit(r.priority).alias("priority"), F.lit(r.pattern).alias("pattern"))
                          for r in keyless])
         extra = chunks.select(*KEYS, "text", F.explode(
-            F.filter(lits, lambda p: F.col("text").rlike(p["pattern"]))).alias("p")).select(
+            F.filter(lits, lambda p: F.regexp_like(F.col("text"), p["pattern"]))).alias("p")).select(
             *KEYS, "text", "p.term", "p.label", "p.priority", "p.pattern")
         cand = cand.unionByName(extra)
     return cand.select(*KEYS, "term", "label", "priority",
