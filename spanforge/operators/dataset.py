@@ -17,7 +17,16 @@ def alias_type(entity: Column) -> Column:
     return F.coalesce(F.element_at(literal_map(LABEL_ALIAS.items()), bare), bare)
 
 
-def bio_arrays(toks: Column, entities: Column) -> Column:
+def entity_ids(entities: Column) -> Column:
+    """Entities ``(start, end, label)`` -> ``(s, e, b, i)`` with their B and I tag ids."""
+    ids = tag_to_id_map()
+    return F.transform(entities, lambda e: F.struct(
+        e["start"].alias("s"), e["end"].alias("e"),
+        F.element_at(ids, F.concat(F.lit("B-"), e["label"])).alias("b"),
+        F.element_at(ids, F.concat(F.lit("I-"), e["label"])).alias("i")))
+
+
+def bio_arrays(toks: Column, ents: Column) -> Column:
     """W6 + W7 + J3 inside one record: ``array<struct<token, start, end, tag>>``.
 
     A token inside an entity (``t.start >= e.start and t.end <= e.end``) gets ``B-type`` if
@@ -25,33 +34,43 @@ def bio_arrays(toks: Column, entities: Column) -> Column:
     an earlier one; other tokens are ``O`` (0).  Tokens are sorted and disjoint, so "first
     contained" is "no previous token or the previous token starts before the entity".
     Unknown types give a null tag (routed to rejects).  Work is per record row: no join,
-    no shuffle, linear in tokens x entities of that record.  ``toks`` must be a column
-    reference (token spans computed once, in an earlier projection).
+    no shuffle, linear in tokens x entities of that record.
+
+    ``toks`` (token spans) and ``ents`` (``entity_ids``) must be column references made
+    in an earlier projection; ``ents`` is referenced twice in the per-token lambda so the
+    optimiser never inlines its computation into the loop.
     """
-    ids = tag_to_id_map()
+    prev = F.transform(toks, lambda t, i: F.when(i == 0, F.lit(-1)).otherwise(
+        F.element_at(toks, F.greatest(i, F.lit(1)))["start"]))
+
+    def tag_of(z):
+        t_start, t_end, p_start = z["t"]["start"], z["t"]["end"], z["p"]
 
-    def tag_of(t, i):
         def step(acc, e):
-            inside = (t["start"] >= e["start"]) & (t["end"] <= e["end"])
-            first = (i == 0) | (F.element_at(toks, F.greatest(i, F.lit(1)))["start"] < e["start"])
-            prefix = F.when(first, F.lit("B-")).otherwise(F.lit("I-"))
-            return F.when(inside, F.element_at(ids, F.concat(prefix, e["label"]))).otherwise(acc)
+            inside = (t_start >= e["s"]) & (t_end <= e["e"])
+            return F.when(inside, F.when(p_start < e["s"], e["b"]).otherwise(e["i"])).otherwise(acc)
+
+        tag = F.when(F.size(ents) == 0, F.lit(0)).otherwise(F.aggregate(ents, F.lit(0), step))
+        return F.struct(z["t"]["text"].alias("token"), t_start.alias("start"), t_end.alias("end"), tag.alias("tag"))
+
+    return F.transform(F.arrays_zip(toks.alias("t"), prev.alias("p")), tag_of)
 
-        tag = F.aggregate(entities, F.lit(0), step)
-        return F.struct(t["text"].alias("token"), t["start"].alias("start"), t["end"].alias("end"),
-                        tag.alias("tag"))
 
-    return F.transform(toks, tag_of)
+def with_bio(df: DataFrame, text: str, entity_cols: dict, keep=("id",)) -> DataFrame:
+    """Add one BIO array per entity column (``{out: entities_col}``), sharing one
+    tokenisation of ``text``; two projections, both row-local."""
+    prep = df.select(*keep, token_spans(text).alias("_toks"),
+                     *[entity_ids(F.col(c)).alias(f"_e_{o}") for o, c in entity_cols.items()])
+    return prep.select(*keep, *[bio_arrays(F.col("_toks"), F.col(f"_e_{o}")).alias(o) for o in entity_cols])
 
 
 def word_level(records: DataFrame) -> DataFrame:
     """``(id, tokens array<string>, ner_tags array<int>)`` from ``record_entities``
     rows ``(id, text, entities)``; rejected records (D3) are left out."""
-    spans = records.select("id", token_spans("text").alias("toks"), "entities")
-    tagged = spans.select("id", bio_arrays(F.col("toks"), F.col("entities")).alias("bio"), "entities")
-    ok = tagged.where(bio_reject_reason_col(F.col("entities")).isNull())
-    return ok.select("id", F.transform("bio", lambda b: b["token"]).alias("tokens"),
-                     F.transform("bio", lambda b: b["tag"]).alias("ner_tags"))
+    ok = records.where(bio_reject_reason_col(F.col("entities")).isNull())
+    tagged = with_bio(ok, "text", {"bio": "entities"})
+    return tagged.select("id", F.transform("bio", lambda b: b["token"]).alias("tokens"),
+                         F.transform("bio", lambda b: b["tag"]).alias("ner_tags"))
 
 
 def bio_reject_reason_col(entities: Column) -> Column:

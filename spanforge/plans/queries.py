@@ -20,7 +20,7 @@ from ..operators.tagging import reviewed_spans
 from ..session import reliable_checkpoint, spread
 from ..sources.records import read_label_export, record_parts, scratch_path, write_records
 from ..functions.arrays import invert_map, literal_map, pad
-from ..operators.dataset import bio_arrays
+from ..operators.dataset import with_bio
 from ..operators.evaluation import best_run, decode_spans, entity_scores, evaluate, tag_names, token_accuracy
 from ..operators.export import group_labels
 from ..operators.scoring import align_pieces, argmax_class, decode_ids, merge_pieces, piece_stream, word_pieces
@@ -324,9 +324,8 @@ def eval_pairs(spark, sf):
     pred_ents = F.coalesce(F.transform("labels", lambda l: F.struct(
         l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label"))),
         F.array().cast("array<struct<start:int,end:int,label:string>>"))
-    t = j.select("id", token_spans("text").alias("toks"), "entities", pred_ents.alias("pred_entities"))
-    b = t.select("id", bio_arrays(F.col("toks"), F.col("entities")).alias("g"),
-                 bio_arrays(F.col("toks"), F.col("pred_entities")).alias("p"))
+    j = j.select("id", "text", "entities", pred_ents.alias("pred_entities"))
+    b = with_bio(j, "text", {"g": "entities", "p": "pred_entities"})
     z = b.select("id", F.posexplode(F.arrays_zip(F.col("g.tag").alias("gold"), F.col("p.tag").alias("pred")))
                  .alias("pos", "z"))
     return z.select("id", "pos", F.col("z.gold").alias("gold"), F.col("z.pred").alias("pred"))

@@ -92,3 +92,13 @@ def test_argmax_pad_invert(spark):
         pad(F.array(F.lit(1), F.lit(2)), 4).alias("p"),
         F.element_at(invert_map(literal_map([(0, "O"), (1, "B-X")])), F.lit("B-X")).alias("i")).first()
     assert (r.a, r.p, r.i) == (1, [1, 2, -100, -100], 1)
+
+
+def test_find_spans_long_rows_use_the_scan_and_stay_exact(spark):
+    rnd = random.Random(11)
+    texts = [" ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6)))
+                      for _ in range(rnd.randint(257, 3000))) + rnd.choice(["", ".", " x"]) for _ in range(20)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(find_spans("t", r"(?U)\b\w+\b").alias("s")).collect()
+    for t, r in zip(texts, got):
+        assert [(x.text, x.start, x.end) for x in r.s] == [(m.group(0), *m.span()) for m in re.finditer(r"\b\w+\b", t)]
