@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import token_spans
+from ..functions.spans import let, prefix_sum, token_spans
 from ..sources.dictionary import LABEL_ALIAS, tag_to_id_map
 from ..functions.arrays import literal_map
 from .indexing import dense_index
@@ -26,20 +26,11 @@ def entity_ids(entities: Column) -> Column:
         F.element_at(ids, F.concat(F.lit("I-"), e["label"])).alias("i")))
 
 
-def bio_arrays(toks: Column, ents: Column) -> Column:
-    """W6 + W7 + J3 inside one record: ``array<struct<token, start, end, tag>>``.
+LOOP_MAX_PAIRS = 4096
 
-    A token inside an entity (``t.start >= e.start and t.end <= e.end``) gets ``B-type`` if
-    it is the entity's first contained token, else ``I-type``; a later entity overwrites
-    an earlier one; other tokens are ``O`` (0).  Tokens are sorted and disjoint, so "first
-    contained" is "no previous token or the previous token starts before the entity".
-    Unknown types give a null tag (routed to rejects).  Work is per record row: no join,
-    no shuffle, linear in tokens x entities of that record.
 
-    ``toks`` (token spans) and ``ents`` (``entity_ids``) must be column references made
-    in an earlier projection; ``ents`` is referenced twice in the per-token lambda so the
-    optimiser never inlines its computation into the loop.
-    """
+def _tags_by_loop(toks: Column, ents: Column) -> Column:
+    """Small records: per token, a fold over the entities (tokens x entities steps)."""
     prev = F.transform(toks, lambda t, i: F.when(i == 0, F.lit(-1)).otherwise(
         F.element_at(toks, F.greatest(i, F.lit(1)))["start"]))
 
@@ -50,12 +41,73 @@ def bio_arrays(toks: Column, ents: Column) -> Column:
             inside = (t_start >= e["s"]) & (t_end <= e["e"])
             return F.when(inside, F.when(p_start < e["s"], e["b"]).otherwise(e["i"])).otherwise(acc)
 
-        tag = F.when(F.size(ents) == 0, F.lit(0)).otherwise(F.aggregate(ents, F.lit(0), step))
-        return F.struct(z["t"]["text"].alias("token"), t_start.alias("start"), t_end.alias("end"), tag.alias("tag"))
+        return F.when(F.size(ents) == 0, F.lit(0)).otherwise(F.aggregate(ents, F.lit(0), step))
 
     return F.transform(F.arrays_zip(toks.alias("t"), prev.alias("p")), tag_of)
 
 
+def _bounds(toks: Column, ents: Column, tok_pos: str, ent_pos: str, ent_first: bool) -> Column:
+    """Per entity (in list order), how many tokens lie before its bound: entity and token
+    positions merged in one sorted array, token count by prefix sum.  ``ent_first`` puts
+    an entity before a token at the same position (strictly-before count)."""
+    ek, tk = (0, 1) if ent_first else (1, 0)
+    merged = F.concat(
+        F.transform(toks, lambda t: F.struct(t[tok_pos].alias("pos"), F.lit(tk).alias("kind"),
+                                             F.lit(-1).alias("k"))),
+        F.transform(ents, lambda e, k: F.struct(e[ent_pos].alias("pos"), F.lit(ek).alias("kind"), k.alias("k"))))
+
+    def counted(srt):
+        ones = F.transform(srt, lambda x: F.when(x["kind"] == tk, F.lit(1)).otherwise(F.lit(0)))
+        return let(prefix_sum(ones), lambda c: F.transform(
+            F.sort_array(F.filter(F.transform(srt, lambda x, j: F.struct(
+                x["k"].alias("k"), F.element_at(c, j + 1).alias("n"), x["kind"].alias("kind"))),
+                lambda y: y["kind"] == ek)),
+            lambda y: y["n"]))
+
+    return let(F.sort_array(merged), counted)
+
+
+def _tags_by_ranges(toks: Column, ents: Column) -> Column:
+    """Large records, O((T + E + P) log): each entity covers the token range
+    ``[lo, hi]`` (lo = tokens starting before it, hi = tokens ending inside it - 1);
+    (token, entity, tag) pairs are sorted and the last entity per token wins."""
+    def body(lo, hi):
+        pairs = F.flatten(F.transform(ents, lambda e, k: F.when(
+            F.element_at(lo, k + 1) <= F.element_at(hi, k + 1),
+            F.transform(F.sequence(F.element_at(lo, k + 1), F.element_at(hi, k + 1)), lambda i: F.struct(
+                i.alias("i"), k.alias("k"),
+                F.when(i == F.element_at(lo, k + 1), e["b"]).otherwise(e["i"]).alias("tag"))))
+            .otherwise(F.array().cast("array<struct<i:int,k:int,tag:int>>"))))
+        base = F.transform(toks, lambda t, i: F.struct(i.alias("i"), F.lit(-1).alias("k"), F.lit(0).alias("tag")))
+        return let(F.sort_array(F.concat(base, pairs)), lambda srt: F.transform(
+            F.filter(srt, lambda x, j: (j == F.size(srt) - 1) | (F.element_at(srt, j + 2)["i"] != x["i"])),
+            lambda x: x["tag"]))
+
+    lo = _bounds(toks, ents, "start", "s", ent_first=True)
+    hi = _bounds(toks, ents, "end", "e", ent_first=False)
+    return let(lo, lambda lo_: let(F.transform(hi, lambda h: h - 1), lambda hi_: body(lo_, hi_)))
+
+
+def bio_arrays(toks: Column, ents: Column) -> Column:
+    """W6 + W7 + J3 inside one record: ``array<struct<token, start, end, tag>>``.
+
+    A token inside an entity (``t.start >= e.start and t.end <= e.end``) gets ``B-type`` if
+    it is the entity's first contained token, else ``I-type``; a later entity overwrites
+    an earlier one; other tokens are ``O`` (0).  Unknown types give a null tag (routed to
+    rejects).  Work is per record row: no join, no shuffle.  Small records use a
+    tokens x entities fold; records above ``LOOP_MAX_PAIRS`` use sorted token ranges, so
+    one huge record costs O((T + E) log) instead of O(T * E).
+
+    ``toks`` (token spans) and ``ents`` (``entity_ids``) must be column references made
+    in an earlier projection.
+    """
+    small = F.size(toks) * F.size(ents) <= LOOP_MAX_PAIRS
+    tags = F.when(small, _tags_by_loop(toks, ents)).otherwise(_tags_by_ranges(toks, ents))
+    return F.transform(F.arrays_zip(toks.alias("t"), tags.alias("g")), lambda z: F.struct(
+        z["t"]["text"].alias("token"), z["t"]["start"].alias("start"), z["t"]["end"].alias("end"),
+        z["g"].alias("tag")))
+
+
 def with_bio(df: DataFrame, text: str, entity_cols: dict, keep=("id",)) -> DataFrame:
     """Add one BIO array per entity column (``{out: entities_col}``), sharing one
     tokenisation of ``text``; two projections, both row-local."""

@@ -246,7 +246,7 @@ def write_label_config_file(spark, path):
     if path.startswith("file:"):
         path = path[5:]
     if "://" in path:
-        spark.createDataFrame([(1,)], "x int").select(F.lit(_config_json()).alias("value")).coalesce(1) \
+        spark.range(1).select(F.lit(_config_json()).alias("value")).coalesce(1) \
             .write.mode("overwrite").text(path)
     else:
         os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -311,15 +311,27 @@ def q_merge_candidates(spark, sf):
     return merge_candidates(candidate_pieces(english_chunks(spark, sf)))
 
 
-def eval_pairs(spark, sf):
+def eval_pairs(spark, sf, numbered=True):
     """Gold tags (full dictionary) and predicted tags (reduced dictionary) for the
-    tokens of every gold record: ``(id, pos, gold, pred)``."""
+    tokens of every gold record: ``(id, pos, gold, pred)``.
+
+    With ``numbered`` the record id is the export's dense record number (W4); without,
+    it is ``doc_id:chunk_no`` and no global numbering runs (enough for aggregate scores).
+    """
     d, x, n = test_dictionary(spark)
     dp, xp, npred = test_dictionary(spark, PRED_DICTIONARY)
     chunks = reliable_checkpoint(english_chunks(spark, sf))
-    gold = export_records(chunks, reviewed_spans(chunks, d, x, dict_rows=n))
     pred = group_labels(reviewed_spans(chunks, dp, xp, dict_rows=npred))
-    recs = record_entities(gold, keep=("doc_id", "chunk_no"))
+    if numbered:
+        gold = export_records(chunks, reviewed_spans(chunks, d, x, dict_rows=n))
+        recs = record_entities(gold, keep=("doc_id", "chunk_no"))
+    else:
+        gold = group_labels(reviewed_spans(chunks, d, x, dict_rows=n)).join(
+            chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"])
+        recs = gold.select(F.concat_ws(":", "doc_id", "chunk_no").alias("id"), "doc_id", "chunk_no", "text",
+                           F.transform("labels", lambda l: F.struct(
+                               l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label")))
+                           .alias("entities"))
     j = recs.join(pred, ["doc_id", "chunk_no"], "left")
     pred_ents = F.coalesce(F.transform("labels", lambda l: F.struct(
         l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label"))),
@@ -337,18 +349,18 @@ def q_decode_spans(spark, sf):
 
 
 def q_entity_f1(spark, sf):
-    return evaluate(eval_pairs(spark, sf)).select("n_pred", "n_gold", "tp", "precision", "recall", "f1",
+    return evaluate(eval_pairs(spark, sf, numbered=False)).select("n_pred", "n_gold", "tp", "precision", "recall", "f1",
                                                   "accuracy")
 
 
 def q_entity_f1_by_type(spark, sf):
-    pairs = tag_names(tag_names(eval_pairs(spark, sf), "gold", "gt"), "pred", "pt")
+    pairs = tag_names(tag_names(eval_pairs(spark, sf, numbered=False), "gold", "gt"), "pred", "pt")
     return entity_scores(decode_spans(pairs, "id", "pos", "gt"), decode_spans(pairs, "id", "pos", "pt"),
                          "id", by_type=True)
 
 
 def q_token_accuracy(spark, sf):
-    return token_accuracy(eval_pairs(spark, sf))
+    return token_accuracy(eval_pairs(spark, sf, numbered=False))
 
 
 def q_best_run(spark, sf):

@@ -80,3 +80,26 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small driver-side table as a JVM-side literal relation (``inline`` of literal
+    structs): no Python worker is needed to scan it, so dimension tables built from
+    configuration cost nothing at execution time."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+
+    def lit(v, dt):
+        from pyspark.sql.types import ArrayType
+        if isinstance(dt, ArrayType):
+            if v is None:
+                return F.lit(None).cast(dt)
+            return F.array(*[lit(x, dt.elementType) for x in v]).cast(dt) if v else F.array().cast(dt)
+        return F.lit(v).cast(dt)
+
+    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    empty = F.array().cast(f"array<struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in st.fields)}>>")
+    arr = F.array(*structs) if structs else empty
+    return spark.range(1).select(F.inline(arr)).select(*names)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import flatten_terms, literal_map
+from ..session import local_table
 
 # Keyword categories of the original job in lookup priority order, with
 # the label each one produces.
@@ -61,7 +62,7 @@ def dictionary(spark: SparkSession, mapping: Mapping[str, Iterable]) -> tuple[Da
         items = _as_lists(mapping.get(name, []))
         bound += sum(len(i) for i in items)
         rows.append((name, priority, label, items))
-    raw = spark.createDataFrame(rows, DICT_SCHEMA)
+    raw = local_table(spark, rows, DICT_SCHEMA)
     terms = raw.select("category", "priority", "label",
                        F.explode(flatten_terms(F.col("items"))).alias("term"))
     return terms.select(
@@ -73,7 +74,7 @@ def dictionary(spark: SparkSession, mapping: Mapping[str, Iterable]) -> tuple[Da
 def term_list(spark: SparkSession, items: Iterable) -> tuple[DataFrame, int]:
     """Exclusion list (``term``), flattened and lower-cased like the dictionary."""
     lists = _as_lists(items)
-    raw = spark.createDataFrame([(lists,)], "items array<array<string>>")
+    raw = local_table(spark, [(lists,)], "items array<array<string>>")
     return raw.select(F.explode(flatten_terms(F.col("items"))).alias("term")), max(
         sum(len(i) for i in lists), 1)
 
@@ -82,7 +83,7 @@ def label_map(spark: SparkSession, path: str | None = None) -> DataFrame:
     """``(id int, tag string)`` from a model config's ``id2label`` (string keys cast
     to int), or the fixed label space when no path is given."""
     if path is None:
-        return spark.createDataFrame(LABELS, "id int, tag string")
+        return local_table(spark, LABELS, "id int, tag string")
     cfg = spark.read.option("multiLine", True).schema(
         "id2label map<string,string>, label2id map<string,int>, model_name string").json(path)
     return cfg.select(F.explode("id2label").alias("k", "tag")).select(

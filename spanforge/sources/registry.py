@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import local_table
+
 # The strings pandas reads as missing by default (its NA list); CSV
 # sources apply them so that such cells behave as nulls, as in the original job.
 PANDAS_NA_TOKENS = [
@@ -118,7 +120,7 @@ def source_status(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
         except Exception as exc:  # unreadable source: reported, not fatal
             df, missing = None, [f"unreadable: {type(exc).__name__}"]
         if missing:
-            parts.append(spark.createDataFrame(
+            parts.append(local_table(spark, 
                 [(spec.name, False, "missing " + ", ".join(missing), 0)],
                 "source string, ok boolean, reason string, rows bigint"))
         else:

@@ -105,3 +105,49 @@ def test_scores_without_predictions_and_hand_case(spark):
     df = spark.createDataFrame([("s", 0, 1, 1), ("s", 1, 2, 0), ("s", 2, 0, 0), ("s", 3, 5, 5)], schema)
     r = evaluate(df).first()
     assert (r.tp, r.n_pred, r.n_gold) == (1, 2, 2) and abs(r.f1 - 0.5) < 1e-12 and abs(r.accuracy - 0.75) < 1e-12
+
+
+def _py_bio(text, entities, label2id):
+    """The original word-level algorithm, transcribed for a brute-force check."""
+    import re
+    tokens = re.findall(r"\b\w+\b", text)
+    offs, pos = [], 0
+    for t in tokens:
+        s = text.find(t, pos)
+        offs.append((s, s + len(t)))
+        pos = s + len(t)
+    tags = [0] * len(tokens)
+    for s, e, lab in entities:
+        first = False
+        for i, (a, b) in enumerate(offs):
+            if a >= s and b <= e:
+                tags[i] = label2id[("I-" if first else "B-") + lab]
+                first = True
+    return tags
+
+
+def test_bio_large_records_match_bruteforce(spark):
+    import random
+    from spanforge.operators import dataset as D
+    from spanforge.sources.dictionary import LABELS
+    l2i = {t: i for i, t in LABELS}
+    rnd = random.Random(5)
+    rows = []
+    for r in range(12):
+        words = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(1, 400))]
+        text = " ".join(words)
+        ents = []
+        for _ in range(rnd.randint(0, 150)):
+            s = rnd.randint(0, len(text))
+            ents.append((s, min(len(text), s + rnd.randint(0, 12)), rnd.choice(["DATABASE", "TECHNOLOGY"])))
+        rows.append((str(r), text, ents))
+    df = spark.createDataFrame(rows, f"id string, text string, entities {ENT}")
+    for limit in (D.LOOP_MAX_PAIRS, 0):  # default hybrid, then the range path for every record
+        D.LOOP_MAX_PAIRS = limit
+        try:
+            got = {r.id: r.ner_tags for r in word_level(df.where("size(entities) > 0")).collect()}
+        finally:
+            D.LOOP_MAX_PAIRS = 4096
+        for rid, text, ents in rows:
+            if ents:
+                assert got[rid] == _py_bio(text, ents, l2i), (limit, rid)
