@@ -7,9 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .spans import let
 from .text import split_sentences, text_length
 
-PACK_STATE = "struct<chunks:array<string>,cur:array<string>,len:int>"
+
+
+PACK_BLOCK = 256
 
 
 def pack(sentences: Column, lengths: Column, max_len: int = 50, drop_empty: bool = True) -> Column:
@@ -19,15 +22,12 @@ def pack(sentences: Column, lengths: Column, max_len: int = 50, drop_empty: bool
     empty), then the sentence is appended; the non-empty tail is flushed at the end.  A
     sentence longer than ``max_len`` is never cut.  The only empty chunk arises when the
     first sentence alone exceeds ``max_len``; ``drop_empty`` removes it.
+
+    The greedy state (current chunk, its length) is carried by an outer fold over blocks
+    of ``PACK_BLOCK`` sentences; an inner fold packs one block.  A document of n
+    sentences costs O(n * PACK_BLOCK + (n / PACK_BLOCK)^2) appends instead of O(n^2).
     """
-    items = F.arrays_zip(sentences.alias("s"), lengths.alias("n"))
-    init = F.struct(
-        F.array().cast("array<string>").alias("chunks"),
-        F.array().cast("array<string>").alias("cur"),
-        F.lit(0).alias("len"),
-    )
-
-    def step(acc, x):
+    def inner_step(acc, x):
         flush = acc["len"] + x["n"] > F.lit(max_len)
         chunks = F.when(flush, F.concat(acc["chunks"], F.array(F.array_join(acc["cur"], " ")))) \
             .otherwise(acc["chunks"])
@@ -35,12 +35,28 @@ def pack(sentences: Column, lengths: Column, max_len: int = 50, drop_empty: bool
         length = F.when(flush, x["n"]).otherwise(acc["len"] + x["n"])
         return F.struct(chunks.alias("chunks"), cur.alias("cur"), length.alias("len"))
 
-    def finish(acc):
-        return F.when(F.size(acc["cur"]) > 0,
-                      F.concat(acc["chunks"], F.array(F.array_join(acc["cur"], " ")))) \
-            .otherwise(acc["chunks"])
+    def outer(items):
+        n_blocks = F.ceil(F.size(items) / F.lit(PACK_BLOCK)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))),
+                             lambda b: F.slice(items, b * PACK_BLOCK + 1, PACK_BLOCK))
+        init = F.struct(F.array().cast("array<array<string>>").alias("done"),
+                        F.array().cast("array<string>").alias("cur"), F.lit(0).alias("len"))
+
+        def block_step(acc, blk):
+            start = F.struct(F.array().cast("array<string>").alias("chunks"), acc["cur"].alias("cur"),
+                             acc["len"].alias("len"))
+            res = F.aggregate(blk, start, inner_step)
+            return F.struct(F.concat(acc["done"], F.array(res["chunks"])).alias("done"),
+                            res["cur"].alias("cur"), res["len"].alias("len"))
+
+        def finish(acc):
+            tail = F.when(F.size(acc["cur"]) > 0, F.array(F.array_join(acc["cur"], " "))) \
+                .otherwise(F.array().cast("array<string>"))
+            return F.concat(F.flatten(acc["done"]), tail)
+
+        return F.aggregate(blocks, init, block_step, finish)
 
-    packed = F.aggregate(items, init, step, finish)
+    packed = let(F.arrays_zip(sentences.alias("s"), lengths.alias("n")), outer)
     if drop_empty:
         packed = F.filter(packed, lambda s: s != "")
     return packed
@@ -49,9 +65,9 @@ def pack(sentences: Column, lengths: Column, max_len: int = 50, drop_empty: bool
 def chunk_text(c: Column, max_len: int = 50, drop_empty: bool = True,
                splitter=None, counter=None) -> Column:
     """F13 + F14 + W1: split into sentences, measure, pack.  Splitter/counter pluggable."""
-    sentences = (splitter or split_sentences)(c)
-    lengths = F.transform(sentences, counter or text_length)
-    return pack(sentences, lengths, max_len, drop_empty)
+    count = counter or text_length
+    return let((splitter or split_sentences)(c), lambda sentences: pack(
+        sentences, F.transform(sentences, count), max_len, drop_empty))
 
 
 def argmax(c: Column) -> Column:

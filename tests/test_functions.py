@@ -102,3 +102,25 @@ def test_find_spans_long_rows_use_the_scan_and_stay_exact(spark):
     got = df.select(find_spans("t", r"(?U)\b\w+\b").alias("s")).collect()
     for t, r in zip(texts, got):
         assert [(x.text, x.start, x.end) for x in r.s] == [(m.group(0), *m.span()) for m in re.finditer(r"\b\w+\b", t)]
+
+
+def _py_pack(lengths, max_len):
+    chunks, cur, n = [], [], 0
+    for x in lengths:
+        if n + x > max_len:
+            chunks.append(cur)
+            cur, n = [], 0
+        cur.append(x)
+        n += x
+    if cur:
+        chunks.append(cur)
+    return [" ".join(str(v) for v in c) for c in chunks]
+
+
+def test_pack_long_documents_cross_blocks(spark):
+    rnd = random.Random(9)
+    docs = [[rnd.randint(1, 12) for _ in range(rnd.randint(0, 1200))] for _ in range(15)]
+    df = spark.createDataFrame([(d,) for d in docs], "l array<int>")
+    got = df.select(pack(F.transform("l", lambda x: x.cast("string")), F.col("l"), 30, False).alias("p")).collect()
+    for d, r in zip(docs, got):
+        assert r.p == _py_pack(d, 30)
