@@ -30,10 +30,12 @@ def spans_sql(text: str, pattern: str) -> str:
     """All matches of ``pattern`` in ``text`` with offsets, via split + extract + fold."""
     m = f"regexp_extract_all({text}, {pattern})"
     g = f"regexp_split_to_array({text}, {pattern})"
+    st = "CAST(acc.pos + length(x.g) AS INTEGER)"
+    en = "CAST(acc.pos + length(x.g) + length(x.m) AS INTEGER)"
     return (
         f"list_reduce(list_transform({m}, lambda m, i: {{'g': ({g})[i], 'm': m}}), "
-        f"lambda acc, x: {{'pos': acc.pos + length(x.g) + length(x.m), 'spans': list_append(acc.spans, "
-        f"{{'text': x.m, 'start': acc.pos + length(x.g), 'end': acc.pos + length(x.g) + length(x.m)}})}}, "
+        f"lambda acc, x: {{'pos': {en}, 'spans': list_append(acc.spans, "
+        f"{{'text': x.m, 'start': {st}, 'end': {en}}})}}, "
         f"{{'pos': 0, 'spans': []::{SPAN_T}[]}}).spans"
     )
 
@@ -235,9 +237,10 @@ ORACLE_SQL["title_filter"] = f"WITH {SOURCES_SQL.strip()} SELECT source, title,
 ORACLE_SQL["union_sources"] = f"WITH {SOURCES_SQL.strip()} SELECT source, source_rank, description FROM corpus_union"
 ORACLE_SQL["distinct_corpus"] = f"WITH {SOURCES_SQL.strip()} SELECT doc_id, source, description FROM corpus"
 ORACLE_SQL["null_counts"] = """
-SELECT count(*) AS n_rows, sum(CAST(d.doc_id IS NULL AS BIGINT)) AS null_doc_id,
-       sum(CAST(d.text IS NULL AS BIGINT)) AS null_text, sum(CAST(l.quality IS NULL AS BIGINT)) AS null_quality,
-       sum(CAST(l.toxic IS NULL AS BIGINT)) AS null_toxic
+SELECT count(*) AS n_rows, CAST(sum(CAST(d.doc_id IS NULL AS BIGINT)) AS BIGINT) AS null_doc_id,
+       CAST(sum(CAST(d.text IS NULL AS BIGINT)) AS BIGINT) AS null_text,
+       CAST(sum(CAST(l.quality IS NULL AS BIGINT)) AS BIGINT) AS null_quality,
+       CAST(sum(CAST(l.toxic IS NULL AS BIGINT)) AS BIGINT) AS null_toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 ORACLE_SQL["dict_flatten"] = """
 SELECT DISTINCT p_type AS category, lower(t) AS term FROM (
