@@ -151,3 +151,29 @@ def test_bio_large_records_match_bruteforce(spark):
         for rid, text, ents in rows:
             if ents:
                 assert got[rid] == _py_bio(text, ents, l2i), (limit, rid)
+
+
+def test_merge_pieces_long_records_match_python(spark):
+    import random
+    rnd = random.Random(4)
+
+    def py_merge(pieces):
+        out, cur, lab = [], "", None
+        for p, l in pieces:
+            if p.startswith("##"):
+                cur += p[2:]
+            else:
+                if cur:
+                    out.append((cur, lab))
+                cur, lab = p, l
+        if cur:
+            out.append((cur, lab))
+        return [w for w in out if w[0] not in ("[CLS]", "[SEP]", "[PAD]")]
+
+    recs = []
+    for _ in range(10):
+        n = rnd.randint(0, 900)
+        recs.append(([(rnd.choice(["a", "##b", "##c", "d", "[SEP]"]), rnd.choice(["O", "B-X", None])) for _ in range(n)],))
+    df = spark.createDataFrame(recs, "p array<struct<piece:string,label:string>>")
+    got = [[(w.word, w.label) for w in r.m] for r in df.select(merge_pieces(F.col("p")).alias("m")).collect()]
+    assert got == [py_merge(r[0]) for r in recs]
