@@ -14,9 +14,17 @@ from ..session import spread
 
 def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: Iterable[str] | None = None,
                  keep: Iterable[str] = ("doc_id",)) -> DataFrame:
-    """F10 per row; rows whose cleaned text is empty never reach chunking (null rule 3)."""
-    cleaned = spread(corpus).select(*keep, clean_text(F.col(text_col), stopwords).alias("text"))
-    return cleaned.where(F.col("text") != "")
+    """F10 per row; rows whose cleaned text is empty never reach chunking (null rule 3).
+
+    The projection also carries ``spark_partition_id()`` and the filter tests it (always
+    true).  A projection with a non-deterministic field is an optimiser barrier: the
+    emptiness filter stays above it and reads the cleaned column, instead of being pushed
+    down with the whole cleaning chain copied into it (two evaluations per row, and
+    behind ``spread`` the first one before the rows are spread).
+    """
+    cleaned = spread(corpus).select(*keep, clean_text(F.col(text_col), stopwords).alias("text"),
+                                    F.spark_partition_id().alias("_part"))
+    return cleaned.where((F.col("_part") >= 0) & (F.col("text") != "")).drop("_part")
 
 
 def chunk_corpus(clean: DataFrame, max_len: int = 50, drop_empty: bool = True,
