@@ -43,3 +43,9 @@ def test_corpus_job_plan_has_one_exchange_before_tagging(spark):
     assert "SinglePartition" not in plan
     # the distinct plans a partial aggregate below its hash exchange
     assert plan.count("HashAggregate") >= 2
+
+
+def test_cleaning_chain_is_evaluated_once(spark):
+    plan = Q.english_chunks(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # the inner-dot rule is part of the chain; it must appear in exactly one operator
+    assert sum("(?<!" in line for line in plan.split("\n")) == 1
