@@ -79,6 +79,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cleaned by one task.  Large inputs already have many splits and pass unchanged.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        # already shuffled: the exchange sets the partition count, and asking an adaptive
+        # plan for its RDD here would run that shuffle stage an extra time
+        return df
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
