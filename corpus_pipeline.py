@@ -1,21 +1,66 @@
-"""The corpus job: stages over ``documents``, each one operator of ``spanforge.llm``."""
+"""The corpus job: stages over ``documents``, each one operator of ``spanforge.llm``.
+
+Every stage reads what the one before it kept, and all but the last return the columns of
+``documents``.  Empty tables pass through; rows with a null ``doc_id`` pass every stage that
+judges the text itself and are never taken for copies.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanforge.llm.common import table, written
+from spanforge.llm.decontam import find_leaks
+from spanforge.llm.jaccard_metric import similar_components
+from spanforge.llm.langid_ecoc import predict, train
+from spanforge.llm.pii_gbt import find_private, redacted
 from spanforge.llm.poisson_mix import replicate
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents get the predicted language; those without any (``und``) go."""
+    columns = docs.columns
+    model = train(docs)
+    rows = predict(docs, model, keep=tuple(columns)).where("lang_pred <> 'und'")
+    return rows.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked on five-word shingles at 0.8, the smallest id stays."""
+    found = similar_components(docs, k=5, num=80, den=100)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    known = docs.join(gone, "doc_id", "left_anti").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return known.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, whole or edited, go."""
+    return find_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("dc_hits") == 0).select(*docs.columns)
+
+
+def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; ``n_chars`` follows."""
+    columns = docs.columns
+    rows = find_private(docs).withColumn("pii_clean", F.when(F.col("text").isNotNull(), redacted(F.col("pii_text"), F.col("pii_spans"))))
+    new = {"text": F.col("pii_clean"), "n_chars": F.length("pii_clean").cast("long")}
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw copies so that the sources come near their target weights."""
+    """Copies are drawn so that the sources come near their target weights; adds ``copy_no``."""
     return replicate(docs)
 
 
-STAGES = [("mix_sources", mix_sources)]
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("pii", redact_private),
+    ("mix", mix_sources),
+]
 
-# the classifiers and the joins of the stages are not SQL; tests hold them against brute force
+# classifiers, alignment and joins of the stages are not SQL; tests hold each against brute force
 ORACLE_SQL = None
 
 

@@ -1,5 +1,6 @@
 """DuckDB twins of the operator queries that SQL can express."""
 
+from .license_scan import ORACLE as LICENSE
 from .poisson_mix import ORACLE as MIX
 
 ORACLE_SQL = {
@@ -10,5 +11,6 @@ ORACLE_SQL = {
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM t""",
+    "op6_license_scan": LICENSE,
     "op9_poisson_mix": MIX,
 }
