@@ -53,7 +53,7 @@ def block_features(offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
         code = (code[:-1] << np.uint32(8)) | raw[n - 1:]
         if n in GRAM_SIZES:
             ok = row[:len(code)] == row[n - 1:]
-            h = (code + np.uint32(0x9E3779B9) * np.uint32(n)) * np.uint32(2654435761)
+            h = (code + np.uint32(0x9E3779B9 * n & 0xFFFFFFFF)) * np.uint32(2654435761)
             h ^= h >> np.uint32(15)
             h *= np.uint32(2246822519)
             out.append((h >> np.uint32(32 - FEATURES.bit_length() + 1))[ok])

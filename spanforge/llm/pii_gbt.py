@@ -110,7 +110,8 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``pii_text`` and, per kind, ``pii_<kind>``: checked spans in order."""
     docs = docs.withColumn("pii_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     docs = located(docs, F.col("pii_text"), {k: (PATTERNS[k], MAY_HOLD[k]) for k in KINDS})
-    return docs.withColumns({f"pii_{k}": F.filter(f"pii_{k}", lambda x, k=k: CHECKS[k](x["hit"])) for k in KINDS})
+    passes = lambda k: lambda x: CHECKS[k](x["hit"])
+    return docs.withColumns({f"pii_{k}": F.filter(f"pii_{k}", passes(k)) for k in KINDS})
 
 
 def _count(s, cls):
@@ -211,8 +212,8 @@ def find_private(docs: DataFrame, text_col: str = "text", judge: Judge | None =
     if judge is None and train:
         judge = train_judge(docs, text_col)
     rows = base_spans(docs, text_col)
-    mine = [F.transform(f"pii_{k}", lambda x, i=i, k=k: F.struct(x["start"].alias("start"), F.lit(i).alias("no"), x["end"].alias("end"), F.lit(k).alias("kind")))
-            for i, k in enumerate(KINDS)]
+    named = lambda i, k: lambda x: F.struct(x["start"].alias("start"), F.lit(i).alias("no"), x["end"].alias("end"), F.lit(k).alias("kind"))
+    mine = [F.transform(f"pii_{k}", named(i, k)) for i, k in enumerate(KINDS)]
     more = F.array().cast(SPANS)
     if judge is not None:
         rows = candidates(rows)
