@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Every ``SEED``-word run of a test item is a possible seed.  A first pass counts, for each, the
-documents of the whole corpus that hold it; the rarest half of each item's seeds (at least
-``MIN_SEEDS``, so an item that has leaked into a third of the corpus keeps seeds too) is looked
-up in a second pass.  Where two seeds of an item fall on nearby diagonals of a document, the
+documents of the whole corpus that hold it.  A seed is rare if that is at most ``COMMON`` times
+the median of its item's seeds (or 8), so common phrases fall out, while an item that has leaked
+into a third of the corpus keeps its seeds; the ``MIN_SEEDS`` rarest always stay.  Rare seeds are
+looked up in a second pass.  Where two seeds of an item fall on nearby diagonals of a document, the
 passage around them is aligned with the item word by word; the best local score over the score of
 a perfect copy is the row's ``score``.  Edited or paraphrased copies lose little by it.
 
@@ -27,6 +28,7 @@ from .common import NOT_WORD, block_words, gram_hashes, text_blocks
 
 SEED = 3
 MIN_SEEDS = 8
+COMMON = 4
 BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.55
@@ -51,23 +53,20 @@ class Items:
         self.keys = np.unique(self.hash)
 
     def rarest(self, df: np.ndarray) -> None:
-        """Keep the rarest half of each item's seeds (``df``: documents per key)."""
+        """Keep the rare seeds of each item (``df``: documents per key)."""
         n = df[np.searchsorted(self.keys, self.hash)]
         keep = np.zeros(len(self.hash), bool)
+        by_item = np.argsort(self.item, kind="stable")
+        cut = np.searchsorted(self.item[by_item], np.arange(len(self.words) + 1))
         for k in range(len(self.words)):
-            own = np.flatnonzero(self.item == k) if len(self.words) < 64 else self._of(k)
+            own = by_item[cut[k]:cut[k + 1]]
             own = own[np.lexsort((self.pos[own], n[own]))]
-            keep[own[:max(MIN_SEEDS, -(-len(own) // 2))]] = True
+            if len(own):
+                keep[own[:MIN_SEEDS]] = True
+                keep[own[n[own] <= max(8, COMMON * np.median(n[own]))]] = True
         self.hash, self.item, self.pos = self.hash[keep], self.item[keep], self.pos[keep]
         self.keys = np.unique(self.hash)
 
-    def _of(self, k):
-        if not hasattr(self, "_by_item"):
-            order = np.argsort(self.item, kind="stable")
-            self._by_item = order, np.searchsorted(self.item[order], np.arange(len(self.words) + 1))
-        order, cut = self._by_item
-        return order[cut[k]:cut[k + 1]]
-
 
 def align(doc: np.ndarray, item: np.ndarray):
     """Best local alignment: ``(score, first, last word)`` in ``doc``.
