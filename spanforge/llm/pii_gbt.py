@@ -186,9 +186,11 @@ def train_judge(docs: DataFrame, text_col: str = "text") -> Judge | None:
 
     n = docs.count()
     pick = F.pmod(F.xxhash64(text_col, F.lit(29)), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE_DOCS / max(1, n)) * (1 << 30)))
-    some = candidates(base_spans(docs.select(text_col).where(pick), text_col)).select(F.explode("pii_cands").alias("c"), F.xxhash64(text_col).alias("h"))
+    some = candidates(base_spans(docs.select(text_col).where(pick), text_col)).select("pii_cands", F.xxhash64(text_col).alias("h"))
+    # written before it is exploded: the filter that explode infers would inline all of the above
+    some = written(some, "candidates").select(F.explode("pii_cands").alias("c"), "h")
     some = some.select(F.col("c.x").alias("x"), F.col("c.y").cast("double").alias("label"), F.xxhash64("h", "c.start", "c.kind").alias("h"))
-    some = written(some.orderBy("h", "x").limit(SAMPLE_CANDIDATES).coalesce(1).sortWithinPartitions("h", "x"), "candidates")
+    some = written(some.orderBy("h", "x").limit(SAMPLE_CANDIDATES).coalesce(1).sortWithinPartitions("h", "x"), "training")
     some = some.select(array_to_vector("x").alias("features"), "x", "label", (F.pmod("h", F.lit(4)) == 3).alias("back"))
     sizes = {(r.back, r.label): r["count"] for r in some.groupBy("back", "label").count().collect()}
     if min([sizes.get((b, y), 0) for b in (False, True) for y in (0.0, 1.0)]) < 5:
