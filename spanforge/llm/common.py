@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import checkpoint_dir
 
 # Bytes of text tokenised at once inside a task; a longer single text is one block.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
