@@ -1,18 +1,20 @@
-"""Regex matches with character spans, without a Python UDF.
+"""Regex matches with character spans.
 
-``find_spans`` is Python's ``finditer`` re-expressed with built-ins: ``split(text, re, -1)``
-gives the gaps between matches and ``regexp_extract_all`` the matches, both driven by
-the same left-to-right ``find`` loop; a fold over the zipped pairs turns lengths into
-0-based, half-open ``[start, end)`` offsets counted in code points (as Python does).
+``find_spans`` finds the matches of a pattern with built-ins: ``split(text, re, -1)`` gives the
+gaps between matches and ``regexp_extract_all`` the matches, both driven by the same
+left-to-right search; running sums of their lengths are the 0-based, half-open
+``[start, end)`` offsets, counted in code points.  ``token_spans`` finds all words of a row.
 """
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WORD_TOKEN_PATTERN
-
 SPAN_TYPE = "array<struct<text:string,start:int,end:int>>"
 
 
@@ -27,79 +29,97 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-MAX_SCAN_PASSES = 31  # arrays up to 2**31 elements
+SUM_BLOCK = 64
 
 
-def prefix_sum(values: Column) -> Column:
-    """Inclusive running sum of an ``array<int>`` in O(n log n), without a Python UDF.
-
-    Hillis-Steele scan run as a fold over the pass numbers ``k = 0..30``: the accumulator
-    is the array itself and pass ``k`` adds the element ``2**k`` positions back (one linear
-    ``transform``); passes with ``2**k >= size`` return the array unchanged.  A 40-element
-    array costs 6 linear passes, a 100,000-element one 17.
-    """
-    def one_pass(acc, k):
-        d = F.pow(F.lit(2), k).cast("int")
-        shifted = F.transform(acc, lambda x, i: x + F.when(
-            i >= d, F.element_at(acc, F.greatest(i - d + 1, F.lit(1)))).otherwise(0))
-        return F.when(F.size(acc) <= d, acc).otherwise(shifted)
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda acc, x: acc + x)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(MAX_SCAN_PASSES - 1)), values, one_pass)
 
+def running_sum(values: Column, body) -> Column:
+    """``body(f)`` where ``f(i)`` is the sum of ``values[0..i]``: totals of blocks of
+    ``SUM_BLOCK`` values are summed once, so one sum adds at most one block."""
+    def with_blocks(v):
+        last = F.floor((F.size(v) - 1) / F.lit(SUM_BLOCK)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                             lambda b: _total(F.slice(v, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
 
-FOLD_MAX_MATCHES = 256
+        def with_totals(t):
+            before = F.transform(t, lambda _x, b: _total(F.slice(t, F.lit(1), b)))
 
+            def up_to(base):
+                def f(i):
+                    b = F.floor(i / F.lit(SUM_BLOCK)).cast("int")
+                    return F.get(base, b) + _total(F.slice(v, b * SUM_BLOCK + 1, i - b * SUM_BLOCK + 1))
+                return f
 
-def _fold_spans(m: Column, g: Column) -> Column:
-    """Short rows: one left fold carrying the running position (quadratic array appends,
-    bounded by ``FOLD_MAX_MATCHES``)."""
-    pairs = F.arrays_zip(F.slice(g, 1, F.size(m)).alias("g"), m.alias("m"))
-    init = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN_TYPE).alias("spans"))
+            return let(before, lambda base: body(up_to(base)))
 
-    def step(acc, x):
-        start = acc["pos"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        span = F.struct(x["m"].alias("text"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        return let(blocks, with_totals)
 
-    return F.aggregate(pairs, init, step, lambda acc: acc["spans"])
-
-
-def _scan_spans(m: Column, g: Column) -> Column:
-    """Long rows: offsets from a prefix sum of gap + previous-match lengths, O(n log n)."""
-    step = F.transform(m, lambda x, i: F.length(F.element_at(g, i + 1)) + F.when(
-        i > 0, F.length(F.element_at(m, F.greatest(i, F.lit(1))))).otherwise(0))
-    return let(prefix_sum(step), lambda p: F.transform(m, lambda x, i: F.struct(
-        x.alias("text"), F.element_at(p, i + 1).alias("start"),
-        (F.element_at(p, i + 1) + F.length(x)).alias("end"))))
+    return let(values, with_blocks)
 
 
 def find_spans(c: Column | str, pattern: Column | str) -> Column:
     """F16: all non-overlapping matches as ``array<struct<text, start, end>>``.
 
-    ``pattern`` may be a literal or a column (compiled once per distinct value).  Only
-    for patterns that cannot match the empty string.  The start of match ``i`` is the
-    sum of the gap lengths up to ``i`` and the match lengths before ``i``.  Rows with up
-    to ``FOLD_MAX_MATCHES`` matches use a left fold (cheapest for short rows); longer
-    rows use a prefix-sum scan, so one very long row costs O(n log n), never O(n^2).
+    ``pattern`` may be a literal or a column.  Only for patterns that cannot match the empty
+    string.  ``split`` gives the gaps between the matches; the end of match ``i`` is the sum of
+    gap and match lengths up to ``i``.  Used where few rows or few matches are expected (phrase
+    candidates); whole token rows use ``token_spans``.
     """
     text = F.col(c) if isinstance(c, str) else c
     pat = _pattern(pattern)
 
-    def spans(m, g):
-        return F.when(F.size(m) <= FOLD_MAX_MATCHES, _fold_spans(m, g)).otherwise(_scan_spans(m, g))
+    def spans(m):
+        steps = F.zip_with(F.slice(F.split(text, pat, -1), F.lit(1), F.size(m)), m, lambda g, x: F.length(g) + F.length(x))
+        return running_sum(steps, lambda end: F.transform(m, lambda x, i: F.struct(
+            x.alias("text"), (end(i) - F.length(x)).alias("start"), end(i).alias("end"))))
+
+    return let(F.regexp_extract_all(text, pat, 0), lambda m: F.when(
+        F.size(m) == 0, F.array().cast(SPAN_TYPE)).otherwise(spans(m)))
 
-    return let(F.regexp_extract_all(text, pat, 0), lambda m: let(F.split(text, pat, -1), lambda g: spans(m, g)))
+
+@functools.lru_cache(maxsize=1)
+def word_characters() -> np.ndarray:
+    """Whether each code point is a word character (letter, number or underscore)."""
+    return np.fromiter((chr(i).isalnum() or i == 95 for i in range(0x110000)), bool, 0x110000)
+
+
+def batch_token_spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """``(row bounds, starts, ends, tokens)`` of a batch: offsets in code points per row."""
+    joined = "".join(texts)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    inside = word_characters()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    edge = np.zeros(len(joined) + 1, bool)
+    edge[bounds] = True
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1] | edge[1:-1]
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
+    tokens = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    cut = np.searchsorted(starts, bounds)
+    shift = np.repeat(bounds[:-1], np.diff(cut))
+    return cut, starts - shift, ends - shift, tokens
+
+
+def _span_arrays(texts: pa.Array) -> pa.Array:
+    cut, starts, ends, tokens = batch_token_spans([t or "" for t in texts.to_pylist()])
+    spans = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["text", "start", "end"])
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), spans)
 
 
 def token_spans(c: Column | str) -> Column:
-    """F11 + F12: word tokens with offsets.
+    """F11 + F12: word tokens with offsets, ``array<struct<text, start, end>>``.
 
-    Searching each token from the end of the previous one (the original method) lands
-    exactly on the regex match, because the gaps between maximal word runs hold no
-    word characters; so the match offsets are the token offsets.
+    Searching each token from the end of the previous one lands on the maximal word runs, so
+    the run bounds are the offsets.  One Arrow batch is scanned at once with array operations
+    (figures against the column-function form are in the README); a null text has no tokens.
     """
-    return find_spans(c, WORD_TOKEN_PATTERN)
+    text = F.col(c) if isinstance(c, str) else c
+    return F.arrow_udf(_span_arrays, SPAN_TYPE)(text)
 
 
 def phrase_word_spans(match: Column, offset: Column) -> Column:

@@ -20,7 +20,12 @@ from .stopwords import NLTK_ENGLISH
 TAG_PATTERN = r"(?d)<.*?>"
 NON_BASIC_PATTERN = r"[^a-zA-Z0-9.,'\" ]+"
 INNER_DOT_PATTERN = r"(?<!\w\.)\.(?!\s|$)"
-WORD_TOKEN_PATTERN = r"(?U)\b\w+\b"
+# Python's word characters: letters, all kinds of numbers, underscore; no marks.  A token is
+# a maximal run of them.
+WORD_CLASS = r"[\p{L}\p{N}_]"
+WORD_TOKEN_PATTERN = WORD_CLASS + "+"
+# a place between a word character and none, on either side
+WORD_EDGE = rf"(?:(?<={WORD_CLASS})(?!{WORD_CLASS})|(?<!{WORD_CLASS})(?={WORD_CLASS}))"
 SENTENCE_BREAK_PATTERN = r"(?<=\.)\s+"
 LENGTH_UNIT_PATTERN = r"\w+|[^\w\s]"
 
@@ -30,8 +35,9 @@ def _c(c: Column | str) -> Column:
 
 
 def strip_tags(c: Column | str) -> Column:
-    """delete ``<...>`` tags (non-greedy, one line); neighbouring words join."""
-    return F.regexp_replace(_c(c), TAG_PATTERN, "")
+    """delete ``<...>`` tags (non-greedy, one line); neighbouring words join.  Text without
+    ``<`` is not searched."""
+    return F.when(F.contains(_c(c), F.lit("<")), F.regexp_replace(_c(c), TAG_PATTERN, "")).otherwise(_c(c))
 
 
 def keep_basic_chars(c: Column | str) -> Column:
@@ -84,7 +90,7 @@ def clean_text(c: Column | str, stopwords: Iterable[str] | None = None) -> Colum
 
 
 def word_tokens(c: Column | str) -> Column:
-    """word tokens ``\\b\\w+\\b`` (Unicode classes, as Python's ``re``)."""
+    """word tokens, the maximal runs of Python's word characters."""
     return F.regexp_extract_all(_c(c), F.lit(WORD_TOKEN_PATTERN), 0)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import chunk_text
 from ..functions.text import clean_text
-from ..session import spread
 
 
 def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: Iterable[str] | None = None,
@@ -19,10 +18,10 @@ def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: It
     The projection also carries ``spark_partition_id()`` and the filter tests it (always
     true).  A projection with a non-deterministic field is an optimiser barrier: the
     emptiness filter stays above it and reads the cleaned column, instead of being pushed
-    down with the whole cleaning chain copied into it (two evaluations per row, and
-    behind ``spread`` the first one before the rows are spread).
+    down with the whole cleaning chain copied into it (two evaluations per row).  A scan of
+    few splits is spread by the caller (``session.spread``).
     """
-    cleaned = spread(corpus).select(*keep, clean_text(F.col(text_col), stopwords).alias("text"),
+    cleaned = corpus.select(*keep, clean_text(F.col(text_col), stopwords).alias("text"),
                                     F.spark_partition_id().alias("_part"))
     return cleaned.where((F.col("_part") >= 0) & (F.col("text") != "")).drop("_part")
 

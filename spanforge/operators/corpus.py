@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import keyword_pattern
+from ..session import local_table
 from ..sources.registry import SourceSpec, read_source
 
 
@@ -53,34 +54,32 @@ def titled_rows(spark: SparkSession, spec: SourceSpec, keywords: Iterable[str])
 def union_sources(spark: SparkSession, specs: Sequence[SourceSpec], keywords: Iterable[str]) -> DataFrame:
     """Titled sources filtered by keyword, untitled appended whole, in ``rank`` order.
 
-    Output ``(source, source_rank, description)``; a lazy ``UNION ALL`` of scans.
+    Output ``(source, source_rank, description)``; a lazy ``UNION ALL`` of scans.  Sources that
+    cannot be read or lack a column add no rows; without any the result is empty.
     """
     kws = list(keywords)
-    parts = []
+    parts = [local_table(spark, [], "source string, source_rank int, description string")]
     for spec in sorted(specs, key=lambda s: s.rank):
         df = titled_rows(spark, spec, kws) if spec.titled else read_source(spark, spec)
         if df is not None:
             parts.append(df.select("source", "source_rank", "description"))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts[1:] or parts)
 
 
-def distinct_corpus(df: DataFrame, key: str = "description") -> DataFrame:
+def distinct_corpus(df: DataFrame, key: str = "description", specs: Sequence[SourceSpec] | None = None) -> DataFrame:
     """Exact distinct on the text, first source (lowest rank) kept; null text dropped.
 
-    ``groupBy`` plans a partial aggregate before the hash exchange, so a text copied in
-    a third of all rows collapses map-side to one row per input partition.  The key
-    ``doc_id`` is the MD5 of the text (128 bits, stable across runs and engines).
+    Grouped by the text with ``min(source_rank)``, an integer buffer that hash aggregation
+    holds, before and after the one exchange.  The rank is mapped to its name afterwards, by
+    the registry rows if given, else by the distinct names of the table.  A text copied in a
+    third of all rows collapses map-side.  ``doc_id`` is the MD5 of the text (128 bits).
     """
-    best = (
-        require(df, [key])
-        .groupBy(key)
-        .agg(F.min(F.struct("source_rank", "source")).alias("first"))
-    )
-    return best.select(
-        F.md5(F.col(key)).alias("doc_id"),
-        F.col("first.source").alias("source"),
-        F.col(key).alias("description"),
-    )
+    best = require(df, [key]).groupBy(key).agg(F.min("source_rank").alias("source_rank"))
+    if specs is not None:
+        best = best.withColumn("source", F.element_at(F.create_map(*[F.lit(x) for s in specs for x in (s.rank, s.name)]), F.col("source_rank")))
+    else:
+        best = best.join(df.select("source_rank", "source").distinct(), "source_rank")
+    return best.select(F.md5(F.col(key)).alias("doc_id"), "source", F.col(key).alias("description"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import let, prefix_sum, token_spans
+from ..functions.spans import token_spans
 from ..sources.dictionary import LABEL_ALIAS, tag_to_id_map
 from ..functions.arrays import literal_map
 from .indexing import dense_index
@@ -26,103 +28,56 @@ def entity_ids(entities: Column) -> Column:
         F.element_at(ids, F.concat(F.lit("I-"), e["label"])).alias("i")))
 
 
-LOOP_MAX_PAIRS = 4096
+def _tag_rows(starts: pa.Array, ends: pa.Array, entities: pa.Array) -> pa.Array:
+    """BIO tags of every row of an Arrow batch.
 
+    Tokens are sorted and never overlap, so an entity covers the run of tokens from the first
+    that starts at or after it to the last that ends inside it, found by binary search; writing
+    the runs in entity order lets the last entity win."""
+    def flat(a):
+        return a.flatten().to_numpy(zero_copy_only=False), a.offsets.to_numpy() - a.offsets[0].as_py()
 
-def _tags_by_loop(toks: Column, ents: Column) -> Column:
-    """Small records: per token, a fold over the entities (tokens x entities steps)."""
-    prev = F.transform(toks, lambda t, i: F.when(i == 0, F.lit(-1)).otherwise(
-        F.element_at(toks, F.greatest(i, F.lit(1)))["start"]))
+    s, cut = flat(starts)
+    e, _ = flat(ends)
+    ent, ent_cut = entities.flatten(), entities.offsets.to_numpy() - entities.offsets[0].as_py()
+    es, ee, eb, ei = (np.asarray(ent.field(k).fill_null(-1)) for k in ("s", "e", "b", "i"))
+    tags = np.zeros(len(s), np.int32)
+    for r in range(len(starts)):
+        ts, te, out = s[cut[r]:cut[r + 1]], e[cut[r]:cut[r + 1]], tags[cut[r]:cut[r + 1]]
+        at = slice(ent_cut[r], ent_cut[r + 1])
+        lo, hi = np.searchsorted(ts, es[at]), np.searchsorted(te, ee[at], "right")
+        for a, b, first, rest in zip(lo.tolist(), hi.tolist(), eb[at].tolist(), ei[at].tolist()):
+            if a < b:
+                out[a:b] = rest
+                out[a] = first
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(tags))
 
-    def tag_of(z):
-        t_start, t_end, p_start = z["t"]["start"], z["t"]["end"], z["p"]
 
-        def step(acc, e):
-            inside = (t_start >= e["s"]) & (t_end <= e["e"])
-            return F.when(inside, F.when(p_start < e["s"], e["b"]).otherwise(e["i"])).otherwise(acc)
-
-        return F.when(F.size(ents) == 0, F.lit(0)).otherwise(F.aggregate(ents, F.lit(0), step))
-
-    return F.transform(F.arrays_zip(toks.alias("t"), prev.alias("p")), tag_of)
-
-
-def _bounds(toks: Column, ents: Column, tok_pos: str, ent_pos: str, ent_first: bool) -> Column:
-    """Per entity (in list order), how many tokens lie before its bound: entity and token
-    positions merged in one sorted array, token count by prefix sum.  ``ent_first`` puts
-    an entity before a token at the same position (strictly-before count)."""
-    ek, tk = (0, 1) if ent_first else (1, 0)
-    merged = F.concat(
-        F.transform(toks, lambda t: F.struct(t[tok_pos].alias("pos"), F.lit(tk).alias("kind"),
-                                             F.lit(-1).alias("k"))),
-        F.transform(ents, lambda e, k: F.struct(e[ent_pos].alias("pos"), F.lit(ek).alias("kind"), k.alias("k"))))
-
-    def counted(srt):
-        ones = F.transform(srt, lambda x: F.when(x["kind"] == tk, F.lit(1)).otherwise(F.lit(0)))
-        return let(prefix_sum(ones), lambda c: F.transform(
-            F.sort_array(F.filter(F.transform(srt, lambda x, j: F.struct(
-                x["k"].alias("k"), F.element_at(c, j + 1).alias("n"), x["kind"].alias("kind"))),
-                lambda y: y["kind"] == ek)),
-            lambda y: y["n"]))
-
-    return let(F.sort_array(merged), counted)
-
-
-def _tags_by_ranges(toks: Column, ents: Column) -> Column:
-    """Large records, O((T + E + P) log): each entity covers the token range
-    ``[lo, hi]`` (lo = tokens starting before it, hi = tokens ending inside it - 1);
-    (token, entity, tag) pairs are sorted and the last entity per token wins."""
-    def body(lo, hi):
-        pairs = F.flatten(F.transform(ents, lambda e, k: F.when(
-            F.element_at(lo, k + 1) <= F.element_at(hi, k + 1),
-            F.transform(F.sequence(F.element_at(lo, k + 1), F.element_at(hi, k + 1)), lambda i: F.struct(
-                i.alias("i"), k.alias("k"),
-                F.when(i == F.element_at(lo, k + 1), e["b"]).otherwise(e["i"]).alias("tag"))))
-            .otherwise(F.array().cast("array<struct<i:int,k:int,tag:int>>"))))
-        base = F.transform(toks, lambda t, i: F.struct(i.alias("i"), F.lit(-1).alias("k"), F.lit(0).alias("tag")))
-        return let(F.sort_array(F.concat(base, pairs)), lambda srt: F.transform(
-            F.filter(srt, lambda x, j: (j == F.size(srt) - 1) | (F.element_at(srt, j + 2)["i"] != x["i"])),
-            lambda x: x["tag"]))
-
-    lo = _bounds(toks, ents, "start", "s", ent_first=True)
-    hi = _bounds(toks, ents, "end", "e", ent_first=False)
-    return let(lo, lambda lo_: let(F.transform(hi, lambda h: h - 1), lambda hi_: body(lo_, hi_)))
-
-
-def bio_arrays(toks: Column, ents: Column) -> Column:
-    """W6 + W7 + J3 inside one record: ``array<struct<token, start, end, tag>>``.
+def bio_tags(toks: Column, ents: Column) -> Column:
+    """W6 + W7 + J3 inside one record: ``array<int>``, the tag id of each token.
 
     A token inside an entity (``t.start >= e.start and t.end <= e.end``) gets ``B-type`` if
     it is the entity's first contained token, else ``I-type``; a later entity overwrites
-    an earlier one; other tokens are ``O`` (0).  Unknown types give a null tag (routed to
-    rejects).  Work is per record row: no join, no shuffle.  Small records use a
-    tokens x entities fold; records above ``LOOP_MAX_PAIRS`` use sorted token ranges, so
-    one huge record costs O((T + E) log) instead of O(T * E).
-
-    ``toks`` (token spans) and ``ents`` (``entity_ids``) must be column references made
-    in an earlier projection.
+    an earlier one; other tokens are ``O`` (0).  No join, no shuffle: one Arrow-batched pass,
+    O(T + E log T) per record.  ``toks`` are token spans, ``ents`` are ``entity_ids``.
     """
-    small = F.size(toks) * F.size(ents) <= LOOP_MAX_PAIRS
-    tags = F.when(small, _tags_by_loop(toks, ents)).otherwise(_tags_by_ranges(toks, ents))
-    return F.transform(F.arrays_zip(toks.alias("t"), tags.alias("g")), lambda z: F.struct(
-        z["t"]["text"].alias("token"), z["t"]["start"].alias("start"), z["t"]["end"].alias("end"),
-        z["g"].alias("tag")))
+    return F.arrow_udf(_tag_rows, "array<int>")(F.transform(toks, lambda t: t["start"]), F.transform(toks, lambda t: t["end"]), ents)
 
 
 def with_bio(df: DataFrame, text: str, entity_cols: dict, keep=("id",)) -> DataFrame:
-    """Add one BIO array per entity column (``{out: entities_col}``), sharing one
-    tokenisation of ``text``; two projections, both row-local."""
+    """Add ``tokens`` (strings) and one tag array per entity column (``{out: entities_col}``),
+    sharing one tokenisation of ``text``; row-local."""
     prep = df.select(*keep, token_spans(text).alias("_toks"),
                      *[entity_ids(F.col(c)).alias(f"_e_{o}") for o, c in entity_cols.items()])
-    return prep.select(*keep, *[bio_arrays(F.col("_toks"), F.col(f"_e_{o}")).alias(o) for o in entity_cols])
+    return prep.select(*keep, F.transform("_toks", lambda t: t["text"]).alias("tokens"),
+                       *[bio_tags(F.col("_toks"), F.col(f"_e_{o}")).alias(o) for o in entity_cols])
 
 
 def word_level(records: DataFrame) -> DataFrame:
     """``(id, tokens array<string>, ner_tags array<int>)`` from ``record_entities``
     rows ``(id, text, entities)``; rejected records (D3) are left out."""
     ok = records.where(bio_reject_reason_col(F.col("entities")).isNull())
-    tagged = with_bio(ok, "text", {"bio": "entities"})
-    return tagged.select("id", F.transform("bio", lambda b: b["token"]).alias("tokens"),
-                         F.transform("bio", lambda b: b["tag"]).alias("ner_tags"))
+    return with_bio(ok, "text", {"ner_tags": "entities"}).select("id", "tokens", "ner_tags")
 
 
 def bio_reject_reason_col(entities: Column) -> Column:
@@ -152,9 +107,8 @@ def train_val_split(df: DataFrame, key: str = "id", ratio: float = 0.8, seed: in
     from the distributed dense index, the cut from one row count.  Same result under any
     partitioning.
     """
-    h = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
-    idx = dense_index(h, ["_h", key], name="shuffle_no")
-    n = idx.count()
-    cut = int(n * ratio)
-    return idx.drop("_h").withColumn(
-        "split", F.when(F.col("shuffle_no") < F.lit(cut), F.lit("train")).otherwise(F.lit("validation")))
+    h = df.select(key, F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("_h"))
+    idx = dense_index(h, ["_h", key], name="shuffle_no").drop("_h")  # keys only, no payload
+    cut = int(idx.count() * ratio)
+    idx = idx.withColumn("split", F.when(F.col("shuffle_no") < F.lit(cut), F.lit("train")).otherwise(F.lit("validation")))
+    return idx if df.columns == [key] else df.join(idx, key)

@@ -8,31 +8,25 @@ from pyspark.sql import functions as F
 from .indexing import dense_index
 from .tagging import KEYS, label_order
 
-EXPORT_SCHEMA = (
-    "id string, data struct<text:string>, annotations array<struct<id:bigint, result:array<struct<"
-    "value:struct<start:int,end:int,text:string,labels:array<string>>, id:string, from_name:string,"
-    " to_name:string, type:string>>>>"
-)
+def labelled_chunks(tagged: DataFrame) -> DataFrame:
+    """P7 + O1: ``(doc_id, chunk_no, text, labels)`` for chunks with labels; labels sorted.
 
+    ``tagged`` are label rows that still carry their ``chunk_text`` (``tag_chunks(...,
+    keep_text=True)``).  All labels of a chunk lie in one partition, so the partial aggregate
+    leaves one row per labelled chunk, and text is shuffled once, for those chunks only."""
+    item = F.struct(*[F.col(c) for c in label_order()], "end", "entity", "text")
+    return tagged.groupBy(*KEYS).agg(F.first("chunk_text").alias("text"), F.sort_array(F.collect_list(item)).alias("labels"))
 
-def group_labels(labels: DataFrame) -> DataFrame:
-    """Labels of each chunk as one array sorted by the O1 order (P7: chunks without labels
-    have no row).  One hash exchange of the small label rows; text is not shuffled here."""
-    order = label_order()
-    item = F.struct(*[F.col(c) for c in order], "end", "entity", "text")
-    return labels.groupBy(*KEYS).agg(F.sort_array(F.collect_list(item)).alias("labels"))
 
+def export_records(tagged: DataFrame, partitions: int | None = None) -> DataFrame:
+    """N1 + W4 + W5: one nested record per labelled chunk, from label rows with chunk text.
 
-def export_records(chunks: DataFrame, labels: DataFrame, partitions: int | None = None) -> DataFrame:
-    """N1 + W4 + W5: one nested record per labelled chunk.
-
-    Records are numbered 0..n-1 in ``(doc_id, chunk_no)`` order (W4, distributed dense
-    index); results inside a record are numbered in label order as ``result-{rec}-{i}``
-    (W5).  Output columns: ``rec`` (long), ``doc_id``, ``chunk_no`` and the record fields
-    ``id``, ``data``, ``annotations``.
+    Records are numbered 0..n-1 in ``(doc_id, chunk_no)`` order (W4, distributed dense index
+    over the labelled chunks; no join); results inside a record are numbered in label order as
+    ``result-{rec}-{i}`` (W5).  Output columns: ``rec`` (long), ``doc_id``, ``chunk_no`` and the
+    record fields ``id``, ``data``, ``annotations``.
     """
-    grouped = dense_index(group_labels(labels), KEYS, name="rec", partitions=partitions)
-    joined = grouped.join(chunks.select(*KEYS, "text"), KEYS)
+    joined = dense_index(labelled_chunks(tagged), KEYS, name="rec", partitions=partitions)
 
     def result(lab, i):
         return F.struct(
@@ -70,3 +64,9 @@ def record_entities(records: DataFrame, keep=()) -> DataFrame:
         F.transform(F.col("annotations")[0]["result"], lambda r: F.struct(
             r["value"]["start"].alias("start"), r["value"]["end"].alias("end"),
             r["value"]["labels"][0].alias("label"))).alias("entities"))
+
+
+def record_ids(tagged: DataFrame) -> DataFrame:
+    """The ``id`` of every record without its payload: they are 0..n-1, so a count is enough."""
+    n = tagged.select(*KEYS).distinct().count()
+    return tagged.sparkSession.range(n).select(F.col("id").cast("string").alias("id"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import materialize
 
 
 def dense_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
@@ -15,8 +15,8 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
     """Add ``name`` = 0..n-1 following ``order_cols`` (which must be a total order).
 
     Two passes, as a distributed ``zipWithIndex``: range-partition and sort, stamp each
-    row with its partition and a per-partition counter, checkpoint (so both passes see
-    the same partitions even after an executor loss), count rows per partition, turn the
+    row with its partition and a per-partition counter, write to the shared folder (so both
+    passes see the same numbers even after an executor loss), count rows per partition, turn the
     counts into offsets (one row per partition, so the table is bounded by the partition
     count and broadcast) and add.  No step gathers the data into one task.
     """
@@ -25,7 +25,7 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_row", F.monotonically_increasing_id()))
-    ranged = reliable_checkpoint(ranged)
+    ranged = materialize(ranged, "index")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_first",

@@ -2,9 +2,10 @@
 their union in label order (T3, O1), NER candidate merge (W2) and label counts (A3).
 
 All taggers read chunk rows ``(doc_id, chunk_no, text)`` and emit long label rows
-``(doc_id, chunk_no, start, end, entity, text, origin, ...)``.  The dictionary side is
-broadcast after a size check; the chunk side is never shuffled, so tagging is one
-map-only stage over the corpus.
+``(doc_id, chunk_no, start, end, entity, text, origin, ...)``.  Tokens without offsets meet
+the dictionary first; offsets are computed for hits only.  A dictionary within the broadcast
+bound (bytes, known when it is built) is broadcast, so tagging is one map-only stage; a larger
+one is joined on salted keys with token rows that carry no text.
 """
 
 from __future__ import annotations
@@ -12,13 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.spans import find_spans, phrase_word_spans, token_spans
-from ..functions.text import normalize_word, word_tokens
-from ..session import sized_broadcast
+from ..functions.spans import find_spans, phrase_word_spans
+from ..functions.text import WORD_CLASS, WORD_EDGE, WORD_TOKEN_PATTERN, normalize_word
+from ..session import fits_broadcast
 
 KEYS = ["doc_id", "chunk_no"]
 ORIGIN_PHRASE, ORIGIN_WORD = 0, 1
-LABEL_COLS = KEYS + ["start", "end", "entity", "text", "origin", "priority", "term", "match_no", "word_no"]
+# word runs, and runs of signs for phrases made of signs only
+PROBE_PATTERN = rf"{WORD_TOKEN_PATTERN}|[^\p{{L}}\p{{N}}_\s]+"
+SALTS = 16
+
+
+def quoted(c):
+    """A string column as a regex literal."""
+    return F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
 def word_lookup(dictionary: DataFrame, exclusions: DataFrame | None = None) -> DataFrame:
@@ -26,195 +34,148 @@ def word_lookup(dictionary: DataFrame, exclusions: DataFrame | None = None) -> D
     category per term and excluded terms removed (exclusion is tested first)."""
     d = dictionary
     if exclusions is not None:
-        # exclusion lists are driver-side config, bounded like the dictionary itself
-        d = d.join(F.broadcast(exclusions.select("term").distinct()), "term", "left_anti")
+        d = d.join(exclusions.select("term").distinct(), "term", "left_anti")
     return d.groupBy("term").agg(
         F.min_by("label", "priority").alias("label"), F.min("priority").alias("priority"))
 
 
 def phrase_table(dictionary: DataFrame) -> DataFrame:
-    """J2 dimension side: multi-word terms with their regex and prefilter key.
+    """J2 dimension side: multi-word terms with their regex, prefilter key and word runs.
 
-    Pattern: ``\\b w1 \\s+ w2 ... \\b``, words quoted, case-insensitive.  Key: the first
-    word-character run of the phrase (lower-cased); every match of the pattern contains
-    it as a complete word token, so an equi-join on tokens finds all candidate chunks.
+    Pattern: the words, quoted, with white space between and a word edge at both ends,
+    case-insensitive.  Key: the first word run of the phrase, lower-cased; every match holds it
+    as a complete token.  A phrase without word characters has its first word as key: a word
+    character must stand before it and white space after, so it is a complete run of signs.
+    ``words`` are all word runs; a text without one of them cannot match.
     """
-    p = dictionary.where(F.instr("term", " ") > 0)
-    quoted = F.transform(
-        F.split(F.trim("term"), r"\s+"),
-        lambda w: F.concat(F.lit(r"\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+    p = dictionary.where(F.instr(F.trim("term"), " ") > 0)
+    parts = F.split(F.trim("term"), r"\s+")
+    runs = F.regexp_extract_all(F.lower("term"), F.lit(WORD_TOKEN_PATTERN), 0)
     return p.select(
         "term", "label", "priority",
-        F.concat(F.lit(r"(?iU)\b"), F.array_join(quoted, r"\s+"), F.lit(r"\b")).alias("pattern"),
-        F.lower(F.regexp_extract("term", r"(?U)\w+", 0)).alias("key"),
-    )
+        F.concat(F.lit(rf"(?iuU){WORD_EDGE}"), F.array_join(F.transform(parts, quoted), r"\s+"), F.lit(WORD_EDGE)).alias("pattern"),
+        F.coalesce(F.get(runs, F.lit(0)), F.get(parts, F.lit(0))).alias("key"), runs.alias("words"))
 
 
-def tag_words(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
-              candidates: DataFrame | None = None, dict_rows: int | None = None) -> DataFrame:
-    """Label single words by dictionary lookup (the candidate's own label is ignored).
-
-    Candidates are all word tokens of the chunk by default, or merged NER pieces
-    (``candidates``, see ``merge_candidates``).  Broadcast hash join on the normalised word.
-    """
-    lookup = sized_broadcast(word_lookup(dictionary, exclusions), dict_rows)
-    if candidates is None:
-        words = chunks.select(*KEYS, F.posexplode(token_spans("text")).alias("word_no", "w")).select(
-            *KEYS, "word_no", F.col("w.text").alias("text"), "w.start", "w.end")
-    else:
-        words = merge_candidates(candidates).select(
-            *KEYS, F.col("seq").alias("word_no"), F.col("word").alias("text"), "start", "end")
-    hit = words.join(lookup, normalize_word("text") == lookup["term"])
-    return hit.select(
-        *KEYS, "start", "end", F.concat(F.lit("B-"), "label").alias("entity"), "text",
-        F.lit(ORIGIN_WORD).alias("origin"), "priority", F.col("term"),
-        F.lit(0).alias("match_no"), "word_no")
-
-
-def phrase_matches(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
-    """J2 + F16: every multi-word term, ``\\b``-bounded, whitespace-flexible, case-insensitive;
-    non-overlapping per phrase, overlaps across phrases kept.  Output
-    ``(doc_id, chunk_no, term, label, priority, match_no, m struct<text,start,end>)``.
-
-    Candidate (chunk, phrase) pairs come from an equi-join of the chunk's distinct
-    lower-cased tokens with the phrase keys (broadcast), so each chunk is tested only
-    against phrases whose key word it contains.  Phrases without any word character
-    (never matchable after cleaning) are tested by ``rlike`` on every chunk.
-    """
-    phrases = phrase_table(dictionary)
-    keyed = sized_broadcast(phrases.where(F.col("key") != ""), dict_rows)
-    toks = chunks.select(*KEYS, "text", F.explode(
-        F.array_distinct(F.transform(word_tokens("text"), lambda t: F.lower(t)))).alias("tok"))
-    cand = toks.join(keyed, toks["tok"] == keyed["key"]).select(
-        *KEYS, "text", "term", "label", "priority", "pattern")
-    keyless = phrases.where(F.col("key") == "").select("term", "label", "priority", "pattern").collect()
-    if keyless:
-        lits = F.array(*[F.struct(F.lit(r.term).alias("term"), F.lit(r.label).alias("label"),
-                                  F.lit(r.priority).alias("priority"), F.lit(r.pattern).alias("pattern"))
-                         for r in keyless])
-        extra = chunks.select(*KEYS, "text", F.explode(
-            F.filter(lits, lambda p: F.regexp_like(F.col("text"), p["pattern"]))).alias("p")).select(
-            *KEYS, "text", "p.term", "p.label", "p.priority", "p.pattern")
-        cand = cand.unionByName(extra)
-    return cand.select(*KEYS, "term", "label", "priority",
-                       F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
-
-
-def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
-    """Phrase matches (``phrase_matches``) cut into word labels, B on the first word
-    and I on the rest (F17)."""
-    matches = phrase_matches(chunks, dictionary, dict_rows)
-    words = matches.select(*KEYS, "term", "label", "priority", "match_no",
-                           F.posexplode(phrase_word_spans(F.col("m.text"), F.col("m.start")))
-                           .alias("word_no", "w"))
-    return words.select(
-        *KEYS, F.col("w.start").alias("start"), F.col("w.end").alias("end"),
-        F.concat(F.when(F.col("word_no") == 0, F.lit("B-")).otherwise(F.lit("I-")), "label").alias("entity"),
-        F.col("w.text").alias("text"), F.lit(ORIGIN_PHRASE).alias("origin"), "priority", "term",
-        "match_no", "word_no")
-
-
-def lookup_table(dictionary: DataFrame, exclusions: DataFrame | None = None) -> DataFrame:
+def lookup_table(dictionary: DataFrame, exclusions: DataFrame | None = None, kinds: str = "wp") -> DataFrame:
     """One dimension table for both taggers: ``kind`` 'w' rows map a word to its label
-    (J1 + P8), ``kind`` 'p' rows map a phrase key word to a phrase and its regex (J2)."""
-    null = F.lit(None).cast("string")
+    (J1 + P8), ``kind`` 'p' rows map a phrase key to a phrase, its regex and words (J2)."""
     words = word_lookup(dictionary, exclusions).select(
-        F.lit("w").alias("kind"), F.col("term").alias("key"), "term", "label", "priority", null.alias("pattern"))
-    phrases = phrase_table(dictionary).where(F.col("key") != "").select(
-        F.lit("p").alias("kind"), "key", "term", "label", "priority", "pattern")
-    return words.unionByName(phrases)
+        F.lit("w").alias("kind"), F.col("term").alias("key"), "term", "label", "priority", F.lit(None).cast("string").alias("pattern"),
+        F.array().cast("array<string>").alias("words"))
+    phrases = phrase_table(dictionary).select(F.lit("p").alias("kind"), "key", "term", "label", "priority", "pattern", "words")
+    both = words.unionByName(phrases)
+    return both if kinds == "wp" else both.where(F.col("kind") == kinds)
+
+
+def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | None) -> DataFrame:
+    """Chunks joined with the lookup rows that one of their tokens meets, one row per distinct
+    hit: ``KEYS, text, kind, term, label, priority, pattern``.
+
+    A word hit's pattern is the token itself between non-word characters; a phrase is kept
+    only if the chunk holds all its words.  Without a proven size the lookup is not broadcast:
+    ``(kind, key)`` is salted, so a word that stands in every chunk is dealt over ``SALTS``
+    tasks, and the hits (no text in them) are joined back to the chunks.
+    """
+    toks = chunks.select(*KEYS, "text", F.array_distinct(F.regexp_extract_all("text", F.lit(PROBE_PATTERN), 0)).alias("toks"))
+    low = toks.withColumn("lows", F.array_distinct(F.transform("toks", lambda t: F.lower(t))))
+    probes = F.concat(
+        F.transform("toks", lambda t: F.struct(F.lit("w").alias("kind"), normalize_word(t).alias("key"), t.alias("word"))),
+        F.transform("lows", lambda t: F.struct(F.lit("p").alias("kind"), t.alias("key"), F.lit(None).cast("string").alias("word"))))
+    whole = F.forall("words", lambda w: F.array_contains(F.col("lows"), w))
+    word_pattern = F.concat(F.lit(f"(?<!{WORD_CLASS})"), quoted(F.col("word")), F.lit(f"(?!{WORD_CLASS})"))
+    out = [*KEYS, "text", "kind", "term", "label", "priority", F.when(F.col("kind") == "w", word_pattern).otherwise(F.col("pattern")).alias("pattern")]
+    if fits_broadcast(lookup_bytes):
+        rows = low.select(*KEYS, "text", "lows", F.explode(probes).alias("q")).select(*KEYS, "text", "lows", "q.*")
+        return rows.join(F.broadcast(lookup), ["kind", "key"]).where(whole).select(*out)
+    salt = F.pmod(F.xxhash64(*KEYS), F.lit(SALTS)).cast("int").alias("salt")
+    rows = low.select(*KEYS, salt, F.explode(probes).alias("q")).select(*KEYS, "salt", "q.*")
+    salted = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = rows.join(salted, ["kind", "key", "salt"]).drop("key", "salt")
+    return low.select(*KEYS, "text", "lows").join(hits, KEYS).where(whole).select(*out)
 
 
 def tag_chunks(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
-               dict_rows: int | None = None, reviewed: bool = False) -> DataFrame:
+               dict_bytes: int | None = None, reviewed: bool = False, kinds: str = "wp",
+               keep_text: bool = False) -> DataFrame:
     """T3 in one pass over the chunks: word labels and phrase labels together.
 
-    Each chunk row is tokenised once (F11/F12) and exploded into probes: every token
-    (word lookup) and every distinct lower-cased token (phrase key).  A single broadcast
-    hash join against ``lookup_table`` finds word hits and candidate phrases; candidate
-    phrases are then matched by regex on the carried chunk text.  No union, no second
-    scan of the chunk text, no shuffle.  ``reviewed`` gives one span per phrase match
-    with the training type (D2) instead of B/I word labels.
+    Each chunk is cut into tokens once; ``dictionary_hits`` finds the terms, and each term's
+    pattern gives the spans, so offsets cost work for hits only.  ``reviewed`` gives one span
+    per phrase match with the training type (D2) instead of B/I word labels.  Matches of one
+    phrase never overlap, overlaps across phrases are kept (F16).  ``keep_text`` adds
+    ``chunk_text``, for callers that group the labels beside it.
     """
     from .dataset import alias_type
 
-    bound = 2 * dict_rows if dict_rows is not None else None
-    lookup = sized_broadcast(lookup_table(dictionary, exclusions), bound)
-    null_i = F.lit(None).cast("int")
-    toks = chunks.select(*KEYS, "text", token_spans("text").alias("toks"))
-    word_probes = F.transform("toks", lambda t, i: F.struct(
-        F.lit("w").alias("kind"), normalize_word(t["text"]).alias("key"), t["text"].alias("word"),
-        t["start"].alias("start"), t["end"].alias("end"), i.alias("word_no")))
-    key_probes = F.transform(F.array_distinct(F.transform("toks", lambda t: F.lower(t["text"]))), lambda k: F.struct(
-        F.lit("p").alias("kind"), k.alias("key"), F.lit(None).cast("string").alias("word"),
-        null_i.alias("start"), null_i.alias("end"), null_i.alias("word_no")))
-    probes = toks.select(*KEYS, "text", F.explode(F.concat(word_probes, key_probes)).alias("q")).select(
-        *KEYS, "text", "q.*")
-    hit = probes.join(lookup, ["kind", "key"])
+    hits = dictionary_hits(chunks, lookup_table(dictionary, exclusions, kinds), dict_bytes)
     is_word = F.col("kind") == "w"
-    single = F.array(F.struct(F.col("word").alias("text"), F.col("start").alias("start"), F.col("end").alias("end")))
-    matched = hit.select(
-        *KEYS, "kind", "term", "label", "priority", F.col("word_no").alias("tok_no"),
-        F.posexplode(F.when(is_word, single).otherwise(find_spans("text", F.col("pattern")))).alias("match_no", "m"))
-    if reviewed:
-        pieces = F.array(F.col("m"))
-    else:
-        pieces = F.when(is_word, F.array(F.col("m"))).otherwise(
-            phrase_word_spans(F.col("m.text"), F.col("m.start")))
-    cut = matched.select(*KEYS, "kind", "term", "label", "priority", "tok_no", "match_no",
-                         F.posexplode(pieces).alias("piece_no", "w"))
+    text = [F.col("text").alias("chunk_text")] if keep_text else []
+    kept = ["chunk_text"] if keep_text else []
+    matched = hits.select(*KEYS, *text, "kind", "term", "label", "priority", F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
+    pieces = F.array(F.col("m")) if reviewed else F.when(is_word, F.array(F.col("m"))).otherwise(
+        phrase_word_spans(F.col("m.text"), F.col("m.start")))
+    cut = matched.select(*KEYS, *kept, "kind", "term", "label", "priority", "match_no", F.posexplode(pieces).alias("piece_no", "w"))
     if reviewed:
         entity = alias_type(F.col("label"))
     else:
-        entity = F.concat(F.when(is_word | (F.col("piece_no") == 0), F.lit("B-")).otherwise(F.lit("I-")),
-                          F.col("label"))
-    out = cut.select(
-        *KEYS, F.col("w.start").alias("start"), F.col("w.end").alias("end"), entity.alias("entity"),
-        F.col("w.text").alias("text"),
+        entity = F.concat(F.when(is_word | (F.col("piece_no") == 0), F.lit("B-")).otherwise(F.lit("I-")), F.col("label"))
+    return cut.select(
+        *KEYS, F.col("w.start").alias("start"), F.col("w.end").alias("end"), entity.alias("entity"), F.col("w.text").alias("text"),
         F.when(is_word, F.lit(ORIGIN_WORD)).otherwise(F.lit(ORIGIN_PHRASE)).alias("origin"),
-        "priority", "term", "match_no",
-        F.when(is_word, F.col("tok_no")).otherwise(F.col("piece_no")).alias("word_no"))
-    keyless = phrase_table(dictionary).where(F.col("key") == "")
-    if keyless.limit(1).count():
-        extra = (reviewed_phrases if reviewed else tag_phrases)(chunks, dictionary.where(
-            F.regexp_extract("term", r"(?U)\w+", 0) == ""), dict_rows)
-        out = out.unionByName(extra)
-    return out
+        "priority", "term", F.when(is_word, F.lit(0)).otherwise(F.col("match_no")).alias("match_no"),
+        F.when(is_word, F.lit(0)).otherwise(F.col("piece_no")).alias("word_no"), *kept)
 
 
-def reviewed_phrases(chunks: DataFrame, dictionary: DataFrame, dict_rows: int | None = None) -> DataFrame:
-    from .dataset import alias_type
+def tag_words(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
+              candidates: DataFrame | None = None, dict_bytes: int | None = None) -> DataFrame:
+    """Label single words by dictionary lookup (the candidate's own label is ignored).
+
+    Candidates are all word tokens of the chunk by default, or merged NER pieces
+    (``candidates``, see ``merge_candidates``)."""
+    if candidates is None:
+        return tag_chunks(chunks, dictionary, exclusions, dict_bytes, kinds="w")
+    lookup = word_lookup(dictionary, exclusions)
+    words = merge_candidates(candidates).select(*KEYS, F.col("seq").alias("word_no"), F.col("word").alias("text"), "start", "end")
+    words = words.withColumn("term", normalize_word("text"))
+    if fits_broadcast(dict_bytes):
+        hit = words.join(F.broadcast(lookup), "term")
+    else:
+        salted = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hit = words.withColumn("salt", F.pmod(F.xxhash64(*KEYS), F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"])
+    return hit.select(*KEYS, "start", "end", F.concat(F.lit("B-"), "label").alias("entity"), "text", F.lit(ORIGIN_WORD).alias("origin"), "priority", "term",
+                      F.lit(0).alias("match_no"), F.lit(0).alias("word_no"))
+
 
-    return phrase_matches(chunks, dictionary, dict_rows).select(
-        *KEYS, F.col("m.start").alias("start"), F.col("m.end").alias("end"),
-        alias_type(F.col("label")).alias("entity"), F.col("m.text").alias("text"),
-        F.lit(ORIGIN_PHRASE).alias("origin"), "priority", "term", "match_no", F.lit(0).alias("word_no"))
+def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_bytes: int | None = None) -> DataFrame:
+    """Phrase matches cut into word labels, B on the first word and I on the rest."""
+    return tag_chunks(chunks, dictionary, None, dict_bytes, kinds="p")
 
 
 def refine_labels(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
-                  candidates: DataFrame | None = None, dict_rows: int | None = None) -> DataFrame:
+                  candidates: DataFrame | None = None, dict_bytes: int | None = None) -> DataFrame:
     """Phrase labels and word labels as one bag (duplicates and overlaps kept).
 
     Without NER candidates this is the single-pass ``tag_chunks``; with candidates the
     word labels come from the merged candidates instead of the chunk's tokens."""
     if candidates is None:
-        return tag_chunks(chunks, dictionary, exclusions, dict_rows)
-    return tag_phrases(chunks, dictionary, dict_rows).unionByName(
-        tag_words(chunks, dictionary, exclusions, candidates, dict_rows))
+        return tag_chunks(chunks, dictionary, exclusions, dict_bytes)
+    return tag_phrases(chunks, dictionary, dict_bytes).unionByName(
+        tag_words(chunks, dictionary, exclusions, candidates, dict_bytes))
 
 
 def reviewed_spans(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
-                   candidates: DataFrame | None = None, dict_rows: int | None = None) -> DataFrame:
+                   candidates: DataFrame | None = None, dict_bytes: int | None = None) -> DataFrame:
     """Entity spans in the training label space, as a reviewed export holds them:
     one span per phrase match (not per word) and one per tagged word; ``entity`` is the
     type without prefix, mapped by the label alias table."""
     from .dataset import alias_type
 
     if candidates is None:
-        return tag_chunks(chunks, dictionary, exclusions, dict_rows, reviewed=True)
-    wd = tag_words(chunks, dictionary, exclusions, candidates, dict_rows).withColumn(
+        return tag_chunks(chunks, dictionary, exclusions, dict_bytes, reviewed=True)
+    wd = tag_words(chunks, dictionary, exclusions, candidates, dict_bytes).withColumn(
         "entity", alias_type(F.col("entity")))
-    return reviewed_phrases(chunks, dictionary, dict_rows).unionByName(wd)
+    return tag_chunks(chunks, dictionary, None, dict_bytes, reviewed=True, kinds="p").unionByName(wd)
 
 
 def label_order():
@@ -227,8 +188,8 @@ def merge_candidates(cands: DataFrame) -> DataFrame:
     """Join ``##`` pieces of NER candidates into words with offsets.
 
     Input ``(doc_id, chunk_no, seq, word, entity, start)``.  A group starts at each piece
-    without ``##``; the leading ``##`` run (group 0) and groups whose first piece has no
-    start are dropped; the first piece's entity wins; ``end = start + len(word)``.
+    without ``##``; the leading ``##`` run (group 0), groups whose first piece has no
+    start and words that come out empty are dropped; the first piece's entity wins; ``end = start + len(word)``.
     """
     w = Window.partitionBy(*KEYS).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     is_head = ~F.col("word").startswith("##")
@@ -241,7 +202,7 @@ def merge_candidates(cands: DataFrame) -> DataFrame:
         F.min_by("entity", "seq").alias("entity"),
         F.min_by("start", "seq").alias("start"),
     )
-    return merged.where(F.col("start").isNotNull()).select(
+    return merged.where(F.col("start").isNotNull() & (F.col("word") != "")).select(
         *KEYS, "seq", "word", "entity", "start", (F.col("start") + F.length("word")).alias("end"))
 
 

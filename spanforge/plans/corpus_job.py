@@ -19,8 +19,8 @@ def run_corpus(spark: SparkSession, specs: Sequence[SourceSpec], keywords: Itera
                stopwords: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns ``(chunks, labels)``.  One hash exchange (the distinct, with a partial
     aggregate before it); the dictionary side is broadcast; no other shuffle."""
-    corpus = distinct_corpus(union_sources(spark, specs, keywords))
+    corpus = distinct_corpus(union_sources(spark, specs, keywords), specs=specs)
     chunks = chunk_corpus(clean_corpus(corpus, "description", stopwords), max_len)
     d, n = dictionary(spark, terms)
     x, _ = term_list(spark, exclusions)
-    return chunks, refine_labels(chunks, d, x, dict_rows=n)
+    return chunks, refine_labels(chunks, d, x, dict_bytes=n)

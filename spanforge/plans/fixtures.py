@@ -1,13 +1,13 @@
 """Job parameters used by the registered queries over the test tables.
 
 The dictionary plays the role of the keyword YAML files: a small driver-side
-parameter, broadcast with a known size.  Every query still reads the test tables, so
+parameter with a known size.  Every query still reads the test tables, so
 its work grows with them.
 """
 
 from __future__ import annotations
 
-# Test dictionary whose terms occur in the English documents.
+# Test dictionary whose terms occur in the documents.
 TEST_DICTIONARY = {
     "programming_languages": ["rewh", "thatin", "rewh rewh", "eriner thanea"],
     "databases": ["orre", "ononst", "tion", "anea eriner"],

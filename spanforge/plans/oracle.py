@@ -119,9 +119,8 @@ def labels_values() -> str:
     return f"(VALUES {vals}) AS v(id, tag)"
 
 
-def corpus_ctes(max_len: int = CHUNK_MAX_LEN, lang: str | None = "en", docs: str | None = None) -> str:
-    where = f"WHERE lang = {lit(lang)}" if lang else ""
-    docs = docs or f"SELECT doc_id, text AS description FROM documents {where}"
+def corpus_ctes(max_len: int = CHUNK_MAX_LEN, docs: str | None = None) -> str:
+    docs = docs or "SELECT doc_id, text AS description FROM documents"
     return f"""
 docs AS ({docs}),
 clean0 AS (SELECT doc_id, {clean_sql('description')} AS text FROM docs),
@@ -142,7 +141,7 @@ dict{sfx} AS (SELECT * FROM {dict_values(mapping)}),
 lookup{sfx} AS (SELECT term, min_by(label, priority) AS label, min(priority) AS priority FROM dict{sfx}
            WHERE term NOT IN ({excl_sql}) GROUP BY term),
 word_labels{sfx} AS (SELECT t.doc_id, t.chunk_no, t.s.start AS start, t.s."end" AS "end", 'B-' || l.label AS entity,
-                t.s.text AS text, 1 AS origin, l.priority, l.term, 0 AS match_no, t.word_no
+                t.s.text AS text, 1 AS origin, l.priority, l.term, 0 AS match_no, 0 AS word_no
                 FROM toks t JOIN lookup{sfx} l ON lower(trim(t.s.text)) = l.term),
 phr{sfx} AS (SELECT * FROM {phrase_values(mapping)}),
 pm0{sfx} AS (SELECT c.doc_id, c.chunk_no, p.term, p.priority, p.label, {spans_sql('c.text', 'p.pattern')} AS ms
@@ -158,10 +157,9 @@ phrase_labels{sfx} AS (SELECT doc_id, chunk_no, mstart + w.start AS start, mstar
 labels{sfx} AS (SELECT * FROM phrase_labels{sfx} UNION ALL SELECT * FROM word_labels{sfx})"""
 
 
-def base_ctes(mapping=None, exclusions=None, max_len: int = CHUNK_MAX_LEN, lang: str | None = "en") -> str:
-    """CTEs ``docs, clean, chunks, toks, word_labels, phrase_labels, labels`` over
-    ``documents`` (English by default)."""
-    return corpus_ctes(max_len, lang) + "," + label_ctes("", mapping, exclusions)
+def base_ctes(mapping=None, exclusions=None, max_len: int = CHUNK_MAX_LEN) -> str:
+    """CTEs ``docs, clean, chunks, toks, word_labels, phrase_labels, labels`` over ``documents``."""
+    return corpus_ctes(max_len) + "," + label_ctes("", mapping, exclusions)
 
 
 def with_base(body: str, **kw) -> str:
@@ -231,6 +229,8 @@ UNION ALL SELECT 'documents', true, NULL, count(*) FROM documents
 UNION ALL SELECT 'benchmark', true, NULL, count(*) FROM benchmark
 UNION ALL SELECT 'conversations', true, NULL, count(*) FROM conversations
 UNION ALL SELECT 'benchmark_jobs', false, 'missing jobdescription, title', 0"""
+ORACLE_SQL["csv_roundtrip"] = """
+SELECT 'documents' AS source, source AS title, 'say "hi", ' || text AS description FROM documents"""
 ORACLE_SQL["drop_missing"] = (f"SELECT {PAGE_TITLE} AS title, CAST(length(html) AS INTEGER) AS n_chars FROM pages "
                               f"WHERE {PAGE_TITLE} IS NOT NULL AND html IS NOT NULL")
 ORACLE_SQL["title_filter"] = f"WITH {SOURCES_SQL.strip()} SELECT source, title, description FROM titled"
@@ -308,38 +308,50 @@ ORACLE_SQL["train_val_split"] = with_base(BIO_CTES + """
 SELECT id, shuffle_no, CASE WHEN shuffle_no < floor(n * 0.8) THEN 'train' ELSE 'validation' END AS split FROM sh""")
 
 
-def bio_ctes(sfx: str, ents: str) -> str:
-    """Token tags of the gold records' tokens (``rt``) from entity rows ``ents``
-    ``(id, result_no, start, end, label)``; later entity wins, B on its first token."""
+ORACLE_SQL["split_files"] = with_base(BIO_CTES + """
+, sh AS (SELECT id, n_tokens, row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS shuffle_no, count(*) OVER () AS n FROM wl)
+SELECT id, n_tokens, CASE WHEN shuffle_no < floor(n * 0.8) THEN 'train' ELSE 'validation' END AS split FROM sh""")
+
+
+def reviewed_sql(sfx: str = "") -> str:
     return f"""
-, cov{sfx} AS (SELECT t.id, t.idx, e.result_no, e.label,
-                 min(t.idx) OVER (PARTITION BY t.id, e.result_no) AS first_idx
-          FROM rt t JOIN {ents} e ON t.id = e.id AND t.s.start >= e.start AND t.s."end" <= e."end"),
-  tagged{sfx} AS (SELECT id, idx, arg_max(CASE WHEN idx = first_idx THEN 'B-' ELSE 'I-' END || label, result_no)
-                  AS tagname FROM cov{sfx} GROUP BY id, idx),
-  bio{sfx} AS (SELECT rt.id, rt.idx, CAST(coalesce(lmap.id, 0) AS INTEGER) AS tag
-          FROM rt LEFT JOIN tagged{sfx} ON rt.id = tagged{sfx}.id AND rt.idx = tagged{sfx}.idx
-          LEFT JOIN lmap ON lmap.tag = tagged{sfx}.tagname)"""
+SELECT doc_id, chunk_no, m.start AS start, m."end" AS "end", {alias_sql('label')} AS entity, m.text AS text,
+       0 AS origin, priority, term, match_no, 0 AS word_no FROM pm{sfx}
+UNION ALL
+SELECT doc_id, chunk_no, start, "end", {alias_sql('entity')}, text, origin, priority, term, match_no, word_no
+FROM word_labels{sfx}"""
 
 
-EVAL_CTES = (
-    "," + label_ctes("_p", PRED_DICTIONARY) + BIO_CTES + f"""
-, reviewed_p AS (
-    SELECT doc_id, chunk_no, m.start AS start, m."end" AS "end", {alias_sql('label')} AS entity, m.text AS text,
-           0 AS origin, priority, term, match_no, 0 AS word_no FROM pm_p
-    UNION ALL
-    SELECT doc_id, chunk_no, start, "end", {alias_sql('entity')}, text, origin, priority, term, match_no, word_no
-    FROM word_labels_p),
-  ents_p AS (SELECT r.rec, CAST(r.rec AS VARCHAR) AS id, l.start, l."end", l.entity AS label,
-             row_number() OVER (PARTITION BY l.doc_id, l.chunk_no ORDER BY l.start, l.origin, l.priority, l.term,
-                                l.match_no, l.word_no, l."end", l.entity, l.text) - 1 AS result_no
-             FROM reviewed_p l JOIN rec r ON l.doc_id = r.doc_id AND l.chunk_no = r.chunk_no)"""
-    + bio_ctes("_p", "ents_p") + f"""
-, pairs AS (SELECT b.id, b.idx AS pos, b.tag AS gold, coalesce(p.tag, 0) AS pred
-            FROM bio b LEFT JOIN bio_p p ON b.id = p.id AND b.idx = p.idx),
-  named AS (SELECT pairs.id, pos, gold, pred, g.tag AS gt, coalesce(q.tag, 'UNK') AS pt
-            FROM pairs LEFT JOIN lmap g ON g.id = pairs.gold LEFT JOIN lmap q ON q.id = pairs.pred)"""
-)
+def side_ctes(k: str, sfx: str) -> str:
+    """Tags of the tokens ``et`` by the entities of one dictionary; later entity wins, B on its first token."""
+    return f"""
+, ents_{k} AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_no ORDER BY start, origin, priority, term, match_no,
+                  word_no, "end", entity, text) - 1 AS result_no FROM rev_{k}),
+  cov_{k} AS (SELECT t.doc_id, t.chunk_no, t.word_no AS idx, e.result_no, e.entity,
+                 min(t.word_no) OVER (PARTITION BY t.doc_id, t.chunk_no, e.result_no) AS first_idx
+          FROM et t JOIN ents_{k} e ON t.doc_id = e.doc_id AND t.chunk_no = e.chunk_no
+               AND t.s.start >= e.start AND t.s."end" <= e."end"),
+  tag_{k} AS (SELECT doc_id, chunk_no, idx, arg_max(CASE WHEN idx = first_idx THEN 'B-' ELSE 'I-' END || entity, result_no) AS tagname
+          FROM cov_{k} GROUP BY doc_id, chunk_no, idx)"""
+
+
+EVAL_CTES = ("," + label_ctes("_p", PRED_DICTIONARY) + f"""
+, rev_g AS ({reviewed_sql()}), rev_p AS ({reviewed_sql('_p')}),
+  ek AS (SELECT doc_id, chunk_no FROM rev_g UNION SELECT doc_id, chunk_no FROM rev_p),
+  et AS (SELECT t.* FROM toks t JOIN ek ON t.doc_id = ek.doc_id AND t.chunk_no = ek.chunk_no)"""
+             + side_ctes("g", "") + side_ctes("p", "_p") + f"""
+, lmap AS (SELECT * FROM {labels_values()}),
+  pairs AS (SELECT et.doc_id || ':' || et.chunk_no AS id, et.word_no AS pos, et.s.text AS token,
+                   CAST(coalesce(lg.id, 0) AS INTEGER) AS gold, CAST(coalesce(lp.id, 0) AS INTEGER) AS pred
+            FROM et LEFT JOIN tag_g g ON g.doc_id = et.doc_id AND g.chunk_no = et.chunk_no AND g.idx = et.word_no
+            LEFT JOIN tag_p p ON p.doc_id = et.doc_id AND p.chunk_no = et.chunk_no AND p.idx = et.word_no
+            LEFT JOIN lmap lg ON lg.tag = g.tagname LEFT JOIN lmap lp ON lp.tag = p.tagname)""")
+
+
+def named_cte(src: str) -> str:
+    return f"""
+, named AS (SELECT x.id, pos, gold, pred, g.tag AS gt, coalesce(q.tag, 'UNK') AS pt
+            FROM {src} x LEFT JOIN lmap g ON g.id = x.gold LEFT JOIN lmap q ON q.id = x.pred)"""
 
 
 def spans_of(col: str, name: str) -> str:
@@ -372,12 +384,23 @@ SELECT {k}n_pred, n_gold, tp, precision, recall,
 
 
 BASE = with_base(EVAL_CTES)
-ORACLE_SQL["decode_spans"] = BASE + spans_of("gt", "gspans") + '\nSELECT id, type, start, "end" FROM gspans'
-ORACLE_SQL["entity_f1_by_type"] = BASE + SCORE_CTES + score_select("type") + " FROM sc2"
-ORACLE_SQL["entity_f1"] = BASE + SCORE_CTES + score_select() + """, acc.accuracy FROM sc2,
-  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pairs WHERE gold <> -100) acc"""
+WORDS = BASE + named_cte("pairs")
+ORACLE_SQL["decode_spans"] = with_base(BIO_CTES) + """
+, named AS (SELECT bio.id, idx AS pos, lmap.tag AS gt FROM bio JOIN lmap ON lmap.id = bio.tag)""" + spans_of(
+    "gt", "gspans") + '\nSELECT id, type, start, "end" FROM gspans'
+ORACLE_SQL["entity_f1_by_type"] = WORDS + SCORE_CTES + score_select("type") + " FROM sc2"
+ORACLE_SQL["entity_f1"] = WORDS + SCORE_CTES + score_select() + """, acc.accuracy FROM sc2,
+  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pairs) acc"""
 ORACLE_SQL["token_accuracy"] = BASE + """
-SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy, count(*) AS n_tokens FROM pairs WHERE gold <> -100"""
+SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy, count(*) AS n_tokens FROM pairs"""
+# pieces of four characters; positions 1..126 hold pieces, the rest is masked
+ORACLE_SQL["entity_f1_pieces"] = BASE + """
+, pp0 AS (SELECT id, pos AS word_id, gold, pred, unnest(range(0, CAST(greatest(ceil((length(token) - 4) / 4.0), 0) AS BIGINT) + 1)) AS k FROM pairs),
+  pp1 AS (SELECT id, gold, pred AS p, row_number() OVER (PARTITION BY id ORDER BY word_id, k) AS pos FROM pp0),
+  pp2 AS (SELECT id, pos, gold, list_transform(range(0, 9), lambda c: (pos * 7 + c * 5) % 9 + CASE WHEN c = p THEN 5 ELSE 0 END) AS sc
+          FROM pp1 WHERE pos <= 126),
+  pieces AS (SELECT id, pos, gold, CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS pred FROM pp2)""" + named_cte("pieces") + SCORE_CTES + score_select() + """, acc.accuracy FROM sc2,
+  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pieces) acc"""
 
 ORACLE_SQL["decode_ids"] = f"""
 SELECT vec_id, label, coalesce(m.tag, 'UNK') AS gold_tag FROM embeddings LEFT JOIN
@@ -413,13 +436,40 @@ ORACLE_SQL["align_pieces"] = with_base(BIO_CTES + """
 SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
 FROM rows_""")
 
+PIECE_N = "CAST(greatest(ceil((length(s.text) - 4) / 4.0), 0) AS BIGINT) + 1"
 ORACLE_SQL["merge_pieces"] = with_base(BIO_CTES + """
-SELECT bio.id, bio.idx AS word_no, bio.token AS word, lmap.tag AS label FROM bio JOIN lmap ON lmap.id = bio.tag""")
-
-ORACLE_SQL["merge_candidates"] = with_base("""
-SELECT doc_id, chunk_no, word_no * 1000 AS seq, s.text AS word,
-       CASE WHEN length(s.text) >= 4 THEN 'B-SKILL' ELSE 'O' END AS entity, s.start AS start, s."end" AS "end"
-FROM toks""")
+, wp0 AS (SELECT id, idx AS word_id, tag, token,
+                 unnest(range(0, CAST(greatest(ceil((length(token) - 4) / 4.0), 0) AS BIGINT) + 1)) AS k FROM bio),
+  wp AS (SELECT wp0.id, CASE WHEN k = 0 THEN substr(token, 1, 4) ELSE '##' || substr(token, 4 * k + 1, 4) END AS piece,
+                CASE WHEN k = 0 THEN lmap.tag ELSE 'O' END AS label, row_number() OVER (PARTITION BY wp0.id ORDER BY word_id, k) AS pos
+         FROM wp0 JOIN lmap ON lmap.id = wp0.tag),
+  st AS (SELECT id, 0 AS pos, '[CLS]' AS piece, 'O' AS label FROM wl UNION ALL SELECT id, pos, piece, label FROM wp
+         UNION ALL SELECT id, 1000000000, '[SEP]', 'O' FROM wl),
+  ch AS (SELECT id, pos, CASE WHEN pos = 1 AND CAST(id AS BIGINT) % 3 = 0 THEN '##' || piece ELSE piece END AS piece, label FROM st
+         WHERE NOT (pos = 0 AND CAST(id AS BIGINT) % 6 = 0)),
+  gr AS (SELECT *, sum(CASE WHEN starts_with(piece, '##') THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS g FROM ch),
+  mw AS (SELECT id, g, string_agg(CASE WHEN starts_with(piece, '##') THEN substr(piece, 3) ELSE piece END, '' ORDER BY pos) AS word,
+                CASE WHEN g = 0 THEN NULL ELSE arg_min(label, pos) END AS label FROM gr GROUP BY id, g)
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY g) - 1 AS INTEGER) AS word_no, word, label FROM mw
+WHERE word NOT IN ('[PAD]', '[CLS]', '[SEP]', '')""")
+
+CAND_CTES = f"""
+, cw AS (SELECT doc_id, chunk_no, word_no, s, unnest(range(0, {PIECE_N})) AS k FROM toks),
+  cp AS (SELECT doc_id, chunk_no, CAST(row_number() OVER (PARTITION BY doc_id, chunk_no ORDER BY word_no, k) - 1 AS INTEGER) AS seq,
+                CASE WHEN k = 0 THEN substr(s.text, 1, 4) ELSE '##' || substr(s.text, CAST(4 * k + 1 AS BIGINT), 4) END AS word,
+                CAST(s.start + 4 * k AS INTEGER) AS start FROM cw),
+  cand AS (SELECT doc_id, chunk_no, seq, word, CASE WHEN length(word) >= 4 THEN 'B-SKILL' ELSE 'O' END AS entity, start FROM cp)"""
+ORACLE_SQL["score_tokens"] = with_base(CAND_CTES + "\nSELECT doc_id, chunk_no, seq, word, entity, start FROM cand")
+ORACLE_SQL["merge_candidates"] = with_base(CAND_CTES + """
+, cm AS (SELECT doc_id, chunk_no, seq, entity,
+                CASE WHEN seq = 0 AND doc_id % 3 = 0 THEN '##' || word WHEN seq % 11 = 5 AND NOT starts_with(word, '##') THEN '' ELSE word END AS word,
+                CASE WHEN seq % 7 = 3 AND doc_id % 2 = 0 THEN NULL ELSE start END AS start FROM cand),
+  cg AS (SELECT *, sum(CASE WHEN starts_with(word, '##') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, chunk_no ORDER BY seq ROWS UNBOUNDED PRECEDING) AS g FROM cm),
+  ca AS (SELECT doc_id, chunk_no, g, min(seq) AS seq, string_agg(CASE WHEN starts_with(word, '##') THEN substr(word, 3) ELSE word END, '' ORDER BY seq) AS word,
+                arg_min(entity, seq) AS entity, arg_min_null(start, seq) AS start FROM cg WHERE g > 0 GROUP BY doc_id, chunk_no, g)
+SELECT doc_id, chunk_no, seq, word, entity, start, CAST(start + length(word) AS INTEGER) AS "end" FROM ca WHERE start IS NOT NULL AND word <> ''""")
+ORACLE_SQL["score_words"] = with_base("""
+SELECT doc_id, chunk_no, word_no AS pos, s.text AS word, s.start AS start, s."end" AS "end", true AS in_label_space FROM toks""")
 
 ORACLE_SQL["corpus_entity_counts"] = (
     "WITH " + SOURCES_SQL.strip() + "," + corpus_ctes(docs="SELECT doc_id, description FROM corpus") + ","

@@ -5,50 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import flatten_terms, invert_map, literal_map, pad
 from ..functions.spans import token_spans
-from ..functions.text import remove_stopwords, split_sentences, squeeze, strip_tags, text_length
 from ..functions.text import clean_text as clean_col
+from ..functions.text import remove_stopwords, split_sentences, squeeze, strip_tags, text_length
 from ..operators.chunking import chunk_corpus, clean_corpus
-from ..operators.tagging import entity_counts, label_order, refine_labels, tag_phrases, tag_words
-from ..sources.dictionary import dictionary, term_list
-from ..functions.arrays import flatten_terms
 from ..operators.corpus import distinct_corpus, null_counts, require, titled_rows, union_sources
-from ..sources.registry import read_source, source_status
-from ..operators.dataset import bio_long, train_val_split, word_level
-from ..operators.export import export_records, flatten_export, record_entities
-from ..operators.tagging import reviewed_spans
-from ..session import reliable_checkpoint, spread
-from ..sources.records import read_label_export, record_parts, scratch_path, write_records
-from ..functions.arrays import invert_map, literal_map, pad
-from ..operators.dataset import with_bio
-from ..operators.evaluation import best_run, decode_spans, entity_scores, evaluate, tag_names, token_accuracy
-from ..operators.export import group_labels
-from ..operators.scoring import align_pieces, argmax_class, decode_ids, merge_pieces, piece_stream, word_pieces
-from ..operators.tagging import merge_candidates
-from ..sources.dictionary import LABELS, label_map, write_label_config
-from ..operators.scoring import CANDIDATE_SCHEMA, piece_candidate_scorer, score_tokens
-from ..operators.training import predict_pairs, token_features, train_tagger
+from ..operators.dataset import bio_long, train_val_split, with_bio, word_level
+from ..operators.evaluation import best_run, decode_spans, evaluate_rows, evaluate_scores, tag_names
+from ..operators.export import export_records, flatten_export, labelled_chunks, record_entities, record_ids
+from ..operators.scoring import (CANDIDATE_SCHEMA, align_pieces, argmax_class, decode_ids, merge_pieces,
+                                 piece_candidate_scorer, piece_stream, score_tokens, word_pieces)
+from ..operators.tagging import (entity_counts, label_order, merge_candidates, refine_labels, tag_chunks,
+                                 tag_phrases, tag_words)
+from ..operators.training import load_tagger, predict_pairs, save_tagger, tag_text, token_features, train_tagger
+from ..session import materialize, spread
+from ..sources.dictionary import LABELS, dictionary, label_map, term_list, write_label_config
+from ..sources.records import (read_label_export, read_word_level, record_parts, scratch_path, write_records, write_split,
+                               write_table)
+from ..sources.registry import PANDAS_NA_TOKENS, SourceSpec, land, read_source, source_status
 from .corpus_job import run_corpus
-from .fixtures import (PAD_LEN, PIECE_HEAD, PRED_DICTIONARY, N_CLASSES)
-from .fixtures import (CHUNK_MAX_LEN, PART_SIZE, SPLIT_RATIO, SPLIT_SEED, TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec,
-                       test_specs)
+from .fixtures import (CHUNK_MAX_LEN, N_CLASSES, PAD_LEN, PART_SIZE, PIECE_HEAD, PRED_DICTIONARY, SPLIT_RATIO, SPLIT_SEED,
+                       TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec, test_specs)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def english_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where(F.col("lang") == "en").select(
-        "doc_id", F.col("text").alias("description"))
+def all_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", F.col("text").alias("description")))
 
 
-def english_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_corpus(english_docs(spark, sf))
+def clean_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_corpus(all_docs(spark, sf))
 
 
-def english_chunks(spark: SparkSession, sf: str, max_len: int = CHUNK_MAX_LEN) -> DataFrame:
-    return chunk_corpus(english_clean(spark, sf), max_len)
+def doc_chunks(spark: SparkSession, sf: str, max_len: int = CHUNK_MAX_LEN) -> DataFrame:
+    return chunk_corpus(clean_docs(spark, sf), max_len)
 
 
 def test_dictionary(spark: SparkSession, mapping=None):
@@ -57,9 +51,9 @@ def test_dictionary(spark: SparkSession, mapping=None):
     return d, x, n
 
 
-def english_labels(spark: SparkSession, sf: str, mapping=None) -> DataFrame:
+def doc_labels(spark: SparkSession, sf: str, mapping=None) -> DataFrame:
     d, x, n = test_dictionary(spark, mapping)
-    return refine_labels(english_chunks(spark, sf), d, x, dict_rows=n)
+    return refine_labels(doc_chunks(spark, sf), d, x, dict_bytes=n)
 
 
 LABEL_OUT = ["doc_id", "chunk_no", "start", "end", "entity", "text"]
@@ -81,41 +75,41 @@ def q_remove_stopwords(spark, sf):
 
 
 def q_word_tokens(spark, sf):
-    return english_clean(spark, sf).select(
+    return clean_docs(spark, sf).select(
         "doc_id", F.posexplode(token_spans("text")).alias("idx", "t")).select(
         "doc_id", "idx", F.col("t.text").alias("token"), F.col("t.start").alias("start"),
         F.col("t.end").alias("end"))
 
 
 def q_split_sentences(spark, sf):
-    return english_clean(spark, sf).select(
+    return clean_docs(spark, sf).select(
         "doc_id", F.posexplode(split_sentences("text")).alias("sent_no", "sentence")).select(
         "doc_id", "sent_no", "sentence", text_length("sentence").alias("n_units"))
 
 
 def q_pack_chunks(spark, sf):
-    return english_chunks(spark, sf).select("doc_id", "chunk_no", "text")
+    return doc_chunks(spark, sf).select("doc_id", "chunk_no", "text")
 
 
 def q_tag_words(spark, sf):
     d, x, n = test_dictionary(spark)
-    return tag_words(english_chunks(spark, sf), d, x, dict_rows=n).select(*LABEL_OUT)
+    return tag_words(doc_chunks(spark, sf), d, x, dict_bytes=n).select(*LABEL_OUT)
 
 
 def q_tag_phrases(spark, sf):
     d, _x, n = test_dictionary(spark)
-    return tag_phrases(english_chunks(spark, sf), d, dict_rows=n).select(
+    return tag_phrases(doc_chunks(spark, sf), d, dict_bytes=n).select(
         *LABEL_OUT, "term", "match_no", "word_no")
 
 
 def q_refine_labels(spark, sf):
     w = Window.partitionBy("doc_id", "chunk_no").orderBy(*label_order())
-    return english_labels(spark, sf).select(
+    return doc_labels(spark, sf).select(
         *LABEL_OUT, "origin", (F.row_number().over(w) - 1).alias("label_no"))
 
 
 def q_entity_counts(spark, sf):
-    return entity_counts(english_labels(spark, sf))
+    return entity_counts(doc_labels(spark, sf))
 
 
 # ---- step 1: sources and corpus --------------------------------------------------
@@ -130,6 +124,16 @@ def q_source_status(spark, sf):
     return source_status(spark, test_specs(sf) + [broken_spec(sf)])
 
 
+def q_csv_roundtrip(spark, sf):
+    """S1 + S5: a test table written as quoted CSV (its text holds line breaks, quotes and commas),
+    landed as parquet through the registry and read back."""
+    raw, landed = scratch_path(spark, "csv"), scratch_path(spark, "landed")
+    docs = table(spark, sf, "documents").select(F.col("source").alias("Job Title"), F.concat(F.lit('say "hi", '), "text").alias("Job Description"))
+    write_table(docs, raw, fmt="csv")
+    spec = SourceSpec("documents", raw, description="Job Description", title="Job Title", fmt="csv", null_tokens=tuple(PANDAS_NA_TOKENS))
+    return read_source(spark, land(spark, spec, landed)).select("source", "title", "description")
+
+
 def q_drop_missing(spark, sf):
     pages = read_source(spark, test_specs(sf)[0])
     return require(pages, ["title", "description"]).select("title", F.length("description").alias("n_chars"))
@@ -146,7 +150,7 @@ def q_union_sources(spark, sf):
 
 
 def q_distinct_corpus(spark, sf):
-    return distinct_corpus(union_sources(spark, test_specs(sf), TITLE_KEYWORDS))
+    return distinct_corpus(union_sources(spark, test_specs(sf), TITLE_KEYWORDS), specs=test_specs(sf))
 
 
 def q_null_counts(spark, sf):
@@ -163,56 +167,66 @@ def q_dict_flatten(spark, sf):
 
 # ---- steps 4-5: export records, BIO data set, split -------------------------------
 
-def english_export(spark, sf, reviewed=False, mapping=None):
-    """Chunks are materialised once in the shared checkpoint folder: the taggers and the
-    record text both read them, so cleaning and packing run a single time."""
+def doc_tags(spark, sf, reviewed=False, mapping=None):
+    """Label rows with the text of their chunk."""
     d, x, n = test_dictionary(spark, mapping)
-    chunks = reliable_checkpoint(english_chunks(spark, sf))
-    spans = (reviewed_spans if reviewed else refine_labels)(chunks, d, x, dict_rows=n)
-    return export_records(chunks, spans)
+    return tag_chunks(doc_chunks(spark, sf), d, x, n, reviewed=reviewed, keep_text=True)
+
+
+def doc_export(spark, sf, reviewed=False, mapping=None):
+    return export_records(doc_tags(spark, sf, reviewed, mapping))
 
 
 def q_export_records(spark, sf):
-    return english_export(spark, sf).select(
+    return doc_export(spark, sf).select(
         "id", "doc_id", "chunk_no", F.col("data.text").alias("text"),
         F.size(F.col("annotations")[0]["result"]).alias("n_results"))
 
 
 def q_export_labels(spark, sf):
-    return flatten_export(english_export(spark, sf))
+    return flatten_export(doc_export(spark, sf))
 
 
 def q_flatten_export(spark, sf):
-    return flatten_export(english_export(spark, sf, reviewed=True))
+    return flatten_export(doc_export(spark, sf, reviewed=True))
 
 
 def q_record_parts(spark, sf):
-    return record_parts(english_export(spark, sf), PART_SIZE).select("id", "part_no")
+    return record_parts(doc_export(spark, sf), PART_SIZE).select("id", "part_no")
 
 
 def q_export_roundtrip(spark, sf):
     path = scratch_path(spark, "export")
-    write_records(english_export(spark, sf).select("id", "data", "annotations"), path)
+    write_records(doc_export(spark, sf).select("id", "data", "annotations"), path)
     return flatten_export(read_label_export(spark, path))
 
 
-def english_word_level(spark, sf, mapping=None):
-    return word_level(record_entities(english_export(spark, sf, reviewed=True, mapping=mapping)))
+def doc_word_level(spark, sf, mapping=None):
+    return word_level(record_entities(doc_export(spark, sf, reviewed=True, mapping=mapping)))
 
 
 def q_bio_tags(spark, sf):
-    return bio_long(english_word_level(spark, sf))
+    return bio_long(doc_word_level(spark, sf))
 
 
 def q_word_level(spark, sf):
-    return english_word_level(spark, sf).select(
+    return doc_word_level(spark, sf).select(
         "id", F.array_join("tokens", " ").alias("tokens"),
         F.array_join(F.transform("ner_tags", lambda t: t.cast("string")), " ").alias("tags"),
         F.size("tokens").alias("n_tokens"))
 
 
 def q_train_val_split(spark, sf):
-    return train_val_split(english_word_level(spark, sf).select("id"), "id", SPLIT_RATIO, SPLIT_SEED)
+    return train_val_split(record_ids(doc_tags(spark, sf, reviewed=True)), "id", SPLIT_RATIO, SPLIT_SEED)
+
+
+def q_split_files(spark, sf):
+    """Train and validation files written and read back, one row per record."""
+    path = scratch_path(spark, "split")
+    write_split(train_val_split(doc_word_level(spark, sf), "id", SPLIT_RATIO, SPLIT_SEED), path)
+    parts = [read_word_level(spark, path, split=x).select("id", F.size("tokens").alias("n_tokens"), F.lit(x).alias("split"))
+             for x in ("train", "validation")]
+    return parts[0].unionByName(parts[1])
 
 
 # ---- steps 6-7: scoring and evaluation ------------------------------------------
@@ -229,8 +243,8 @@ def q_argmax_class(spark, sf):
 
 def q_label_map_invert(spark, sf):
     """S4 + N4: read ``id2label`` from a model config file, invert it, round-trip ids."""
-    path = scratch_path(spark, "model_config") + ".json"
-    write_label_config_file(spark, path)
+    path = scratch_path(spark, "model_config")
+    write_label_config(spark, path)
     pairs = [(r.id, r.tag) for r in label_map(spark, path).collect()]  # 9-row dimension table
     id2tag = literal_map(pairs)
     tag2id = invert_map(id2tag)
@@ -240,27 +254,8 @@ def q_label_map_invert(spark, sf):
     return tagged.select("vec_id", "tag", F.element_at(tag2id, F.col("tag")).alias("tag_id"))
 
 
-def write_label_config_file(spark, path):
-    """The label config is a 9-entry file written once by the driver (as a trainer does)."""
-    import os
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" in path:
-        spark.range(1).select(F.lit(_config_json()).alias("value")).coalesce(1) \
-            .write.mode("overwrite").text(path)
-    else:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        write_label_config(path)
-
-
-def _config_json():
-    import json
-    return json.dumps({"label2id": {t: i for i, t in LABELS}, "id2label": {str(i): t for i, t in LABELS},
-                       "model_name": "spanforge-tagger"})
-
-
 def gold_word_level(spark, sf):
-    return english_word_level(spark, sf)
+    return doc_word_level(spark, sf)
 
 
 def q_pad_rows(spark, sf):
@@ -289,78 +284,80 @@ def piece_labels(tokens, tags):
 
 
 def q_merge_pieces(spark, sf):
-    wl = gold_word_level(spark, sf)
-    merged = wl.select("id", F.posexplode(merge_pieces(piece_labels(F.col("tokens"), F.col("ner_tags"))))
-                       .alias("word_no", "w"))
+    """Every third record's first word piece becomes a ``##`` piece, and half of these records
+    lose ``[CLS]``, so leading runs and pieces joined to a special token occur."""
+    wl = gold_word_level(spark, sf).withColumn("no", F.col("id").cast("long"))
+    pieces = F.transform(piece_labels(F.col("tokens"), F.col("ner_tags")), lambda p, i: F.struct(
+        F.when((i == 1) & (F.col("no") % 3 == 0), F.concat(F.lit("##"), p["piece"])).otherwise(p["piece"]).alias("piece"), p["label"].alias("label")))
+    wl = wl.withColumn("pieces", pieces)
+    cut = F.when(F.col("no") % 6 == 0, F.slice("pieces", F.lit(2), F.size("pieces"))).otherwise(F.col("pieces"))
+    merged = wl.select("id", cut.alias("pieces")).select("id", F.posexplode(merge_pieces(F.col("pieces"))).alias("word_no", "w"))
     return merged.select("id", "word_no", F.col("w.word").alias("word"), F.col("w.label").alias("label"))
 
 
 def candidate_pieces(chunks):
-    """NER-candidate stand-in: every word token cut into pieces with their offsets; the
-    entity depends on the piece, so the first piece's entity decides."""
-    toks = chunks.select("doc_id", "chunk_no", F.posexplode(token_spans("text")).alias("w_no", "t"))
-    pieces = toks.select("doc_id", "chunk_no", "w_no", "t",
-                         F.posexplode(word_pieces(F.col("t.text"), PIECE_HEAD)).alias("k", "piece"))
-    return pieces.select(
-        "doc_id", "chunk_no", (F.col("w_no") * 1000 + F.col("k")).alias("seq"), F.col("piece").alias("word"),
-        F.when(F.length("piece") >= 4, F.lit("B-SKILL")).otherwise(F.lit("O")).alias("entity"),
-        (F.col("t.start") + F.col("k") * PIECE_HEAD).alias("start"))
+    """NER-candidate stand-in: every word token cut into pieces with their offsets, numbered
+    through the chunk; the entity depends on the piece, so the first piece's entity decides."""
+    toks = chunks.select("doc_id", "chunk_no", token_spans("text").alias("toks"))
+    pieces = F.flatten(F.transform("toks", lambda t: F.transform(word_pieces(t["text"], PIECE_HEAD), lambda p, k: F.struct(
+        p.alias("word"), (t["start"] + k * PIECE_HEAD).alias("start")))))
+    rows = toks.select("doc_id", "chunk_no", F.posexplode(pieces).alias("seq", "p"))
+    return rows.select("doc_id", "chunk_no", "seq", F.col("p.word").alias("word"),
+                       F.when(F.length("p.word") >= 4, F.lit("B-SKILL")).otherwise(F.lit("O")).alias("entity"), F.col("p.start").alias("start"))
 
 
 def q_merge_candidates(spark, sf):
-    return merge_candidates(candidate_pieces(english_chunks(spark, sf)))
-
+    """Some pieces are changed by rule, so leading ``##`` runs, missing starts and empty words occur."""
+    c = candidate_pieces(doc_chunks(spark, sf))
+    word = F.when((F.col("seq") == 0) & (F.col("doc_id") % 3 == 0), F.concat(F.lit("##"), "word")) \
+        .when((F.col("seq") % 11 == 5) & ~F.col("word").startswith("##"), F.lit("")).otherwise(F.col("word"))
+    start = F.when((F.col("seq") % 7 == 3) & (F.col("doc_id") % 2 == 0), F.lit(None).cast("int")).otherwise(F.col("start"))
+    return merge_candidates(c.withColumn("word", word).withColumn("start", start))
 
-def eval_pairs(spark, sf, numbered=True):
-    """Gold tags (full dictionary) and predicted tags (reduced dictionary) for the
-    tokens of every gold record: ``(id, pos, gold, pred)``.
 
-    With ``numbered`` the record id is the export's dense record number (W4); without,
-    it is ``doc_id:chunk_no`` and no global numbering runs (enough for aggregate scores).
-    """
+def eval_rows(spark, sf):
+    """``(id, tokens, gold, pred)`` per chunk that has a gold label (full dictionary) or a
+    predicted one (reduced dictionary): tag ids of its tokens, one tokenising for both."""
     d, x, n = test_dictionary(spark)
     dp, xp, npred = test_dictionary(spark, PRED_DICTIONARY)
-    chunks = reliable_checkpoint(english_chunks(spark, sf))
-    pred = group_labels(reviewed_spans(chunks, dp, xp, dict_rows=npred))
-    if numbered:
-        gold = export_records(chunks, reviewed_spans(chunks, d, x, dict_rows=n))
-        recs = record_entities(gold, keep=("doc_id", "chunk_no"))
-    else:
-        gold = group_labels(reviewed_spans(chunks, d, x, dict_rows=n)).join(
-            chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"])
-        recs = gold.select(F.concat_ws(":", "doc_id", "chunk_no").alias("id"), "doc_id", "chunk_no", "text",
-                           F.transform("labels", lambda l: F.struct(
-                               l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label")))
-                           .alias("entities"))
-    j = recs.join(pred, ["doc_id", "chunk_no"], "left")
-    pred_ents = F.coalesce(F.transform("labels", lambda l: F.struct(
-        l["start"].alias("start"), l["end"].alias("end"), l["entity"].alias("label"))),
-        F.array().cast("array<struct<start:int,end:int,label:string>>"))
-    j = j.select("id", "text", "entities", pred_ents.alias("pred_entities"))
-    b = with_bio(j, "text", {"g": "entities", "p": "pred_entities"})
-    z = b.select("id", F.posexplode(F.arrays_zip(F.col("g.tag").alias("gold"), F.col("p.tag").alias("pred")))
-                 .alias("pos", "z"))
-    return z.select("id", "pos", F.col("z.gold").alias("gold"), F.col("z.pred").alias("pred"))
+    chunks = materialize(doc_chunks(spark, sf), "chunks")  # read by both taggers
+    sides = [labelled_chunks(tag_chunks(chunks, dic, ex, size, reviewed=True, keep_text=True)).select(
+        "doc_id", "chunk_no", F.col("text").alias(f"text_{k}"), F.transform("labels", lambda lab: F.struct(
+            lab["start"].alias("start"), lab["end"].alias("end"), lab["entity"].alias("label"))).alias(f"ents_{k}"))
+        for k, dic, ex, size in (("g", d, x, n), ("p", dp, xp, npred))]
+    none = F.array().cast("array<struct<start:int,end:int,label:string>>")
+    both = sides[0].join(sides[1], ["doc_id", "chunk_no"], "full").select(
+        F.concat_ws(":", "doc_id", "chunk_no").alias("id"), F.coalesce("text_g", "text_p").alias("text"),
+        F.coalesce("ents_g", none).alias("ents_g"), F.coalesce("ents_p", none).alias("ents_p"))
+    return with_bio(both, "text", {"gold": "ents_g", "pred": "ents_p"})
 
 
 def q_decode_spans(spark, sf):
-    pairs = tag_names(eval_pairs(spark, sf), "gold", "tag")
-    return decode_spans(pairs, "id", "pos", "tag")
+    tags = bio_long(doc_word_level(spark, sf))
+    return decode_spans(tag_names(tags, "tag", "name"), "id", "idx", "name")
 
 
 def q_entity_f1(spark, sf):
-    return evaluate(eval_pairs(spark, sf, numbered=False)).select("n_pred", "n_gold", "tp", "precision", "recall", "f1",
-                                                  "accuracy")
+    return evaluate_rows(eval_rows(spark, sf)).select("n_pred", "n_gold", "tp", "precision", "recall", "f1", "accuracy")
 
 
 def q_entity_f1_by_type(spark, sf):
-    pairs = tag_names(tag_names(eval_pairs(spark, sf, numbered=False), "gold", "gt"), "pred", "pt")
-    return entity_scores(decode_spans(pairs, "id", "pos", "gt"), decode_spans(pairs, "id", "pos", "pt"),
-                         "id", by_type=True)
+    return evaluate_rows(eval_rows(spark, sf), by_type=True)
 
 
 def q_token_accuracy(spark, sf):
-    return token_accuracy(eval_pairs(spark, sf, numbered=False))
+    return evaluate_rows(eval_rows(spark, sf)).select("accuracy", "n_tokens")
+
+
+def q_entity_f1_pieces(spark, sf):
+    """E1 on model rows: 128 positions, -100 at special and pad positions, nine class scores per
+    position (noise by position plus a bonus for the reduced dictionary's tag)."""
+    rows = eval_rows(spark, sf).select(align_pieces(F.col("tokens"), F.col("gold"), PAD_LEN, PIECE_HEAD).alias("g"),
+                                       align_pieces(F.col("tokens"), F.col("pred"), PAD_LEN, PIECE_HEAD).alias("p"))
+    scores = F.transform("p", lambda p, i: F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: (
+        (i * 7 + c * 5) % 9 + F.when(c == p["label"], F.lit(5)).otherwise(F.lit(0))).cast("double")))
+    rows = rows.select(F.transform("g", lambda g: g["label"]).alias("labels"), scores.alias("scores"))
+    return evaluate_scores(rows).select("n_pred", "n_gold", "tp", "precision", "recall", "f1", "accuracy")
 
 
 def q_best_run(spark, sf):
@@ -371,19 +368,34 @@ def q_best_run(spark, sf):
 # ---- steps 8-9: model and whole job ------------------------------------------------
 
 def q_score_tokens(spark, sf):
-    return score_tokens(english_chunks(spark, sf).select("doc_id", "chunk_no", "text"),
+    return score_tokens(doc_chunks(spark, sf).select("doc_id", "chunk_no", "text"),
                         piece_candidate_scorer(PIECE_HEAD), CANDIDATE_SCHEMA)
 
 
-def q_train_tagger(spark, sf):
-    wl = reliable_checkpoint(gold_word_level(spark, sf))
+def fitted_tagger(spark, sf):
+    wl = materialize(gold_word_level(spark, sf), "word-level")
     split = train_val_split(wl, "id", SPLIT_RATIO, SPLIT_SEED)
     train = split.where(F.col("split") == "train")
     valid = split.where(F.col("split") == "validation")
-    model, _metrics = train_tagger(train, valid, grid=(0.0, 0.01), max_iter=20)
+    model, metrics = train_tagger(train, valid, grid=(0.0, 0.01), max_iter=20)
+    return model, metrics, valid
+
+
+def q_train_tagger(spark, sf):
+    model, _metrics, valid = fitted_tagger(spark, sf)
     return predict_pairs(model, token_features(valid))
 
 
+def q_score_words(spark, sf):
+    """M1 with M2's pipeline, saved and loaded: every word of every chunk gets a tag name (which
+    depends on the fit; the query reports whether it is one of the label space)."""
+    model, metrics, _valid = fitted_tagger(spark, sf)
+    path = scratch_path(spark, "tagger")
+    save_tagger(model, metrics, path)
+    tagged = tag_text(doc_chunks(spark, sf), load_tagger(path))
+    return tagged.select("doc_id", "chunk_no", "pos", "word", "start", "end", F.col("tag").isin(*[t for _i, t in LABELS]).alias("in_label_space"))
+
+
 def q_corpus_entity_counts(spark, sf):
     _chunks, labels = run_corpus(spark, test_specs(sf), TITLE_KEYWORDS, TEST_DICTIONARY, TEST_EXCLUSIONS,
                                  CHUNK_MAX_LEN)
@@ -403,6 +415,7 @@ QUERIES = {
     "entity_counts": q_entity_counts,
     "scan_sources": q_scan_sources,
     "source_status": q_source_status,
+    "csv_roundtrip": q_csv_roundtrip,
     "drop_missing": q_drop_missing,
     "title_filter": q_title_filter,
     "union_sources": q_union_sources,
@@ -417,6 +430,7 @@ QUERIES = {
     "bio_tags": q_bio_tags,
     "word_level": q_word_level,
     "train_val_split": q_train_val_split,
+    "split_files": q_split_files,
     "decode_ids": q_decode_ids,
     "argmax_class": q_argmax_class,
     "label_map_invert": q_label_map_invert,
@@ -427,9 +441,11 @@ QUERIES = {
     "decode_spans": q_decode_spans,
     "entity_f1": q_entity_f1,
     "entity_f1_by_type": q_entity_f1_by_type,
+    "entity_f1_pieces": q_entity_f1_pieces,
     "token_accuracy": q_token_accuracy,
     "best_run": q_best_run,
     "score_tokens": q_score_tokens,
     "train_tagger": q_train_tagger,
+    "score_words": q_score_words,
     "corpus_entity_counts": q_corpus_entity_counts,
 }

@@ -1,15 +1,15 @@
-"""Session helpers: a tuned builder, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: a tuned builder, the shared checkpoint folder, the broadcast bound."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Largest dimension table (rows) we allow to be broadcast.  Dictionaries, label maps,
+# Largest dimension table (bytes) we allow to be broadcast.  Dictionaries, label maps,
 # exclusion lists and per-partition offset tables are far below it.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "spanforge",
@@ -26,7 +26,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -54,57 +54,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and reread it: computed once,
+    lineage cut, readable after an executor is lost."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized_broadcast(df: DataFrame, known_rows: int | None = None,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when its row count is proven below ``max_rows``.
-
-    ``known_rows`` comes from the driver-side list the table was built from; otherwise
-    the table is counted once (dimension tables only).  Above the bound the plain
-    DataFrame is returned and the planner picks a shuffle join.
-    """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def fits_broadcast(known_bytes: int | None) -> bool:
+    """Whether a table of at most ``known_bytes`` (None: unknown) may be broadcast."""
+    return known_bytes is not None and known_bytes <= BROADCAST_MAX_BYTES
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer partitions.
+def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Deal the rows of a file scan over the cluster's cores when it yields fewer partitions.
 
     Text cleaning is CPU-bound; a table stored as one large row group would otherwise be
     cleaned by one task.  Large inputs already have many splits and pass unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        # already shuffled: the exchange sets the partition count, and asking an adaptive
-        # plan for its RDD here would run that shuffle stage an extra time
-        return df
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(target) if scan.rdd.getNumPartitions() < target else scan
 
 
 def local_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A small driver-side table as a JVM-side literal relation (``inline`` of literal
-    structs): no Python worker is needed to scan it, so dimension tables built from
-    configuration cost nothing at execution time."""
+    """A driver-side table as a local relation, sent as one Arrow table: no Python worker
+    scans it, and the plan does not grow with its rows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     st = _parse_datatype_string(schema)
-    names = [f.name for f in st.fields]
-
-    def lit(v, dt):
-        from pyspark.sql.types import ArrayType
-        if isinstance(dt, ArrayType):
-            if v is None:
-                return F.lit(None).cast(dt)
-            return F.array(*[lit(x, dt.elementType) for x in v]).cast(dt) if v else F.array().cast(dt)
-        return F.lit(v).cast(dt)
-
-    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    empty = F.array().cast(f"array<struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in st.fields)}>>")
-    arr = F.array(*structs) if structs else empty
-    return spark.range(1).select(F.inline(arr)).select(*names)
+    names = st.names
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows], to_arrow_schema(st))
+    return spark.createDataFrame(table, st)

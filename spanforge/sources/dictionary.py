@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,40 +42,41 @@ LABEL_ALIAS = {
     "TECHNOLOGY": "TECHNOLOGY",
 }
 
-DICT_SCHEMA = "category string, priority int, label string, items array<array<string>>"
-
 
 def _as_lists(items: Iterable) -> list[list[str]]:
     return [list(i) if isinstance(i, (list, tuple)) else [i] for i in items]
 
 
+def _bytes_bound(lists: list[list[str]]) -> int:
+    """Bytes that any lookup row of these terms stays below (term, key, words, pattern)."""
+    return sum(8 * len(t.encode("utf-8")) + 64 * (t.count(" ") + 4) for i in lists for t in i) + 1
+
+
+def dictionary_terms(raw: DataFrame) -> DataFrame:
+    """S2 + F15 for a table ``(category, items array<array<string>>)`` of any size, read from a
+    file or built by the driver: ``(term, category, priority, label, n_words)``."""
+    known = local_table(raw.sparkSession, CATEGORIES, "category string, priority int, label string")
+    terms = raw.join(known, "category").select("category", "priority", "label", F.explode(flatten_terms(F.col("items"))).alias("term"))
+    return terms.select("term", "category", "priority", "label", F.size(F.split(F.trim("term"), r"\s+")).alias("n_words"))
+
+
 def dictionary(spark: SparkSession, mapping: Mapping[str, Iterable]) -> tuple[DataFrame, int]:
     """S2 + F15: ``(term, category, priority, label, n_words)`` from category -> items.
 
     Items are strings or lists of strings (nested lists are flattened), lower-cased and
-    de-duplicated per category.  Returns the table and an upper bound of its rows (the
-    driver-side item count) for a size-checked broadcast.
+    de-duplicated per category.  Returns the table and an upper bound of its lookup's bytes,
+    by which the taggers decide whether to broadcast it.
     """
-    rows, bound = [], 0
-    for name, priority, label in CATEGORIES:
-        items = _as_lists(mapping.get(name, []))
-        bound += sum(len(i) for i in items)
-        rows.append((name, priority, label, items))
-    raw = local_table(spark, rows, DICT_SCHEMA)
-    terms = raw.select("category", "priority", "label",
-                       F.explode(flatten_terms(F.col("items"))).alias("term"))
-    return terms.select(
-        "term", "category", "priority", "label",
-        F.size(F.split(F.trim("term"), r"\s+")).alias("n_words"),
-    ), max(bound, 1)
+    lists = {name: _as_lists(mapping.get(name, [])) for name, _p, _l in CATEGORIES}
+    raw = local_table(spark, list(lists.items()), "category string, items array<array<string>>")
+    return dictionary_terms(raw), sum(map(_bytes_bound, lists.values()))
 
 
 def term_list(spark: SparkSession, items: Iterable) -> tuple[DataFrame, int]:
-    """Exclusion list (``term``), flattened and lower-cased like the dictionary."""
+    """Exclusion list (``term``), flattened and lower-cased like the dictionary, and its bound."""
     lists = _as_lists(items)
     raw = local_table(spark, [(lists,)], "items array<array<string>>")
-    return raw.select(F.explode(flatten_terms(F.col("items"))).alias("term")), max(
-        sum(len(i) for i in lists), 1)
+    return raw.select(F.explode(flatten_terms(F.col("items"))).alias("term")), _bytes_bound(lists)
 
 
 def label_map(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -90,17 +90,11 @@ def label_map(spark: SparkSession, path: str | None = None) -> DataFrame:
         F.col("k").cast("int").alias("id"), "tag")
 
 
-def write_label_config(path: str, labels: list[tuple[int, str]] = LABELS, model: str = "spanforge-tagger") -> None:
-    """Write a model config (``label2id``, ``id2label``, ``model_name``) as JSON."""
-    cfg = {"label2id": {t: i for i, t in labels}, "id2label": {str(i): t for i, t in labels},
-           "model_name": model}
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(cfg, f, indent=4)
-
-
-def id_to_tag_map():
-    """Constant ``map<int,string>`` of the label space (9 entries)."""
-    return literal_map(LABELS)
+def write_label_config(spark: SparkSession, path: str, labels: list[tuple[int, str]] = LABELS, model: str = "spanforge-tagger") -> None:
+    """Write a model config (``label2id``, ``id2label``, ``model_name``) as a JSON record below
+    ``path``, with Spark's writer (any file system)."""
+    names, ids = F.create_map(*[F.lit(x) for i, t in labels for x in (str(i), t)]), F.create_map(*[F.lit(x) for i, t in labels for x in (t, i)])
+    spark.range(1).select(ids.alias("label2id"), names.alias("id2label"), F.lit(model).alias("model_name")).coalesce(1).write.mode("overwrite").json(path)
 
 
 def tag_to_id_map():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,16 +90,23 @@ def missing_columns(df: DataFrame, spec: SourceSpec) -> list[str]:
     return [c for c in need if c not in cols]
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, strict: bool = False) -> DataFrame | None:
-    """S1 + P1: ``(source, source_rank, title, description)``; None if columns are missing.
+def _open(spark: SparkSession, spec: SourceSpec) -> tuple[DataFrame | None, list[str]]:
+    """The table and what is wrong with it; a table that cannot be read is reported."""
+    try:
+        df = load_table(spark, spec)
+        return df, [f"missing {', '.join(m)}"] if (m := missing_columns(df, spec)) else []
+    except AnalysisException as exc:  # no such path, no schema
+        return None, [f"unreadable: {exc.getCondition() or type(exc).__name__}"]
+
 
-    Columns are resolved at plan time; with ``strict`` a missing column raises.
+def read_source(spark: SparkSession, spec: SourceSpec, strict: bool = False) -> DataFrame | None:
+    """S1 + P1: ``(source, source_rank, title, description)``; None if the table cannot be read
+    or lacks columns.  Columns are resolved at plan time; with ``strict`` a fault raises.
     """
-    df = load_table(spark, spec)
-    missing = missing_columns(df, spec)
-    if missing:
+    df, faults = _open(spark, spec)
+    if faults:
         if strict:
-            raise KeyError(f"{spec.name}: missing columns {missing}")
+            raise KeyError(f"{spec.name}: {faults[0]}")
         return None
     title = (_nullify(_resolve(df, spec.title), spec.null_tokens) if spec.titled
              else F.lit(None).cast("string"))
@@ -110,21 +118,26 @@ def read_source(spark: SparkSession, spec: SourceSpec, strict: bool = False) ->
     )
 
 
+def land(spark: SparkSession, spec: SourceSpec, path: str) -> SourceSpec:
+    """Landing step: a quoted CSV source (one task per file, as cells may hold line breaks) is
+    written once as parquet; the returned spec reads that, split as finely as the cluster likes.
+    A source that cannot be read is returned as it is, to be reported by ``source_status``."""
+    df = read_source(spark, spec)
+    if df is None:
+        return spec
+    df.select("title", "description").write.mode("overwrite").parquet(path)
+    return SourceSpec(spec.name, path, description="description", title="title" if spec.titled else None, rank=spec.rank)
+
+
 def source_status(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
     """One row per source ``(source, ok, reason, rows)``; row counts stay lazy."""
-    parts = []
+    parts = [local_table(spark, [], "source string, ok boolean, reason string, rows bigint")]
     for spec in specs:
-        try:
-            df = load_table(spark, spec)
-            missing = missing_columns(df, spec)
-        except Exception as exc:  # unreadable source: reported, not fatal
-            df, missing = None, [f"unreadable: {type(exc).__name__}"]
-        if missing:
-            parts.append(local_table(spark, 
-                [(spec.name, False, "missing " + ", ".join(missing), 0)],
-                "source string, ok boolean, reason string, rows bigint"))
+        df, faults = _open(spark, spec)
+        if faults:
+            parts.append(local_table(spark, [(spec.name, False, faults[0], 0)], "source string, ok boolean, reason string, rows bigint"))
         else:
             parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(spec.name).alias("source"), F.lit(True).alias("ok"),
                 F.lit(None).cast("string").alias("reason"), F.col("rows")))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts[1:] or parts)

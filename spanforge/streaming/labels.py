@@ -7,14 +7,14 @@ append mode: each micro-batch is tagged as it lands, with no state to keep.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.chunking import chunk_corpus
-from ..functions.text import clean_text
+from ..operators.chunking import chunk_corpus, clean_corpus
 from ..operators.tagging import refine_labels
 from ..session import checkpoint_dir
 from ..sources.dictionary import dictionary, term_list
@@ -31,17 +31,19 @@ def label_stream(spark: SparkSession, path: str, terms: Mapping[str, Iterable],
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.load(path)
-    clean = docs.select(F.col(id_col).alias("doc_id"), clean_text(F.col(text_col)).alias("text")).where("text != ''")
-    chunks = chunk_corpus(clean, max_len)
+    corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("description"))
+    chunks = chunk_corpus(clean_corpus(corpus), max_len)
     d, n = dictionary(spark, terms)
     x, _ = term_list(spark, exclusions)
-    return refine_labels(chunks, d, x, dict_rows=n)
+    return refine_labels(chunks, d, x, dict_bytes=n)
 
 
 def start_label_sink(labels: DataFrame, out: str, name: str = "labels", fmt: str = "parquet",
                      trigger_seconds: int | None = None) -> StreamingQuery:
-    """Append label rows to ``out``; progress is kept under the shared checkpoint folder."""
-    ckpt = f"{checkpoint_dir(labels.sparkSession).rstrip('/')}/stream-{name}"
+    """Append label rows to ``out``; progress is kept under the shared checkpoint folder, in a
+    folder of the stream's name and output, so two streams never share it and a restart finds it."""
+    mark = hashlib.md5(f"{name}|{fmt}|{out}".encode()).hexdigest()[:12]
+    ckpt = f"{checkpoint_dir(labels.sparkSession).rstrip('/')}/stream-{name}-{mark}"
     w = labels.writeStream.outputMode("append").option("checkpointLocation", ckpt).queryName(name)
     if trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")

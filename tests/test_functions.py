@@ -3,7 +3,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from spanforge.functions import clean_text, find_spans, pack, token_spans, argmax, pad, invert_map, literal_map
+from spanforge.functions import argmax, clean_text, find_spans, invert_map, literal_map, pack, pad, token_spans, word_tokens
+from spanforge.functions.text import WORD_TOKEN_PATTERN
 
 STOP = ["the", "is", "this", "it's"]
 
@@ -23,18 +24,6 @@ CLEAN_CASES = [
 ]
 
 
-def py_clean(text, stop):
-    """Brute-force reference of the cleaning chain (Python ``re``)."""
-    if not isinstance(text, str):
-        return ""
-    text = re.sub(r"<.*?>", "", text)
-    text = re.sub(r"[^a-zA-Z0-9.,'\" ]+", " ", text)
-    text = re.sub(r",", "", text)
-    text = re.sub(r"(?<!\w\.)\.(?!\s|$)", "", text)
-    text = re.sub(r"\s+", " ", text.lower()).strip()
-    return " ".join(w for w in text.split() if w not in stop)
-
-
 def test_clean_hand_cases(spark):
     df = spark.createDataFrame([(c[0],) for c in CLEAN_CASES], "t string")
     rows = df.select(clean_text("t", []).alias("a"), clean_text("t", STOP).alias("b")).collect()
@@ -42,20 +31,26 @@ def test_clean_hand_cases(spark):
         assert (r.a, r.b) == (cleaned, kept), src
 
 
-def test_clean_matches_python_on_random_text(spark):
+def test_cleaning_properties_on_random_text(spark):
     rnd = random.Random(7)
     alphabet = "ab .,.'\"<>\n\t-é9Z"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r.c for r in df.select(clean_text("t", STOP).alias("c")).collect()]
-    assert got == [py_clean(t, set(STOP)) for t in texts]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", clean_text("t", []).alias("c"), clean_text("t", STOP).alias("k"))
+    for r in df.select("t", "c", "k", clean_text("c", []).alias("again")).collect():
+        assert re.fullmatch(r"[a-z0-9.'\" ]*", r.c), r.t                      # alphabet, no comma, lower case
+        assert r.c == " ".join(r.c.split(" ")).strip() and "  " not in r.c, r.t  # squeezed
+        # a dot is followed by white space or the end, or stood right after a letter and a dot
+        assert all(m.end() == len(r.c) or r.c[m.end()] == " " or re.search(r"\w$", r.c[:m.start()]) for m in re.finditer(r"\.", r.c)), r.t
+        assert [w for w in r.c.split(" ") if w and w not in STOP] == [w for w in r.k.split(" ") if w], r.t
+        if "<" not in r.t and "." not in r.t and "," not in r.t:
+            assert r.again == r.c and re.findall("[a-z0-9]+", r.t.lower()) == re.findall("[a-z0-9]+", r.c), r.t
 
 
 def test_find_spans_equals_finditer(spark):
     rnd = random.Random(3)
-    texts = ["".join(rnd.choice("ab c.\n😀") for _ in range(rnd.randint(0, 30))) for _ in range(2000)]
+    texts = ["".join(rnd.choice("ab c.\n😀²नä_٣½") for _ in range(rnd.randint(0, 30))) for _ in range(2000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = df.select(find_spans("t", r"(?U)\b\w+\b").alias("s"), find_spans("t", r"a+b").alias("s2")).collect()
+    got = df.select(token_spans("t").alias("s"), find_spans("t", r"a+b").alias("s2")).collect()
     for t, r in zip(texts, got):
         assert [(x.text, x.start, x.end) for x in r.s] == [(m.group(0), *m.span()) for m in re.finditer(r"\b\w+\b", t)]
         assert [(x.text, x.start, x.end) for x in r.s2] == [(m.group(0), *m.span()) for m in re.finditer(r"a+b", t)]
@@ -94,27 +89,24 @@ def test_argmax_pad_invert(spark):
     assert (r.a, r.p, r.i) == (1, [1, 2, -100, -100], 1)
 
 
-def test_find_spans_long_rows_use_the_scan_and_stay_exact(spark):
+def test_spans_of_long_rows(spark):
     rnd = random.Random(11)
-    texts = [" ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6)))
-                      for _ in range(rnd.randint(257, 3000))) + rnd.choice(["", ".", " x"]) for _ in range(20)]
+    texts = [" ".join("".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 6)))
+                      for _ in range(rnd.randint(60, 3000))) + rnd.choice(["", ".", " x"]) for _ in range(20)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = df.select(find_spans("t", r"(?U)\b\w+\b").alias("s")).collect()
+    got = df.select(token_spans("t").alias("s"), find_spans("t", WORD_TOKEN_PATTERN).alias("n")).collect()
     for t, r in zip(texts, got):
-        assert [(x.text, x.start, x.end) for x in r.s] == [(m.group(0), *m.span()) for m in re.finditer(r"\b\w+\b", t)]
+        want = [(m.group(0), *m.span()) for m in re.finditer(r"\b\w+\b", t)]
+        assert [(x.text, x.start, x.end) for x in r.s] == want
+        assert [(x.text, x.start, x.end) for x in r.n] == want
 
 
-def _py_pack(lengths, max_len):
-    chunks, cur, n = [], [], 0
-    for x in lengths:
-        if n + x > max_len:
-            chunks.append(cur)
-            cur, n = [], 0
-        cur.append(x)
-        n += x
-    if cur:
-        chunks.append(cur)
-    return [" ".join(str(v) for v in c) for c in chunks]
+def test_tokens_are_python_words(spark):
+    texts = ["x²", "नमस्ते a", "½_٣ é́", "", None, "a😀b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", word_tokens("t").alias("w"), token_spans("t").alias("s")).collect():
+        want = re.findall(r"\b\w+\b", r.t or "")
+        assert [x.text for x in r.s] == want and (r.t is None or list(r.w) == want)
 
 
 def test_pack_long_documents_cross_blocks(spark):
@@ -123,4 +115,7 @@ def test_pack_long_documents_cross_blocks(spark):
     df = spark.createDataFrame([(d,) for d in docs], "l array<int>")
     got = df.select(pack(F.transform("l", lambda x: x.cast("string")), F.col("l"), 30, False).alias("p")).collect()
     for d, r in zip(docs, got):
-        assert r.p == _py_pack(d, 30)
+        chunks = [[int(x) for x in c.split(" ")] for c in r.p]
+        assert [x for c in chunks for x in c] == d              # nothing lost, order kept
+        assert all(sum(c) <= 30 for c in chunks)                # no unit here exceeds the bound
+        assert all(sum(a) + b[0] > 30 for a, b in zip(chunks, chunks[1:]))  # the next sentence did not fit

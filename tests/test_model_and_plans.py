@@ -1,38 +1,40 @@
-from pyspark.sql import functions as F
-
+from spanforge.operators.corpus import distinct_corpus, union_sources
 from spanforge.operators.dataset import train_val_split
 from spanforge.operators.evaluation import evaluate
 from spanforge.operators.scoring import CANDIDATE_SCHEMA, piece_candidate_scorer, score_tokens
-from spanforge.operators.tagging import merge_candidates, tag_words
-from spanforge.operators.training import predict_pairs, token_features, train_tagger
+from spanforge.operators.tagging import tag_words
+from spanforge.operators.training import load_tagger, predict_pairs, save_tagger, tag_text, token_features, train_tagger
 from spanforge.plans import queries as Q
 from spanforge.plans.corpus_job import run_corpus
 from spanforge.plans.fixtures import TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS
 from spanforge.plans.fixtures import test_specs as fixture_specs
+from spanforge.sources.dictionary import LABELS
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_tagger_beats_all_o_baseline(spark):
+def test_tagger_beats_all_o_baseline_and_is_saved(spark, tmp_path):
     wl = Q.gold_word_level(spark, SF)
     split = train_val_split(wl, "id", 0.8, 42)
     model, metrics = train_tagger(split.where("split = 'train'"), split.where("split = 'validation'"),
                                   grid=(0.0,), max_iter=15)
     r = evaluate(predict_pairs(model, token_features(split.where("split = 'validation'")))).first()
     assert r.f1 > 0.0 and r.tp > 0  # an all-O tagger has F1 = 0
-    assert metrics.count() == 1
+    assert [round(m.f1, 9) for m in metrics.collect()] == [round(r.f1, 9)]
+    save_tagger(model, metrics, str(tmp_path / "m"))
+    chunks = spark.createDataFrame([(1, 0, "rewh tion, x²"), (2, 0, None)], "doc_id long, chunk_no int, text string")
+    got = tag_text(chunks, load_tagger(str(tmp_path / "m"))).orderBy("pos").collect()
+    assert [(r.word, r.start, r.end) for r in got] == [("rewh", 0, 4), ("tion", 5, 9), ("x²", 11, 13)]
+    assert all(r.tag in dict(LABELS).values() for r in got) and spark.read.json(str(tmp_path / "m/metrics")).count() == 1
 
 
 def test_batch_scorer_feeds_the_word_tagger(spark):
-    chunks = Q.english_chunks(spark, SF).select("doc_id", "chunk_no", "text")
+    chunks = Q.doc_chunks(spark, SF).select("doc_id", "chunk_no", "text")
     cands = score_tokens(chunks, piece_candidate_scorer(4), CANDIDATE_SCHEMA)
-    native = Q.candidate_pieces(chunks)
-    assert sorted(map(tuple, cands.collect())) == sorted(map(tuple, native.collect()))
     d, x, n = Q.test_dictionary(spark)
-    via_model = tag_words(chunks, d, x, candidates=cands, dict_rows=n).select("doc_id", "chunk_no", "start", "end", "entity")
-    direct = tag_words(chunks, d, x, dict_rows=n).select("doc_id", "chunk_no", "start", "end", "entity")
+    via_model = tag_words(chunks, d, x, candidates=cands, dict_bytes=n).select("doc_id", "chunk_no", "start", "end", "entity")
+    direct = tag_words(chunks, d, x, dict_bytes=n).select("doc_id", "chunk_no", "start", "end", "entity")
     assert sorted(map(tuple, via_model.collect())) == sorted(map(tuple, direct.collect()))
-    assert merge_candidates(cands).count() == chunks.select(F.size(F.expr("regexp_extract_all(text, '\\\\b\\\\w+\\\\b', 0)")).alias("n")).agg(F.sum("n")).first()[0]
 
 
 def test_corpus_job_plan_has_one_exchange_before_tagging(spark):
@@ -41,11 +43,12 @@ def test_corpus_job_plan_has_one_exchange_before_tagging(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
     assert "SinglePartition" not in plan
-    # the distinct plans a partial aggregate below its hash exchange
+    # the distinct plans a partial aggregate below its hash exchange, and sorts no text
     assert plan.count("HashAggregate") >= 2
+    assert "SortAggregate" not in distinct_corpus(union_sources(spark, fixture_specs(SF), TITLE_KEYWORDS), specs=fixture_specs(SF))._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cleaning_chain_is_evaluated_once(spark):
-    plan = Q.english_chunks(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = Q.doc_chunks(spark, SF)._jdf.queryExecution().executedPlan().toString()
     # the inner-dot rule is part of the chain; it must appear in exactly one operator
     assert sum("(?<!" in line for line in plan.split("\n")) == 1

@@ -1,7 +1,6 @@
-from pyspark.sql import functions as F
-
-from spanforge.operators.corpus import distinct_corpus, keyword_filter, null_counts, union_sources
-from spanforge.sources.registry import PANDAS_NA_TOKENS, SourceSpec, read_source, source_status
+from spanforge.operators.corpus import distinct_corpus, keyword_filter, null_counts, require, union_sources
+from spanforge.operators.evaluation import best_run
+from spanforge.sources.registry import PANDAS_NA_TOKENS, SourceSpec, land, read_source, source_status
 
 
 def _csv(tmp_path, name, text):
@@ -50,7 +49,23 @@ def test_null_counts(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    from spanforge.plans.queries import english_docs
-    plan = english_docs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan
+    df = require(read_source(spark, SourceSpec("d", "/root/testdata/sf0.001/documents.parquet", description="text")), ["description"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(text)]" in plan and "ReadSchema: struct<text:string>" in plan
+
+
+def test_unreadable_and_no_sources(spark, tmp_path):
+    gone = SourceSpec("gone", str(tmp_path / "none.csv"), description="d", fmt="csv")
+    assert read_source(spark, gone) is None and union_sources(spark, [gone], []).count() == 0 and union_sources(spark, [], []).columns == ["source", "source_rank", "description"]
+    r = source_status(spark, [gone]).first()
+    assert (r.source, r.ok, r.rows) == ("gone", False, 0) and "unreadable" in r.reason and land(spark, gone, str(tmp_path / "x")) == gone
+
+
+def test_distinct_and_best_run_are_hash_aggregates(spark):
+    df = spark.createDataFrame([("a", 0, "x"), ("b", 1, "x"), ("b", 1, "y")], "source string, source_rank int, description string")
+    specs = [SourceSpec("a", "", "", rank=0), SourceSpec("b", "", "", rank=1)]
+    d = distinct_corpus(df, specs=specs)
+    assert "SortAggregate" not in d._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.source, r.description) for r in d.collect()) == [("a", "x"), ("b", "y")] == sorted((r.source, r.description) for r in distinct_corpus(df).collect())
+    m = spark.createDataFrame([("r", 1, 0.5), ("r", 3, 0.9), ("r", 2, 0.9), ("s", 4, None)], "run string, id int, f1 double")
+    assert [tuple(r) for r in best_run(m, "run", "f1", "id").collect()] == [("r", 2, 0.9)]

@@ -20,6 +20,6 @@ def test_stream_labels_equal_batch_labels(spark, tmp_path):
     from spanforge.operators.chunking import chunk_corpus, clean_corpus
     from spanforge.operators.tagging import refine_labels
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumnRenamed("text", "description")
-    batch = refine_labels(chunk_corpus(clean_corpus(docs)), d, x, dict_rows=n).select(
+    batch = refine_labels(chunk_corpus(clean_corpus(docs)), d, x, dict_bytes=n).select(
         "doc_id", "chunk_no", "start", "end", "entity").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, batch)) and len(got) > 0

@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from spanforge.operators.tagging import merge_candidates, refine_labels, tag_chunks, entity_counts
@@ -36,10 +38,25 @@ def test_reviewed_spans_are_whole_phrases(spark):
 def test_case_insensitive_phrase_and_keyless_term(spark):
     chunks = spark.createDataFrame([(1, 0, "Rewh  REWH x ++ --")], "doc_id long, chunk_no int, text string")
     d, n = dictionary(spark, {"tools": ["rewh rewh", "++ --"]})
-    got = sorted((r.start, r.end, r.entity) for r in refine_labels(chunks, d, None, dict_rows=n).collect())
+    got = sorted((r.start, r.end, r.entity) for r in refine_labels(chunks, d, None, dict_bytes=n).collect())
     assert (0, 4, "B-TOOLS") in got and (6, 10, "I-TOOLS") in got
 
 
+def test_large_dictionary_is_quick_and_joined_without_text(spark):
+    t0 = time.time()
+    d, n = dictionary(spark, {"tools": [f"term{i}" for i in range(100_000)] + ["tion"], "databases": ["rewh rewh"]})
+    assert d.count() == 100_002 and time.time() - t0 < 15
+    chunks = spark.createDataFrame([(i, 0, "rewh rewh tion term77 x") for i in range(40)], "doc_id long, chunk_no int, text string")
+    small, large = tag_chunks(chunks, d, None, n), tag_chunks(chunks, d, None, None)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) and small.count() == 40 * 4
+
+
+def test_empty_words_are_dropped_by_the_merge(spark):
+    c = spark.createDataFrame([(1, 0, 0, "", "1", 0), (1, 0, 1, "a", "2", 1)], "doc_id long, chunk_no int, seq int, word string, entity string, start int")
+    assert [r.word for r in merge_candidates(c).collect()] == ["a"]
+
+
 def test_merge_candidates_hand_case(spark):
     rows = [(1, 0, 0, "a", "1", 0), (1, 0, 1, "##b", "2", 1), (1, 0, 2, "c", "3", 3), (1, 0, 3, "##d", "0", 4),
             (1, 1, 0, "##x", "1", 0), (1, 1, 1, "y", "2", 4), (1, 1, 2, "z", "2", None)]
