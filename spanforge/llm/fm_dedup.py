@@ -2,17 +2,20 @@
 
 A window is a run of ``WINDOW`` words.  A word goes when a window that covers it also starts in
 a document with a smaller id.  Documents are cut where this can matter: the least of the
-4-word hashes in a window is its anchor, so equal windows have equal anchors, and the words
-around one anchor form a segment.  Segments whose anchor occurs in one document only are never
+4-word hashes in a window is its anchor (frequent ones, seen in several sampled documents, come
+last in that order), so equal windows have equal anchors.  The windows of one anchor follow each
+other; their words form a segment.  Segments whose anchor occurs in one document only are never
 moved.  The others are dealt to shards by anchor; each shard builds an FM-index (suffix order
 to ``DEPTH`` words, Burrows-Wheeler words in a wavelet matrix of packed bits) over its distinct
 segments.  Every segment is streamed through backward search, which computes the matching
 statistic of each position up to the window length; positions that reach it report the
 interval, and the smallest document id in the suffix-array range decides.
 
-Frequent anchors (in several of the sampled documents, so shared for certain) skip the grouping
-by anchor; their windows become segments of their own, dealt by the window's hash, and equal
-ones are reduced to the smallest id before the shuffle.  Exact copies need no search: all their
+A window gets a frequent anchor only if all its 4-word runs are frequent, as inside a passage that
+very many documents share.  Frequent anchors are shared for certain and skip the grouping by
+anchor.  Their segments are the same words in all these documents, and equal segments are
+reduced to the smallest id before the shuffle, so a passage held by a third of the corpus leaves
+few rows.  Exact copies need no search: all their
 windows start in the first copy.
 
 Defined cases: a null or empty text has no words and the hash of the empty string; a document
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import block_words, gram_hashes, text_blocks, written
+from .common import block_words, gram_hashes, mix64, text_blocks, written
 
 WINDOW = 13
 ANCHOR = 4
@@ -41,7 +44,10 @@ SAMPLE = 64
 FREQUENT = 1 << 19  # anchors, 4 MB
 
 
-def anchors(row: np.ndarray, h: np.ndarray):
+LAST = np.uint64(1 << 63)  # set in the anchors that are frequent
+
+
+def anchors(row: np.ndarray, h: np.ndarray, frequent: np.ndarray):
     """Anchor of every window: ``(index of the window's first word, index of its anchor, hash)``."""
     n = len(h)
     if n < WINDOW:
@@ -49,7 +55,8 @@ def anchors(row: np.ndarray, h: np.ndarray):
         return none, none, none.astype(np.uint64)
     g = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     at, hashes = gram_hashes(row, h, ANCHOR)
-    g[at] = hashes
+    hashes >>= np.uint64(1)
+    g[at] = np.where(_member(frequent, hashes), hashes | LAST, hashes)
     first = np.flatnonzero(row[:n - WINDOW + 1] == row[WINDOW - 1:])
     span = WINDOW - ANCHOR + 1
     low, where = g[first].copy(), first.copy()
@@ -65,15 +72,23 @@ def _row_words(offs, data):
     return row, h, np.searchsorted(row, np.arange(len(offs)))
 
 
+def _member(sorted_values, x):
+    if not len(sorted_values):
+        return np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
+    return sorted_values[at] == x
+
+
 def _sampled(batches):
     for batch in batches:
         for _lo, offs, data in text_blocks(batch.column(0)):
             row, h, _cut = _row_words(offs, data)
-            _f, where, low = anchors(row, h)
-            keep = np.unique(where, return_index=True)[1]
-            # one row per document and anchor
-            pair = np.unique(np.stack([row[where[keep]].astype(np.uint64), low[keep]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[1].view(np.int64))], ["a"])
+            at, g = gram_hashes(row, h, ANCHOR)
+            order = np.lexsort((g, row[at]))
+            r, g = row[at][order], g[order] >> np.uint64(1)
+            new = np.ones(len(g), bool)  # one row per document and run
+            new[1:] = (r[1:] != r[:-1]) | (g[1:] != g[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(g[new].view(np.int64))], ["a"])
 
 
 def frequent_anchors(rows: DataFrame) -> np.ndarray:
@@ -82,56 +97,55 @@ def frequent_anchors(rows: DataFrame) -> np.ndarray:
     return np.sort(np.asarray(n.orderBy(F.desc("n"), "a").limit(FREQUENT).toArrow()["a"]).astype(np.int64).view(np.uint64))
 
 
-def _member(sorted_values, x):
-    if not len(sorted_values):
-        return np.zeros(len(x), bool)
-    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
-    return sorted_values[at] == x
+def _runs(offs, data, freq):
+    """Runs of windows with one anchor: ``(words' codes, rows' bounds, row, first, last, anchor)``."""
+    row, h, cut = _row_words(offs, data)
+    first, where, low = anchors(row, h, freq)
+    new = np.ones(len(first), bool)
+    new[1:] = (where[1:] != where[:-1]) | (first[1:] != first[:-1] + 1)
+    at = np.flatnonzero(new)
+    last = first[np.append(at[1:], len(first)) - 1] if len(first) else first
+    return (h >> np.uint64(32)).astype(np.uint32), cut, row[first[at]], first[at], last, low[at]
 
 
 def _anchor_rows(shared):
+    """``(anchor, id)`` of the anchors that are not frequent."""
     def run(batches):
         freq = shared.value
         for batch in batches:
             ids = np.asarray(batch.column("fm_id"))
             for lo, offs, data in text_blocks(batch.column("fm_text")):
-                row, h, cut = _row_words(offs, data)
-                _f, where, low = anchors(row, h)
-                at = np.unique(where, return_index=True)[1]
-                where, low = where[at], low[at]
-                light = ~_member(freq, low)
-                where, low = where[light], low[light]
-                r = row[where]
-                yield pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(ids[lo + r].astype(np.int64)),
-                                                  pa.array((where - cut[r]).astype(np.int32))], ["a", "id", "pos"])
+                _code, _cut, row, _first, _last, low = _runs(offs, data, freq)
+                light = low < LAST
+                yield pa.RecordBatch.from_arrays([pa.array(low[light].view(np.int64)), pa.array(ids[lo + row[light]].astype(np.int64))], ["a", "id"])
     return run
 
 
+def _mark(row, anchor):
+    return mix64(anchor ^ mix64(row.astype(np.uint64)))
+
+
 def _segments(shared):
-    """Segments of each document: around its shared anchors, and windows of frequent ones."""
+    """Segments of each document with a shared or frequent anchor."""
     def run(batches):
         freq = shared.value
         for batch in batches:
-            ids, spots = np.asarray(batch.column("fm_id")), batch.column("spots")
+            ids, spots = np.asarray(batch.column("fm_id")), batch.column("spots").fill_null([])
             for lo, offs, data in text_blocks(batch.column("fm_text")):
-                row, h, cut = _row_words(offs, data)
-                code = (h >> np.uint64(32)).astype(np.uint32)
-                first, _where, low = anchors(row, h)
-                hot = first[_member(freq, low)]
-                hot_row = np.searchsorted(hot, cut)
-                out = []
-                for i in range(len(offs) - 1):
-                    doc, a, b = int(ids[lo + i]), int(cut[i]), int(cut[i + 1])
-                    for p, key in zip(*[iter(spots[lo + i].as_py() or ())] * 2):
-                        s, e = max(a, a + p - (WINDOW - ANCHOR)), min(b, a + p + WINDOW)
-                        out.append((key, doc, s - a, code[s:e].tobytes()))
-                    for s in hot[hot_row[i]:hot_row[i + 1]].tolist():
-                        raw = code[s:s + WINDOW].tobytes()
-                        out.append((int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True), doc, s - a, raw))
-                for k in range(0, len(out), 1 << 14):
-                    cols = list(zip(*out[k:k + (1 << 14)]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                                                     ["route", "id", "start", "words"])
+                code, cut, row, first, last, low = _runs(offs, data, freq)
+                mine = spots.slice(lo, len(offs) - 1)
+                known = np.repeat(np.arange(len(mine)), mine.value_lengths().to_numpy())
+                # a mark that agrees by accident only adds a segment
+                marks = np.sort(_mark(known, mine.flatten().to_numpy().view(np.uint64)))
+                keep = (low >= LAST) | _member(marks, _mark(row, low))
+                row, first, size, low = row[keep], first[keep], last[keep] - first[keep] + WINDOW, low[keep]
+                end = np.cumsum(size)
+                words = code[np.arange(int(end[-1]) if len(end) else 0) - np.repeat(end - size - first, size)]
+                bounds = np.concatenate(([0], 4 * end)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(low.view(np.int64)), pa.array(ids[lo + row].astype(np.int64)), pa.array((first - cut[row]).astype(np.int32)),
+                     pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(words.tobytes())])],
+                    ["route", "id", "start", "words"])
     return run
 
 
@@ -221,7 +235,7 @@ def shard_minima(words: list[np.ndarray], ids: np.ndarray) -> list[np.ndarray]:
 def _shard(table: pa.Table) -> pa.Table:
     words = [np.frombuffer(x.as_py(), np.uint32) for x in table["words"]]
     least = shard_minima(words, table["id"].to_numpy())
-    return pa.table({"route": table["route"], "words": table["words"], "least": pa.array([x.tolist() for x in least], pa.list_(pa.int64()))})
+    return pa.table({"route": table["route"], "same": table["words"], "least": pa.array([x.tolist() for x in least], pa.list_(pa.int64()))})
 
 
 def _cut(keep_text):
@@ -261,22 +275,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = written(hashed.join(firsts, "h").where("fm_id > low").select("fm_id").distinct(), "copies")
 
     # anchors that occur in several documents
-    spots = known.mapInArrow(_anchor_rows(shared), "a long, id long, pos int")
+    spots = known.mapInArrow(_anchor_rows(shared), "a long, id long")
     w = W.partitionBy("a")
     both = spots.withColumns({"low": F.min("id").over(w), "high": F.max("id").over(w)}).where("low < high")
-    # position and anchor alternate in one array, in no particular order
-    spots = both.groupBy("id").agg(F.flatten(F.collect_set(F.array(F.col("pos").cast("long"), F.col("a")))).alias("spots"))
-    feed = known.join(spots.withColumnRenamed("id", "fm_id"), "fm_id", "left").join(copies, "fm_id", "left_anti")
-    segments = written(feed.mapInArrow(_segments(shared), "route long, id long, start int, words binary"), "segments")
+    spots = both.groupBy("id").agg(F.collect_set("a").alias("spots"))
+    # merge joins at every size: the text is dealt by id once, whatever the other side's size
+    feed = known.join(spots.withColumnRenamed("id", "fm_id").hint("merge"), "fm_id", "left").join(copies.hint("merge"), "fm_id", "left_anti")
+    segments = feed.mapInArrow(_segments(shared), "route long, id long, start int, words binary")
+    segments = written(segments.withColumn("same", F.xxhash64("words")), "segments")
 
     total = segments.agg(F.sum(F.length("words") / 4).alias("w")).first().w or 0
     shards = int(total // SHARD_WORDS) + 1
-    texts = segments.groupBy("route", "words").agg(F.min("id").alias("id"), F.max("id").alias("high"))
-    least = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInArrow(_shard, "route long, words binary, least array<long>")
-    hits = segments.join(least, ["route", "words"]).select("id", F.expr(
-        "transform(filter(sequence(0, size(least) - 1), j -> size(least) > 0 AND get(least, j) < id), j -> j + start)").alias("at")).where("size(at) > 0")
+    texts = segments.groupBy("route", "words").agg(F.min("id").alias("id"))
+    least = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInArrow(_shard, "route long, same binary, least array<long>")
+    # route and a hash of the words stand for the words; within one anchor that is 64 bits more
+    least = least.select("route", F.xxhash64("same").alias("same"), "least")
+    hits = segments.select("route", "same", "id", "start").join(least, ["route", "same"]).select("id", F.expr(
+        "transform(filter(sequence(0, size(least) - 1), j -> get(least, j) < id), j -> j + start)").alias("at")).where("size(at) > 0")
     starts = hits.groupBy("id").agg(F.flatten(F.collect_list("at")).alias("fm_starts"))
-    feed = rows.join(starts.withColumnRenamed("id", "fm_id"), "fm_id", "left").join(copies.withColumn("fm_copy", F.lit(True)), "fm_id", "left")
+    feed = rows.join(starts.withColumnRenamed("id", "fm_id").hint("merge"), "fm_id", "left").join(copies.withColumn("fm_copy", F.lit(True)).hint("merge"), "fm_id", "left")
     feed = feed.select("fm_id", "fm_text", F.coalesce("fm_copy", F.lit(False)).alias("fm_copy"), "fm_starts")
     out = feed.mapInArrow(_cut(keep_text), "fm_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("fm_id", id_col)
