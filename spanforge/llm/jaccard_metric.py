@@ -6,9 +6,14 @@ elected where documents lie close: of the documents that share one of the first
 their sets (in one global order, frequent shingles last; two sets within the radius always
 share one) the smallest id is pivot, and the others join its region.  A document thus lies in
 the few regions whose pivots it is near to.  Regions are cut into blocks of neighbouring set
-sizes; only block pairs whose sizes the radius allows are joined.  Inside a block pair, pivots
-create Voronoi regions, documents within the triangle-inequality window ``d(y, q) <= d(y, home)
-+ 2 radius`` are replicated, and regions are joined recursively, down to exact comparison.
+sizes; only block pairs whose sizes the radius allows are joined.  A first look uses counts: how
+many of a set's shingles fall in each hash class, its overlap with that many pivot sets that
+divide all shingles.  There is about one class (one byte) per ``PER_CLASS`` shingles.  Their L1
+distance never exceeds |x ^ y|, so pairs beyond the bound are out, and only documents with a
+possible partner have their sets moved, once, to the group they are connected with.  Inside a
+group, pivots create Voronoi regions, documents within the triangle-inequality window
+``d(y, q) <= d(y, home) + 2 radius`` are replicated, and regions are joined recursively, down to
+exact comparison.
 
 Equal sets are first reduced to one representative; links come back as forests (never all pairs
 of a group), and components are found on these.
@@ -28,8 +33,10 @@ from pyspark.sql import functions as F
 from .common import block_words, gram_hashes, mix64, text_blocks, written
 from .graph import components
 
-# Shingles of one block of a region; a job holds two blocks (16 bytes a shingle).
+# Shingles of one block of a region (a document counts as 512 at least); a job holds two blocks.
 BLOCK_SHINGLES = 1 << 19
+PER_CLASS = 16
+MIN_CLASSES, MAX_CLASSES = 64, 4096
 LEAF = 48        # documents joined directly at the end of the recursion
 PIVOTS = 8       # pivots of one step of the recursion
 # The order's frequent shingles: counted in one of SAMPLE documents.  The order decides only
@@ -74,6 +81,12 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
     return np.asarray(top["s"]).astype(np.int64).view(np.uint64)[::-1]
 
 
+def n_classes(n: np.ndarray) -> np.ndarray:
+    """Hash classes of a set of ``n`` shingles: a power of two near ``n / PER_CLASS``."""
+    bits = np.ceil(np.log2(np.maximum(n, 1) / PER_CLASS)).astype(np.int64)
+    return np.clip(np.int64(1) << np.maximum(bits, 0), MIN_CLASSES, MAX_CLASSES)
+
+
 def _profiles(k, num, den, shared):
     def run(batches):
         freq = shared.value
@@ -91,6 +104,10 @@ def _profiles(k, num, den, shared):
                 if len(used):
                     sig[used, 0] = np.add.reduceat(mix64(g), first)
                     sig[used, 1] = np.add.reduceat(mix64(g ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first)
+                width = n_classes(n)
+                edge = np.concatenate(([0], np.cumsum(width)))
+                cls = (g >> np.uint64(32)).astype(np.int64) & (width[row] - 1)
+                counts = np.minimum(np.bincount(edge[row] + cls, minlength=edge[-1]), 255).astype(np.uint8)
                 late = np.zeros(len(g), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, g), len(known) - 1)
@@ -103,8 +120,9 @@ def _profiles(k, num, den, shared):
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, rows), pa.array(n.astype(np.int64)),
                      pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), rows, [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(prefix))],
-                    ["id", "n", "sig", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(prefix)),
+                     pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(edge.astype(np.int32).tobytes()), pa.py_buffer(counts.tobytes())])],
+                    ["id", "n", "sig", "prefix", "classes"])
     return run
 
 
@@ -119,11 +137,11 @@ def _sets(k):
                 out = []
                 for i in range(len(offs) - 1):
                     raw = g[cut[i]:cut[i + 1]].tobytes()
-                    out += [(j["p"], j["i"], j["j"], ids[lo + i].as_py(), raw) for j in jobs[lo + i].as_py()]
+                    out += [(*j.values(), ids[lo + i].as_py(), raw) for j in jobs[lo + i].as_py()]
                 for at in range(0, len(out), 512):
                     cols = list(zip(*out[at:at + 512]))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
-                                                     ["p", "i", "j", "id", "s"])
+                                                     [*JOB, "id", "s"])
     return run
 
 
@@ -216,31 +234,84 @@ def region_edges(ids, sets, num, den):
     return [(ids[i], ids[r]) for i in range(len(ids)) if (r := links.root(i)) != i and ids[i] != ids[r]]
 
 
-def _join(num, den):
-    """Join jobs from rows sorted by job; the last job of a batch waits for the next."""
-    def run(batches):
-        key, ids, sets = None, [], []
+def possible_groups(ids, sizes, counts, num, den):
+    """Groups of one job's documents that may link by the bound on the class counts: ``(root, id)``.
 
-        def done():
-            return region_edges(ids, sets, num, den) if len(ids) > 1 else []
+    ``counts`` is one array per document; a longer one is folded to the length of a shorter."""
+    order = np.lexsort((ids, sizes))
+    ids, sizes, counts = ids[order], sizes[order], [counts[i].astype(np.int32) for i in order]
+    width = np.array([len(c) for c in counts])  # never falls, as the sizes never do
+    links = Links(len(ids))
+    reach = np.searchsorted(sizes * num, sizes * den, "right")  # the last size that can link
+    for w in np.unique(width):
+        lo = int(np.searchsorted(width, w))
+        own = int(np.searchsorted(width, w, "right"))
+        hi = int(reach[own - 1])
+        rows = np.stack([c.reshape(-1, w).sum(0) for c in counts[lo:hi]])
+        for x in range(lo, own):
+            y = slice(x + 1, reach[x])
+            apart = np.abs(rows[x + 1 - lo:reach[x] - lo] - rows[x - lo]).sum(1)
+            # |x ^ y| is at most (den - num) / (den + num) of |x| + |y|
+            for k in np.flatnonzero(apart * (den + num) <= (den - num) * (sizes[y] + sizes[x])):
+                links.join(x, x + 1 + int(k))
+    root = np.array([links.root(x) for x in range(len(ids))])
+    several = np.bincount(root, minlength=len(ids))[root] > 1
+    return list(zip(ids[root[several]].tolist(), ids[several].tolist()))
+
+
+def _by_job(keys, columns, work, out_names):
+    """Run ``work(job, column slices)`` on each run of rows of one job; rows come sorted by job,
+    and the last job of a batch waits for the next batch."""
+    def run(batches):
+        def emit(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_n, t) in enumerate(out_names)], [n for n, _t in out_names])
 
+        held = None
         for batch in batches:
-            out = []
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("p", "i", "j"))))
-            for k, i, s in zip(keys, batch.column("id").to_pylist(), batch.column("s")):
-                if k != key:
-                    out += done()
-                    key, ids, sets = k, [], []
-                ids.append(i)
-                sets.append(np.frombuffer(s.as_py(), np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], ["a", "b"])
-        out = done()
-        yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], ["a", "b"])
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            k = np.stack([t[c].to_numpy() for c in keys])
+            cut = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1), t.num_rows]
+            held = t.slice(cut[-2])
+            yield emit([r for a, b in zip(cut[:-2], cut[1:-1]) if b - a > 1 for r in work(k[:, a], [t[c].slice(a, b - a) for c in columns])])
+        if held is not None and held.num_rows > 1:
+            yield emit(work([held[c][0].as_py() for c in keys], [held[c] for c in columns]))
     return run
 
 
-def region_jobs(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """``(id, jobs)``: the block pairs of regions that each document takes part in."""
+def _look(num, den):
+    def work(_job, cols):
+        ids, sizes = cols[0].to_numpy(), cols[1].to_numpy()
+        counts = [np.frombuffer(c, np.uint8) for c in cols[2].to_pylist()]
+        return possible_groups(ids, sizes, counts, num, den)
+    return _by_job(JOB, ["id", "n", "classes"], work, [("a", pa.int64()), ("b", pa.int64())])
+
+
+def _join(num, den):
+    def work(_job, cols):
+        return region_edges(cols[0].to_pylist(), [np.frombuffer(s, np.uint64) for s in cols[1].to_pylist()], num, den)
+    return _by_job(JOB, ["id", "s"], work, [("a", pa.int64()), ("b", pa.int64())])
+
+
+JOB = ("p", "i", "j")  # region or group, and two of its blocks
+
+
+def block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``(p, i, j, id, n)``: each member ``(p, id, n)`` in every block pair it takes part in.
+
+    Blocks hold neighbouring sizes; two blocks meet if some sizes in them allow a link."""
+    before = Window.partitionBy("p").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest("n", F.lit(512))
+    sized = written(members.withColumn("blk", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0)) / BLOCK_SHINGLES).cast("int")), "blocks")
+    blocks = sized.groupBy("p", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    pairs = blocks.alias("x").join(blocks.alias("y"), F.expr(f"x.p = y.p AND x.blk <= y.blk AND x.hi * {den} >= y.lo * {num}")).select(
+        F.col("x.p").alias("p"), F.col("x.blk").alias("i"), F.col("y.blk").alias("j"))
+    pairs = pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j"))))
+    return sized.join(pairs, ["p", "blk"]).select("p", "i", "j", "id", "n")
+
+
+def possible_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges ``(a, b)`` that connect documents which may link, by pivot regions and class counts."""
     seen = reps.select("id", "n", F.explode("prefix").alias("s"))
     w = Window.partitionBy("s")
     near = seen.withColumns({"p": F.min("id").over(w), "top": F.max("id").over(w)}).where("p < top")
@@ -249,12 +320,8 @@ def region_jobs(reps: DataFrame, num: int, den: int) -> DataFrame:
     # a document whose neighbours by size are out of reach has no partner in the region
     fit = (F.lag("n").over(w) * den >= F.col("n") * num) | (F.col("n") * den >= F.lead("n").over(w) * num)
     regions = regions.withColumn("fit", fit).where("fit").drop("fit")
-    sized = written(regions.withColumn("blk", F.floor((F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")) / BLOCK_SHINGLES).cast("int")), "regions")
-    blocks = sized.groupBy("p", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    pairs = blocks.alias("x").join(blocks.alias("y"), F.expr(f"x.p = y.p AND x.blk <= y.blk AND x.hi * {den} >= y.lo * {num}")).select(
-        F.col("x.p").alias("p"), F.col("x.blk").alias("i"), F.col("y.blk").alias("j"))
-    pairs = pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j"))))
-    return sized.join(pairs, ["p", "blk"]).groupBy("id").agg(F.collect_list(F.struct("p", "i", "j")).alias("jobs"))
+    rows = block_pairs(regions, num, den).join(reps.select("id", "classes"), "id")
+    return rows.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_look(num, den), "a long, b long")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -264,13 +331,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("jm_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("jm_text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, k))
-    prof = written(rows.mapInArrow(_profiles(k, num, den, shared), "id long, n long, sig binary, prefix array<long>"), "profiles")
+    prof = written(rows.mapInArrow(_profiles(k, num, den, shared), "id long, n long, sig binary, prefix array<long>, classes binary"), "profiles")
     full = prof.where("n > 0 AND id IS NOT NULL")
     first = full.groupBy("sig").agg(F.min("id").alias("rep"))
-    reps = full.join(first.withColumnRenamed("rep", "id"), ["sig", "id"]).select("id", "n", "prefix")
-    jobs = region_jobs(reps, num, den)
-    sets = rows.join(jobs.withColumnRenamed("id", "jm_id"), "jm_id").mapInArrow(_sets(k), "p long, i int, j int, id long, s binary")
-    edges = sets.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j").mapInArrow(_join(num, den), "a long, b long")
+    reps = full.join(first.withColumnRenamed("rep", "id"), ["sig", "id"]).select("id", "n", "prefix", "classes")
+    groups = components(possible_edges(reps, num, den)).select(F.col("component").alias("p"), F.col("node").alias("id"))
+    members = groups.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id").select("p", "id", "n")
+    jobs = block_pairs(members, num, den).groupBy("id").agg(F.collect_list(F.struct(*JOB)).alias("jobs"))
+    sets = rows.join(jobs.withColumnRenamed("id", "jm_id").hint("merge"), "jm_id").mapInArrow(_sets(k), "p long, i int, j int, id long, s binary")
+    edges = sets.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_join(num, den), "a long, b long")
     # equal ids with different texts are one node already; equal sets link through their representative
     found = components(edges)
     groups = first.join(found, first.rep == found.node, "left").select("sig", F.coalesce("component", "rep").alias("component"))
