@@ -95,12 +95,12 @@ def codewords(k: int) -> np.ndarray:
     return best
 
 
-def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 120, decay: float = 1e-4) -> np.ndarray:
-    """Weights (features + bias, bits) of logistic regressions, classes weighed evenly."""
-    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
+def fit_bits(x1: np.ndarray, y: np.ndarray, steps: int = 120, decay: float = 1e-4) -> np.ndarray:
+    """Weights (features + bias, bits) of logistic regressions, classes weighed evenly; the last
+    column of ``x1`` is 1."""
     w = np.zeros((x1.shape[1], y.shape[1]), np.float32)
     pos = (y > 0).mean(0).clip(1e-3, 1 - 1e-3)
-    weight = np.where(y > 0, 0.5 / pos, 0.5 / (1 - pos)).astype(np.float32) / len(x)
+    weight = np.where(y > 0, 0.5 / pos, 0.5 / (1 - pos)).astype(np.float32) / len(x1)
     last = w
     for t in range(steps):
         look = w + (t / (t + 3)) * (w - last)
@@ -147,10 +147,9 @@ def _sample_vectors(batches):
         idx, val = [], []
         for _i, counts in row_vectors(batch.column("text")):
             at = np.flatnonzero(counts)
-            idx.append(at.astype(np.int32))
-            val.append(counts[at])
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(idx, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.int64()))],
-                                         ["lang", "idx", "val"])
+            idx.append(at.astype(np.int16).tobytes())
+            val.append(_scaled(counts)[at].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(idx, pa.binary()), pa.array(val, pa.binary())], ["lang", "idx", "val"])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -158,22 +157,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit the model on the rows where ``learn`` holds and the label is not null."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & (learn if learn is not None else F.lit(True))).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("key"))
-    got = sample_rows(rows, F.col("key")).mapInArrow(_sample_vectors, "lang string, idx array<int>, val array<long>").collect()
-    got = sorted(got, key=lambda r: (r.lang, r.idx, r.val))
-    langs = sorted({r.lang for r in got})
+    got = sample_rows(rows, F.col("key")).mapInArrow(_sample_vectors, "lang string, idx binary, val binary").toArrow().to_pylist()
+    got = sorted(got, key=lambda r: (r["lang"], r["idx"], r["val"]))
+    langs = sorted({r["lang"] for r in got})
     if len(langs) < 2:
         return Model(langs)
-    x = np.zeros((len(got), FEATURES), np.float32)
+    x = np.zeros((len(got), FEATURES + 1), np.float32)  # at most SAMPLE_ROWS rows, 33 MB
+    x[:, -1] = 1
     for i, r in enumerate(got):
-        counts = np.zeros(FEATURES, np.int64)
-        counts[r.idx] = r.val
-        x[i] = _scaled(counts)
-    lang = np.array([langs.index(r.lang) for r in got])
+        x[i, np.frombuffer(r["idx"], np.int16)] = np.frombuffer(r["val"], np.float32)
+    lang = np.array([langs.index(r["lang"]) for r in got])
     code = codewords(len(langs))
     y = code[lang].astype(np.float32)
     back = np.arange(len(got)) % 4 == 3  # held back to weigh the bits
     fitted = fit_bits(x[~back], y[~back])
-    hit = ((x[back] @ fitted[:-1] + fitted[-1]) * y[back] > 0)
+    hit = (x[back] @ fitted) * y[back] > 0
     trust = np.array([(hit[lang[back] == k].sum(0) + 1) / ((lang[back] == k).sum() + 2) for k in range(len(langs))])
     trust = trust / trust.sum(1, keepdims=True) * code.shape[1]
     return Model(langs, code, fit_bits(x, y), trust.astype(np.float32))
