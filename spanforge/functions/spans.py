@@ -115,8 +115,8 @@ def token_spans(c: Column | str) -> Column:
     """F11 + F12: word tokens with offsets, ``array<struct<text, start, end>>``.
 
     Searching each token from the end of the previous one lands on the maximal word runs, so
-    the run bounds are the offsets.  One Arrow batch is scanned at once with array operations
-    (figures against the column-function form are in the README); a null text has no tokens.
+    the run bounds are the offsets.  One Arrow batch is scanned at once with array operations;
+    a null text has no tokens.
     """
     text = F.col(c) if isinstance(c, str) else c
     return F.arrow_udf(_span_arrays, SPAN_TYPE)(text)
