@@ -299,28 +299,35 @@ JOB = ("p", "i", "j")  # region or group, and two of its blocks
 def block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
     """``(p, i, j, id, n)``: each member ``(p, id, n)`` in every block pair it takes part in.
 
-    Blocks hold neighbouring sizes; two blocks meet if some sizes in them allow a link."""
-    before = Window.partitionBy("p").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, -1)
+    Blocks hold neighbouring sizes; two blocks meet if some sizes in them allow a link.  Blocks
+    are laid out on the counts of a region's sizes, so the window sees one row per size, however
+    many members there are; members of one size are dealt to its blocks by their id.  A member
+    whose size has no other within reach has no partner and gets no block."""
+    before = Window.partitionBy("p").orderBy("n")
     weight = F.greatest("n", F.lit(512))
-    sized = written(members.withColumn("blk", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0)) / BLOCK_SHINGLES).cast("int")), "blocks")
+    sizes = members.groupBy("p", "n").agg(F.count("*").alias("c"))
+    sizes = sizes.withColumns({
+        "fit": (F.col("c") > 1) | (F.lag("n").over(before) * den >= F.col("n") * num) | (F.col("n") * den >= F.lead("n").over(before) * num),
+        "begin": F.coalesce(F.sum(weight * F.col("c")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    # written: the join then has an exchange on both sides, and a large region's can be split
+    sizes = written(sizes.where("fit").drop("fit"), "sizes")
+    place = F.col("begin") + F.pmod(F.xxhash64("id"), F.col("c")) * weight
+    sized = members.join(sizes, ["p", "n"]).select("p", "id", "n", F.floor(place / BLOCK_SHINGLES).cast("int").alias("blk"))
+    sized = written(sized, "blocks")
     blocks = sized.groupBy("p", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     pairs = blocks.alias("x").join(blocks.alias("y"), F.expr(f"x.p = y.p AND x.blk <= y.blk AND x.hi * {den} >= y.lo * {num}")).select(
         F.col("x.p").alias("p"), F.col("x.blk").alias("i"), F.col("y.blk").alias("j"))
-    pairs = pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j"))))
+    pairs = written(pairs.withColumn("blk", F.explode(F.array_distinct(F.array("i", "j")))), "pairs")
     return sized.join(pairs, ["p", "blk"]).select("p", "i", "j", "id", "n")
 
 
 def possible_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
     """Edges ``(a, b)`` that connect documents which may link, by pivot regions and class counts."""
     seen = reps.select("id", "n", F.explode("prefix").alias("s"))
-    w = Window.partitionBy("s")
-    near = seen.withColumns({"p": F.min("id").over(w), "top": F.max("id").over(w)}).where("p < top")
-    regions = near.groupBy("p", "id").agg(F.max("n").alias("n"))
-    w = Window.partitionBy("p").orderBy("n", "id")
-    # a document whose neighbours by size are out of reach has no partner in the region
-    fit = (F.lag("n").over(w) * den >= F.col("n") * num) | (F.col("n") * den >= F.lead("n").over(w) * num)
-    regions = regions.withColumn("fit", fit).where("fit").drop("fit")
-    rows = block_pairs(regions, num, den).join(reps.select("id", "classes"), "id")
+    pivots = seen.groupBy("s").agg(F.min("id").alias("p"), F.max("id").alias("top")).where("p < top").select("s", "p")
+    # an aggregate and a join, as one shingle may be in very many documents
+    regions = seen.join(written(pivots, "pivots"), "s").groupBy("p", "id").agg(F.max("n").alias("n"))
+    rows = block_pairs(written(regions, "regions"), num, den).join(reps.select("id", "classes"), "id")
     return rows.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_look(num, den), "a long, b long")
 
 
@@ -337,12 +344,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = full.join(first.withColumnRenamed("rep", "id"), ["sig", "id"]).select("id", "n", "prefix", "classes")
     groups = components(possible_edges(reps, num, den)).select(F.col("component").alias("p"), F.col("node").alias("id"))
     members = groups.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id").select("p", "id", "n")
-    jobs = block_pairs(members, num, den).groupBy("id").agg(F.collect_list(F.struct(*JOB)).alias("jobs"))
+    jobs = block_pairs(written(members, "members"), num, den).groupBy("id").agg(F.collect_list(F.struct(*JOB)).alias("jobs"))
     sets = rows.join(jobs.withColumnRenamed("id", "jm_id").hint("merge"), "jm_id").mapInArrow(_sets(k), "p long, i int, j int, id long, s binary")
     edges = sets.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_join(num, den), "a long, b long")
     # equal ids with different texts are one node already; equal sets link through their representative
     found = components(edges)
-    groups = first.join(found, first.rep == found.node, "left").select("sig", F.coalesce("component", "rep").alias("component"))
+    groups = written(first.join(found, first.rep == found.node, "left").select("sig", F.coalesce("component", "rep").alias("component")), "groups")
     out = prof.select("id", "n", "sig").join(groups, "sig", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"))
