@@ -12,8 +12,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)``: for every node of an edge the smallest node it is connected to.
 
     Alternates large-star and small-star steps until the edges are a star around each
-    smallest node.  Each step is an aggregate and a join on the node (split when skewed);
-    the edges never grow in number, and every round is written to the shared folder."""
+    smallest node.  Each step is an aggregate and a join on the node.  The aggregate is written
+    first: the join then has an exchange on both sides, which Spark can split when a node is
+    hot.  The edges never grow in number, and every round is written to the shared folder."""
     e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     mark = None
     while True:
@@ -22,9 +23,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())
         mark = (now.n, now.h)
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         e = written(small.where("u <> v").distinct(), "edges")
