@@ -272,7 +272,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # exact copies of a text with a smaller id
     hashed = known.select("fm_id", F.md5("fm_text").alias("h"))
     firsts = hashed.groupBy("h").agg(F.min("fm_id").alias("low"), F.max("fm_id").alias("high")).where("low < high").select("h", "low")
-    copies = written(hashed.join(firsts, "h").where("fm_id > low").select("fm_id").distinct(), "copies")
+    # written: the join then has an exchange on both sides, and a hot text's can be split
+    copies = written(hashed.join(written(firsts, "firsts"), "h").where("fm_id > low").select("fm_id").distinct(), "copies")
 
     # anchors that occur in several documents
     spots = known.mapInArrow(_anchor_rows(shared), "a long, id long")
