@@ -47,8 +47,8 @@ def captures(pages: DataFrame, id_col: str, url_col: str, body_col: str, ts=None
     Among records with equal payloads of at least ``min_bytes`` bytes the largest id is the
     response and the others revisit it; smaller payloads are all responses.  The choice
     needs a digest-to-largest-id table only, aggregated before its shuffle; a payload held
-    by a large share of the rows leaves one row per task there, and its join back is split
-    by the adaptive skew join.
+    by a large share of the rows leaves one row per task there.  The table is written, so that
+    the join back has an exchange on both sides, which the adaptive skew join can split.
     """
     body = F.coalesce(F.col(body_col).cast("string"), F.lit(""))
     rows = pages.select(
@@ -60,7 +60,7 @@ def captures(pages: DataFrame, id_col: str, url_col: str, body_col: str, ts=None
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), body.alias("body")).where(
         F.octet_length("body") >= min_bytes).select(F.sha1(F.encode("body", "UTF-8")).alias("digest"), "id")
     firsts = keyed.groupBy("digest").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(firsts, "digest", "left")
+    rows = rows.join(written(firsts, "firsts"), "digest", "left")
     revisit = F.col("top").isNotNull() & ~F.col("id").eqNullSafe(F.col("top"))
     return rows.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
         "refers_to", F.when(revisit, F.col("top"))).drop("top")
