@@ -1,12 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Every ``SEED``-word run of a test item is a possible seed.  A first pass counts, for each, the
-documents of the whole corpus that hold it.  A seed is rare if that is at most ``COMMON`` times
-the median of its item's seeds (or 8), so common phrases fall out, while an item that has leaked
-into a third of the corpus keeps its seeds; the ``MIN_SEEDS`` rarest always stay.  Rare seeds are
-looked up in a second pass.  Where two seeds of an item fall on nearby diagonals of a document, the
-passage around them is aligned with the item word by word; the best local score over the score of
-a perfect copy is the row's ``score``.  Edited or paraphrased copies lose little by it.
+Every ``SEED``-word run of a test item is a seed, and every seed is looked up, however many
+documents hold it: an edited copy that stands in many documents makes its own seeds frequent, so
+no count of documents can tell such seeds from common phrases.  Where a seed matches, the
+words of the item that the passage holds at all bound the score; if the bound reaches the
+threshold, the passage is aligned with the item word by word; the best local score over the score
+of a perfect copy is the row's ``score``.  Edited or paraphrased copies lose little by it.
 
 Test items are taken in blocks of ``BLOCK_WORDS`` words, so what is broadcast has a fixed bound;
 documents are only read, never shuffled.
@@ -27,8 +26,6 @@ from pyspark.sql.types import StructField, StructType
 from .common import NOT_WORD, block_words, gram_hashes, text_blocks
 
 SEED = 3
-MIN_SEEDS = 8
-COMMON = 4
 BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.55
@@ -52,21 +49,6 @@ class Items:
         self.hash, self.item, self.pos = h[order].astype(np.uint64), item[order], pos[order]
         self.keys = np.unique(self.hash)
 
-    def rarest(self, df: np.ndarray) -> None:
-        """Keep the rare seeds of each item (``df``: documents per key)."""
-        n = df[np.searchsorted(self.keys, self.hash)]
-        keep = np.zeros(len(self.hash), bool)
-        by_item = np.argsort(self.item, kind="stable")
-        cut = np.searchsorted(self.item[by_item], np.arange(len(self.words) + 1))
-        for k in range(len(self.words)):
-            own = by_item[cut[k]:cut[k + 1]]
-            own = own[np.lexsort((self.pos[own], n[own]))]
-            if len(own):
-                keep[own[:MIN_SEEDS]] = True
-                keep[own[n[own] <= max(8, COMMON * np.median(n[own]))]] = True
-        self.hash, self.item, self.pos = self.hash[keep], self.item[keep], self.pos[keep]
-        self.keys = np.unique(self.hash)
-
 
 def align(doc: np.ndarray, item: np.ndarray):
     """Best local alignment: ``(score, first, last word)`` in ``doc``.
@@ -116,22 +98,6 @@ def load_items(benchmark: DataFrame, id_col: str, text_col: str):
         yield Items([r.i for r in got], words)
 
 
-def _counts(shared):
-    def run(batches):
-        keys = shared.value.keys
-        df = np.zeros(len(keys), np.int64)
-        for batch in batches:
-            for _lo, offs, data in text_blocks(batch.column(0)):
-                row, h = _words(offs, data)
-                at, g = gram_hashes(row, h, SEED)
-                k = np.minimum(np.searchsorted(keys, g), max(0, len(keys) - 1))
-                hit = keys[k] == g if len(keys) else np.zeros(len(g), bool)
-                df += np.bincount(np.unique(row[at][hit] * np.int64(len(keys)) + k[hit]) % max(1, len(keys)), minlength=len(keys))
-        used = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(df[used])], ["k", "n"])
-    return run
-
-
 def document_hits(words: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, items: Items):
     """Hits of one document from its seed matches: ``at`` word positions, ``lo:hi`` seed rows."""
     size = hi - lo
@@ -145,14 +111,14 @@ def document_hits(words: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndar
     for a, b in zip([0, *cut], [*cut, len(item)]):
         k = int(item[a])
         w = items.words[k]
-        if len(np.unique(pos[a:b])) < (2 if len(w) >= MIN_SEEDS else 1):
-            continue
         seen = None
         for d in diag[a:b][np.concatenate(([True], np.diff(diag[a:b]) > 0))].tolist():
             if seen is not None and d - seen <= SLACK:
                 continue
             seen = d
             s, e = max(0, d - SLACK), min(len(words), d + len(w) + 2 * SLACK)
+            if np.isin(w, words[s:e]).sum() < THRESHOLD * len(w):  # no alignment can reach it
+                continue
             score, x, y = align(words[s:e], w)
             score = score / (MATCH * len(w))
             if score >= THRESHOLD and score > best.get(k, (0,))[0]:
@@ -192,11 +158,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     out = docs.select(*columns, F.array().cast(HITS).alias("dc_hits"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     for items in load_items(benchmark, item_id_col, item_text_col):
-        counted = docs.select(text.alias("dc_text")).mapInArrow(_counts(sc.broadcast(items)), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-        df = np.zeros(len(items.keys), np.int64)
-        for r in counted.toLocalIterator():  # one row per seed of the block
-            df[r.k] = r.n
-        items.rarest(df)
         fields = docs.select(*columns).schema.fields + [StructField("dc_hits", out.schema["dc_hits"].dataType)]
         found = out.select(*columns, "dc_hits", text.alias("dc_text"))
         found = found.withColumnRenamed("dc_hits", "dc_before")

@@ -85,6 +85,25 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert all(r.dc_hits for r in got if 100 <= r.doc_id < 500 and r.text) and not any(r.dc_hits for r in got if r.doc_id < 40)
 
 
+@pytest.mark.parametrize("every", [4, 5])
+def test_one_edited_copy_in_many_documents_is_found(spark, every):
+    item = prose(38, 5100)
+    copy = edited(item, every, every - 1)
+    rows = [(k, prose(30, 5200 + k) + " " + copy + " " + prose(30, 5300 + k)) for k in range(50)] + [(100 + k, item) for k in range(5)] + [(200, prose(90, 5400))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.dc_hits for r in decontam.find_leaks(d, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert not got.pop(200)
+    for i, t in rows[:-1]:
+        assert [round(h.score, 9) for h in got[i]] == [round(brute.local_score(t.split(), item.split()) / 76, 9)]
+
+
+def test_a_copy_with_one_seed_is_found(spark):
+    item = "a1 a2 a3 a4 a5 a6 a7 a8 a9"
+    d = spark.createDataFrame([(1, "z a1 a2 a3 x a5 a6 x a8 a9 z")], "doc_id long, text string")
+    got = decontam.find_leaks(d, spark.createDataFrame([(1, item)], "item_id long, text string")).first().dc_hits
+    assert [(h.score, h.start_word, h.end_word) for h in got] == [(12 / 18, 1, 9)]
+
+
 def test_decontamination_of_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(empty, bench).count() == 0
