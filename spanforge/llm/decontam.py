@@ -5,7 +5,8 @@ documents hold it: an edited copy that stands in many documents makes its own se
 no count of documents can tell such seeds from common phrases.  Where a seed matches, the
 words of the item that the passage holds at all bound the score; if the bound reaches the
 threshold, the passage is aligned with the item word by word; the best local score over the score
-of a perfect copy is the row's ``score``.  Edited or paraphrased copies lose little by it.
+of a perfect copy is the row's ``score``.  Edited or paraphrased copies lose little by it.  The
+passage reaches as far around a seed as an alignment at the threshold can have gaps.
 
 Test items are taken in blocks of ``BLOCK_WORDS`` words, so what is broadcast has a fixed bound;
 documents are only read, never shuffled.
@@ -29,7 +30,6 @@ SEED = 3
 BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.55
-SLACK = 8  # words by which an edited copy may shift
 HITS = "array<struct<item_id:bigint,score:double,start_word:bigint,end_word:bigint>>"
 
 
@@ -98,31 +98,33 @@ def load_items(benchmark: DataFrame, id_col: str, text_col: str):
         yield Items([r.i for r in got], words)
 
 
+def reach(n: int) -> int:
+    """Words that may be inserted or lost in all by an alignment of ``n`` words at the threshold."""
+    return int(MATCH * n * (1 - THRESHOLD) / -GAP + 1e-9)
+
+
 def document_hits(words: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, items: Items):
     """Hits of one document from its seed matches: ``at`` word positions, ``lo:hi`` seed rows."""
     size = hi - lo
     rows = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-    item, pos, where = items.item[rows], items.pos[rows], np.repeat(at, size)
-    diag = where - pos
-    order = np.lexsort((where, diag, item))
-    item, pos, where, diag = item[order], pos[order], where[order], diag[order]
-    cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(diag) > SLACK)) + 1
+    item, diag = items.item[rows], np.repeat(at, size) - items.pos[rows]
+    order = np.lexsort((diag, item))
+    item, diag = item[order], diag[order]
+    far = np.array([reach(len(items.words[k])) for k in item[:-1].tolist()], np.int64)
+    cut = np.flatnonzero((np.diff(item) != 0) | (np.diff(diag) > far)) + 1
     best = {}
     for a, b in zip([0, *cut], [*cut, len(item)]):
         k = int(item[a])
         w = items.words[k]
-        seen = None
-        for d in diag[a:b][np.concatenate(([True], np.diff(diag[a:b]) > 0))].tolist():
-            if seen is not None and d - seen <= SLACK:
-                continue
-            seen = d
-            s, e = max(0, d - SLACK), min(len(words), d + len(w) + 2 * SLACK)
-            if np.isin(w, words[s:e]).sum() < THRESHOLD * len(w):  # no alignment can reach it
-                continue
-            score, x, y = align(words[s:e], w)
-            score = score / (MATCH * len(w))
-            if score >= THRESHOLD and score > best.get(k, (0,))[0]:
-                best[k] = (score, s + x, s + y)
+        # an alignment through a seed leaves its diagonal by no more than the reach
+        g = reach(len(w))
+        s, e = max(0, int(diag[a]) - g), min(len(words), int(diag[b - 1]) + len(w) + g)
+        if np.isin(w, words[s:e]).sum() < THRESHOLD * len(w):  # no alignment can reach it
+            continue
+        score, x, y = align(words[s:e], w)
+        score = score / (MATCH * len(w))
+        if score >= THRESHOLD and score > best.get(k, (0,))[0]:
+            best[k] = (score, s + x, s + y)
     return [{"item_id": items.ids[k], "score": v[0], "start_word": v[1], "end_word": v[2]} for k, v in sorted(best.items())]
 
 

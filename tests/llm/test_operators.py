@@ -104,6 +104,28 @@ def test_a_copy_with_one_seed_is_found(spark):
     assert [(h.score, h.start_word, h.end_word) for h in got] == [(12 / 18, 1, 9)]
 
 
+def test_insertions_and_deletions_of_every_length_are_found(spark):
+    items = {n: prose(n, 5500 + n).split() for n in (38, 59)}
+    rows = []
+    for n, w in items.items():
+        h = n // 2
+        for k in range(1, 2 * n):
+            rows.append(prose(9, k).split() + w[:h] + prose(k, 5600 + k).split() + w[h:] + prose(9, k).split())
+        for k in range(1, n - 5):
+            rows.append(prose(60, k).split() + w[:(n - k) // 2] + w[(n - k) // 2 + k:] + prose(60, k + 1).split())
+            rows.append(w[:n // 3] + prose(k, k).split() + w[n // 3:2 * n // 3] + prose(k // 2, k).split() + w[2 * n // 3 + k // 8:])
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = 0
+    for r in decontam.find_leaks(d, bench).collect():
+        want = {n: s for n, w in items.items() if (s := brute.local_score(rows[r.doc_id], w) / (2 * n)) >= decontam.THRESHOLD}
+        assert {h.item_id: round(h.score, 9) for h in r.dc_hits} == {n: round(s, 9) for n, s in want.items()}
+        for h in r.dc_hits:
+            assert round(brute.local_score(rows[r.doc_id][h.start_word:h.end_word + 1], items[h.item_id]) / (2 * h.item_id), 9) == round(h.score, 9)
+        found += bool(want)
+    assert 100 < found < len(rows)
+
+
 def test_decontamination_of_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(empty, bench).count() == 0
