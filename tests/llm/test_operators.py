@@ -275,6 +275,44 @@ def test_losses_equal_a_plain_model(spark):
         assert w[:2] == m[:2] and all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(w[2:], m[2:]))
 
 
+def test_every_byte_run_has_its_own_count(spark, monkeypatch):
+    # more distinct runs than any fixed table of half a million cells can tell apart
+    r = random.Random(5)
+    rows = [(i, "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(2000))) for i in range(150)]
+    rows += [(900, "abcdefgh" * 20), (901, "abcdefgi" * 20), (None, "abcd" * 9)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (0, 1, 900)], "doc_id long, quality int")
+
+    def plain(texts, scored):
+        counts = {}
+        for t in texts:
+            b = t.encode()
+            for n in range(lm_xent.ORDER + 1):
+                for i in range(len(b) - n + (n > 0)):
+                    counts[b[i:i + n]] = counts.get(b[i:i + n], 0) + 1
+        out = {}
+        for k, t in scored:
+            b, loss = t.encode(), 0.0
+            for i in range(len(b)):
+                p = 1 / 256
+                for n in range(1, min(lm_xent.ORDER, i + 1) + 1):
+                    p = (counts.get(b[i - n + 1:i + 1], 0) + lm_xent.PRIOR * p) / (counts.get(b[i - n + 1:i], 0) + lm_xent.PRIOR)
+                loss -= np.log(p)
+            out[k] = loss / len(b)
+        return out, len(counts)
+
+    few = [x for x in rows if x[0] in (0, 5, 900, 901, None)]
+    (target, _n), (background, n) = plain([t for i, t in rows if i in (0, 1, 900)], few), plain([t for _i, t in rows], few)
+    assert n > 1_200_000
+    for size in (1 << 25, 1 << 16):  # one block, and many
+        monkeypatch.setattr(lm_xent, "BLOCK", size, raising=False)
+        got = {x.doc_id: x for x in lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect()}
+        assert len(got) == len(rows)
+        for k, _t in few:
+            assert abs(got[k].loss_target - target[k]) < 1e-9 and abs(got[k].loss_background - background[k]) < 1e-9
+        assert got[900].xent_diff < got[901].xent_diff
+
+
 def test_scoring_without_target_or_rows(spark, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert lm_xent.cross_entropy_difference(empty, none, F.col("quality") == 1).count() == 0
