@@ -8,6 +8,10 @@ cannot reach it (length filter), nor one whose first common token leaves too few
 the template or in the block's own ordered template tokens (positional filter).  The pairs that
 remain are counted exactly.
 
+A notice may also wrap over lines.  Runs of neighbouring words of the whole text, as long as the
+template, are therefore held against it as well.  A run that meets the threshold holds one of the
+template's prefix tokens, so only the words around these are taken from the text.
+
 Templates are a short fixed list, so joining blocks with their postings is a broadcast of proven
 size; blocks never meet each other.  Rows are regrouped by id and a hash of the text.
 
@@ -120,11 +124,40 @@ def similar_blocks(rows: DataFrame, order: list[str]) -> DataFrame:
         "ls_id", "ls_key", "ls_line", "label", (shared / F.size("own")).alias("containment"))
 
 
+def similar_runs(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``(ls_id, ls_key, label, containment)``: runs of a text's words, over line ends, that meet the threshold."""
+    rank = {t: i for i, t in enumerate(order)}
+    postings, longest = [], max(len(text.split()) for _l, text in TEMPLATES)
+    for (label, text), (_l, tokens, need) in zip(TEMPLATES, template_sets()):
+        own = sorted(tokens, key=rank.get)
+        postings += [F.struct(F.lit(t).alias("token"), F.lit(label).alias("label"), F.lit(need).alias("need"), F.lit(len(text.split())).alias("n"),
+                              F.array(*[F.lit(x) for x in own]).alias("own")) for t in own[:len(own) - need + 1]]
+    index = rows.sparkSession.range(1).select(F.inline(F.array(*postings)))
+    prefix = F.array(*[F.lit(t) for t in sorted({t for _l, tokens, need in template_sets() for t in sorted(tokens, key=rank.get)[:len(tokens) - need + 1]})])
+    few = min(need for _l, _t, need in template_sets())
+    # only a text of several lines has runs that no line holds
+    texts = rows.where(F.contains("ls_text", F.lit("\n"))).select("ls_id", "ls_key", F.split(F.trim(spaced(F.col("ls_text"))), " ").alias("ls_tokens"))
+    texts = texts.where(F.arrays_overlap("ls_tokens", prefix) & (F.size("ls_tokens") >= few))
+    words = F.col("ls_tokens")
+    # for each prefix token the words around it: ``at`` words before it, then as many after it as a run can have
+    spots = F.filter(F.transform(words, lambda t, i: F.when(F.array_contains(prefix, t), i)), lambda i: i.isNotNull())
+    near = F.transform(spots, lambda i: F.struct(
+        F.get(words, i).alias("token"), F.least(i, F.lit(longest - 1)).alias("at"),
+        F.slice(words, F.greatest(i - (longest - 2), F.lit(1)), F.lit(2 * longest - 1)).alias("near")))
+    pairs = texts.select("ls_id", "ls_key", F.explode(near).alias("r")).select("ls_id", "ls_key", "r.*").distinct().join(F.broadcast(index), "token")
+    pairs = pairs.where(F.size(F.array_intersect("own", "near")) >= F.col("need"))
+    held = F.transform(F.sequence(F.greatest(F.col("at") - F.col("n") + 1, F.lit(0)), F.col("at")),
+                       lambda b: F.size(F.array_intersect("own", F.slice("near", b + 1, F.col("n")))))
+    pairs = pairs.withColumn("shared", F.array_max(held)).where(F.col("shared") >= F.col("need"))
+    return pairs.select("ls_id", "ls_key", "label", (F.col("shared") / F.size("own")).alias("containment"))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: words, base places and labels, all labels and the greatest containment found."""
     rows = docs.select(F.col(id_col).alias("ls_id"), F.col(text_col).cast("string").alias("ls_text"))
     rows = rows.withColumn("ls_key", F.xxhash64("ls_text"))
-    found = similar_blocks(rows, token_order(rows)).groupBy("ls_id", "ls_key").agg(
+    order = token_order(rows)
+    found = similar_blocks(rows, order).drop("ls_line").unionByName(similar_runs(rows, order)).groupBy("ls_id", "ls_key").agg(
         F.collect_set("label").alias("ls_more"), F.max("containment").alias("ls_best"))
     found = written(found, "licenses").withColumnsRenamed({"ls_id": "f_id", "ls_key": "f_key"})
     base = base_scan(rows.withColumn("ls_words", spaced(F.col("ls_text")))).drop("ls_text", "ls_words", "ls_parts")

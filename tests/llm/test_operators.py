@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spanforge.llm import decontam, fm_dedup, jaccard_metric, langid_ecoc, lm_xent, pii_gbt, poisson_mix, warc_merge
 from spanforge.llm.ann_forest import nearest
 from spanforge.llm.graph import components
-from spanforge.llm.license_scan import ORACLE, scan_licenses
+from spanforge.llm.license_scan import ORACLE, TEMPLATES, scan_licenses
 
 from . import brute
 
@@ -339,6 +339,25 @@ def test_license_scan_equals_sql(spark, empty):
     assert scan_licenses(empty).count() == 0
 
 
+def test_notices_that_wrap_over_lines_are_found(spark):
+    r, rows, want = random.Random(6), [], {}
+    for k, (label, text) in enumerate(TEMPLATES):
+        for c in range(3):
+            words = text.split()
+            cuts = set(r.sample(range(1, len(words)), min(len(words) - 1, 2 + c)))
+            notice = "".join(("\n  * " if i in cuts else " ") + w for i, w in enumerate(words))
+            rows.append((10 * k + c, prose(80, k) + notice + "\n" + prose(400, c)))
+            want[10 * k + c] = label
+    rows += [(900, "Licensed under the Apache\nLicense, Version 2.0."), (901, "licensed\n" + prose(60, 1) + "\nunder the apache\n" + prose(60, 2) + "\nlicense version 2 0"),
+             (902, "Licensed under the Apache\n" + " ".join(["x"] * 3) + "\nLicense, Version 2.0."), (903, "\n")]
+    got = {x.doc_id: x for x in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, label in want.items():
+        assert label in got[i].labels.split(",") and got[i].score == 1
+    assert got[900].labels == "apache" and got[900].score == 1
+    assert got[901].labels == got[903].labels == "" and got[901].score == 0 and got[902].labels == ""
+
+
 # ---- 7 Jaccard join ----------------------------------------------------------------
 
 @pytest.mark.parametrize("k,num,den", [(3, 90, 100), (5, 80, 100)])
