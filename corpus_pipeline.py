@@ -30,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of documents linked on five-word shingles at 0.8, the smallest id stays."""
     found = similar_components(docs, k=5, num=80, den=100)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    known = docs.join(gone, "doc_id", "left_anti").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    known = docs.join(gone, "doc_id", "left_anti").where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
     return known.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 

@@ -20,7 +20,7 @@ windows start in the first copy.
 
 Defined cases: a null or empty text has no words and the hash of the empty string; a document
 shorter than a window keeps all; a null id is never smaller than another and loses nothing;
-fully repeated rows are judged alike (by their id), each in its own row.  Only the named
+fully repeated rows are judged alike, each in its own row; texts under one id are documents of their own.  Only the named
 columns are read.
 """
 
@@ -109,15 +109,15 @@ def _runs(offs, data, freq):
 
 
 def _anchor_rows(shared):
-    """``(anchor, id)`` of the anchors that are not frequent."""
+    """``(anchor, key of id and text)`` of the anchors that are not frequent."""
     def run(batches):
         freq = shared.value
         for batch in batches:
-            ids = np.asarray(batch.column("fm_id"))
+            keys = np.asarray(batch.column("fm_key"))
             for lo, offs, data in text_blocks(batch.column("fm_text")):
                 _code, _cut, row, _first, _last, low = _runs(offs, data, freq)
                 light = low < LAST
-                yield pa.RecordBatch.from_arrays([pa.array(low[light].view(np.int64)), pa.array(ids[lo + row[light]].astype(np.int64))], ["a", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(low[light].view(np.int64)), pa.array(keys[lo + row[light]].astype(np.int64))], ["a", "key"])
     return run
 
 
@@ -130,7 +130,7 @@ def _segments(shared):
     def run(batches):
         freq = shared.value
         for batch in batches:
-            ids, spots = np.asarray(batch.column("fm_id")), batch.column("spots").fill_null([])
+            ids, keys, spots = np.asarray(batch.column("fm_id")), np.asarray(batch.column("fm_key")), batch.column("spots").fill_null([])
             for lo, offs, data in text_blocks(batch.column("fm_text")):
                 code, cut, row, first, last, low = _runs(offs, data, freq)
                 mine = spots.slice(lo, len(offs) - 1)
@@ -143,9 +143,9 @@ def _segments(shared):
                 words = code[np.arange(int(end[-1]) if len(end) else 0) - np.repeat(end - size - first, size)]
                 bounds = np.concatenate(([0], 4 * end)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(low.view(np.int64)), pa.array(ids[lo + row].astype(np.int64)), pa.array((first - cut[row]).astype(np.int32)),
+                    [pa.array(low.view(np.int64)), pa.array(ids[lo + row].astype(np.int64)), pa.array(keys[lo + row].astype(np.int64)), pa.array((first - cut[row]).astype(np.int32)),
                      pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(words.tobytes())])],
-                    ["route", "id", "start", "words"])
+                    ["route", "id", "key", "start", "words"])
     return run
 
 
@@ -266,23 +266,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``id_col, n_words, n_removed, kept_sha256, kept`` per row (``kept``: the text left, if asked)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("fm_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("fm_text"))
+    # inside, a document is an id with one text, so that nothing found in one text is cut from another
+    rows = rows.withColumn("fm_key", F.when(F.col("fm_id").isNotNull(), F.xxhash64("fm_id", F.md5("fm_text"))))
     known = rows.where("fm_id IS NOT NULL")
     shared = spark.sparkContext.broadcast(frequent_anchors(known))
 
     # exact copies of a text with a smaller id
-    hashed = known.select("fm_id", F.md5("fm_text").alias("h"))
+    hashed = known.select("fm_id", "fm_key", F.md5("fm_text").alias("h"))
     firsts = hashed.groupBy("h").agg(F.min("fm_id").alias("low"), F.max("fm_id").alias("high")).where("low < high").select("h", "low")
     # written: the join then has an exchange on both sides, and a hot text's can be split
-    copies = written(hashed.join(written(firsts, "firsts"), "h").where("fm_id > low").select("fm_id").distinct(), "copies")
+    copies = written(hashed.join(written(firsts, "firsts"), "h").where("fm_id > low").select("fm_key").distinct(), "copies")
 
     # anchors that occur in several documents
-    spots = known.mapInArrow(_anchor_rows(shared), "a long, id long")
+    spots = known.select("fm_key", "fm_text").mapInArrow(_anchor_rows(shared), "a long, key long")
     w = W.partitionBy("a")
-    both = spots.withColumns({"low": F.min("id").over(w), "high": F.max("id").over(w)}).where("low < high")
-    spots = both.groupBy("id").agg(F.collect_set("a").alias("spots"))
+    both = spots.withColumns({"low": F.min("key").over(w), "high": F.max("key").over(w)}).where("low < high")
+    spots = both.groupBy("key").agg(F.collect_set("a").alias("spots"))
     # merge joins at every size: the text is dealt by id once, whatever the other side's size
-    feed = known.join(spots.withColumnRenamed("id", "fm_id").hint("merge"), "fm_id", "left").join(copies.hint("merge"), "fm_id", "left_anti")
-    segments = feed.mapInArrow(_segments(shared), "route long, id long, start int, words binary")
+    feed = known.join(spots.withColumnRenamed("key", "fm_key").hint("merge"), "fm_key", "left").join(copies.hint("merge"), "fm_key", "left_anti")
+    segments = feed.mapInArrow(_segments(shared), "route long, id long, key long, start int, words binary")
     segments = written(segments.withColumn("same", F.xxhash64("words")), "segments")
 
     total = segments.agg(F.sum(F.length("words") / 4).alias("w")).first().w or 0
@@ -291,10 +293,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInArrow(_shard, "route long, same binary, least array<long>")
     # route and a hash of the words stand for the words; within one anchor that is 64 bits more
     least = least.select("route", F.xxhash64("same").alias("same"), "least")
-    hits = segments.select("route", "same", "id", "start").join(least, ["route", "same"]).select("id", F.expr(
+    hits = segments.select("route", "same", "id", "key", "start").join(least, ["route", "same"]).select("key", F.expr(
         "transform(filter(sequence(0, size(least) - 1), j -> get(least, j) < id), j -> j + start)").alias("at")).where("size(at) > 0")
-    starts = hits.groupBy("id").agg(F.flatten(F.collect_list("at")).alias("fm_starts"))
-    feed = rows.join(starts.withColumnRenamed("id", "fm_id").hint("merge"), "fm_id", "left").join(copies.withColumn("fm_copy", F.lit(True)).hint("merge"), "fm_id", "left")
+    starts = hits.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("fm_starts"))
+    feed = rows.join(starts.withColumnRenamed("key", "fm_key").hint("merge"), "fm_key", "left").join(copies.withColumn("fm_copy", F.lit(True)).hint("merge"), "fm_key", "left")
     feed = feed.select("fm_id", "fm_text", F.coalesce("fm_copy", F.lit(False)).alias("fm_copy"), "fm_starts")
     out = feed.mapInArrow(_cut(keep_text), "fm_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.withColumnRenamed("fm_id", id_col)

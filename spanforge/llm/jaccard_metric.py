@@ -118,11 +118,11 @@ def _profiles(k, num, den, shared):
                 place = np.arange(len(g)) - np.repeat(np.cumsum(n) - n, n)
                 prefix = g[place < length[row]].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, rows), pa.array(n.astype(np.int64)),
+                    [ids.slice(lo, rows), batch.column("jm_doc").slice(lo, rows), pa.array(n.astype(np.int64)),
                      pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), rows, [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(prefix)),
                      pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(edge.astype(np.int32).tobytes()), pa.py_buffer(counts.tobytes())])],
-                    ["id", "n", "sig", "prefix", "classes"])
+                    ["id", "doc", "n", "sig", "prefix", "classes"])
     return run
 
 
@@ -336,20 +336,27 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``id_col, n_shingles, component_id`` for every row of ``docs``: documents link when
     ``den * |x & y| >= num * |x | y|`` on their sets of ``k``-word shingles."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("jm_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("jm_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("jm_doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("jm_text"))
+    # inside, a node is an id with one text, so that texts under one id keep their own sizes and sets
+    rows = rows.withColumn("jm_id", F.when(F.col("jm_doc").isNotNull(), F.xxhash64("jm_doc", F.md5("jm_text"))))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows, k))
-    prof = written(rows.mapInArrow(_profiles(k, num, den, shared), "id long, n long, sig binary, prefix array<long>, classes binary"), "profiles")
+    prof = written(rows.mapInArrow(_profiles(k, num, den, shared), "id long, doc long, n long, sig binary, prefix array<long>, classes binary"), "profiles")
     full = prof.where("n > 0 AND id IS NOT NULL")
-    first = full.groupBy("sig").agg(F.min("id").alias("rep"))
-    reps = full.join(first.withColumnRenamed("rep", "id"), ["sig", "id"]).select("id", "n", "prefix", "classes")
+    first = full.groupBy("sig").agg(F.min("id").alias("rep"), F.min("doc").alias("least"))
+    reps = full.join(first.select("sig", F.col("rep").alias("id")), ["sig", "id"]).select("id", "n", "prefix", "classes")
     groups = components(possible_edges(reps, num, den)).select(F.col("component").alias("p"), F.col("node").alias("id"))
     members = groups.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id").select("p", "id", "n")
     jobs = block_pairs(written(members, "members"), num, den).groupBy("id").agg(F.collect_list(F.struct(*JOB)).alias("jobs"))
-    sets = rows.join(jobs.withColumnRenamed("id", "jm_id").hint("merge"), "jm_id").mapInArrow(_sets(k), "p long, i int, j int, id long, s binary")
+    sets = rows.drop("jm_doc").join(jobs.withColumnRenamed("id", "jm_id").hint("merge"), "jm_id").mapInArrow(_sets(k), "p long, i int, j int, id long, s binary")
     edges = sets.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_join(num, den), "a long, b long")
-    # equal ids with different texts are one node already; equal sets link through their representative
-    found = components(edges)
-    groups = written(first.join(found, first.rep == found.node, "left").select("sig", F.coalesce("component", "rep").alias("component")), "groups")
-    out = prof.select("id", "n", "sig").join(groups, "sig", "left")
+    # equal sets link through their representative; so do the sets of an id with several texts
+    several = written(full.groupBy("doc").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("doc"), "several")
+    same = written(full.join(several, "doc").select("doc", "sig").distinct().join(first, "sig").select("doc", "rep"), "same")
+    same = same.join(written(same.groupBy("doc").agg(F.min("rep").alias("a")), "one"), "doc").select("a", F.col("rep").alias("b"))
+    found = components(edges.unionByName(same))
+    groups = written(first.join(found, first.rep == found.node, "left").select("sig", "least", F.coalesce("component", "rep").alias("of")), "groups")
+    least = written(groups.groupBy("of").agg(F.min("least").alias("component")), "least")
+    groups = written(groups.join(least, "of").select("sig", "component"), "components")
+    out = prof.select(F.col("doc").alias("id"), "n", "sig").join(groups, "sig", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"))

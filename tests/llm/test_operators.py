@@ -404,6 +404,14 @@ def test_components_of_odd_rows(spark, empty):
     assert jaccard_metric.similar_components(empty).count() == 0
 
 
+def test_components_of_one_id_with_several_texts(spark):
+    small, large = prose(102, 61), prose(10002, 62)
+    d = spark.createDataFrame([(5, small), (5, large), (9, edited(small, 95, 1)), (4, edited(large, 5000, 2)), (7, prose(50, 63)), (8, prose(50, 64)), (8, prose(50, 63))], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_metric.similar_components(d, k=3, num=90).collect())
+    size = lambda t: len(brute.shingles(t, 3))
+    assert got == sorted([(5, size(small), 4), (5, size(large), 4), (9, size(edited(small, 95, 1)), 4), (4, size(edited(large, 5000, 2)), 4), (7, 48, 7), (8, 48, 7), (8, 48, 7)])
+
+
 def test_graph_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(50, 99)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -436,6 +444,14 @@ def test_backward_search_counts_and_matching_statistics():
     assert match[0] == longest
 
 
+def test_repeats_of_one_id_with_several_texts(spark):
+    a, b, c = prose(40, 71), prose(60, 72), prose(50, 73)
+    rows = [(1, a), (2, a), (2, b), (3, c + " " + b[:len(b) // 2]), (3, prose(30, 74) + " " + a)]
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in fm_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    half = len((b[:len(b) // 2]).split()) - (not b[len(b) // 2 - 1:len(b) // 2 + 1].count(" "))
+    assert got == sorted([(1, 40, 0), (2, 40, 40), (2, 60, 0), (3, len(rows[3][1].split()), half), (3, 70, 40)])
+
+
 def test_repeats_of_odd_rows(spark, empty):
     t = prose(40, 3)
     d = spark.createDataFrame([(1, t), (1, t), (2, t), (None, t), (3, None), (4, prose(12, 3))], "doc_id long, text string")
