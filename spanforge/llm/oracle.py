@@ -1,6 +1,7 @@
 """DuckDB twins of the operator queries that SQL can express."""
 
 from .license_scan import ORACLE as LICENSE
+from .merkle_manifest import ORACLE as MERKLE
 from .poisson_mix import ORACLE as MIX
 
 ORACLE_SQL = {
@@ -13,4 +14,5 @@ ORACLE_SQL = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM t""",
     "op6_license_scan": LICENSE,
     "op9_poisson_mix": MIX,
+    "op11_merkle_manifest": MERKLE,
 }

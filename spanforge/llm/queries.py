@@ -12,6 +12,7 @@ from .jaccard_metric import similar_components
 from .langid_ecoc import held_out, predict, train
 from .license_scan import scan_licenses
 from .lm_xent import cross_entropy_difference
+from .merkle_manifest import document_manifest
 from .pii_gbt import KINDS, find_private, span_text
 from .poisson_mix import replicate
 from .warc_merge import archive_and_merge
@@ -65,6 +66,11 @@ def op10_pii_boosted_candidates(spark, sf):
                        F.sha2(span_text("pii_base"), 256).alias("base_sha256"), span_text("pii_spans").alias("spans"))
 
 
+def op11_merkle_manifest(spark, sf):
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return document_manifest(table(spark, sf, "documents"), tampered)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -76,4 +82,5 @@ QUERIES = {
     "op8_fm_substring_dedup": op8_fm_substring_dedup,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_pii_boosted_candidates": op10_pii_boosted_candidates,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
