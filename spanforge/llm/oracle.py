@@ -3,6 +3,7 @@
 from .license_scan import ORACLE as LICENSE
 from .merkle_manifest import ORACLE as MERKLE
 from .poisson_mix import ORACLE as MIX
+from .va_file import ORACLE as VA
 
 ORACLE_SQL = {
     "op2_warc_index_merge": """
@@ -15,4 +16,5 @@ ORACLE_SQL = {
     "op6_license_scan": LICENSE,
     "op9_poisson_mix": MIX,
     "op11_merkle_manifest": MERKLE,
+    "op12_va_file_search": VA,
 }

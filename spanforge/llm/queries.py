@@ -15,6 +15,7 @@ from .lm_xent import cross_entropy_difference
 from .merkle_manifest import document_manifest
 from .pii_gbt import KINDS, find_private, span_text
 from .poisson_mix import replicate
+from .va_file import top_inner_products
 from .warc_merge import archive_and_merge
 
 
@@ -71,6 +72,10 @@ def op11_merkle_manifest(spark, sf):
     return document_manifest(table(spark, sf, "documents"), tampered)
 
 
+def op12_va_file_search(spark, sf):
+    return top_inner_products(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -83,4 +88,5 @@ QUERIES = {
     "op9_poisson_mix": op9_poisson_mix,
     "op10_pii_boosted_candidates": op10_pii_boosted_candidates,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_va_file_search": op12_va_file_search,
 }
