@@ -1,5 +1,6 @@
 """DuckDB twins of the operator queries that SQL can express."""
 
+from .k2_treap import ORACLE as TREAP
 from .license_scan import ORACLE as LICENSE
 from .merkle_manifest import ORACLE as MERKLE
 from .poisson_mix import ORACLE as MIX
@@ -17,4 +18,5 @@ ORACLE_SQL = {
     "op9_poisson_mix": MIX,
     "op11_merkle_manifest": MERKLE,
     "op12_va_file_search": VA,
+    "op13_k2_treap_search": TREAP,
 }

@@ -9,6 +9,7 @@ from .common import table
 from .decontam import find_leaks
 from .fm_dedup import remove_repeats
 from .jaccard_metric import similar_components
+from .k2_treap import rank_documents
 from .langid_ecoc import held_out, predict, train
 from .license_scan import scan_licenses
 from .lm_xent import cross_entropy_difference
@@ -76,6 +77,10 @@ def op12_va_file_search(spark, sf):
     return top_inner_products(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+def op13_k2_treap_search(spark, sf):
+    return rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_index_merge": op2_warc_index_merge,
@@ -89,4 +94,5 @@ QUERIES = {
     "op10_pii_boosted_candidates": op10_pii_boosted_candidates,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_va_file_search": op12_va_file_search,
+    "op13_k2_treap_search": op13_k2_treap_search,
 }
