@@ -4,7 +4,8 @@ Every document's terms are counted once; documents are dealt to shards of about
 ``SHARD_POSTINGS`` postings.  A shard is a square grid with a row for each of its terms (frequent
 ones first) and a column for each of its documents (by id); a point holds the term's impact in
 the document.  The grid is kept as a quadtree without pointers: four child bits a cell, and each
-cell's **largest impact** as its difference from that of the cell above, in byte planes.  A point is
+cell's **largest impact** as its difference from that of the cell above (none for an only child), in byte
+planes.  A point is
 a cell of the last level, so the tree is the index; it is written as one row a shard, for the whole
 vocabulary, and serves any later items.
 
@@ -37,10 +38,10 @@ from pyspark.sql import functions as F
 
 from .common import NOT_WORD, block_words, text_blocks, written
 
-SHARD_POSTINGS = 1 << 20
+SHARD_POSTINGS = 1 << 18
 BLOCK_TERMS = 500_000
 AT_ONCE = 256
-PLANES = 4  # bytes of a stored difference; impacts are below 10**6
+PLANES = 3  # bytes of a stored difference; impacts are at most 10**6
 COUNTED = "n long, terms array<bigint>, tfs array<int>"
 INDEX = "shard string, ids array<bigint>, terms array<bigint>, dfs array<int>, sizes array<int>, top long, masks binary, drops binary"
 POP4 = np.array([bin(i).count("1") for i in range(16)], np.int64)
@@ -98,12 +99,13 @@ def build_tree(row: np.ndarray, col: np.ndarray, value: np.ndarray):
         first = np.flatnonzero(np.r_[True, above[1:] != above[:-1]])
         high = np.maximum.reduceat(value, first)
         masks.append(np.bitwise_or.reduceat((1 << (code & np.uint64(3)).astype(np.int64)), first).astype(np.uint8))
-        drops.append(np.repeat(high, np.diff(np.r_[first, len(value)])) - value)
+        kids = np.diff(np.r_[first, len(value)])
+        drops.append((np.repeat(high, kids) - value)[np.repeat(kids > 1, kids)])  # an only child's is 0
         sizes.append(len(value))
         code, value = above[first], high
     mask = np.concatenate(masks[::-1])
     mask = np.r_[mask, np.zeros(len(mask) % 2, np.uint8)]
-    drop = np.concatenate(drops[::-1]).astype("<u4").view(np.uint8).reshape(-1, PLANES)
+    drop = np.concatenate(drops[::-1]).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :PLANES]
     return sizes[::-1], int(value[0]), (mask[::2] | (mask[1::2] << 4)).tobytes(), drop.T.tobytes()
 
 
@@ -114,16 +116,20 @@ class Tree:
         packed = np.frombuffer(masks, np.uint8)
         mask = np.empty(2 * len(packed), np.uint8)
         mask[::2], mask[1::2] = packed & 15, packed >> 4
-        drop = np.frombuffer(drops, np.uint8).reshape(PLANES, -1).T.copy().view("<u4").ravel()
-        self.height, self.masks, self.first, self.value = len(sizes), [], [], [np.array([top], np.int64)]
+        planes = np.frombuffer(drops, np.uint8).reshape(PLANES, -1)
+        drop = sum(planes[i].astype(np.int32) << (8 * i) for i in range(PLANES))
+        self.height, self.masks, self.first, self.value = len(sizes), [], [], [np.array([top], np.int32)]
         above, at = 1, 0
         for k, n in enumerate(sizes):
             m = mask[sum(sizes[:k - 1]) + 1:][:above] if k else mask[:1]
             kids = POP4[m]
             self.masks.append(m)
             self.first.append((np.cumsum(kids) - kids).astype(np.int32))
-            self.value.append(np.repeat(self.value[-1], kids) - drop[at:at + n])
-            above, at = n, at + n
+            value, forks = np.repeat(self.value[-1], kids), np.repeat(kids > 1, kids)
+            stored = int(forks.sum())
+            value[forks] -= drop[at:at + stored]
+            self.value.append(value)
+            above, at = n, at + stored
 
     def halve(self, level: int, docs: np.ndarray, cells: np.ndarray, bit: np.ndarray, weight: np.ndarray):
         """The ranges below ``docs``: ``(docs, cells, bounds)``; ``cells`` is -1 where a term has none."""
@@ -133,7 +139,7 @@ class Tree:
             mask = self.masks[level][cells].astype(np.int64)
             here = (cells >= 0) & ((mask >> quarter) & 1 > 0)
             child = np.where(here, self.first[level][cells] + POP4[mask & ((1 << quarter) - 1)], -1)
-            bound = np.where(here, self.value[level + 1][child], 0) @ weight
+            bound = np.where(here, self.value[level + 1][child], 0).astype(np.int64) @ weight
             out.append((2 * docs + half, child, bound))
         return [np.concatenate(x) for x in zip(*out)]
 

@@ -76,8 +76,9 @@ def test_small_tables(spark, docs, items):
     assert ranked(spark, docs, items, 20) == plain(docs, items, 20)
 
 
-def test_little_of_the_grid_is_descended():
+def test_little_of_the_grid_is_descended(monkeypatch):
     """A rare term's documents are found without halving the ranges of a common one."""
+    monkeypatch.setattr(k2_treap, "AT_ONCE", 4)
     row = np.r_[np.zeros(4096, np.int64), np.full(5, 3000)]
     col = np.r_[np.arange(4096), np.array([7, 900, 901, 2000, 4000])]
     tree = Tree(*build_tree(row, col, np.full(len(row), 1000)))
