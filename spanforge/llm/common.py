@@ -31,6 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, added: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that clash with no working column, and these names by the
+    columns' own; columns named as one of ``added`` are left out, as the added one replaces them."""
+    plain = [f"kept_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*plain), {c: p for p, c in zip(plain, docs.columns) if c not in added}
+
+
 def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES):
     """``(first row, row offsets, UTF-8 bytes)`` of runs of rows of about ``limit`` bytes.
 

@@ -251,23 +251,25 @@ def weighed_items(index: DataFrame, documents: int, items: DataFrame, id_col: st
 
 
 def _search(shared, k):
-    def run(group: pa.Table) -> pa.Table:
-        out = {"item": [], "item_id": [], "doc_id": [], "score": []}
-        for shard in group.to_batches(max_chunksize=1):
-            tree = Tree(shard.column("sizes")[0].values.to_numpy().tolist(), shard.column("top")[0].as_py(), shard.column("masks")[0].as_py(), shard.column("drops")[0].as_py())
-            terms, ids = shard.column("terms")[0].values.to_numpy(), shard.column("ids")[0].values
-            order = np.argsort(terms)
-            known = terms[order]
-            for item, item_id, want, weights in shared.value:
-                at = np.minimum(np.searchsorted(known, want), len(known) - 1)
-                here = (known[at] == want) & (weights > 0)
-                if here.any():
-                    docs, scores = tree.search(order[at[here]], weights[here], k)
-                    out["item"] += [item] * len(docs)
-                    out["item_id"] += [item_id] * len(docs)
-                    out["doc_id"] += ids.take(pa.array(docs)).to_pylist()
-                    out["score"] += scores.tolist()
-        return pa.table({n: pa.array(v, pa.int64()) for n, v in out.items()})
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda name: batch.column(name)[i]  # noqa: B023, E731
+                tree = Tree(get("sizes").values.to_numpy().tolist(), get("top").as_py(), get("masks").as_py(), get("drops").as_py())
+                terms, ids = get("terms").values.to_numpy(), get("ids").values
+                order = np.argsort(terms)
+                known = terms[order]
+                out = {"item": [], "item_id": [], "doc_id": [], "score": []}
+                for item, item_id, want, weights in shared.value:
+                    at = np.minimum(np.searchsorted(known, want), len(known) - 1)
+                    here = (known[at] == want) & (weights > 0)
+                    if here.any():
+                        docs, scores = tree.search(order[at[here]], weights[here], k)
+                        out["item"] += [item] * len(docs)
+                        out["item_id"] += [item_id] * len(docs)
+                        out["doc_id"] += ids.take(pa.array(docs)).to_pylist()
+                        out["score"] += scores.tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], list(out))
     return run
 
 
@@ -280,7 +282,7 @@ def search(index: DataFrame, documents: int, items: DataFrame, k: int, id_col: s
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()
         shared = spark.sparkContext.broadcast([(r.item, r.item_id, np.array(r.terms, np.int64), np.array(r.weights, np.int64)) for r in part])
-        here = index.groupBy("shard").applyInArrow(_search(shared, k), "item long, item_id long, doc_id long, score long")
+        here = index.mapInArrow(_search(shared, k), "item long, item_id long, doc_id long, score long")
         here = written(here, "treap-found")
         shared.unpersist()
         found = here if found is None else found.unionByName(here)

@@ -7,7 +7,7 @@ classifier separates the language on held-back rows.  A small gap between the tw
 codewords flags a document as ambiguous.
 
 Learning uses a bounded sample (``SAMPLE_ROWS`` labelled rows in all, spread over the
-languages by a hash of the key); prediction reads every whole text.
+languages by a hash of the key, and every label has at least one); prediction reads every whole text.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; a row without
 label is never learnt from but predicted; with no labelled row every text is ``und``; with
@@ -22,12 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, text_blocks
+from .common import LOWER, set_aside, text_blocks
 
 FEATURES = 4096       # hashed n-gram buckets
 GRAM_SIZES = (2, 3, 4)  # bytes
-SAMPLE_ROWS = 2048    # labelled rows learnt from, at most
-MAX_LANGUAGES = 256   # the most frequent labels of the training rows
+SAMPLE_ROWS = 2048    # labelled rows learnt from, at most (or one a label, if there are more labels)
 AMBIGUOUS_BELOW = 0.2  # gap of the scores of the two nearest codewords
 
 
@@ -89,7 +88,9 @@ def codewords(k: int) -> np.ndarray:
     for _ in range(64):
         m = rng.choice(np.array([-1, 1], np.int8), (k, bits))
         m = m[:, np.abs(m.sum(0)) < k]
-        gap = min(int((m[i] != m[j]).sum()) for i in range(k) for j in range(i))
+        alike = m.astype(np.float32) @ m.T.astype(np.float32)
+        np.fill_diagonal(alike, -m.shape[1])
+        gap = m.shape[1] - float(alike.max())  # twice the least distance
         if gap > reach:
             best, reach = m, gap
     return best
@@ -119,20 +120,20 @@ class Model:
     def decode(self, x: np.ndarray) -> np.ndarray:
         """Probabilities per language from the weighted logistic losses of its codeword."""
         f = x @ self.weights[:-1] + self.weights[-1]
-        loss = np.log1p(np.exp(np.clip(-self.code[None] * f[:, None, :], -30, 30)))
-        cost = (loss * self.trust[None]).sum(2)
+        loss = {sign: np.log1p(np.exp(np.clip(-sign * f, -30, 30))) for sign in (1, -1)}
+        cost = sum(x @ (self.trust * (self.code == sign)).T for sign, x in loss.items())
         p = np.exp(-(cost - cost.min(1, keepdims=True)) * np.log2(len(self.languages) + 1))
         return p / p.sum(1, keepdims=True)
 
 
 def sample_rows(rows: DataFrame, key: Column) -> DataFrame:
-    """At most ``SAMPLE_ROWS`` rows of ``(lang, text)``, evenly over the languages.
+    """At most ``SAMPLE_ROWS`` rows of ``(lang, text)``, evenly over the languages, at least one each.
 
     Labels are counted first; a hash of the key then keeps a share of each language's rows,
     and only those few are ranked, so a language with most of the rows costs no hot task."""
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang")
     langs = [(r.lang, r.n) for r in counts.collect()]
-    each = max(4, SAMPLE_ROWS // max(1, len(langs)))
+    each = max(1, SAMPLE_ROWS // max(1, len(langs)))
     share = F.create_map(*[F.lit(v) for lang, n in langs for v in (lang, min(1.0, 1.5 * each / n + 8 / n))]) if langs else None
     if share is None:
         return rows.where(F.lit(False)).select("lang", "text")
@@ -180,8 +181,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``lang_pred``, ``score``, ``second`` (the next language) and ``ambiguous``."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most 256 languages x about 80 bits x 4096 weights
-    kept = [f.name for f in docs.select(*keep).schema.fields]
+    shared = spark.sparkContext.broadcast(model)  # about 10 log2(languages) bits x 4096 weights
+    docs, names = set_aside(docs, ())
+    text_col, added = names[text_col], ("lang_pred", "score", "second", "ambiguous")
+    keep = {c: names[c] for c in keep if c not in added}
+    kept = list(keep.values())
 
     def run(batches):
         m = shared.value
@@ -221,11 +225,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
 
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-    schema = StructType(docs.select(*keep).schema.fields + [
+    schema = StructType(docs.select(*kept).schema.fields + [
         StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("second", StringType()), StructField("ambiguous", BooleanType())])
     text = F.col(text_col).cast("string")
-    feed = docs.select(*keep, text.alias("lid_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lid_lettered"))
-    return feed.mapInArrow(run, schema)
+    feed = docs.select(*kept, text.alias("lid_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lid_lettered"))
+    return feed.mapInArrow(run, schema).select(*[F.col(v).alias(k) for k, v in keep.items()], *added)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -14,8 +14,8 @@ shuffled and no text is moved.  Offsets come from the lengths between matches, s
 
 Defined cases: a null or empty text has no spans; spans of one kind never overlap, spans of
 different kinds may; with too few candidates of either class nothing is added to the base spans;
-null ids and repeated rows are rows like any other; an empty table gives no rows.  Added columns
-are prefixed ``pii_``.
+null ids and repeated rows are rows like any other; an empty table gives no rows.  Columns named as
+an added one (``pii_text``, ``pii_base``, ``pii_spans``, ``pii_<kind>``) are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import set_aside, written
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: what each kind matches.  Written without backtracking: a run is entered at its
@@ -186,7 +186,9 @@ def train_judge(docs: DataFrame, text_col: str = "text") -> Judge | None:
 
     n = docs.count()
     pick = F.pmod(F.xxhash64(text_col, F.lit(29)), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE_DOCS / max(1, n)) * (1 << 30)))
-    some = candidates(base_spans(docs.select(text_col).where(pick), text_col)).select("pii_cands", F.xxhash64(text_col).alias("h"))
+    picked = docs.select(text_col, F.xxhash64(text_col).alias("h")).where(pick)
+    picked = picked.groupBy("h").agg(F.first(text_col).alias(text_col))  # a text of many copies counts once
+    some = candidates(base_spans(picked, text_col)).select("pii_cands", "h")
     # written before it is exploded: the filter that explode infers would inline all of the above
     some = written(some, "candidates").select(F.explode("pii_cands").alias("c"), "h")
     some = some.select(F.col("c.x").alias("x"), F.col("c.y").cast("double").alias("label"), F.xxhash64("h", "c.start", "c.kind").alias("h"))
@@ -209,8 +211,9 @@ SPANS = "array<struct<start:int,no:int,end:int,kind:string>>"
 def find_private(docs: DataFrame, text_col: str = "text", judge: Judge | None = None, train: bool = True) -> DataFrame:
     """``docs`` with ``pii_base`` and ``pii_spans`` (base and selected spans), sorted by start, then
     kind; and the checked spans per kind (``pii_email``, ...)."""
-    columns = [c for c in docs.columns if not c.startswith("pii_")]
-    docs = docs.select(*columns)
+    added = ["pii_text", *[f"pii_{k}" for k in KINDS], "pii_base", "pii_spans"]
+    docs, kept = set_aside(docs, tuple(added))
+    text_col = kept[text_col]
     if judge is None and train:
         judge = train_judge(docs, text_col)
     rows = base_spans(docs, text_col)
@@ -224,7 +227,7 @@ def find_private(docs: DataFrame, text_col: str = "text", judge: Judge | None =
         more = F.transform(good, lambda c: F.struct(c["start"].alias("start"), F.element_at(number, c["kind"]).alias("no"), c["end"].alias("end"), c["kind"].alias("kind")))
     rows = rows.withColumn("pii_base", F.array_sort(F.concat(*mine).cast(SPANS))).withColumn("pii_more", more.cast(SPANS))
     rows = rows.withColumn("pii_spans", F.array_sort(F.concat("pii_base", "pii_more")))
-    return rows.select(*columns, "pii_text", *[f"pii_{k}" for k in KINDS], "pii_base", "pii_spans")
+    return rows.select(*[F.col(v).alias(k) for k, v in kept.items()], *added)
 
 
 def span_text(spans) -> Column:

@@ -8,7 +8,7 @@ document is exploded by the count, and all copies are shuffled by a hash.
 Defined cases: a null source is a source of its own (weighed as any other); a null key is
 hashed as the text ``null``; rows with equal keys are told apart by a hash of their text, and
 fully equal rows get equal counts; a source without a given weight gets 0 copies; an empty
-table gives no rows; columns named like the added ones (``copy_no``, ``mix_*``) are replaced.
+table gives no rows; a column named ``copy_no`` is replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import set_aside, written
+
 SEED = 17
 # Rates are broadcast below this many sources; beyond it they are joined with salted keys.
 BROADCAST_SOURCES = 100_000
@@ -74,10 +76,8 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     The rates hold one row per source; they are written first, and broadcast after a check of
     their number.  No text is shuffled by source: the only wide step is the final shuffle by a
     hash of each copy, in which no key is frequent."""
-    from .common import written
-
-    columns = [c for c in docs.columns if c != "copy_no" and not c.startswith("mix_")]
-    docs = docs.select(*columns)
+    docs, kept = set_aside(docs, ("copy_no",))
+    id_col, source_col, text_col = kept[id_col], kept[source_col], kept[text_col]
     rates = written(source_rates(docs, source_col, weights, temperature).drop("mix_n"), "mix-rates")
     source = F.coalesce(F.col(source_col).cast("string"), F.lit("null"))
     if rates.count() <= BROADCAST_SOURCES:
@@ -86,12 +86,16 @@ def replicate(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
         salted = rates.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(SALTS)).cast("int")
         drawn = docs.withColumns({"mix_source": source, "mix_salt": salt}).join(salted, ["mix_source", "mix_salt"])
-    u = hashed_uniform(seed, F.col(id_col), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    count = F.size(F.filter("mix_cdf", lambda c: c < F.lit(0.0) + F.col("mix_u")))
-    copies = drawn.withColumn("mix_u", u).withColumn("mix_count", count).where("mix_count > 0").withColumn(
-        "copy_no", F.explode(F.sequence(F.lit(1), F.col("mix_count"))))
-    copies = copies.withColumn("mix_key", F.xxhash64(F.lit(seed), F.col(id_col), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), F.col("copy_no")))
-    return copies.repartition(F.col("mix_key")).sortWithinPartitions("mix_key").select(*columns, "copy_no")
+    # each text is hashed once: a projection with a part number is one that the optimiser leaves
+    # whole, and the number drawn is bound before the table is searched
+    once = F.spark_partition_id().alias("mix_part")
+    drawn = drawn.select("*", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("mix_md5"), once)
+    u = hashed_uniform(seed, F.col(id_col), F.col("mix_md5"))
+    count = F.transform(F.array(u), lambda x: F.size(F.filter("mix_cdf", lambda c: c < x)))[0]
+    counted = drawn.drop("mix_part").select("*", count.alias("mix_count"), once).where("mix_part >= 0 AND mix_count > 0")
+    copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("mix_count"))))
+    copies = copies.withColumn("mix_key", F.xxhash64(F.lit(seed), F.col(id_col), F.col("mix_md5"), F.col("copy_no")))
+    return copies.repartition(F.col("mix_key")).sortWithinPartitions("mix_key").select(*[F.col(v).alias(k) for k, v in kept.items()], "copy_no")
 
 
 ORACLE = f"""

@@ -54,7 +54,7 @@ def captures(pages: DataFrame, id_col: str, url_col: str, body_col: str, ts=None
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"),
         F.regexp_replace(F.col(url_col), r"[\r\n]", "").alias("url"), body.alias("body"),
-        (ts if ts is not None else F.date_format(F.timestamp_seconds(F.lit(946684800) + F.col(id_col)), "yyyyMMddHHmmss")).alias("ts"))
+        (ts if ts is not None else F.date_format(F.timestamp_seconds(F.lit(946684800) + F.pmod(F.col(id_col), F.lit(1 << 31))), "yyyyMMddHHmmss")).alias("ts"))
     rows = rows.withColumns({"digest": F.sha1(F.encode("body", "UTF-8")), "payload_bytes": F.octet_length("body").cast("long"),
                              "urlkey": url_key(F.col("url"))})
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), body.alias("body")).where(

@@ -80,7 +80,7 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert len(got) == len(rows)
     words = lambda t: [w.lower() for w in __import__("re").findall(r"\w+", t or "")]
     for r in got:
-        want = {i: s for i, t in items if t and len(words(t)) > 2 and (s := brute.local_score(words(r.text), words(t)) / (2 * len(words(t)))) >= decontam.THRESHOLD}
+        want = {i: s for i, t in items if t and words(t) and (s := brute.local_score(words(r.text), words(t)) / (2 * len(words(t)))) >= decontam.THRESHOLD}
         assert {h.item_id: round(h.score, 9) for h in r.dc_hits} == {i: round(s, 9) for i, s in want.items()}
     assert all(r.dc_hits for r in got if 100 <= r.doc_id < 500 and r.text) and not any(r.dc_hits for r in got if r.doc_id < 40)
 
@@ -126,6 +126,43 @@ def test_insertions_and_deletions_of_every_length_are_found(spark):
     assert 100 < found < len(rows)
 
 
+def test_no_alignment_at_the_threshold_is_missed(spark):
+    """Items of every length, each third word replaced, words put in every gap or second gap,
+    scores just at and just below the threshold; against the full recurrence on every pair."""
+    r, rows, items = random.Random(9), [], {}
+    for n in [*range(1, 61), 100, 180, 200]:
+        w = items[n] = [f"i{n}x{j}" for j in range(n)]
+        rows += [[w[j] if j % 3 != c else "zz" for j in range(n)] for c in range(3)]
+        rows += [[x for j, v in enumerate(w) for x in ([v, f"q{j}"] if j % s == 0 else [v])] for s in (1, 2)]
+        least = -(-decontam.NUM * 2 * n // decontam.DEN)
+        for lost in (0, 1):  # the first words alone, at the least score and one word less
+            rows.append(["y"] * 3 + w[:-(-least // 2) - lost] + ["y"] * 3)
+        for _ in range(2):
+            rows.append([x for v in w for x in r.choice([[v], [v], [v], [v, "k"], ["k"], []])])
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {x.doc_id: {h.item_id: round(h.score, 9) for h in x.dc_hits} for x in decontam.find_leaks(
+        d, spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")).collect()}
+    found = 0
+    for i, t in enumerate(rows):
+        held = {int(x[1:].split("x")[0]) for x in t if x[0] == "i"}
+        want = {n: s for n in held if decontam.enough(s := brute.local_score(t, items[n]), n)}
+        assert got[i] == {n: round(s / (2 * n), 9) for n, s in want.items()}, t
+        found += len(want)
+    assert found > 150
+
+
+def test_seeds_are_the_rarest_that_suffice():
+    w = np.arange(1, 41).astype(np.uint64)
+    items = decontam.Items([1], [w])
+    found = np.where(np.isin(items.keys, w), 10, 1)  # words are common, pairs are not
+    df = {int(k): int(n) for k, n in zip(items.keys, found)}
+    items.choose(found)
+    assert set(items.size) == {2} and len(items.hash) == decontam.loss(40) + 1
+    items = decontam.Items([1], [w])
+    items.choose(np.array([0 if k in (3, 9) else 1 if k in df and k <= 40 else 50 for k in items.keys.tolist()]))
+    assert set(items.size) == {1} and {3, 9} <= set(items.hash.tolist()) and len(items.hash) == decontam.loss(40) // 2 + 1
+
+
 def test_decontamination_of_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(empty, bench).count() == 0
@@ -209,6 +246,30 @@ def test_language_of_odd_rows(spark, empty):
     assert langid_ecoc.predict(empty, langid_ecoc.train(empty)).count() == 0
 
 
+def test_three_hundred_languages(spark):
+    """Every label is learnt, also the rarest; a kept column named like an added one is replaced."""
+    def text(k, seed):
+        r = random.Random(seed)
+        return " ".join(f"{chr(0x4E00 + k)}{chr(0x5E00 + 7 * k)}{r.choice('abc')}" for _ in range(30))
+
+    rows = [(i, text(i % 300, i), f"l{i % 300}", None, 1) for i in range(1500)] + [(9000 + i, text(5, i), "l5", None, 1) for i in range(600)]
+    d = spark.createDataFrame(rows, DOCS).withColumn("score", F.lit("x"))
+    model = langid_ecoc.train(d)
+    assert len(model.languages) == 300
+    got = langid_ecoc.predict(d, model, keep=("doc_id", "lang", "score")).collect()
+    assert sum(r.lang_pred == r.lang for r in got) > 0.9 * len(got) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_decoding_equals_the_losses_of_each_codeword():
+    r = np.random.default_rng(3)
+    code = langid_ecoc.codewords(9)
+    model = langid_ecoc.Model(list(range(9)), code, r.normal(size=(6, code.shape[1])), r.random(code.shape))
+    x = r.normal(size=(20, 5))
+    f = x @ model.weights[:-1] + model.weights[-1]
+    cost = np.array([[sum(model.trust[k, b] * np.log1p(np.exp(-code[k, b] * row[b])) for b in range(code.shape[1])) for k in range(9)] for row in f])
+    assert (model.decode(x).argmax(1) == cost.argmin(1)).all()
+
+
 # ---- 4 nearest neighbours ----------------------------------------------------------
 
 def test_recall_and_exact_scores(spark):
