@@ -55,7 +55,10 @@ class Items:
     after ``choose`` the rarest that suffice."""
 
     def __init__(self, ids, words):
-        self.ids, self.words = ids, words
+        self.ids = ids
+        self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
+        self.words = [np.searchsorted(self.vocabulary, w) for w in words]  # as numbers of the vocabulary
+        self.seen = np.zeros(len(self.vocabulary) + 1, bool)
         h, item, pos, size = [], [], [], []
         for k, w in enumerate(words):
             for n in (1, 2):
@@ -72,6 +75,19 @@ class Items:
         self.hash, self.item, self.pos, self.size = h[order], item[order], pos[order], size[order]
         self.keys = np.unique(self.hash)
 
+    def numbered(self, h: np.ndarray) -> np.ndarray:
+        """Words of a text as numbers of the vocabulary; other words get a number of their own."""
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == h, at, len(self.vocabulary))
+
+    def held(self, words: np.ndarray, k: int) -> int:
+        """How many words of item ``k`` a passage holds at all."""
+        self.seen[words] = True
+        self.seen[-1] = False
+        n = int(np.count_nonzero(self.seen[self.words[k]]))
+        self.seen[words] = False
+        return n
+
     def choose(self, found: np.ndarray):
         """Keep the rarest seeds that suffice; ``found``: documents per key."""
         df = found[np.searchsorted(self.keys, self.hash)]
@@ -182,7 +198,8 @@ def count_seeds(texts: DataFrame, items: Items) -> np.ndarray:
 
 
 def document_hits(words: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, items: Items):
-    """Hits of one document from its seed matches: ``at`` word positions, ``lo:hi`` seed rows."""
+    """Hits of one document (words as numbers) from its seed matches: ``at`` word positions,
+    ``lo:hi`` seed rows."""
     size = hi - lo
     rows = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
     item, diag = items.item[rows], np.repeat(at, size) - items.pos[rows]
@@ -197,7 +214,7 @@ def document_hits(words: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndar
         # an alignment through a seed leaves its diagonal by no more than the reach
         g = loss(len(w))
         s, e = max(0, int(diag[a]) - g), min(len(words), int(diag[b - 1]) + len(w) + g)
-        if not enough(MATCH * int(np.isin(w, words[s:e]).sum()), len(w)):  # no alignment can reach it
+        if not enough(MATCH * items.held(words[s:e], k), len(w)):  # no alignment can reach it
             continue
         score, x, y = align(words[s:e], w)
         if enough(score, len(w)) and score / (MATCH * len(w)) > best.get(k, (0,))[0]:
@@ -213,6 +230,9 @@ def _search(shared, columns):
             for lo, offs, data in text_blocks(batch.column("dc_text")):
                 row, h = _words(offs, data)
                 at, g = _matches(items, row, h)
+                if not len(at):
+                    continue
+                h = items.numbered(h)
                 left, right = np.searchsorted(items.hash, g), np.searchsorted(items.hash, g, "right")
                 cut = np.searchsorted(row, np.arange(len(offs)))
                 own = np.searchsorted(at, cut)
