@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import chunk_text
-from ..functions.text import clean_text
+from ..functions.arrays import chunk_text, pack
+from ..functions.text import clean_text, split_sentences
 
 
 def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: Iterable[str] | None = None,
@@ -27,10 +27,16 @@ def clean_corpus(corpus: DataFrame, text_col: str = "description", stopwords: It
 
 
 def chunk_corpus(clean: DataFrame, max_len: int = 50, drop_empty: bool = True,
-                 splitter=None, counter=None, keep: Iterable[str] = ("doc_id",)) -> DataFrame:
+                 splitter=None, counter=None, keep: Iterable[str] = ("doc_id",), measure=None) -> DataFrame:
     """Sentence-pack each document and explode to ``(doc_id, chunk_no, text)``.
 
-    Runs row-local (no shuffle); chunk rows stay in their document's partition.
+    Runs row-local (no shuffle); chunk rows stay in their document's partition.  ``counter``
+    measures one sentence (``Column -> Column``), ``measure`` all sentences of a row at once
+    (array -> array, such as ``functions.pieces.subword_lengths``).
     """
+    if measure is not None:
+        cut = clean.select(*keep, (splitter or split_sentences)(F.col("text")).alias("_sent"))
+        cut = cut.select(*keep, "_sent", measure(F.col("_sent")).alias("_size"))
+        return cut.select(*keep, F.posexplode(pack(F.col("_sent"), F.col("_size"), max_len, drop_empty)).alias("chunk_no", "text"))
     packed = chunk_text(F.col("text"), max_len, drop_empty, splitter, counter)
     return clean.select(*keep, F.posexplode(packed).alias("chunk_no", "text"))

@@ -32,6 +32,8 @@ SPLIT_SEED = 42
 PART_SIZE = 50
 PIECE_HEAD = 4
 PAD_LEN = 128
+# a public tokenizer vocabulary (lower case, word ends marked); read in place
+VOCABULARY_PATH = "/opt/tokenizers/word_bpe_49k.json"
 N_CLASSES = 9
 
 

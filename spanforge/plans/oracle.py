@@ -12,7 +12,7 @@ import re
 
 from ..functions.stopwords import NLTK_ENGLISH
 from ..sources.dictionary import LABELS
-from .fixtures import CHUNK_MAX_LEN, PRED_DICTIONARY, TEST_DICTIONARY, TEST_EXCLUSIONS, flat_dictionary
+from .fixtures import CHUNK_MAX_LEN, PRED_DICTIONARY, TEST_DICTIONARY, TEST_EXCLUSIONS, VOCABULARY_PATH, flat_dictionary
 
 
 def lit(s: str) -> str:
@@ -436,6 +436,47 @@ ORACLE_SQL["align_pieces"] = with_base(BIO_CTES + """
 SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
 FROM rows_""")
 
+def cut_ctes(words: str) -> str:
+    """``cut(word, k, piece)``: longest match of each distinct word of ``words`` (column ``word``), one
+    place a step, over the ASCII pieces of the vocabulary file (cleaned text has no others)."""
+    return f"""
+, vocab AS (SELECT DISTINCT replace(p, '</w>', chr(1)) AS p, length(replace(p, '</w>', chr(1))) AS n
+            FROM (SELECT unnest(json_keys(content::JSON, '$.model.vocab')) AS p FROM read_text({lit(VOCABULARY_PATH)}))
+            WHERE regexp_full_match(p, '[\\x21-\\x7E]+') AND p <> '</w>'),
+  step AS (SELECT word, 0 AS ofs, 0 AS n, word || chr(1) AS s FROM (SELECT DISTINCT word FROM ({words}))
+           UNION ALL
+           SELECT o.word, o.ofs + o.n, coalesce(max(v.n), 1), o.s
+           FROM (SELECT *, unnest(range(1, 33)) AS size FROM step WHERE ofs + n < length(s)) o
+           LEFT JOIN vocab v ON v.p = substr(o.s, o.ofs + o.n + 1, o.size) AND v.n = o.size GROUP BY o.word, o.ofs, o.n, o.s),
+  cut AS (SELECT word, k, CASE WHEN k = 0 THEN p ELSE '##' || p END AS piece FROM (
+            SELECT word, replace(substr(s, ofs + 1, n), chr(1), '') AS p, row_number() OVER (PARTITION BY word ORDER BY ofs) - 1 AS k
+            FROM step WHERE n > 0 AND replace(substr(s, ofs + 1, n), chr(1), '') <> ''))"""
+
+
+ORACLE_SQL["align_subwords"] = with_base(BIO_CTES + cut_ctes("SELECT token AS word FROM bio") + """
+, wp AS (SELECT id, idx AS word_id, tag, piece, row_number() OVER (PARTITION BY id ORDER BY idx, k) AS pos FROM bio JOIN cut ON cut.word = bio.token),
+  np AS (SELECT id, least(count(*), 126) AS m FROM wp GROUP BY id),
+  rows_ AS (
+    SELECT id, 0 AS pos, '[CLS]' AS piece, NULL::INTEGER AS word_id, -100 AS label FROM np
+    UNION ALL SELECT wp.id, wp.pos, wp.piece, wp.word_id, wp.tag FROM wp JOIN np ON wp.id = np.id WHERE wp.pos <= np.m
+    UNION ALL SELECT id, m + 1, '[SEP]', NULL, -100 FROM np
+    UNION ALL SELECT id, unnest(range(m + 2, 128)), '[PAD]', NULL, -100 FROM np)
+SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
+FROM rows_""").replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLE_SQL["pack_subwords"] = (f"""WITH RECURSIVE docs AS (SELECT doc_id, text AS description FROM documents),
+clean AS (SELECT doc_id, {clean_sql('description')} AS text FROM docs),
+sent AS (SELECT doc_id, CAST(generate_subscripts(ss, 1) AS BIGINT) AS no, unnest(ss) AS s FROM (SELECT doc_id, {sentences_sql('text')} AS ss FROM clean WHERE text <> '')),
+unit AS (SELECT doc_id, no, unnest(regexp_extract_all(s, '\\w+|[^\\w\\s]')) AS word FROM sent)""" + cut_ctes("SELECT word FROM unit") + f"""
+, size AS (SELECT word, count(*) AS n FROM cut GROUP BY word),
+  total AS (SELECT doc_id, no, sum(n) AS n FROM unit JOIN size USING (word) GROUP BY doc_id, no),
+  item AS (SELECT doc_id, list({{'s': s, 'n': CAST(coalesce(n, 0) AS BIGINT)}} ORDER BY no) AS items FROM sent LEFT JOIN total USING (doc_id, no) GROUP BY doc_id),
+  packed0 AS (SELECT doc_id, list_reduce(items, lambda acc, x: CASE WHEN acc.len + x.n > {CHUNK_MAX_LEN}
+      THEN {{'chunks': list_append(acc.chunks, array_to_string(acc.cur, ' ')), 'cur': [x.s], 'len': x.n}}
+      ELSE {{'chunks': acc.chunks, 'cur': list_append(acc.cur, x.s), 'len': acc.len + x.n}} END,
+      {{'chunks': []::VARCHAR[], 'cur': []::VARCHAR[], 'len': 0::BIGINT}}) AS p FROM item),
+  packed AS (SELECT doc_id, {pack_finish_sql('p')} AS cl FROM packed0)
+SELECT doc_id, CAST(generate_subscripts(cl, 1) - 1 AS INTEGER) AS chunk_no, unnest(cl) AS text FROM packed""")
+
 PIECE_N = "CAST(greatest(ceil((length(s.text) - 4) / 4.0), 0) AS BIGINT) + 1"
 ORACLE_SQL["merge_pieces"] = with_base(BIO_CTES + """
 , wp0 AS (SELECT id, idx AS word_id, tag, token,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import flatten_terms, invert_map, literal_map, pad
+from ..functions.pieces import read_vocabulary, subword_lengths, subwords
 from ..functions.spans import token_spans
 from ..functions.text import clean_text as clean_col
 from ..functions.text import remove_stopwords, split_sentences, squeeze, strip_tags, text_length
@@ -26,7 +27,7 @@ from ..sources.records import (read_label_export, read_word_level, record_parts,
 from ..sources.registry import PANDAS_NA_TOKENS, SourceSpec, land, read_source, source_status
 from .corpus_job import run_corpus
 from .fixtures import (CHUNK_MAX_LEN, N_CLASSES, PAD_LEN, PART_SIZE, PIECE_HEAD, PRED_DICTIONARY, SPLIT_RATIO, SPLIT_SEED,
-                       TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, broken_spec, test_specs)
+                       TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, VOCABULARY_PATH, broken_spec, test_specs)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -273,6 +274,19 @@ def q_align_pieces(spark, sf):
                        F.col("p.label").alias("label"))
 
 
+def q_align_subwords(spark, sf):
+    """N5 on the pieces of a public vocabulary."""
+    cut = subwords(spark, read_vocabulary(VOCABULARY_PATH))
+    rows = gold_word_level(spark, sf).select("id", F.posexplode(align_pieces(F.col("tokens"), F.col("ner_tags"), PAD_LEN, cut=cut)).alias("pos", "p"))
+    return rows.select("id", "pos", F.col("p.piece").alias("piece"), F.col("p.word_id").alias("word_id"), F.col("p.label").alias("label"))
+
+
+def q_pack_subwords(spark, sf):
+    """W1 with sentence lengths in pieces of a public vocabulary."""
+    size = subword_lengths(spark, read_vocabulary(VOCABULARY_PATH))
+    return chunk_corpus(clean_docs(spark, sf), CHUNK_MAX_LEN, measure=size)
+
+
 def piece_labels(tokens, tags):
     """Pieces of each record with labels: a head piece carries its word's tag name,
     ``##`` tails and special tokens carry ``O``."""
@@ -436,6 +450,8 @@ QUERIES = {
     "label_map_invert": q_label_map_invert,
     "pad_rows": q_pad_rows,
     "align_pieces": q_align_pieces,
+    "align_subwords": q_align_subwords,
+    "pack_subwords": q_pack_subwords,
     "merge_pieces": q_merge_pieces,
     "merge_candidates": q_merge_candidates,
     "decode_spans": q_decode_spans,
