@@ -37,6 +37,26 @@ VOCABULARY_PATH = "/opt/tokenizers/word_bpe_49k.json"
 N_CLASSES = 9
 
 
+def fixed_tagger() -> tuple[list[tuple[str | None, str, int, float]], list[float], list[list[float]]]:
+    """A sequence tagger written down by rule from the test dictionary: ``(previous word or None, word,
+    label id, weight)``, start scores and transition scores."""
+    from ..sources.dictionary import LABEL_ALIAS, LABELS
+
+    number = {t: i for i, t in LABELS}
+    weights, seen = [], set()
+    for term, _category, _priority, label in flat_dictionary(TEST_DICTIONARY):
+        first, *rest = term.split(" ")
+        kind = LABEL_ALIAS[label]
+        if (None, first) not in seen:
+            weights.append((None, first, number[f"B-{kind}"], 2.0 if rest else 4.0))
+        seen.add((None, first))
+        for before, word in zip([first, *rest], rest):
+            weights.append((before, word, number[f"I-{kind}"], 6.0))
+    start = [0.25 if t == "O" else 0.0 for _i, t in LABELS]
+    move = [[1.0 if b == "I-" + a[2:] else 0.5 if a == b == "O" else 0.0 for _j, b in LABELS] for _i, a in LABELS]
+    return weights, start, move
+
+
 def flat_dictionary(mapping: dict) -> list[tuple[str, str, int, str]]:
     """Driver-side flattening used only to inline the dictionary into oracle SQL."""
     from ..sources.dictionary import CATEGORIES

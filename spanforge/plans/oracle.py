@@ -11,8 +11,9 @@ from __future__ import annotations
 import re
 
 from ..functions.stopwords import NLTK_ENGLISH
+from ..operators.sequence import bio_rules
 from ..sources.dictionary import LABELS
-from .fixtures import CHUNK_MAX_LEN, PRED_DICTIONARY, TEST_DICTIONARY, TEST_EXCLUSIONS, VOCABULARY_PATH, flat_dictionary
+from .fixtures import CHUNK_MAX_LEN, PRED_DICTIONARY, TEST_DICTIONARY, TEST_EXCLUSIONS, VOCABULARY_PATH, fixed_tagger, flat_dictionary
 
 
 def lit(s: str) -> str:
@@ -399,8 +400,9 @@ ORACLE_SQL["entity_f1_pieces"] = BASE + """
   pp1 AS (SELECT id, gold, pred AS p, row_number() OVER (PARTITION BY id ORDER BY word_id, k) AS pos FROM pp0),
   pp2 AS (SELECT id, pos, gold, list_transform(range(0, 9), lambda c: (pos * 7 + c * 5) % 9 + CASE WHEN c = p THEN 5 ELSE 0 END) AS sc
           FROM pp1 WHERE pos <= 126),
-  pieces AS (SELECT id, pos, gold, CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS pred FROM pp2)""" + named_cte("pieces") + SCORE_CTES + score_select() + """, acc.accuracy FROM sc2,
-  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pieces) acc"""
+  pieces AS (SELECT id, pos, gold, CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS pred FROM pp2)""" + named_cte("pieces") + SCORE_CTES + score_select() + """, acc.accuracy, round(ce.loss, 9) AS loss FROM sc2,
+  (SELECT avg(CAST(gold = pred AS DOUBLE)) AS accuracy FROM pieces) acc,
+  (SELECT avg(ln(list_sum(list_transform(sc, lambda x: exp(x::DOUBLE)))) - sc[gold + 1]) AS loss FROM pp2) ce"""
 
 ORACLE_SQL["decode_ids"] = f"""
 SELECT vec_id, label, coalesce(m.tag, 'UNK') AS gold_tag FROM embeddings LEFT JOIN
@@ -512,6 +514,37 @@ SELECT doc_id, chunk_no, seq, word, entity, start, CAST(start + length(word) AS
 ORACLE_SQL["score_words"] = with_base("""
 SELECT doc_id, chunk_no, word_no AS pos, s.text AS word, s.start AS start, s."end" AS "end", true AS in_label_space FROM toks""")
 
+
+
+def viterbi_sql(scores: str, start, move) -> str:
+    """Best path (0-based ids) over a list of score lists: a fold with back pointers, then a fold back."""
+    n, m = len(start), "[" + ", ".join(str([float(x) for x in r]) for r in move) + "]"
+    into = f"list_transform(range(0, {n}), lambda p: acc.best[p + 1] + {m}[p + 1][c + 1])"
+    ahead = (f"list_reduce(({scores})[2:], lambda acc, e: {{'best': list_transform(range(0, {n}), lambda c: e[c + 1] + list_max({into})), "
+             f"'back': list_append(acc.back, list_transform(range(0, {n}), lambda c: CAST(list_position({into}, list_max({into})) - 1 AS INTEGER)))}}, "
+             f"{{'best': list_transform(range(0, {n}), lambda c: ({scores})[1][c + 1] + {[float(x) for x in start]}[c + 1]), 'back': []::INTEGER[][]}})")
+    return (f"list_transform([{ahead}], lambda a: list_reverse(list_reduce(list_reverse(a.back), lambda path, b: list_append(path, b[path[-1] + 1]), "
+            "[CAST(list_position(a.best, list_max(a.best)) - 1 AS INTEGER)])))[1]")
+
+
+RULES = bio_rules([t for _i, t in LABELS])
+ORACLE_SQL["viterbi_tags"] = with_base(BIO_CTES + f"""
+, sc AS (SELECT id, list(list_transform(range(0, 9), lambda c: CAST((idx * 7 + c * 5) % 9 + CASE WHEN c = tag THEN 5 ELSE 0 END AS DOUBLE)) ORDER BY idx) AS s
+         FROM bio GROUP BY id),
+  best AS (SELECT id, {viterbi_sql('s', *RULES)} AS path FROM sc)
+SELECT id, CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS pos, unnest(path) AS tag FROM best""")
+FIXED = fixed_tagger()
+ORACLE_SQL["tag_sequences"] = with_base(f"""
+, wt AS (SELECT * FROM (VALUES {', '.join(f"({'NULL' if b is None else lit(b)}, {lit(w)}, {i}, CAST({x} AS DOUBLE))" for b, w, i, x in FIXED[0])}) AS v(before, word, label, weight)),
+  seen AS (SELECT doc_id, chunk_no, word_no, s, lower(s.text) AS word, lag(lower(s.text)) OVER (PARTITION BY doc_id, chunk_no ORDER BY word_no) AS before FROM toks),
+  em AS (SELECT seen.doc_id, seen.chunk_no, word_no, any_value(s) AS s,
+                [{', '.join(f"coalesce(sum(weight) FILTER (label = {i}), 0.0)" for i in range(9))}] AS e
+         FROM seen LEFT JOIN wt ON wt.word = seen.word AND (wt.before IS NULL OR wt.before = seen.before) GROUP BY seen.doc_id, seen.chunk_no, word_no),
+  row_ AS (SELECT doc_id, chunk_no, list(e ORDER BY word_no) AS es, list(s ORDER BY word_no) AS ss FROM em GROUP BY doc_id, chunk_no),
+  best AS (SELECT doc_id, chunk_no, ss, {viterbi_sql('es', [a + b for a, b in zip(FIXED[1], RULES[0])], [[a + b for a, b in zip(x, y)] for x, y in zip(FIXED[2], RULES[1])])} AS path FROM row_),
+  flat AS (SELECT doc_id, chunk_no, CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS pos, unnest(ss) AS s, unnest(path) AS t FROM best)
+SELECT doc_id, chunk_no, pos, s.text AS word, s.start AS start, s."end" AS "end", m.tag FROM flat JOIN (SELECT * FROM {labels_values()}) m ON m.id = t""")
+
 ORACLE_SQL["corpus_entity_counts"] = (
     "WITH " + SOURCES_SQL.strip() + "," + corpus_ctes(docs="SELECT doc_id, description FROM corpus") + ","
     + label_ctes() + "\nSELECT entity, count(*) AS n FROM labels GROUP BY entity")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,17 +18,19 @@ from ..operators.evaluation import best_run, decode_spans, evaluate_rows, evalua
 from ..operators.export import export_records, flatten_export, labelled_chunks, record_entities, record_ids
 from ..operators.scoring import (CANDIDATE_SCHEMA, align_pieces, argmax_class, decode_ids, merge_pieces,
                                  piece_candidate_scorer, piece_stream, score_tokens, word_pieces)
+from ..operators.sequence import (SequenceModel, bio_rules, load_sequence_tagger, predict_sequence, save_sequence_tagger, sequence_rows,
+                                  tag_sequences, train_sequence_tagger, viterbi_path)
 from ..operators.tagging import (entity_counts, label_order, merge_candidates, refine_labels, tag_chunks,
                                  tag_phrases, tag_words)
 from ..operators.training import load_tagger, predict_pairs, save_tagger, tag_text, token_features, train_tagger
-from ..session import materialize, spread
+from ..session import local_table, materialize, spread
 from ..sources.dictionary import LABELS, dictionary, label_map, term_list, write_label_config
 from ..sources.records import (read_label_export, read_word_level, record_parts, scratch_path, write_records, write_split,
                                write_table)
 from ..sources.registry import PANDAS_NA_TOKENS, SourceSpec, land, read_source, source_status
 from .corpus_job import run_corpus
 from .fixtures import (CHUNK_MAX_LEN, N_CLASSES, PAD_LEN, PART_SIZE, PIECE_HEAD, PRED_DICTIONARY, SPLIT_RATIO, SPLIT_SEED,
-                       TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, VOCABULARY_PATH, broken_spec, test_specs)
+                       TEST_DICTIONARY, TEST_EXCLUSIONS, TITLE_KEYWORDS, VOCABULARY_PATH, broken_spec, fixed_tagger, test_specs)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -371,7 +374,7 @@ def q_entity_f1_pieces(spark, sf):
     scores = F.transform("p", lambda p, i: F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: (
         (i * 7 + c * 5) % 9 + F.when(c == p["label"], F.lit(5)).otherwise(F.lit(0))).cast("double")))
     rows = rows.select(F.transform("g", lambda g: g["label"]).alias("labels"), scores.alias("scores"))
-    return evaluate_scores(rows).select("n_pred", "n_gold", "tp", "precision", "recall", "f1", "accuracy")
+    return evaluate_scores(rows, loss=True).select("n_pred", "n_gold", "tp", "precision", "recall", "f1", "accuracy", F.round("loss", 9).alias("loss"))
 
 
 def q_best_run(spark, sf):
@@ -410,6 +413,40 @@ def q_score_words(spark, sf):
     return tagged.select("doc_id", "chunk_no", "pos", "word", "start", "end", F.col("tag").isin(*[t for _i, t in LABELS]).alias("in_label_space"))
 
 
+def q_train_sequence(spark, sf):
+    """M2: the sequence tagger, stopped by validation F1; tags and probabilities of the validation rows."""
+    wl = materialize(gold_word_level(spark, sf), "word-level")
+    split = train_val_split(wl, "id", SPLIT_RATIO, SPLIT_SEED)
+    valid = split.where(F.col("split") == "validation")
+    model, _metrics = train_sequence_tagger(split.where(F.col("split") == "train"), valid)
+    return predict_sequence(sequence_rows(valid), model).select("id", "pos", "gold", "pred", "confidence")
+
+
+def q_viterbi_tags(spark, sf):
+    """Best BIO paths over given class scores (noise by position plus a bonus for the word's tag)."""
+    start, move = bio_rules([t for _i, t in LABELS])
+    scores = F.transform("ner_tags", lambda t, i: F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: (
+        (i * 7 + c * 5) % 9 + F.when(c == t, F.lit(5)).otherwise(F.lit(0))).cast("double")))
+    rows = gold_word_level(spark, sf).select("id", viterbi_path(scores, start, move).alias("path"))
+    return rows.select("id", F.posexplode("path").alias("pos", "tag"))
+
+
+def q_tag_sequences(spark, sf):
+    """M1 with a sequence tagger of fixed weights, saved and loaded: every word of every chunk with its tag."""
+    weights, start, move = fixed_tagger()
+    buckets = 1 << 40
+    names = local_table(spark, [("w=" + w if b is None else f"pw={b}|{w}", i, x) for b, w, i, x in weights], "feature string, label int, weight double")
+    rows = names.select(F.pmod(F.xxhash64("feature"), F.lit(buckets)).alias("f"), "label", "weight").collect()  # as many as the rules
+    ids = np.unique(np.array([r.f for r in rows]))
+    table = np.zeros((len(ids), len(LABELS)))
+    for r in rows:
+        table[np.searchsorted(ids, r.f), r.label] += r.weight
+    path = scratch_path(spark, "sequence")
+    save_sequence_tagger(SequenceModel([t for _i, t in LABELS], buckets, ids, table, np.array(start), np.array(move)), path, spark)
+    tagged = tag_sequences(doc_chunks(spark, sf), load_sequence_tagger(spark, path))
+    return tagged.select("doc_id", "chunk_no", "pos", "word", "start", "end", "tag")
+
+
 def q_corpus_entity_counts(spark, sf):
     _chunks, labels = run_corpus(spark, test_specs(sf), TITLE_KEYWORDS, TEST_DICTIONARY, TEST_EXCLUSIONS,
                                  CHUNK_MAX_LEN)
@@ -463,5 +500,8 @@ QUERIES = {
     "score_tokens": q_score_tokens,
     "train_tagger": q_train_tagger,
     "score_words": q_score_words,
+    "train_sequence": q_train_sequence,
+    "viterbi_tags": q_viterbi_tags,
+    "tag_sequences": q_tag_sequences,
     "corpus_entity_counts": q_corpus_entity_counts,
 }
