@@ -427,8 +427,8 @@ def q_viterbi_tags(spark, sf):
     start, move = bio_rules([t for _i, t in LABELS])
     scores = F.transform("ner_tags", lambda t, i: F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: (
         (i * 7 + c * 5) % 9 + F.when(c == t, F.lit(5)).otherwise(F.lit(0))).cast("double")))
-    rows = gold_word_level(spark, sf).select("id", viterbi_path(scores, start, move).alias("path"))
-    return rows.select("id", F.posexplode("path").alias("pos", "tag"))
+    rows = gold_word_level(spark, sf).select("id", scores.alias("scores"))
+    return rows.select("id", F.posexplode(viterbi_path(F.col("scores"), start, move)).alias("pos", "tag"))
 
 
 def q_tag_sequences(spark, sf):
