@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.terms import holds_any
 from ..functions.text import keyword_pattern
 from ..session import local_table
 from ..sources.registry import SourceSpec, read_source
@@ -41,6 +42,14 @@ def keyword_filter(df: DataFrame, col: str, keywords: Iterable[str]) -> DataFram
     return df.where(c.rlike(pattern))
 
 
+def keyword_filter_many(df: DataFrame, col: str, keywords: Iterable[str]) -> DataFrame:
+    """P5 for long keyword lists: the rows of ``keyword_filter`` from one automaton pass over each
+    value, however many keywords there are."""
+    kws = list(keywords)
+    c = F.lower(F.col(col).cast("string"))
+    return df.where(c.isNotNull()) if not kws else df.where(holds_any(df.sparkSession, c, kws))
+
+
 def titled_rows(spark: SparkSession, spec: SourceSpec, keywords: Iterable[str]) -> DataFrame | None:
     """Reference flow for one titled source: drop null descriptions and titles, lower
     the title, keep keyword hits."""

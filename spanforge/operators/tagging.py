@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import find_spans, phrase_word_spans
+from ..functions.terms import find_phrases
 from ..functions.text import WORD_CLASS, WORD_EDGE, WORD_TOKEN_PATTERN, normalize_word
 from ..session import fits_broadcast
 
@@ -152,6 +153,17 @@ def tag_phrases(chunks: DataFrame, dictionary: DataFrame, dict_bytes: int | None
     return tag_chunks(chunks, dictionary, None, dict_bytes, kinds="p")
 
 
+def tag_many_phrases(chunks: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """T1 for large dictionaries: the rows of ``tag_phrases`` from one automaton pass over each
+    chunk, however many phrases there are; no regex is run and no chunk is joined."""
+    rows = dictionary.where(F.instr(F.trim("term"), " ") > 0).select("term", "label", F.col("priority").cast("int")).toArrow()  # a dimension table
+    phrases = list(zip(*(rows.column(i).to_pylist() for i in range(3))))
+    found = chunks.select(*KEYS, F.explode(find_phrases(chunks, "text", phrases)).alias("m"))
+    prefix = F.when(F.col("m.word_no") == 0, F.lit("B-")).otherwise(F.lit("I-"))
+    return found.select(*KEYS, "m.start", "m.end", F.concat(prefix, "m.label").alias("entity"), "m.text", F.lit(ORIGIN_PHRASE).alias("origin"),
+                        "m.priority", "m.term", "m.match_no", "m.word_no")
+
+
 def refine_labels(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
                   candidates: DataFrame | None = None, dict_bytes: int | None = None) -> DataFrame:
     """Phrase labels and word labels as one bag (duplicates and overlaps kept).

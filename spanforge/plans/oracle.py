@@ -438,6 +438,23 @@ ORACLE_SQL["align_pieces"] = with_base(BIO_CTES + """
 SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
 FROM rows_""")
 
+BENCHMARK_WORDS = f"SELECT string_split({clean_sql('text')}, ' ') AS w FROM benchmark"
+ORACLE_SQL["tag_many_phrases"] = with_base(f"""
+, bw AS ({BENCHMARK_WORDS}),
+  ph AS (SELECT DISTINCT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM bw)
+         WHERE w[i] <> w[i + 1] AND regexp_full_match(w[i], '[a-z0-9]+') AND regexp_full_match(w[i + 1], '[a-z0-9]+')),
+  nx AS (SELECT *, lead(s) OVER (PARTITION BY doc_id, chunk_no ORDER BY word_no) AS t FROM toks),
+  hit AS (SELECT nx.doc_id, nx.chunk_no, s, t, a || ' ' || b AS term, word_no FROM nx JOIN ph ON s.text = a AND t.text = b
+          JOIN chunks c ON c.doc_id = nx.doc_id AND c.chunk_no = nx.chunk_no
+          WHERE t.start = s."end" + 1 AND substr(c.text, s."end" + 1, 1) = ' '),
+  no AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, chunk_no, term ORDER BY word_no) - 1 AS INTEGER) AS match_no FROM hit)
+SELECT doc_id, chunk_no, s.start AS start, s."end" AS "end", 'B-SKILL' AS entity, s.text AS text, term, match_no, 0 AS word_no FROM no
+UNION ALL SELECT doc_id, chunk_no, t.start, t."end", 'I-SKILL', t.text, term, match_no, 1 FROM no""")
+ORACLE_SQL["filter_many_keywords"] = f"""
+WITH kw AS (SELECT DISTINCT k FROM (SELECT unnest(w) AS k FROM ({BENCHMARK_WORDS})) WHERE length(k) >= 5)
+SELECT conv_id, turn, text FROM conversations WHERE EXISTS (SELECT 1 FROM kw WHERE contains(lower(text), k))"""
+
+
 def cut_ctes(words: str) -> str:
     """``cut(word, k, piece)``: longest match of each distinct word of ``words`` (column ``word``), one
     place a step, over the ASCII pieces of the vocabulary file (cleaned text has no others)."""

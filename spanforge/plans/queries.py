@@ -12,7 +12,7 @@ from ..functions.spans import token_spans
 from ..functions.text import clean_text as clean_col
 from ..functions.text import remove_stopwords, split_sentences, squeeze, strip_tags, text_length
 from ..operators.chunking import chunk_corpus, clean_corpus
-from ..operators.corpus import distinct_corpus, null_counts, require, titled_rows, union_sources
+from ..operators.corpus import distinct_corpus, keyword_filter_many, null_counts, require, titled_rows, union_sources
 from ..operators.dataset import bio_long, train_val_split, with_bio, word_level
 from ..operators.evaluation import best_run, decode_spans, evaluate_rows, evaluate_scores, tag_names
 from ..operators.export import export_records, flatten_export, labelled_chunks, record_entities, record_ids
@@ -21,7 +21,7 @@ from ..operators.scoring import (CANDIDATE_SCHEMA, align_pieces, argmax_class, d
 from ..operators.sequence import (SequenceModel, bio_rules, load_sequence_tagger, predict_sequence, save_sequence_tagger, sequence_rows,
                                   tag_sequences, train_sequence_tagger, viterbi_path)
 from ..operators.tagging import (entity_counts, label_order, merge_candidates, refine_labels, tag_chunks,
-                                 tag_phrases, tag_words)
+                                 tag_many_phrases, tag_phrases, tag_words)
 from ..operators.training import load_tagger, predict_pairs, save_tagger, tag_text, token_features, train_tagger
 from ..session import local_table, materialize, spread
 from ..sources.dictionary import LABELS, dictionary, label_map, term_list, write_label_config
@@ -106,6 +106,25 @@ def q_tag_phrases(spark, sf):
         *LABEL_OUT, "term", "match_no", "word_no")
 
 
+def benchmark_words(spark, sf):
+    return table(spark, sf, "benchmark").select(F.split(clean_col("text"), " ").alias("w"))
+
+
+def q_tag_many_phrases(spark, sf):
+    """T1 with a large dictionary: every two neighbouring different words of the benchmark's cleaned texts."""
+    pairs = benchmark_words(spark, sf).select(F.explode(F.zip_with("w", F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"))
+    pairs = pairs.select("p.*").where("a <> b AND a RLIKE '^[a-z0-9]+$' AND b RLIKE '^[a-z0-9]+$'").distinct()
+    d = pairs.select(F.concat_ws(" ", "a", "b").alias("term"), F.lit("SKILL").alias("label"), F.lit(0).alias("priority"))
+    return tag_many_phrases(doc_chunks(spark, sf), d).select(*LABEL_OUT, "term", "match_no", "word_no")
+
+
+def q_filter_many_keywords(spark, sf):
+    """P5 with a long list: conversation turns that hold a word of the benchmark with five letters or more."""
+    words = benchmark_words(spark, sf).select(F.explode("w").alias("w")).where("length(w) >= 5").distinct()
+    kept = keyword_filter_many(table(spark, sf, "conversations"), "text", [r.w for r in words.collect()])  # a parameter list
+    return kept.select("conv_id", "turn", "text")
+
+
 def q_refine_labels(spark, sf):
     w = Window.partitionBy("doc_id", "chunk_no").orderBy(*label_order())
     return doc_labels(spark, sf).select(
@@ -462,6 +481,8 @@ QUERIES = {
     "pack_chunks": q_pack_chunks,
     "tag_words": q_tag_words,
     "tag_phrases": q_tag_phrases,
+    "tag_many_phrases": q_tag_many_phrases,
+    "filter_many_keywords": q_filter_many_keywords,
     "refine_labels": q_refine_labels,
     "entity_counts": q_entity_counts,
     "scan_sources": q_scan_sources,
