@@ -69,14 +69,15 @@ def lookup_table(dictionary: DataFrame, exclusions: DataFrame | None = None, kin
     return both if kinds == "wp" else both.where(F.col("kind") == kinds)
 
 
-def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | None) -> DataFrame:
+def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Chunks joined with the lookup rows that one of their tokens meets, one row per distinct
     hit: ``KEYS, text, kind, term, label, priority, pattern``.
 
     A word hit's pattern is the token itself between non-word characters; a phrase is kept
     only if the chunk holds all its words.  Without a proven size the lookup is not broadcast:
     ``(kind, key)`` is salted, so a word that stands in every chunk is dealt over ``SALTS``
-    tasks, and the hits (no text in them) are joined back to the chunks.
+    tasks, and the hits (no text in them) are joined back to the chunks.  ``carry`` names
+    further columns of the lookup to be kept.
     """
     toks = chunks.select(*KEYS, "text", F.array_distinct(F.regexp_extract_all("text", F.lit(PROBE_PATTERN), 0)).alias("toks"))
     low = toks.withColumn("lows", F.array_distinct(F.transform("toks", lambda t: F.lower(t))))
@@ -85,7 +86,7 @@ def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | No
         F.transform("lows", lambda t: F.struct(F.lit("p").alias("kind"), t.alias("key"), F.lit(None).cast("string").alias("word"))))
     whole = F.forall("words", lambda w: F.array_contains(F.col("lows"), w))
     word_pattern = F.concat(F.lit(f"(?<!{WORD_CLASS})"), quoted(F.col("word")), F.lit(f"(?!{WORD_CLASS})"))
-    out = [*KEYS, "text", "kind", "term", "label", "priority", F.when(F.col("kind") == "w", word_pattern).otherwise(F.col("pattern")).alias("pattern")]
+    out = [*KEYS, "text", "kind", "term", "label", "priority", *carry, F.when(F.col("kind") == "w", word_pattern).otherwise(F.col("pattern")).alias("pattern")]
     if fits_broadcast(lookup_bytes):
         rows = low.select(*KEYS, "text", "lows", F.explode(probes).alias("q")).select(*KEYS, "text", "lows", "q.*")
         return rows.join(F.broadcast(lookup), ["kind", "key"]).where(whole).select(*out)
@@ -98,22 +99,23 @@ def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | No
 
 def tag_chunks(chunks: DataFrame, dictionary: DataFrame, exclusions: DataFrame | None = None,
                dict_bytes: int | None = None, reviewed: bool = False, kinds: str = "wp",
-               keep_text: bool = False) -> DataFrame:
+               keep_text: bool = False, lookup: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """T3 in one pass over the chunks: word labels and phrase labels together.
 
     Each chunk is cut into tokens once; ``dictionary_hits`` finds the terms, and each term's
     pattern gives the spans, so offsets cost work for hits only.  ``reviewed`` gives one span
     per phrase match with the training type (D2) instead of B/I word labels.  Matches of one
     phrase never overlap, overlaps across phrases are kept (F16).  ``keep_text`` adds
-    ``chunk_text``, for callers that group the labels beside it.
+    ``chunk_text``, for callers that group the labels beside it.  A ``lookup`` made by the caller
+    replaces the dictionary's; its columns ``carry`` come with the labels.
     """
     from .dataset import alias_type
 
-    hits = dictionary_hits(chunks, lookup_table(dictionary, exclusions, kinds), dict_bytes)
+    hits = dictionary_hits(chunks, lookup_table(dictionary, exclusions, kinds) if lookup is None else lookup, dict_bytes, carry)
     is_word = F.col("kind") == "w"
     text = [F.col("text").alias("chunk_text")] if keep_text else []
-    kept = ["chunk_text"] if keep_text else []
-    matched = hits.select(*KEYS, *text, "kind", "term", "label", "priority", F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
+    kept = [*(["chunk_text"] if keep_text else []), *carry]
+    matched = hits.select(*KEYS, *text, *carry, "kind", "term", "label", "priority", F.posexplode(find_spans("text", F.col("pattern"))).alias("match_no", "m"))
     pieces = F.array(F.col("m")) if reviewed else F.when(is_word, F.array(F.col("m"))).otherwise(
         phrase_word_spans(F.col("m.text"), F.col("m.start")))
     cut = matched.select(*KEYS, *kept, "kind", "term", "label", "priority", "match_no", F.posexplode(pieces).alias("piece_no", "w"))

@@ -438,6 +438,8 @@ ORACLE_SQL["align_pieces"] = with_base(BIO_CTES + """
 SELECT id, CAST(pos AS INTEGER) AS pos, piece, CAST(word_id AS INTEGER) AS word_id, CAST(label AS INTEGER) AS label
 FROM rows_""")
 
+ORACLE_SQL["csv_ranges"] = ORACLE_SQL["csv_roundtrip"]
+ORACLE_SQL["json_arrays"] = "SELECT doc_id, text, n_chars FROM documents"
 BENCHMARK_WORDS = f"SELECT string_split({clean_sql('text')}, ' ') AS w FROM benchmark"
 ORACLE_SQL["tag_many_phrases"] = with_base(f"""
 , bw AS ({BENCHMARK_WORDS}),

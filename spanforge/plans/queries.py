@@ -15,16 +15,17 @@ from ..operators.chunking import chunk_corpus, clean_corpus
 from ..operators.corpus import distinct_corpus, keyword_filter_many, null_counts, require, titled_rows, union_sources
 from ..operators.dataset import bio_long, train_val_split, with_bio, word_level
 from ..operators.evaluation import best_run, decode_spans, evaluate_rows, evaluate_scores, tag_names
-from ..operators.export import export_records, flatten_export, labelled_chunks, record_entities, record_ids
+from ..operators.export import export_records, flatten_export, record_entities, record_ids
 from ..operators.scoring import (CANDIDATE_SCHEMA, align_pieces, argmax_class, decode_ids, merge_pieces,
                                  piece_candidate_scorer, piece_stream, score_tokens, word_pieces)
 from ..operators.sequence import (SequenceModel, bio_rules, load_sequence_tagger, predict_sequence, save_sequence_tagger, sequence_rows,
                                   tag_sequences, train_sequence_tagger, viterbi_path)
-from ..operators.tagging import (entity_counts, label_order, merge_candidates, refine_labels, tag_chunks,
+from ..operators.tagging import (entity_counts, label_order, lookup_table, merge_candidates, refine_labels, tag_chunks,
                                  tag_many_phrases, tag_phrases, tag_words)
 from ..operators.training import load_tagger, predict_pairs, save_tagger, tag_text, token_features, train_tagger
 from ..session import local_table, materialize, spread
 from ..sources.dictionary import LABELS, dictionary, label_map, term_list, write_label_config
+from ..sources.ranges import read_json_arrays
 from ..sources.records import (read_label_export, read_word_level, record_parts, scratch_path, write_records, write_split,
                                write_table)
 from ..sources.registry import PANDAS_NA_TOKENS, SourceSpec, land, read_source, source_status
@@ -157,6 +158,24 @@ def q_csv_roundtrip(spark, sf):
     return read_source(spark, land(spark, spec, landed)).select("source", "title", "description")
 
 
+def q_csv_ranges(spark, sf):
+    """The files of ``csv_roundtrip``, landed by byte ranges."""
+    raw, landed = scratch_path(spark, "csv"), scratch_path(spark, "landed")
+    docs = table(spark, sf, "documents").select(F.col("source").alias("Job Title"), F.concat(F.lit('say "hi", '), "text").alias("Job Description"))
+    write_table(docs, raw, fmt="csv")
+    spec = SourceSpec("documents", raw, description="Job Description", title="Job Title", fmt="csv_ranges", null_tokens=tuple(PANDAS_NA_TOKENS))
+    return read_source(spark, land(spark, spec, landed)).select("source", "title", "description")
+
+
+def q_json_arrays(spark, sf):
+    """S3: legacy files of JSON arrays (64 ids an array) written and read by byte ranges."""
+    path = scratch_path(spark, "arrays")
+    rows = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 64).alias("g"), F.to_json(F.struct("doc_id", "text", "n_chars")).alias("j"))
+    arrays = rows.groupBy("g").agg(F.array_join(F.collect_list("j"), ", ").alias("j"))
+    arrays.select(F.concat(F.lit("["), "j", F.lit("]")).alias("value")).write.text(path)
+    return read_json_arrays(spark, path, "doc_id long, text string, n_chars long")
+
+
 def q_drop_missing(spark, sf):
     pages = read_source(spark, test_specs(sf)[0])
     return require(pages, ["title", "description"]).select("title", F.length("description").alias("n_chars"))
@@ -353,18 +372,20 @@ def q_merge_candidates(spark, sf):
 
 def eval_rows(spark, sf):
     """``(id, tokens, gold, pred)`` per chunk that has a gold label (full dictionary) or a
-    predicted one (reduced dictionary): tag ids of its tokens, one tokenising for both."""
-    d, x, n = test_dictionary(spark)
-    dp, xp, npred = test_dictionary(spark, PRED_DICTIONARY)
-    chunks = materialize(doc_chunks(spark, sf), "chunks")  # read by both taggers
-    sides = [labelled_chunks(tag_chunks(chunks, dic, ex, size, reviewed=True, keep_text=True)).select(
-        "doc_id", "chunk_no", F.col("text").alias(f"text_{k}"), F.transform("labels", lambda lab: F.struct(
-            lab["start"].alias("start"), lab["end"].alias("end"), lab["entity"].alias("label"))).alias(f"ents_{k}"))
-        for k, dic, ex, size in (("g", d, x, n), ("p", dp, xp, npred))]
-    none = F.array().cast("array<struct<start:int,end:int,label:string>>")
-    both = sides[0].join(sides[1], ["doc_id", "chunk_no"], "full").select(
-        F.concat_ws(":", "doc_id", "chunk_no").alias("id"), F.coalesce("text_g", "text_p").alias("text"),
-        F.coalesce("ents_g", none).alias("ents_g"), F.coalesce("ents_p", none).alias("ents_p"))
+    predicted one (reduced dictionary): one lookup with both dictionaries meets each chunk
+    once, and its labels are grouped once beside its text."""
+    sides = [test_dictionary(spark, m) for m in (None, PRED_DICTIONARY)]
+    gold, pred = (lookup_table(d, x).withColumn("side", F.lit(k)) for k, (d, x, _n) in zip("gp", sides))
+    tagged = tag_chunks(doc_chunks(spark, sf), None, dict_bytes=sum(n for _d, _x, n in sides), reviewed=True, keep_text=True,
+                        lookup=gold.unionByName(pred), carry=("side",))
+    item = F.struct(*label_order(), "end", "entity", "side")
+    both = tagged.groupBy("doc_id", "chunk_no").agg(F.first("chunk_text").alias("text"), F.sort_array(F.collect_list(item)).alias("labels"))
+
+    def of(side):
+        return F.transform(F.filter("labels", lambda x: x["side"] == side), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["entity"].alias("label")))
+
+    both = both.select(F.concat_ws(":", "doc_id", "chunk_no").alias("id"), "text", of("g").alias("ents_g"), of("p").alias("ents_p"))
     return with_bio(both, "text", {"gold": "ents_g", "pred": "ents_p"})
 
 
@@ -488,6 +509,8 @@ QUERIES = {
     "scan_sources": q_scan_sources,
     "source_status": q_source_status,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_ranges": q_csv_ranges,
+    "json_arrays": q_json_arrays,
     "drop_missing": q_drop_missing,
     "title_filter": q_title_filter,
     "union_sources": q_union_sources,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import local_table
+from .ranges import read_csv_ranges
 
 # The strings pandas reads as missing by default (its NA list); CSV
 # sources apply them so that such cells behave as nulls, as in the original job.
@@ -64,7 +65,10 @@ def job_posting_specs(base: str) -> list[SourceSpec]:
 
 
 def load_table(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Scan one source.  CSV: header row, quoted multi-line cells, no inference."""
+    """Scan one source.  CSV: header row, quoted multi-line cells, no inference; ``csv`` files are
+    read whole by a task each, ``csv_ranges`` files (quoted by the standard) by byte ranges."""
+    if spec.fmt == "csv_ranges":
+        return read_csv_ranges(spark, spec.path, dict(spec.options))
     if spec.fmt == "csv":
         reader = (spark.read.option("header", True).option("multiLine", True)
                   .option("escape", '"').option("inferSchema", False))
@@ -119,8 +123,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, strict: bool = False) ->
 
 
 def land(spark: SparkSession, spec: SourceSpec, path: str) -> SourceSpec:
-    """Landing step: a quoted CSV source (one task per file, as cells may hold line breaks) is
-    written once as parquet; the returned spec reads that, split as finely as the cluster likes.
+    """Landing step: a quoted CSV source (cells may hold line breaks) is written once as parquet; the returned spec reads that, split as finely as the cluster likes.
     A source that cannot be read is returned as it is, to be reported by ``source_status``."""
     df = read_source(spark, spec)
     if df is None:
