@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.spans import token_spans
 from ..sources.dictionary import LABEL_ALIAS, tag_to_id_map
 from ..functions.arrays import literal_map
+from ..session import materialize
 from .indexing import dense_index
 
 
@@ -100,6 +101,43 @@ def bio_long(word_level_df: DataFrame) -> DataFrame:
         "id", "idx", F.col("z.tokens").alias("token"), F.col("z.ner_tags").alias("tag"))
 
 
+DIGITS = 4  # of the hash, a round
+
+
+def kth_hash(hashes: DataFrame, k: int) -> str:
+    """A string below which exactly ``k`` of the distinct hexadecimal ``_h`` lie (equal hashes stay together).
+
+    Counts by the next digits narrow the place down: each round is one aggregate into at most
+    ``16 ** DIGITS`` rows, and two or three rounds find it among billions; nothing is sorted."""
+    prefix = ""
+    while len(prefix) < 32:
+        at = len(prefix)
+        rows = hashes.where(F.col("_h").startswith(prefix)) if prefix else hashes
+        found = rows.groupBy(F.substring("_h", at + 1, DIGITS).alias("d")).count().collect()
+        for d, n in sorted((r.d, r["count"]) for r in found):
+            if k < n:
+                break
+            k -= n
+        else:
+            return prefix + "g"  # beyond all digits
+        prefix += d
+        if k == 0:
+            return prefix
+    return prefix
+
+
+def split_by_selection(df: DataFrame, key: str = "id", ratio: float = 0.8, seed: int = 42) -> DataFrame:
+    """O2 without positions: the rows of ``train_val_split`` with ``split`` only.
+
+    The cut is the hash at rank ``floor(n * ratio)``, found by ``kth_hash``; each row compares its
+    own hash with it where it lies, so no payload moves and nothing is sorted or joined.  Rows of
+    equal keys share a side."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    hashes = materialize(df.select(h.alias("_h")), "split")
+    cut = kth_hash(hashes, int(hashes.count() * ratio))
+    return df.withColumn("split", F.when(h < F.lit(cut), F.lit("train")).otherwise(F.lit("validation")))
+
+
 def train_val_split(df: DataFrame, key: str = "id", ratio: float = 0.8, seed: int = 42) -> DataFrame:
     """O2: seeded shuffle, exact cut at ``floor(n * ratio)``; adds ``split`` and ``shuffle_no``.
 

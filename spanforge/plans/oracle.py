@@ -440,6 +440,24 @@ FROM rows_""")
 
 ORACLE_SQL["csv_ranges"] = ORACLE_SQL["csv_roundtrip"]
 ORACLE_SQL["json_arrays"] = "SELECT doc_id, text, n_chars FROM documents"
+ABBREVIATIONS = """
+dw AS (SELECT regexp_replace(w, '\\.$', '') AS word, CAST(ends_with(w, '.') AS INTEGER) AS dotted
+       FROM (SELECT unnest(regexp_split_to_array(regexp_replace(text, '[''"]', '', 'g'), '\\s+')) AS w FROM clean) WHERE regexp_matches(w, '[a-z]')),
+ct AS (SELECT word, CAST(sum(dotted) AS BIGINT) AS n_dotted, CAST(count(*) - sum(dotted) AS BIGINT) AS n_plain FROM dw GROUP BY word),
+al AS (SELECT sum(n_dotted)::DOUBLE / sum(n_dotted + n_plain) AS share FROM ct),
+sz AS (SELECT *, length(word) - length(replace(word, '.', '')) AS inside, length(replace(word, '.', ''))::DOUBLE AS size FROM ct, al WHERE n_dotted > 0),
+sc AS (SELECT word, n_dotted, n_plain, 2 * (n_dotted * (ln(0.99) - ln(share)) + n_plain * (ln(1 - 0.99::DOUBLE) - ln(1 - share)))
+              * exp(-size) * (inside + 1) * pow(size, -n_plain::DOUBLE) AS score FROM sz)"""
+ORACLE_SQL["abbreviations"] = with_base("\n, " + ABBREVIATIONS.strip() + " SELECT word, n_dotted, n_plain, CASE WHEN round(score, 6) = 0 THEN 0.0::DOUBLE ELSE round(score, 6) END AS score FROM sc")
+ORACLE_SQL["split_learned"] = with_base("\n, " + ABBREVIATIONS.strip() + f"""
+, ab AS (SELECT list(word) AS known FROM sc WHERE score >= 0.3 AND length(word) <= 20),
+  parts AS (SELECT doc_id, {sentences_sql('text')} AS ss FROM clean),
+  marks AS (SELECT doc_id, ss, list_transform(ss, lambda s: ends_with(s, '.') AND list_contains(coalesce(known, []),
+              regexp_replace(regexp_extract(s, '[^\\s''"]*$'), '\\.$', ''))) AS go_on FROM parts, ab),
+  groups AS (SELECT doc_id, ss, go_on, generate_subscripts(ss, 1) AS i FROM marks),
+  flat AS (SELECT doc_id, i, ss[i] AS s, CASE WHEN i > 1 AND go_on[i - 1] THEN 0 ELSE 1 END AS begins FROM groups),
+  num AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS g FROM flat)
+SELECT doc_id, CAST(g - 1 AS INTEGER) AS sent_no, string_agg(s, ' ' ORDER BY i) AS sentence FROM num GROUP BY doc_id, g""")
 BENCHMARK_WORDS = f"SELECT string_split({clean_sql('text')}, ' ') AS w FROM benchmark"
 ORACLE_SQL["tag_many_phrases"] = with_base(f"""
 , bw AS ({BENCHMARK_WORDS}),

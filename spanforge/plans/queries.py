@@ -13,11 +13,12 @@ from ..functions.text import clean_text as clean_col
 from ..functions.text import remove_stopwords, split_sentences, squeeze, strip_tags, text_length
 from ..operators.chunking import chunk_corpus, clean_corpus
 from ..operators.corpus import distinct_corpus, keyword_filter_many, null_counts, require, titled_rows, union_sources
-from ..operators.dataset import bio_long, train_val_split, with_bio, word_level
+from ..operators.dataset import bio_long, split_by_selection, train_val_split, with_bio, word_level
 from ..operators.evaluation import best_run, decode_spans, evaluate_rows, evaluate_scores, tag_names
 from ..operators.export import export_records, flatten_export, record_entities, record_ids
 from ..operators.scoring import (CANDIDATE_SCHEMA, align_pieces, argmax_class, decode_ids, merge_pieces,
                                  piece_candidate_scorer, piece_stream, score_tokens, word_pieces)
+from ..operators.sentences import abbreviation_scores, learn_abbreviations, sentence_splitter
 from ..operators.sequence import (SequenceModel, bio_rules, load_sequence_tagger, predict_sequence, save_sequence_tagger, sequence_rows,
                                   tag_sequences, train_sequence_tagger, viterbi_path)
 from ..operators.tagging import (entity_counts, label_order, lookup_table, merge_candidates, refine_labels, tag_chunks,
@@ -92,6 +93,20 @@ def q_split_sentences(spark, sf):
         "doc_id", "sent_no", "sentence", text_length("sentence").alias("n_units"))
 
 
+def q_abbreviations(spark, sf):
+    """words of the cleaned documents that stand with a dot, and their abbreviation scores."""
+    score = F.round("score", 6)
+    return abbreviation_scores(clean_docs(spark, sf)).select("word", "n_dotted", "n_plain", F.when(score == 0, 0.0).otherwise(score).alias("score"))
+
+
+def q_split_learned(spark, sf):
+    """F13 with the abbreviations learned from the corpus itself, written and read back."""
+    clean = materialize(clean_docs(spark, sf), "clean")
+    words = materialize(learn_abbreviations(clean), "abbreviations").collect()  # a dimension table
+    split = sentence_splitter(r.word for r in words)
+    return clean.select("doc_id", F.posexplode(split(F.col("text"))).alias("sent_no", "sentence"))
+
+
 def q_pack_chunks(spark, sf):
     return doc_chunks(spark, sf).select("doc_id", "chunk_no", "text")
 
@@ -265,7 +280,8 @@ def q_train_val_split(spark, sf):
 def q_split_files(spark, sf):
     """Train and validation files written and read back, one row per record."""
     path = scratch_path(spark, "split")
-    write_split(train_val_split(doc_word_level(spark, sf), "id", SPLIT_RATIO, SPLIT_SEED), path)
+    rows = materialize(doc_word_level(spark, sf), "word-level")
+    write_split(split_by_selection(rows, "id", SPLIT_RATIO, SPLIT_SEED), path)
     parts = [read_word_level(spark, path, split=x).select("id", F.size("tokens").alias("n_tokens"), F.lit(x).alias("split"))
              for x in ("train", "validation")]
     return parts[0].unionByName(parts[1])
@@ -499,6 +515,8 @@ QUERIES = {
     "remove_stopwords": q_remove_stopwords,
     "word_tokens": q_word_tokens,
     "split_sentences": q_split_sentences,
+    "abbreviations": q_abbreviations,
+    "split_learned": q_split_learned,
     "pack_chunks": q_pack_chunks,
     "tag_words": q_tag_words,
     "tag_phrases": q_tag_phrases,
