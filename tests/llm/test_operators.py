@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spanforge.llm import decontam, fm_dedup, jaccard_metric, langid_ecoc, lm_xent, pii_gbt, poisson_mix, warc_merge
 from spanforge.llm.ann_forest import nearest
 from spanforge.llm.graph import components
-from spanforge.llm.license_scan import ORACLE, TEMPLATES, scan_licenses
+from spanforge.llm.license_scan import ORACLE, TEMPLATES, scan_licenses, templates_of
 
 from . import brute
 
@@ -384,6 +384,28 @@ def test_scoring_without_target_or_rows(spark, empty):
 
 # ---- 6 licenses --------------------------------------------------------------------
 
+def test_licences_are_told_apart(spark):
+    texts = {"This work is licensed under CC BY 4.0": "cc-by", "This work is licensed under CC BY-NC 4.0": "cc-by,cc-by-nc", "released under the GPL license": "",
+             "released " + prose(120, 1) + " under " + prose(120, 2) + " the " + prose(120, 3) + " mit " + prose(100, 4) + " license": "",
+             prose(250, 5) + " released under the MIT license " + prose(250, 6): "mit",
+             "this work is licensed under the GNU Lesser General Public License, version 3": "gpl,lgpl",  # gpl: base phrase
+             "this work is licensed under the GNU General Public License, version 3": "gpl",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+             "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by", "worK released under the mit license": "mit"}
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in scan_licenses(d).collect()} == dict(enumerate(texts.values()))
+
+
+def test_templates_from_a_table(spark):
+    table = spark.createDataFrame([("own", "You MAY share, (never) sell", ["never"]), (None, "x", None), ("none", " ., ", None), ("free", "take it all", None)],
+                                  "label string, text string, marks array<string>")
+    templates = templates_of(table)
+    assert templates == [("free", "take it all", ()), ("own", "you may share never sell", ("never",))]
+    d = spark.createDataFrame([(1, "you may share never"), (2, "you may share sell"), (3, "Take\nit all"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in scan_licenses(d, templates=templates).collect()}
+    assert got == {1: ("own", 0.8), 2: ("", 0.0), 3: ("free", 1.0), 4: ("", 0.0)}
+    assert {r.labels for r in scan_licenses(d, templates=[]).collect()} == {""}
+
 def test_license_scan_equals_sql(spark, empty):
     rows = [(1, "x cc by cc by CC-BY!\nLicensed under CC BY-NC 4.0."), (2, None), (3, ""), (4, " ... "), (5, "All rights\nreserved all RIGHTS reserved"),
             (6, "gnu General\nPublic License all rights reserved cc by"), (7, "cc by"), (7, "cc by"), (None, "Released under the MIT License"), (8, "released under mit license terms"),
@@ -402,7 +424,7 @@ def test_license_scan_equals_sql(spark, empty):
 
 def test_notices_that_wrap_over_lines_are_found(spark):
     r, rows, want = random.Random(6), [], {}
-    for k, (label, text) in enumerate(TEMPLATES):
+    for k, (label, text, _marks) in enumerate(TEMPLATES):
         for c in range(3):
             words = text.split()
             cuts = set(r.sample(range(1, len(words)), min(len(words) - 1, 2 + c)))
