@@ -88,10 +88,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def block_words(offs: np.ndarray, data: np.ndarray, breaks: np.ndarray = SPACE, lower: bool = False):
+def block_words(offs: np.ndarray, data: np.ndarray, breaks: np.ndarray = SPACE, lower: bool = False, alone: np.ndarray | None = None):
     """Words of a block: ``(row, start, end, hash)``, byte positions within the block.
 
-    A word is a run of bytes outside ``breaks`` within one row; ``lower`` folds A-Z.
+    A word is a run of bytes outside ``breaks`` within one row; ``lower`` folds A-Z; three-byte
+    characters that begin with a byte of ``alone`` are words of their own.
     """
     none = np.zeros(0, np.int64)
     if not len(data):
@@ -99,6 +100,10 @@ def block_words(offs: np.ndarray, data: np.ndarray, breaks: np.ndarray = SPACE,
     inside = ~breaks[data]
     first = np.zeros(len(data), bool)
     first[offs[:-1][offs[:-1] < len(data)]] = True
+    if alone is not None:
+        lead = alone[data]
+        first |= lead
+        first[3:] |= lead[:-3]
     before = np.empty(len(data), bool)
     before[0] = False
     before[1:] = inside[:-1]

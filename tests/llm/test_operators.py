@@ -1,6 +1,7 @@
 """Operators against brute force, on small tables with hostile rows."""
 
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -303,83 +304,99 @@ def test_vectors_that_take_no_part(spark):
 
 # ---- 5 language-model scoring --------------------------------------------------------
 
-def test_losses_equal_a_plain_model(spark):
-    rows = [(0, "the cat sat"), (1, "a cat ran, the dog sat"), (2, "zz top"), (3, None), (4, ""), (5, "é"), (1, "again")]
-    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("quality", F.lit(1))
-    labels = spark.createDataFrame([(0, 1), (0, 0), (2, 0), (1, None), (9, 1), (None, 1)], "doc_id long, quality int")
-    got = lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect()
+def plain_words(text):
+    return re.findall("[\u3000-\u9fff]|[0-9a-z\x80-\u2fff\ua000-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
-    def model(texts):
-        counts = {}
-        for t in texts:
-            b = (t or "").encode()
+
+def plain_losses(rows, marked):
+    """Both losses of every row with its own n-grams taken off, from counts in dictionaries."""
+    def count(texts):
+        out = {}
+        for w in texts:
             for n in range(1, lm_xent.ORDER + 1):
-                for i in range(len(b) - n + 1):
-                    counts[b[i:i + n]] = counts.get(b[i:i + n], 0) + 1
-        total = sum(v for k, v in counts.items() if len(k) == 1)
-
-        def loss(t):
-            b, out = (t or "").encode(), 0.0
-            for i in range(len(b)):
-                p = (counts.get(b[i:i + 1], 0) + lm_xent.PRIOR / 256) / (total + lm_xent.PRIOR)
-                for n in range(2, min(lm_xent.ORDER, i + 1) + 1):
-                    c = counts.get(b[i - n + 1:i], 0)
-                    p = (counts.get(b[i - n + 1:i + 1], 0) + lm_xent.PRIOR * p) / (c + lm_xent.PRIOR)
-                out -= np.log(p)
-            return out / len(b) if b else None
-        return loss
-
-    target, background = model([t for i, t in rows if i == 0]), model([t for _i, t in rows])
-    want = sorted((i, len((t or "").encode()), target(t), background(t)) for i, t in rows)
-    mine = sorted((r.doc_id, r.n_tokens, r.loss_target, r.loss_background) for r in got)
-    for w, m in zip(want, mine):
-        assert w[:2] == m[:2] and all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(w[2:], m[2:]))
-
-
-def test_every_byte_run_has_its_own_count(spark, monkeypatch):
-    # more distinct runs than any fixed table of half a million cells can tell apart
+                for i in range(len(w) - n + 1):
+                    out[tuple(w[i:i + n])] = out.get(tuple(w[i:i + n]), 0) + 1
+        return out
+
+    split = [(i, plain_words(t)) for i, t in rows]
+    every, target = count([w for _i, w in split]), count([w for i, w in split if i in marked])
+    vocabulary = len({x for _i, w in split for x in w}) + 1
+    total, total_target = (sum(v for k, v in c.items() if len(k) == 1) for c in (every, target))
+    out = []
+    for i, w in split:
+        own = count([w])
+
+        def loss(counts, total, off, scale):
+            c = lambda k: (counts.get(k, 0) - own.get(k, 0) * off) * scale
+            sum_ = 0.0
+            for j in range(len(w)):
+                p = (c((w[j],)) + 1) / ((total - len(w) * off) * scale + vocabulary)
+                for n in range(2, min(lm_xent.ORDER, j + 1) + 1):
+                    p = (c(tuple(w[j - n + 1:j + 1])) + lm_xent.PRIOR * p) / (c(tuple(w[j - n + 1:j])) + lm_xent.PRIOR)
+                sum_ -= np.log(p)
+            return sum_ / len(w) if w else None
+        out.append((i, len(w), loss(target, total_target, i in marked, 1), loss(every, total, 1, total_target / total if total_target else 1)))
+    return out
+
+
+def same_losses(got, want):
+    mine = [(r.doc_id, r.n_tokens, r.loss_target, r.loss_background) for r in got]
+    key = lambda r: (str(r[0]), r[1], round(r[2] or 0, 6), round(r[3] or 0, 6))
+    assert len(mine) == len(want)
+    for w, m in zip(sorted(want, key=key), sorted(mine, key=key)):
+        assert w[:2] == m[:2] and all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(w[2:], m[2:])), (w, m)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_losses_equal_a_plain_model(spark, monkeypatch, order):
+    monkeypatch.setattr(lm_xent, "ORDER", order)
+    monkeypatch.setattr(lm_xent, "SHARE", 1)
+    rows = [(0, "the cat sat"), (1, "a cat ran, the dog sat"), (2, "zz top"), (3, None), (4, ""), (5, "é"), (1, "again"), (6, " .,"), (0, "The CAT sat"),
+            (None, "the cat ran"), (None, "the cat ran"), (7, "漢字 かな x漢y"), (2, "x漢y 漢"), (8, "the cat sat " * 50)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"quality": F.lit(1), "b": F.lit(0), "mark": F.lit(2), "n": F.lit("n")})
+    labels = spark.createDataFrame([(0, 1), (0, 0), (2, 0), (1, None), (9, 1), (None, 1), (7, 1)], "doc_id long, quality int")
+    same_losses(lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect(), plain_losses(rows, {0, 7}))
+
+
+def test_every_run_of_words_has_its_own_count(spark, monkeypatch):
+    # counts must not depend on the blocks, nor on an id whose texts fill several of them
+    monkeypatch.setattr(lm_xent, "SHARE", 1)
+    monkeypatch.setattr(lm_xent, "MERGE", 3000)
     r = random.Random(5)
-    rows = [(i, "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(2000))) for i in range(150)]
-    rows += [(900, "abcdefgh" * 20), (901, "abcdefgi" * 20), (None, "abcd" * 9)]
+    rows = [(i, " ".join(f"{r.choice(VOCAB)}{r.randint(0, 30)}" for _ in range(600))) for i in range(60)]
+    rows += [(0, f"{k} " + prose(300, k)) for k in range(40)] + [(900, "abcdefgh " * 20), (901, "abcdefgi " * 20), (None, "abcd " * 9)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, 1) for i in (0, 1, 900)], "doc_id long, quality int")
-
-    def plain(texts, scored):
-        counts = {}
-        for t in texts:
-            b = t.encode()
-            for n in range(lm_xent.ORDER + 1):
-                for i in range(len(b) - n + (n > 0)):
-                    counts[b[i:i + n]] = counts.get(b[i:i + n], 0) + 1
-        out = {}
-        for k, t in scored:
-            b, loss = t.encode(), 0.0
-            for i in range(len(b)):
-                p = 1 / 256
-                for n in range(1, min(lm_xent.ORDER, i + 1) + 1):
-                    p = (counts.get(b[i - n + 1:i + 1], 0) + lm_xent.PRIOR * p) / (counts.get(b[i - n + 1:i], 0) + lm_xent.PRIOR)
-                loss -= np.log(p)
-            out[k] = loss / len(b)
-        return out, len(counts)
-
-    few = [x for x in rows if x[0] in (0, 5, 900, 901, None)]
-    (target, _n), (background, n) = plain([t for i, t in rows if i in (0, 1, 900)], few), plain([t for _i, t in rows], few)
-    assert n > 1_200_000
-    for size in (1 << 25, 1 << 16):  # one block, and many
-        monkeypatch.setattr(lm_xent, "BLOCK", size, raising=False)
-        got = {x.doc_id: x for x in lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect()}
-        assert len(got) == len(rows)
-        for k, _t in few:
-            assert abs(got[k].loss_target - target[k]) < 1e-9 and abs(got[k].loss_background - background[k]) < 1e-9
-        assert got[900].xent_diff < got[901].xent_diff
+    labels = spark.createDataFrame([(i, 1) for i in (0, 1, 2, 900)], "doc_id long, quality int")
+    want = plain_losses(rows, {0, 1, 2, 900})
+    for size in (1 << 25, 1 << 15):  # one block, and many
+        monkeypatch.setattr(lm_xent, "BLOCK", size)
+        same_losses(lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect(), want)
+
+
+def test_target_documents_score_like_others_of_their_kind(spark):
+    """Two kinds of text over one vocabulary; half of the one kind is the target."""
+    def chain(seed, step):
+        r, at, out = random.Random(seed), seed % 200, []
+        for _ in range(120):
+            out.append(VOCAB[at])
+            at = (at * step + r.randint(0, 5)) % 200
+        return " ".join(out)
+
+    rows = [(i, chain(i, 7 if i % 2 else 3)) for i in range(600)]
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 600, 4)], "doc_id long, quality int")
+    got = lm_xent.cross_entropy_difference(spark.createDataFrame(rows, "doc_id long, text string"), labels, F.col("quality") == 1).collect()
+    kind = lambda keep: np.array([r.xent_diff for r in got if keep(r.doc_id)])
+    marked, held, other = kind(lambda i: i % 4 == 1), kind(lambda i: i % 4 == 3), kind(lambda i: i % 2 == 0)
+    assert abs(marked.mean() - held.mean()) < 0.5 * min(marked.std(), held.std())
+    assert max(marked.max(), held.max()) < other.min()
 
 
 def test_scoring_without_target_or_rows(spark, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert lm_xent.cross_entropy_difference(empty, none, F.col("quality") == 1).count() == 0
-    d = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
-    r = lm_xent.cross_entropy_difference(d, none, F.col("quality") == 1).first()
-    assert abs(r.loss_target - np.log(256)) < 1e-9 and r.xent_diff > 0
+    d = spark.createDataFrame([(1, "abc"), (2, "abc"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_xent.cross_entropy_difference(d, none, F.col("quality") == 1).collect()}
+    assert got[1].loss_target == got[2].loss_target >= 0 and got[1].xent_diff >= 0 and got[3].xent_diff is None and got[3].n_tokens == 0
 
 
 # ---- 6 licenses --------------------------------------------------------------------
