@@ -308,12 +308,12 @@ def plain_words(text):
     return re.findall("[\u3000-\u9fff]|[0-9a-z\x80-\u2fff\ua000-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def plain_losses(rows, marked):
+def plain_losses(rows, marked, order=lm_xent.ORDER):
     """Both losses of every row with its own n-grams taken off, from counts in dictionaries."""
     def count(texts):
         out = {}
         for w in texts:
-            for n in range(1, lm_xent.ORDER + 1):
+            for n in range(1, order + 1):
                 for i in range(len(w) - n + 1):
                     out[tuple(w[i:i + n])] = out.get(tuple(w[i:i + n]), 0) + 1
         return out
@@ -331,7 +331,7 @@ def plain_losses(rows, marked):
             sum_ = 0.0
             for j in range(len(w)):
                 p = (c((w[j],)) + 1) / ((total - len(w) * off) * scale + vocabulary)
-                for n in range(2, min(lm_xent.ORDER, j + 1) + 1):
+                for n in range(2, min(order, j + 1) + 1):
                     p = (c(tuple(w[j - n + 1:j + 1])) + lm_xent.PRIOR * p) / (c(tuple(w[j - n + 1:j])) + lm_xent.PRIOR)
                 sum_ -= np.log(p)
             return sum_ / len(w) if w else None
@@ -349,13 +349,12 @@ def same_losses(got, want):
 
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_losses_equal_a_plain_model(spark, monkeypatch, order):
-    monkeypatch.setattr(lm_xent, "ORDER", order)
     monkeypatch.setattr(lm_xent, "SHARE", 1)
     rows = [(0, "the cat sat"), (1, "a cat ran, the dog sat"), (2, "zz top"), (3, None), (4, ""), (5, "é"), (1, "again"), (6, " .,"), (0, "The CAT sat"),
             (None, "the cat ran"), (None, "the cat ran"), (7, "漢字 かな x漢y"), (2, "x漢y 漢"), (8, "the cat sat " * 50)]
     d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"quality": F.lit(1), "b": F.lit(0), "mark": F.lit(2), "n": F.lit("n")})
     labels = spark.createDataFrame([(0, 1), (0, 0), (2, 0), (1, None), (9, 1), (None, 1), (7, 1)], "doc_id long, quality int")
-    same_losses(lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect(), plain_losses(rows, {0, 7}))
+    same_losses(lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1, order=order).collect(), plain_losses(rows, {0, 7}, order))
 
 
 def test_every_run_of_words_has_its_own_count(spark, monkeypatch):
