@@ -1,21 +1,24 @@
 """WARC archives and the external merge of their capture indexes.
 
 ``write_archives`` writes one WARC record per capture; each archive file is sorted by URL
-key and timestamp, so its index is a locally sorted capture run.  ``read_archives`` parses
-the files back into index rows.  ``merge_runs`` cuts the key space into ranges and merges,
+key and timestamp, so its index is a locally sorted capture run.  ``read_archives`` streams
+the files back into index rows, holding one record at a time.  ``merge_runs`` cuts the key space into ranges and merges,
 in each range, the slices of all runs with a loser tree: range number and position give
 the global order of captures by URL key and timestamp.
 
 Defined cases: a null payload is empty; a null url has the key ``-``; a null id is written
 without an id and comes back null; rows with equal id and payload are equal records (each is
-written); an empty table gives archives without records and an empty index.  Only the named
-columns are read, so extra columns never clash.
+written); an empty table gives archives without records and an empty index.  Dates are written as
+``2000-01-31T12:00:00Z`` and indexed as 14 digits; a time stamp in neither form stays as it is.
+Offsets and lengths count bytes of the unpacked archive.  Only the named columns are read, so
+extra columns never clash.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import shared_path, written
 
 CRLF = "\r\n"
-# WARC files roll after this many records, so reading one back needs bounded memory.
-RECORDS_PER_FILE = 2000
+RECORDS_PER_FILE = 2000  # archives roll, so that many tasks can read them back
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+STAMP, DATE = r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", r"^(\d{4})-(\d\d)-(\d\d)T(\d\d):(\d\d):(\d\d)Z$"
 INDEX = ("id long, url string, urlkey string, ts string, record_type string, refers_to long, "
          "digest string, payload_bytes long, file string, seq long, offset long, length long")
 
@@ -40,6 +43,11 @@ def url_key(url):
     return F.when(url.isNull(), F.lit("-")).when(host == "", F.lower(url)).otherwise(key)
 
 
+def _stamp(id_col):
+    """A made-up time for captures that have none: seconds after 2000 by id."""
+    return F.date_format(F.timestamp_seconds(F.lit(946684800) + F.pmod(F.col(id_col), F.lit(1 << 31))), "yyyyMMddHHmmss")
+
+
 def captures(pages: DataFrame, id_col: str, url_col: str, body_col: str, ts=None,
              min_bytes: int = 1000) -> DataFrame:
     """Capture rows with payload digest and record type.
@@ -54,7 +62,7 @@ def captures(pages: DataFrame, id_col: str, url_col: str, body_col: str, ts=None
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"),
         F.regexp_replace(F.col(url_col), r"[\r\n]", "").alias("url"), body.alias("body"),
-        (ts if ts is not None else F.date_format(F.timestamp_seconds(F.lit(946684800) + F.pmod(F.col(id_col), F.lit(1 << 31))), "yyyyMMddHHmmss")).alias("ts"))
+        F.regexp_replace(_stamp(id_col) if ts is None else ts.cast("string"), DATE, "$1$2$3$4$5$6").alias("ts"))
     rows = rows.withColumns({"digest": F.sha1(F.encode("body", "UTF-8")), "payload_bytes": F.octet_length("body").cast("long"),
                              "urlkey": url_key(F.col("url"))})
     keyed = pages.select(F.col(id_col).cast("long").alias("id"), body.alias("body")).where(
@@ -72,7 +80,7 @@ def record(c=F.col):
         F.lit("WARC/1.1" + CRLF + "WARC-Type: "), c("record_type"),
         F.when(c("id").isNotNull(), F.concat(F.lit(CRLF + "WARC-Record-ID: <urn:capture:"), c("id").cast("string"), F.lit(">"))).otherwise(""),
         F.when(c("url").isNotNull(), F.concat(F.lit(CRLF + "WARC-Target-URI: "), c("url"))).otherwise(""),
-        F.when(c("ts").isNotNull(), F.concat(F.lit(CRLF + "WARC-Date: "), c("ts"))).otherwise(""),
+        F.when(c("ts").isNotNull(), F.concat(F.lit(CRLF + "WARC-Date: "), F.regexp_replace(c("ts"), STAMP, "$1-$2-$3T$4:$5:$6Z"))).otherwise(""),
         F.lit(CRLF + "X-URL-Key: "), c("urlkey"),
         F.lit(CRLF + "WARC-Payload-Digest: sha1:"), c("digest"),
         F.lit(CRLF + "X-Payload-Length: "), c("payload_bytes").cast("string"),
@@ -89,45 +97,67 @@ def write_archives(caps: DataFrame, path: str) -> None:
         "lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def parse_warc(data: bytes):
-    """``(offset, length, headers, payload)`` of each record, found by Content-Length."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at) + 4
-        lines = data[at:end - 4].decode("utf-8").split(CRLF)
-        if not lines[0].startswith("WARC/"):
+def parse_warc(lines):
+    """``(offset, length, headers, payload)`` of each record of an archive, given as an iterable of
+    its lines (bytes, each without its line feed).  Records end by Content-Length, whatever their
+    payload holds."""
+    at, lines = 0, iter(lines)
+    for line in lines:
+        if not line.startswith(b"WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        heads = dict(x.split(": ", 1) for x in lines[1:])
-        size = int(heads["Content-Length"])
-        block = data[end:end + size]
-        yield at, end + size + 4 - at, heads, block.split(b"\r\n\r\n", 1)[1] if size else b""
-        at = end + size + 4
+        start, heads = at, {}
+        at += len(line) + 1
+        while (line := next(lines, b"\r")) != b"\r":
+            name, value = line[:-1].decode("utf-8").split(": ", 1)
+            heads[name] = value
+            at += len(line) + 1
+        at += 2
+        size, held, got = int(heads.get("Content-Length", -1)), [], 0
+        if size < 0:
+            raise ValueError(f"record at byte {start} has no Content-Length")
+        while got < size + 4:
+            if (line := next(lines, None)) is None:
+                raise ValueError(f"record at byte {start} is cut off")
+            held.append(line)
+            got += len(line) + 1
+        block, closing = (whole := b"\n".join(held))[:size], whole[size:]
+        if closing != b"\r\n\r":  # its line feed was cut with the line
+            raise ValueError(f"record at byte {start} does not end by its Content-Length")
+        at += got
+        yield start, at - start, heads, block.split(b"\r\n\r\n", 1)[1] if size else b""
 
 
 def _urn(x):
     return int(x.rsplit(":", 1)[1].rstrip(">")) if x else None
 
 
-def _index_files(batches):
-    names = [x.split()[0] for x in INDEX.split(", ")]
-    for batch in batches:
-        for file, content in zip(batch.column("path"), batch.column("content")):
-            rows = []
-            for seq, (offset, length, h, body) in enumerate(parse_warc(gzip.decompress(content.as_py()))):
-                digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                n = int(h["X-Payload-Length"])
-                if h["WARC-Type"] == "response" and (len(body) != n or hashlib.sha1(body).hexdigest() != digest):
-                    raise ValueError(f"payload of record {seq} of {file} does not match its digest")
-                rows.append((_urn(h.get("WARC-Record-ID")), h.get("WARC-Target-URI"), h["X-URL-Key"], h.get("WARC-Date"), h["WARC-Type"],
-                             _urn(h.get("WARC-Refers-To")), digest, n, file.as_py().rsplit("/", 1)[1], seq, offset, length))
-            kinds = [pa.int64() if x.endswith("long") else pa.string() for x in INDEX.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+def _index_lines(batches):
+    fields = pa.schema([(x.split()[0], pa.int64() if x.endswith("long") else pa.string()) for x in INDEX.split(", ")])
+    batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(fields)], schema=fields)
+    lines = (x for batch in batches for x in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()))
+    rows = []
+    for file, own in groupby(lines, itemgetter(0)):
+        for seq, (offset, length, h, body) in enumerate(parse_warc(map(itemgetter(1), own))):
+            digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+            n = int(h["X-Payload-Length"])
+            if h["WARC-Type"] == "response" and (len(body) != n or hashlib.sha1(body).hexdigest() != digest):
+                raise ValueError(f"payload of record {seq} of {file} does not match its digest")
+            rows.append((_urn(h.get("WARC-Record-ID")), h.get("WARC-Target-URI"), h["X-URL-Key"], h.get("WARC-Date"), h["WARC-Type"],
+                         _urn(h.get("WARC-Refers-To")), digest, n, file, seq, offset, length))
+            if len(rows) == RECORDS_PER_FILE:
+                yield batch_of(rows)
+                rows = []
+    yield batch_of(rows)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Index rows (one per record, in file order) of all archives below ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("path", "content").mapInArrow(_index_files, INDEX)
+    """Index rows (one per record, in file order) of all archives below ``path``.
+
+    A packed archive is one split of Spark's text source, so a task gets its lines in order, in
+    Arrow batches that Spark bounds by bytes."""
+    files = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.gz").text(path)
+    lines = files.select(F.col("_metadata.file_name").alias("file"), F.col("value").cast("binary").alias("value"))
+    return lines.mapInArrow(_index_lines, INDEX).withColumn("ts", F.regexp_replace("ts", DATE, "$1$2$3$4$5$6"))
 
 
 class LoserTree:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm import decontam, fm_dedup, jaccard_metric, langid_ecoc, lm_xent, pii_gbt, poisson_mix, warc_merge
 from spanforge.llm.ann_forest import nearest
+from spanforge.llm.common import shared_path
 from spanforge.llm.graph import components
 from spanforge.llm.license_scan import ORACLE, TEMPLATES, scan_licenses, templates_of
 
@@ -202,6 +203,31 @@ def test_archives_round_trip_in_global_order(spark):
     assert next(r.urlkey for r in got if r.id == 1) == "org,a)/x"
 
 
+def test_large_payloads_are_streamed(spark):
+    """Records of megabytes, with line ends of all kinds inside, come back one at a time."""
+    r = random.Random(2)
+    rows = [(i, f"http://h{i}.org", "".join(r.choice(["\r", "\n", "\r\n\r\n", "x" * 50000, "é", "WARC/1.1\r\n"]) for _ in range(60))) for i in range(30)]
+    rows += [(100, "http://l.org", "y" * 5_000_000), (101, "http://m.org", "\n" * 3000), (102, "http://n.org", "\r\n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = shared_path(spark, "warc-test")
+    ts = F.when(F.col("page_id") < 9, F.lit("2020-02-03T04:05:06Z")).when(F.col("page_id") == 9, F.lit("today"))
+    caps = warc_merge.captures(pages, "page_id", "url", "html", ts)
+    warc_merge.write_archives(caps, path)
+    got = sorted(warc_merge.read_archives(spark, path).collect(), key=lambda x: x.seq)
+    assert {x.id: x.payload_bytes for x in got} == {i: len(h.encode()) for i, _u, h in rows} and len(got) == len(rows)
+    assert {x.id: x.ts for x in got if x.id < 11} == {i: "20200203040506" if i < 9 else "today" if i == 9 else None for i in range(11)}
+    at = 0
+    for x in got:  # records lie end to end
+        assert x.offset == at
+        at += x.length
+
+
+@pytest.mark.parametrize("bad", [b"WARC/1.0\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n", b"WARC/1.0\r\nContent-Length: 1\r\n\r\nabc\r\n\r\n", b"other\r\n", b"WARC/1.0\r\nWARC-Type: x\r\n"])
+def test_broken_archives_are_refused(bad):
+    with pytest.raises(ValueError):
+        list(warc_merge.parse_warc(bad.split(b"\n")[:-1]))
+
+
 def test_archives_of_an_empty_table(spark):
     assert warc_merge.archive_and_merge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
