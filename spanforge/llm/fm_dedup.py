@@ -7,9 +7,11 @@ last in that order), so equal windows have equal anchors.  The windows of one an
 other; their words form a segment.  Segments whose anchor occurs in one document only are never
 moved.  The others are dealt to shards by anchor; each shard builds an FM-index (suffix order
 to ``DEPTH`` words, Burrows-Wheeler words in a wavelet matrix of packed bits) over its distinct
-segments.  Every segment is streamed through backward search, which computes the matching
-statistic of each position up to the window length; positions that reach it report the
-interval, and the smallest document id in the suffix-array range decides.
+segments, and the documents' segments are streamed against it.  Backward search computes the
+matching statistic of each position against the documents with smaller ids, up to the window
+length: words are prepended while the suffix-array range still holds a suffix of such a document
+(range minima over the owners of the suffixes).  Positions whose statistic reaches the window
+length are reported.
 
 A window gets a frequent anchor only if all its 4-word runs are frequent, as inside a passage that
 very many documents share.  Frequent anchors are shared for certain and skip the grouping by
@@ -196,21 +198,46 @@ class FMIndex:
         shift = self.before[symbol] - self.base[symbol]
         return self.tree.place(symbol, lo) + shift, self.tree.place(symbol, hi) + shift
 
-    def ranges(self, text: np.ndarray, first: np.ndarray, length: int):
+    def ranges(self, text: np.ndarray, first: np.ndarray, length: int, holds=None):
         """Suffix ranges and matching statistics (up to ``length``) ending ``length`` words
-        after each ``first``: words are prepended while the range stays nonempty."""
+        after each ``first``: words are prepended while the range stays nonempty and
+        ``holds(places in first, lo, hi)`` is true of it."""
         lo, hi = np.zeros(len(first), np.int64), np.full(len(first), self.n, np.int64)
         match = np.zeros(len(first), np.int64)
+        at = np.arange(len(first))
         for t in range(length - 1, -1, -1):
-            a, b = self.step(text[first + t], lo, hi)
-            alive = (match == length - 1 - t) & (a < b)
-            lo, hi = np.where(alive, a, lo), np.where(alive, b, hi)
-            match += alive
+            a, b = self.step(text[first[at] + t], lo[at], hi[at])
+            alive = a < b
+            at, a, b = at[alive], a[alive], b[alive]
+            if holds is not None:
+                alive = holds(at, a, b)
+                at, a, b = at[alive], a[alive], b[alive]
+            lo[at], hi[at] = a, b
+            match[at] += 1
         return lo, hi, match
 
 
-def shard_minima(words: list[np.ndarray], ids: np.ndarray) -> list[np.ndarray]:
-    """For each segment, the smallest id whose segments hold each of its windows."""
+class RangeMinima:
+    """Minima of any nonempty range of an array, from minima of runs of each power of two."""
+
+    def __init__(self, x: np.ndarray):
+        self.runs = [x]
+        while 2 << (len(self.runs) - 1) <= len(x):
+            half, r = 1 << (len(self.runs) - 1), self.runs[-1]
+            self.runs.append(np.minimum(r[:-half], r[half:]))
+
+    def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+        out = np.empty(len(lo), self.runs[0].dtype)
+        for v in np.unique(level):
+            at = np.flatnonzero(level == v)
+            out[at] = np.minimum(self.runs[v][lo[at]], self.runs[v][hi[at] - (1 << int(v))])
+        return out
+
+
+def matching_statistics(words: list[np.ndarray], ids: np.ndarray) -> list[np.ndarray]:
+    """For each segment, of each of its windows the number of last words (up to ``WINDOW``) that
+    stand in a row in a segment with a smaller id."""
     size = np.array([len(w) for w in words])
     _, local = np.unique(np.concatenate(words), return_inverse=True)
     stride = size + 1
@@ -219,23 +246,22 @@ def shard_minima(words: list[np.ndarray], ids: np.ndarray) -> list[np.ndarray]:
     owner = np.repeat(np.arange(len(words)), stride)
     text[np.arange(len(text)) - begin[owner] < size[owner]] = local + 1
     index = FMIndex(text)
+    age = np.unique(ids, return_inverse=True)[1].astype(np.int32)
+    owners = RangeMinima(age[owner[index.sa]])
     windows = np.maximum(size - WINDOW + 1, 0)
     seg = np.repeat(np.arange(len(words)), windows)
     first = begin[seg] + np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
-    lo, hi, match = index.ranges(text, first, WINDOW)
-    assert (match == WINDOW).all()
-    at, inv = np.unique(lo, return_inverse=True)
-    end = np.zeros(len(at), np.int64)
-    end[inv] = hi
-    owners = np.append(ids[owner[index.sa]], np.iinfo(np.int64).max)
-    least = np.minimum.reduceat(owners, np.stack([at, end], 1).ravel())[::2] if len(at) else np.zeros(0, np.int64)
-    return np.split(least[inv], np.cumsum(windows)[:-1])
+    own = age[seg]
+    _lo, _hi, match = index.ranges(text, first, WINDOW, lambda at, lo, hi: owners.least(lo, hi) < own[at])
+    return np.split(match, np.cumsum(windows)[:-1])
 
 
 def _shard(table: pa.Table) -> pa.Table:
+    """Places of the repeated windows of each segment; segments of one document that hold none go."""
     words = [np.frombuffer(x.as_py(), np.uint32) for x in table["words"]]
-    least = shard_minima(words, table["id"].to_numpy())
-    return pa.table({"route": table["route"], "same": table["words"], "least": pa.array([x.tolist() for x in least], pa.list_(pa.int64()))})
+    found = [np.flatnonzero(m == WINDOW) for m in matching_statistics(words, table["least"].to_numpy())]
+    out = table.select(["route", "same", "least"]).append_column("found", pa.array(found, pa.list_(pa.int32())))
+    return out.filter(pa.array(np.array([len(f) > 0 for f in found]) | (table["docs"].to_numpy() > 1)))
 
 
 def _cut(keep_text):
@@ -289,12 +315,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     total = segments.agg(F.sum(F.length("words") / 4).alias("w")).first().w or 0
     shards = int(total // SHARD_WORDS) + 1
-    texts = segments.groupBy("route", "words").agg(F.min("id").alias("id"))
-    least = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInArrow(_shard, "route long, same binary, least array<long>")
-    # route and a hash of the words stand for the words; within one anchor that is 64 bits more
-    least = least.select("route", F.xxhash64("same").alias("same"), "least")
-    hits = segments.select("route", "same", "id", "key", "start").join(least, ["route", "same"]).select("key", F.expr(
-        "transform(filter(sequence(0, size(least) - 1), j -> get(least, j) < id), j -> j + start)").alias("at")).where("size(at) > 0")
+    texts = segments.groupBy("route", "same", "words").agg(F.min("id").alias("least"), F.count("*").alias("docs"))
+    found = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInArrow(_shard, "route long, same long, least long, found array<int>")
+    # route and a hash of the words stand for the words; within one anchor that is 64 bits more.
+    # What the segment's first document holds, all later ones repeat whole
+    at = F.when(F.col("id") > F.col("least"), F.expr(f"sequence(start, start + size - {WINDOW})")).otherwise(F.expr("transform(found, j -> start + j)"))
+    hits = segments.select("route", "same", "id", "key", "start", F.expr("int(length(words) / 4)").alias("size")).join(found, ["route", "same"])
+    hits = hits.select("key", at.alias("at")).where("size(at) > 0")
     starts = hits.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("fm_starts"))
     feed = rows.join(starts.withColumnRenamed("key", "fm_key").hint("merge"), "fm_key", "left").join(copies.withColumn("fm_copy", F.lit(True)).hint("merge"), "fm_key", "left")
     feed = feed.select("fm_id", "fm_text", F.coalesce("fm_copy", F.lit(False)).alias("fm_copy"), "fm_starts")

@@ -569,6 +569,28 @@ def test_backward_search_counts_and_matching_statistics():
     assert match[0] == longest
 
 
+def test_matching_statistics_against_smaller_documents():
+    r = np.random.default_rng(5)
+    base = r.integers(1, 40, 400).astype(np.uint32)
+    words = [base[i:i + r.integers(13, 60)].copy() for i in r.integers(0, 340, 60)]
+    for w in words[::2]:
+        w[r.integers(0, len(w))] = 99
+    ids = r.integers(0, 40, len(words))
+    seen = set()
+    for seg, (w, stats) in enumerate(zip(words, fm_dedup.matching_statistics(words, ids))):
+        runs = {x[i:i + n].tobytes() for x, d in zip(words, ids) if d < ids[seg] for n in range(1, 14) for i in range(len(x) - n + 1)}
+        for f, m in enumerate(stats):
+            assert m == max(n for n in range(14) if n == 0 or w[f + 13 - n:f + 13].tobytes() in runs)
+        seen |= set(stats.tolist())
+    assert {0, 13} <= seen and len(seen) > 8
+
+
+def test_range_minima():
+    x = np.random.default_rng(2).integers(0, 100, 77)
+    lo, hi = np.array([(i, j) for i in range(77) for j in range(i + 1, 78)]).T
+    assert (fm_dedup.RangeMinima(x).least(lo, hi) == [x[i:j].min() for i, j in zip(lo, hi)]).all()
+
+
 def test_repeats_of_one_id_with_several_texts(spark):
     a, b, c = prose(40, 71), prose(60, 72), prose(50, 73)
     rows = [(1, a), (2, a), (2, b), (3, c + " " + b[:len(b) // 2]), (3, prose(30, 74) + " " + a)]
