@@ -17,7 +17,8 @@ A window gets a frequent anchor only if all its 4-word runs are frequent, as ins
 very many documents share.  Frequent anchors are shared for certain and skip the grouping by
 anchor.  Their segments are the same words in all these documents, and equal segments are
 reduced to the smallest id before the shuffle, so a passage held by a third of the corpus leaves
-few rows.  Exact copies need no search: all their
+few rows.  They are dealt by the anchor and the ``NEAR`` words next to it that all their windows
+hold, so that a phrase in very many different texts is spread over shards.  Exact copies need no search: all their
 windows start in the first copy.
 
 Defined cases: a null or empty text has no words and the hash of the empty string; a document
@@ -41,6 +42,7 @@ from .common import block_words, gram_hashes, mix64, text_blocks, written
 WINDOW = 13
 ANCHOR = 4
 DEPTH = 16  # suffix order, a power of two of at least WINDOW + 1
+NEAR = (WINDOW - ANCHOR) // 2 + 1  # words beside a frequent anchor that take part in the route
 SHARD_WORDS = 300_000
 SAMPLE = 64
 FREQUENT = 1 << 19  # anchors, 4 MB
@@ -100,14 +102,24 @@ def frequent_anchors(rows: DataFrame) -> np.ndarray:
 
 
 def _runs(offs, data, freq):
-    """Runs of windows with one anchor: ``(words' codes, rows' bounds, row, first, last, anchor)``."""
+    """Runs of windows with one anchor: ``(words' codes, rows' bounds, row, first, last, anchor, route)``.
+
+    Windows of a frequent anchor with ``NEAR`` or more words before it are one run, routed by these
+    words and the anchor; those with fewer are another, routed by the anchor and the words after it."""
     row, h, cut = _row_words(offs, data)
     first, where, low = anchors(row, h, freq)
+    heavy, before = low >= LAST, where - first >= NEAR
     new = np.ones(len(first), bool)
-    new[1:] = (where[1:] != where[:-1]) | (first[1:] != first[:-1] + 1)
+    new[1:] = (where[1:] != where[:-1]) | (first[1:] != first[:-1] + 1) | (heavy[1:] & (before[1:] != before[:-1]))
     at = np.flatnonzero(new)
     last = first[np.append(at[1:], len(first)) - 1] if len(first) else first
-    return (h >> np.uint64(32)).astype(np.uint32), cut, row[first[at]], first[at], last, low[at]
+    wide = np.zeros(len(h), np.uint64)
+    start, g = gram_hashes(row, h, ANCHOR + NEAR)
+    wide[start] = g
+    route = low[at].copy()
+    far = heavy[at]
+    route[far] = wide[(where - NEAR * before)[at][far]]
+    return (h >> np.uint64(32)).astype(np.uint32), cut, row[first[at]], first[at], last, low[at], route
 
 
 def _anchor_rows(shared):
@@ -117,7 +129,7 @@ def _anchor_rows(shared):
         for batch in batches:
             keys = np.asarray(batch.column("fm_key"))
             for lo, offs, data in text_blocks(batch.column("fm_text")):
-                _code, _cut, row, _first, _last, low = _runs(offs, data, freq)
+                _code, _cut, row, _first, _last, low, _route = _runs(offs, data, freq)
                 light = low < LAST
                 yield pa.RecordBatch.from_arrays([pa.array(low[light].view(np.int64)), pa.array(keys[lo + row[light]].astype(np.int64))], ["a", "key"])
     return run
@@ -134,18 +146,18 @@ def _segments(shared):
         for batch in batches:
             ids, keys, spots = np.asarray(batch.column("fm_id")), np.asarray(batch.column("fm_key")), batch.column("spots").fill_null([])
             for lo, offs, data in text_blocks(batch.column("fm_text")):
-                code, cut, row, first, last, low = _runs(offs, data, freq)
+                code, cut, row, first, last, low, route = _runs(offs, data, freq)
                 mine = spots.slice(lo, len(offs) - 1)
                 known = np.repeat(np.arange(len(mine)), mine.value_lengths().to_numpy())
                 # a mark that agrees by accident only adds a segment
                 marks = np.sort(_mark(known, mine.flatten().to_numpy().view(np.uint64)))
                 keep = (low >= LAST) | _member(marks, _mark(row, low))
-                row, first, size, low = row[keep], first[keep], last[keep] - first[keep] + WINDOW, low[keep]
+                row, first, size, route = row[keep], first[keep], last[keep] - first[keep] + WINDOW, route[keep]
                 end = np.cumsum(size)
                 words = code[np.arange(int(end[-1]) if len(end) else 0) - np.repeat(end - size - first, size)]
                 bounds = np.concatenate(([0], 4 * end)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(low.view(np.int64)), pa.array(ids[lo + row].astype(np.int64)), pa.array(keys[lo + row].astype(np.int64)), pa.array((first - cut[row]).astype(np.int32)),
+                    [pa.array(route.view(np.int64)), pa.array(ids[lo + row].astype(np.int64)), pa.array(keys[lo + row].astype(np.int64)), pa.array((first - cut[row]).astype(np.int32)),
                      pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(words.tobytes())])],
                     ["route", "id", "key", "start", "words"])
     return run

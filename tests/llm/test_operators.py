@@ -585,6 +585,26 @@ def test_matching_statistics_against_smaller_documents():
     assert {0, 13} <= seen and len(seen) > 8
 
 
+def test_equal_windows_have_equal_routes_and_frequent_phrases_many():
+    phrase = " ".join(VOCAB[:4])
+    texts = [prose(20, 700 + i) + " " + phrase + " " + prose(20, 800 + i % 50) for i in range(100)]
+    raw = [t.encode() for t in texts]
+    offs = np.cumsum([0] + [len(t) for t in raw])
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    row, h, _cut = fm_dedup._row_words(offs, data)
+    _at, g = fm_dedup.gram_hashes(row, h, fm_dedup.ANCHOR)
+    routes, by_anchor = {}, {}
+    for frequent in (np.unique(g >> np.uint64(1)), np.zeros(0, np.uint64)):
+        routes.clear()
+        code, _cut, _row, first, last, low, route = fm_dedup._runs(offs, data, frequent)
+        for f, la, a, r in zip(first, last, low, route):
+            by_anchor.setdefault(a, set()).add(r)
+            for i in range(f, la + 1):
+                assert routes.setdefault(code[i:i + 13].tobytes(), r) == r
+        assert sum(last - first + 1) == sum(len(t.split()) - 12 for t in texts)
+    assert max(map(len, by_anchor.values())) > 20  # one phrase, many routes (it is not the anchor of all its windows)
+
+
 def test_range_minima():
     x = np.random.default_rng(2).integers(0, 100, 77)
     lo, hi = np.array([(i, j) for i in range(77) for j in range(i + 1, 78)]).T
