@@ -11,7 +11,7 @@ many of a set's shingles fall in each hash class, its overlap with that many piv
 divide all shingles.  There is about one class (one byte) per ``PER_CLASS`` shingles.  Their L1
 distance never exceeds |x ^ y|, so pairs beyond the bound are out, and only documents with a
 possible partner have their sets moved, once, to the group they are connected with.  Inside a
-group, pivots create Voronoi regions, documents within the triangle-inequality window
+group of three or more, pivots create Voronoi regions, documents within the triangle-inequality window
 ``d(y, q) <= d(y, home) + 2 radius`` are replicated, and regions are joined recursively, down to
 exact comparison.
 
@@ -37,8 +37,9 @@ from .graph import components
 BLOCK_SHINGLES = 1 << 19
 PER_CLASS = 16
 MIN_CLASSES, MAX_CLASSES = 64, 4096
-LEAF = 48        # documents joined directly at the end of the recursion
-PIVOTS = 8       # pivots of one step of the recursion
+LEAF = 2         # documents joined directly at the end of the recursion
+PIVOTS = 8       # pivots of one step of the recursion, at most; two at least
+SPREAD = 4       # documents to a pivot in smaller groups
 # The order's frequent shingles: counted in one of SAMPLE documents.  The order decides only
 # how much work there is; any order gives the same links.
 SAMPLE = 64
@@ -193,34 +194,45 @@ def _direct(sets, left, right, num, den, links):
             links.join(int(left[lo + x]), int(right[y]))
 
 
-def join_region(sets, members, num, den, links):
-    """Recursive pivot join of ``members`` (indices into ``sets``, sorted by set size)."""
-    if len(members) <= LEAF:
-        _direct(sets, np.sort(members), np.sort(members), num, den, links)
-        return
+def voronoi_regions(sets, members, num, den):
+    """Regions of ``members`` (indices into ``sets``, sorted by set size): ``(core, window)``.
+
+    A core holds the documents nearest to one pivot; its window holds every document that may
+    link to one of them, the core itself and the replicated boundary documents of other cores."""
     radius = 1 - num / den
+    count = min(PIVOTS, max(2, len(members) // SPREAD))
     size = np.array([len(sets[i]) for i in members])
     cat = np.concatenate([sets[i] for i in members])
     owner = np.repeat(np.arange(len(members)), size)
-    pivots = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
-    dist = np.ones((len(members), PIVOTS))
+    pivots = members[np.linspace(0, len(members) - 1, count).astype(int)]
+    dist = np.ones((len(members), count))
     for q, p in enumerate(pivots):
         s = sets[p]
         at = np.minimum(np.searchsorted(s, cat), len(s) - 1)
         inter = np.bincount(owner[s[at] == cat], minlength=len(members))
         dist[:, q] = 1 - inter / (size + len(s) - inter)
     home, near = dist.argmin(1), dist.min(1)
-    for q in range(PIVOTS):
+    for q in range(count):
         core = home == q
         if not core.any():
             continue
         window = dist[:, q] <= near + 2 * radius + 1e-9
         # sizes outside the region's range allow no link either
         window &= (size * den >= size[core].min() * num) & (size * num <= size[core].max() * den)
-        if window.sum() <= 0.7 * len(members):
-            join_region(sets, members[window], num, den, links)
+        yield members[core], members[window]
+
+
+def join_region(sets, members, num, den, links):
+    """Recursive pivot join of ``members``: a region whose window is well below them is divided
+    again, another's core is compared with its window."""
+    if len(members) <= LEAF:
+        _direct(sets, np.sort(members), np.sort(members), num, den, links)
+        return
+    for core, window in voronoi_regions(sets, members, num, den):
+        if len(window) <= 0.7 * len(members):
+            join_region(sets, window, num, den, links)
         else:
-            _direct(sets, np.sort(members[core]), np.sort(members[window]), num, den, links)
+            _direct(sets, np.sort(core), np.sort(window), num, den, links)
 
 
 def region_edges(ids, sets, num, den):

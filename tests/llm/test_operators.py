@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm import decontam, fm_dedup, jaccard_metric, langid_ecoc, lm_xent, pii_gbt, poisson_mix, warc_merge
 from spanforge.llm.ann_forest import nearest
-from spanforge.llm.common import shared_path
+from spanforge.llm.common import shared_path, written
 from spanforge.llm.graph import components
 from spanforge.llm.license_scan import ORACLE, TEMPLATES, scan_licenses, templates_of
 
@@ -522,6 +522,52 @@ def test_recursive_region_join_loses_no_link():
         assert [links.root(i) for i in ids] == [mine.root(i) for i in ids]
 
 
+def test_small_groups_go_through_regions(spark):
+    """Groups of the test table have boundary documents that windows replicate."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = written(jaccard_metric.similar_components(table).where("n_shingles > 0"), "found")
+    large = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 2")
+    texts, groups = {}, {}
+    for r in table.join(found.join(large, "component_id"), "doc_id").collect():
+        texts[r.doc_id] = r.text
+        groups.setdefault(r.component_id, []).append(r.doc_id)
+    regions = replicated = 0
+    for docs_of in groups.values():
+        raw = [texts[d].encode() for d in docs_of]
+        row, g = jaccard_metric.shingle_rows(np.cumsum([0] + [len(t) for t in raw]), np.frombuffer(b"".join(raw), np.uint8), 5)
+        sets = list({x.tobytes(): x for x in (g[row == i] for i in range(len(raw)))}.values())
+        if len(sets) <= jaccard_metric.LEAF:
+            continue
+        members = np.array(sorted(range(len(sets)), key=lambda i: len(sets[i])))
+        cores = 0
+        for core, window in jaccard_metric.voronoi_regions(sets, members, 80, 100):
+            regions, cores, replicated = regions + 1, cores + len(core), replicated + len(set(window) - set(core))
+        assert cores == len(sets)
+    assert regions > 1 and replicated > 0
+
+
+@pytest.mark.parametrize("n", [3, 4, 7, 13, 40])
+def test_regions_of_small_groups_lose_no_link(n):
+    r = np.random.default_rng(n)
+    for _trial in range(20):
+        base = r.choice(5000, 50, replace=False)
+        sets = []
+        for _ in range(n):
+            c = base.copy()
+            k = r.integers(0, 12)
+            c[r.choice(50, k, replace=False)] = r.integers(5000, 90000, k)
+            sets.append(np.unique(c[:50 - r.integers(0, 6)]).astype(np.uint64))
+        want, mine = jaccard_metric.Links(n), jaccard_metric.Links(n)
+        for a in range(n):
+            for b in range(a):
+                inter = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * inter >= 80 * (len(sets[a]) + len(sets[b]) - inter):
+                    want.join(a, b)
+        for a, b in jaccard_metric.region_edges(list(range(n)), sets, 80, 100):
+            mine.join(a, b)
+        assert [want.root(i) for i in range(n)] == [mine.root(i) for i in range(n)]
+
+
 def test_components_of_odd_rows(spark, empty):
     d = spark.createDataFrame([(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (4, "A b  c d"), (5, None)], "doc_id long, text string")
     got = sorted((str(r.doc_id), str(r.component_id)) for r in jaccard_metric.similar_components(d, k=3, num=90).collect())
