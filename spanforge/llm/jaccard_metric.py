@@ -37,7 +37,8 @@ from .graph import components
 BLOCK_SHINGLES = 1 << 19
 PER_CLASS = 16
 MIN_CLASSES, MAX_CLASSES = 64, 4096
-LEAF = 2         # documents joined directly at the end of the recursion
+LEAF = 2         # documents joined without pivots
+WIDE = 48        # windows up to this size are not divided again
 PIVOTS = 8       # pivots of one step of the recursion, at most; two at least
 SPREAD = 4       # documents to a pivot in smaller groups
 # The order's frequent shingles: counted in one of SAMPLE documents.  The order decides only
@@ -223,13 +224,13 @@ def voronoi_regions(sets, members, num, den):
 
 
 def join_region(sets, members, num, den, links):
-    """Recursive pivot join of ``members``: a region whose window is well below them is divided
-    again, another's core is compared with its window."""
+    """Recursive pivot join of ``members``: a wide window that is well below them is divided
+    again, otherwise the core is compared with its window."""
     if len(members) <= LEAF:
         _direct(sets, np.sort(members), np.sort(members), num, den, links)
         return
     for core, window in voronoi_regions(sets, members, num, den):
-        if len(window) <= 0.7 * len(members):
+        if WIDE < len(window) <= 0.7 * len(members):
             join_region(sets, window, num, den, links)
         else:
             _direct(sets, np.sort(core), np.sort(window), num, den, links)
