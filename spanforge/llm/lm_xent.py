@@ -37,7 +37,7 @@ ORDER = 2
 PRIOR = 6.0  # pseudo-count given to the lower order
 BLOCK = 1 << 24
 MERGE = 1 << 20  # counted n-grams held by a block before equal ones are added up
-SHARE = 64  # the vocabulary's size is estimated from one in so many words, by hash
+SHARE = 1  # every word is counted for the vocabulary's size (tests set it)
 IDEOGRAPH = np.zeros(256, bool)
 IDEOGRAPH[0xE3:0xEA] = True  # lead bytes of U+3000 to U+9FFF
 
@@ -48,21 +48,15 @@ def words(offs: np.ndarray, data: np.ndarray):
     return row, h
 
 
-def _sizes(share):
-    """Bytes and words of each row, and its distinct words of one share of the hashes."""
-    def run(batches):
-        for batch in batches:
-            n, some = np.zeros(batch.num_rows, np.int64), [[]] * batch.num_rows
-            for lo, offs, data in text_blocks(batch.column("text")):
-                row, h = words(offs, data)
-                n[lo:lo + len(offs) - 1] += np.bincount(row, minlength=len(offs) - 1)
-                at, gram = gram_hashes(row, h, 1)
-                few = gram % np.uint64(share) == 0
-                pairs = np.unique(np.stack([row[at[few]].astype(np.uint64), gram[few]]), axis=1)
-                for r in np.unique(pairs[0]):
-                    some[lo + int(r)] = pairs[1][pairs[0] == r].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("b"), pa.array(n), pa.array(some, pa.list_(pa.int64()))], ["id", "b", "n", "some"])
-    return run
+def _sizes(batches):
+    """Bytes and words of each row; the last row of a text block lists the block's distinct words."""
+    for batch in batches:
+        n, distinct = np.zeros(batch.num_rows, np.int64), [[]] * batch.num_rows
+        for lo, offs, data in text_blocks(batch.column("text")):
+            row, h = words(offs, data)
+            n[lo:lo + len(offs) - 1] += np.bincount(row, minlength=len(offs) - 1)
+            distinct[lo + len(offs) - 2] = np.unique(gram_hashes(row, h, 1)[1]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("b"), pa.array(n), pa.array(distinct, pa.list_(pa.int64()))], ["id", "b", "n", "words"])
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -196,12 +190,12 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: Column,
     marked = labels.where(target).select(F.col(id_col).cast("long").alias("mark")).where("mark IS NOT NULL").distinct()
     marked = written(marked, "lm-target")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sizes = rows.select("id", F.octet_length("text").cast("long").alias("b"), "text").mapInArrow(_sizes(SHARE), "id long, b long, n long, some array<long>")
+    sizes = rows.select("id", F.octet_length("text").cast("long").alias("b"), "text").mapInArrow(_sizes, "id long, b long, n long, words array<long>")
     sizes = written(sizes, "lm-sizes")
     total = lambda c, when=F.lit(True): F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0))
     totals = sizes.select("id", "b", "n").join(marked.hint("merge"), F.col("id") == F.col("mark"), "left").agg(
         total("b").alias("b"), total("n").alias("n"), total("n", F.col("mark").isNotNull()).alias("t")).first()
-    vocabulary = sizes.select(F.explode("some").alias("word")).distinct().count() * SHARE + 1
+    vocabulary = sizes.select(F.explode("words").alias("word")).distinct().count() + 1  # one for a word never seen
     blocks = int(totals.b // BLOCK) + 1
     buckets = 4 * blocks  # small ones: all that a bucket got is unpacked at once
     # an id has more bytes than a block at most once a block, so this table is bounded by their number

@@ -744,3 +744,10 @@ def test_boosted_candidates_add_spans_only(spark):
         if i >= 250:
             assert not more
     assert secrets >= 200
+
+
+def test_the_vocabulary_is_counted_whole(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(7)) + " common") for i in range(30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int")
+    same_losses(lm_xent.cross_entropy_difference(d, labels, F.col("quality") == 1).collect(), plain_losses(rows, set(range(5))))
