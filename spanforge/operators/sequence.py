@@ -33,6 +33,7 @@ from .training import METRICS, feature_rows
 BUCKETS = 1 << 18
 SHARD_RECORDS = 20_000
 BATCH = 16
+TOGETHER = 1 << 14  # places (padded) of the records tagged at once
 FORBIDDEN = -1e4
 FIRST_SQUARE = 1e-8
 
@@ -60,6 +61,26 @@ def viterbi(scores: np.ndarray, start: np.ndarray, move: np.ndarray) -> list[int
     return path[::-1]
 
 
+def viterbi_paths(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """``viterbi`` of a batch (records x positions x labels, ``size`` >= 1 positions each); past the end 0."""
+    n, longest, _k = scores.shape
+    best = start + scores[:, 0]
+    back = np.zeros((longest, *best.shape), np.int32)
+    for t in range(1, longest):
+        total = best[:, :, None] + move
+        here = (t < size)[:, None]
+        back[t] = total.argmax(1)
+        best = np.where(here, total.max(1) + scores[:, t], best)
+    path, each = np.zeros((n, longest), np.int32), np.arange(n)
+    now = best.argmax(1)
+    for t in range(longest - 1, -1, -1):
+        inside = t < size
+        path[inside, t] = now[inside]
+        if t:
+            now = np.where(inside, back[t, each, now], now)
+    return path
+
+
 def viterbi_path(scores: Column, start: np.ndarray, move: np.ndarray) -> Column:
     """Best paths of ``array<array<double>>`` (positions x labels) as ``array<int>``, in-row."""
     def run(rows: pa.Array) -> pa.Array:
@@ -73,9 +94,9 @@ def _total(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
-def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray):
+def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray, with_moves: bool = True):
     """``(log sum of all paths, tag probabilities, expected moves)`` of a batch (records x positions x
-    labels, ``size`` positions each), by sums in logarithms."""
+    labels, ``size`` positions each), by sums in logarithms; no moves are added up unless ``with_moves``."""
     n, longest, k = scores.shape
     ahead, after = np.zeros((longest, n, k)), np.zeros((longest, n, k))
     ahead[0] = start + scores[:, 0]
@@ -87,7 +108,8 @@ def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, mo
     for t in range(longest - 1, 0, -1):
         here = (t < size)[:, None]
         into = (scores[:, t] + after[t])[:, None, :] + move
-        moves += (np.exp(ahead[t - 1][:, :, None] + into - whole[:, None, None]) * here[:, :, None]).sum(0)
+        if with_moves:
+            moves += (np.exp(ahead[t - 1][:, :, None] + into - whole[:, None, None]) * here[:, :, None]).sum(0)
         after[t - 1] = np.where(here, _total(into, 2), 0.0)
     tags = np.exp(ahead + after - whole[None, :, None]).transpose(1, 0, 2)
     return whole, tags * (np.arange(longest) < size[:, None])[:, :, None], moves
@@ -135,16 +157,58 @@ class SequenceModel:
         s = self.scores(feats)
         if not len(s):
             return [], [], s
+        path, sure, _whole = next(self._tagged([s]))
+        return path.tolist(), sure.tolist(), s
+
+    def _tagged(self, scores: list[np.ndarray]):
+        """``(tags, their probabilities, log sum of all paths)`` of records of at least one place."""
         start, move = self.start + self.rules[0], self.move + self.rules[1]
-        path = viterbi(s, start, move)
-        _whole, p, _m = forward_backward(s[None], np.array([len(s)]), start, move)
-        return path, [float(min(1.0, p[0, i, t])) for i, t in enumerate(path)], s
+        size = np.array([len(s) for s in scores])
+        padded = np.zeros((len(scores), size.max(), len(self.labels)))
+        for row, s in zip(padded, scores):
+            row[:len(s)] = s
+        paths = viterbi_paths(padded, size, start, move)
+        whole, p, _m = forward_backward(padded, size, start, move, with_moves=False)
+        sure = np.minimum(1.0, np.take_along_axis(p, paths[:, :, None].astype(np.int64), 2)[:, :, 0])
+        return ((path[:n], x[:n], w) for path, x, n, w in zip(paths, sure, size, whole))
+
+    def tag_batch(self, feats: pa.Array):
+        """``(tags, probabilities, scores, log sum)`` by record of a ``list<list<int64>>`` array; None for empty
+        records.  Records of similar length are tagged together, at most ``TOGETHER`` places at once."""
+        cut = feats.offsets.to_numpy().astype(np.int64)
+        inner = feats.values
+        at = inner.offsets.to_numpy().astype(np.int64)
+        ids = inner.values.to_numpy(zero_copy_only=False)
+        size = np.where(np.asarray(feats.is_valid()), np.diff(cut), 0)
+        table = np.vstack([self.weights, np.zeros(len(self.labels))])
+        order = np.argsort(size, kind="stable")
+        order, out = order[size[order] > 0], [None] * len(feats)
+        while len(order):
+            n = max(1, min(len(order), TOGETHER // int(size[order[-1]])))
+            part, order = order[-n:], order[:-n]
+            scores = []
+            for r in part:
+                lo, hi = at[cut[r]], at[cut[r + 1]]
+                s = np.zeros((size[r], len(self.labels)))
+                flat = table[self.rows_of(ids[lo:hi])]
+                width = np.diff(at[cut[r]:cut[r + 1] + 1])
+                if (width == width[0]).all() and width[0]:
+                    for j in range(width[0]):  # in the order of the features
+                        s += flat[j::width[0]]
+                else:
+                    np.add.at(s, np.repeat(np.arange(size[r]), width), flat)
+                scores.append(s)
+            for r, s, (path, sure, whole) in zip(part, scores, self._tagged(scores)):
+                out[r] = path, sure, s, whole
+        return out
 
-    def loss(self, s: np.ndarray, gold: Sequence[int]) -> float:
+    def loss(self, s: np.ndarray, gold: Sequence[int], whole: float | None = None) -> float:
         start, move = self.start + self.rules[0], self.move + self.rules[1]
-        whole, _p, _m = forward_backward(s[None], np.array([len(s)]), start, move)
-        own = start[gold[0]] + s[np.arange(len(s)), gold].sum() + sum(move[a, b] for a, b in zip(gold, gold[1:]))
-        return float(whole[0] - own)
+        if whole is None:
+            whole = forward_backward(s[None], np.array([len(s)]), start, move)[0][0]
+        gold = np.asarray(gold)
+        own = start[gold[0]] + s[np.arange(len(s)), gold].sum() + move[gold[:-1], gold[1:]].sum()
+        return float(whole - own)
 
 
 def sequence_rows(records: DataFrame, buckets: int = BUCKETS, id_col: str = "id") -> DataFrame:
@@ -223,19 +287,29 @@ def _epoch(rows: DataFrame, model: SequenceModel, n: int, rate: float) -> Sequen
     return SequenceModel(model.labels, model.buckets, features, tables[0][:f], tables[0][f], tables[0][f + 1:], tables[1])
 
 
+def _tag_lists(found: list, more: dict[str, pa.Array], name: str) -> pa.Array:
+    """The tags and probabilities of ``tag_batch`` as a list of structs by record, with ``more`` flat columns."""
+    flat = lambda i, t: np.concatenate([np.zeros(0, t), *(x[i] for x in found if x)]).astype(t)
+    cols = {name: pa.array(flat(0, np.int32)), "confidence": pa.array(flat(1, np.float64)), **more}
+    cut = np.cumsum([0, *(len(x[0]) if x else 0 for x in found)])
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays(list(cols.values()), list(cols)))
+
+
 def predict_sequence(rows: DataFrame, model: SequenceModel) -> DataFrame:
     """``(id, pos, gold, pred, confidence, loss)`` of ``sequence_rows``: the best path, the probability of
     each tag and the record's loss a token (null without gold tags)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(feats: pa.Array, gold: pa.Array) -> pa.Array:
-        m, out = shared.value, []
-        for f, g in zip(feats.to_pylist(), gold.to_pylist()):
-            path, sure, s = m.tag(f or [])
-            known = g and len(g) == len(path) and all(x is not None for x in g)
-            loss = m.loss(s, g) / len(path) if known and path else None
-            out.append([{"pred": t, "confidence": c, "loss": loss} for t, c in zip(path, sure)])
-        return pa.array(out, pa.list_(pa.struct([("pred", pa.int32()), ("confidence", pa.float64()), ("loss", pa.float64())])))
+        m, costs = shared.value, []
+        found = m.tag_batch(feats)
+        for x, g in zip(found, gold.to_pylist()):
+            known = x and g and len(g) == len(x[0]) and all(t is not None for t in g)
+            costs.append(m.loss(x[2], g, x[3]) / len(g) if known else None)
+        size = [len(x[0]) if x else 0 for x in found]
+        cost = np.repeat(np.array([np.nan if c is None else c for c in costs], float), size)
+        unknown = np.repeat(np.array([c is None for c in costs], bool), size)
+        return _tag_lists(found, {"loss": pa.array(cost, pa.float64(), mask=unknown)}, "pred")
 
     tagged = F.arrow_udf(run, "array<struct<pred:int,confidence:double,loss:double>>")(F.col("feats"), F.col("gold"))
     out = rows.withColumn("_t", tagged).select("id", "gold", F.posexplode("_t").alias("pos", "t"))
@@ -300,8 +374,7 @@ def tag_sequences(chunks: DataFrame, model: SequenceModel, keep: Sequence[str] =
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
     def run(rows: pa.Array) -> pa.Array:
-        out = [list(zip(*shared.value.tag(f or [])[:2])) for f in rows.to_pylist()]
-        return pa.array([[{"tag": t, "confidence": c} for t, c in r] for r in out], pa.list_(pa.struct([("tag", pa.int32()), ("confidence", pa.float64())])))
+        return _tag_lists(shared.value.tag_batch(rows), {}, "tag")
 
     rows = rows.select("own", feats.alias("feats")).withColumn("tags", F.arrow_udf(run, "array<struct<tag:int,confidence:double>>")(F.col("feats")))
     out = rows.select("own", F.posexplode(F.arrays_zip(F.col("own.spans").alias("s"), F.col("tags").alias("t"))).alias("pos", "z"))

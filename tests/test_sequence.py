@@ -115,3 +115,30 @@ def test_loss_is_stable(spark, shift):
     want = np.mean([np.log(np.exp(s[i]).sum()) - s[i][t] for i, t in enumerate(g) if t >= 0])
     assert abs(score_loss(d).first().loss - want) < 1e-6
     assert score_loss(d.limit(0)).first().loss is None
+
+
+def test_batches_tag_like_single_records(spark, monkeypatch):
+    """Records of any length, empty and null ones too, tagged together: paths, probabilities and losses of each alone,
+    and as many passes as there are batches, not records."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    ids = np.arange(0, 200, 3)
+    model = SequenceModel(NAMES, 1000, ids, r.normal(size=(len(ids), 9)), r.normal(size=9), r.normal(size=(9, 9)))
+    feats = [[r.integers(0, 200, r.integers(0, 5)).tolist() for _ in range(n)] for n in r.integers(0, 40, 60)] + [None, []]
+    start, move = model.start + model.rules[0], model.move + model.rules[1]
+    calls = []
+    monkeypatch.setattr(sequence, "forward_backward", lambda *a, **k: calls.append(1) or forward_backward(*a, **k))
+    got = model.tag_batch(pa.array(feats, pa.list_(pa.list_(pa.int64()))).slice(2))
+    assert len(calls) == 1
+    monkeypatch.setattr(sequence, "TOGETHER", 100)
+    assert len(got) == 60 and len(model.tag_batch(pa.array(feats, pa.list_(pa.list_(pa.int64()))))) == 62
+    for f, x in zip(feats[2:], got):
+        if not f:
+            assert x is None
+            continue
+        s = model.scores(f)
+        path = viterbi(s, start, move)
+        whole, p, _m = forward_backward(s[None], np.array([len(s)]), start, move)
+        assert x[0].tolist() == path and np.allclose(x[1], p[0][np.arange(len(s)), path]) and np.allclose(x[2], s)
+        assert np.isclose(model.loss(x[2], path, x[3]), whole[0] - path_score(path, s, start, move))
