@@ -52,3 +52,19 @@ def test_cleaning_chain_is_evaluated_once(spark):
     plan = Q.doc_chunks(spark, SF)._jdf.queryExecution().executedPlan().toString()
     # the inner-dot rule is part of the chain; it must appear in exactly one operator
     assert sum("(?<!" in line for line in plan.split("\n")) == 1
+
+
+def test_fit_reads_a_bounded_number_of_partitions(spark, monkeypatch):
+    """A partition gives a gradient of the model's size a step, so there are no more of them than cores; nothing is cached."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from spanforge.operators.training import train_tagger
+
+    seen = []
+    fit = LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, d, *a: seen.append((d.rdd.getNumPartitions(), d.storageLevel.useMemory)) or fit(self, d, *a))
+    rows = [(str(i), ["go", "x", f"w{i % 7}"], [1, 2, 0]) for i in range(400)]
+    d = spark.createDataFrame(rows, "id string, tokens array<string>, ner_tags array<int>").repartition(64)
+    model, metrics = train_tagger(d, d, grid=(0.0,), max_iter=5)
+    assert seen and all(n <= spark.sparkContext.defaultParallelism and not kept for n, kept in seen)
+    assert len(model.stages) == 2 and metrics.first().f1 == 1.0
