@@ -132,3 +132,46 @@ def test_basic_characters_are_one_table(spark):
     texts = ["".join(map(chr, range(a, a + 256))) for a in range(0, 0xD800, 256)] + ["", "é\U0001F600é", "a-b\n\tc"]
     d = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r.x for r in d.select(keep_basic_chars("t").alias("x")).collect()] == [re.sub(r"[^a-zA-Z0-9.,'\" ]+", " ", t) for t in texts]
+
+
+def test_packing_folds_lengths_only(spark):
+    """The fold carries numbers; sentences are joined once from their slices, across blocks and empty ones too."""
+    import random
+
+    from spanforge.functions.arrays import PACK_BLOCK, pack
+
+    def plain(sents, sizes, most):
+        out, cur, size = [], [], 0
+        for s, n in zip(sents, sizes):
+            if size + n > most:
+                out, cur, size = out + [" ".join(cur)], [], 0
+            cur, size = cur + [s], size + n
+        return out + ([" ".join(cur)] if cur else [])
+
+    rnd = random.Random(3)
+    rows = [([], []), ([""], [0]), (["a"], [99]), *(([rnd.choice(["", "x", "y z"]) for _ in range(k)], [rnd.choice([0, 1, 3, 9, 60]) for _ in range(k)]) for k in (1, 5, PACK_BLOCK, PACK_BLOCK + 1, 3 * PACK_BLOCK + 7))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)] + [(len(rows), None, None)], "i int, s array<string>, n array<int>")
+    out = df.select("i", pack(F.col("s"), F.col("n"), 10, False).alias("p"), pack(F.col("s"), F.col("n"), 10).alias("q"))
+    for r, (s, n) in zip(out.orderBy("i").collect(), rows):
+        assert r.p == plain(s, n, 10) and r.q == [x for x in plain(s, n, 10) if x]
+    assert out.where(f"i = {len(rows)}").first().p is None
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "cur, " not in plan  # no open chunk's text in the state
+
+
+def test_reordered_patterns_equal_the_plain_ones(spark):
+    """Patterns that test the cheap part first replace, split and squeeze as the plain ones."""
+    import random
+
+    from spanforge.functions import text as T
+
+    assert not T.INNER_DOT_PATTERN.startswith("(?<") and not T.SENTENCE_BREAK_PATTERN.startswith("(?<")
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("ab. \t\n,..é") for _ in range(rnd.randint(0, 14))) for _ in range(800)]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    bad = df.select(
+        T.drop_inner_dots("t").alias("a"), F.regexp_replace("t", r"(?<!\w\.)\.(?!\s|$)", "").alias("b"),
+        T.squeeze("t").alias("c"), F.trim(F.regexp_replace("t", r"\s+", " ")).alias("d"),
+        T.split_sentences("t").alias("e"), F.split("t", r"(?<=\.)\s+").alias("f"),
+        T.drop_commas("t").alias("g"), F.translate("t", ",", "").alias("h")).where("a <> b OR c <> d OR e <> f OR g <> h")
+    assert bad.count() == 0

@@ -76,3 +76,17 @@ def test_tagging_plan_is_shuffle_free(spark):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     counts = {r.entity: r.n for r in entity_counts(tag_chunks(chunks, d, x, n)).collect()}
     assert all(v > 0 for v in counts.values())
+
+
+def test_lookup_join_is_compiled_and_words_keep_their_case(spark):
+    """No array function stands in the join, so it is compiled and copies no text per token."""
+    import re
+
+    d, n = dictionary(spark, TEST_DICTIONARY)
+    d = d.unionByName(spark.createDataFrame([("big data", "t", 1, "SKILL", 2), ("go", "t", 1, "SKILL", 1)], d.schema))
+    chunks = spark.createDataFrame([(1, 0, "Go GO go big Big  DATA xgo go"), (2, 0, "data only"), (3, 0, None), (3, 0, "")], "doc_id long, chunk_no int, text string")
+    got = tag_chunks(chunks, d, None, n, reviewed=True).where("term in ('go', 'big data')")
+    rows = sorted((r.doc_id, r.start, r.end, r.text, r.match_no) for r in got.collect())
+    assert rows == [(1, 0, 2, "Go", 0), (1, 3, 5, "GO", 0), (1, 6, 8, "go", 0), (1, 13, 22, "Big  DATA", 0), (1, 27, 29, "go", 0)]
+    joins = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "BroadcastHashJoin" in x]
+    assert any(re.search(r"\*\(\d+\) BroadcastHashJoin", x) for x in joins) and not any("forall" in x for x in joins)
