@@ -68,3 +68,23 @@ def test_fit_reads_a_bounded_number_of_partitions(spark, monkeypatch):
     model, metrics = train_tagger(d, d, grid=(0.0,), max_iter=5)
     assert seen and all(n <= spark.sparkContext.defaultParallelism and not kept for n, kept in seen)
     assert len(model.stages) == 2 and metrics.first().f1 == 1.0
+
+
+def test_batch_scorer_makes_columns_not_rows(monkeypatch):
+    """The example scorer fills whole columns: no list of row tuples; pieces, offsets and numbers as counted by hand."""
+    import numpy as np
+    import pandas as pd
+
+    made = []
+
+    class Frame(pd.DataFrame):
+        def __init__(self, data=None, *a, **k):
+            made.append(type(data))
+            super().__init__(data, *a, **k)
+
+    pdf = pd.DataFrame({"doc_id": [7, 7, 8, 9], "chunk_no": np.array([0, 1, 0, 0], np.int32), "text": ["abcdefghi x", None, "", " a_bé2 q"]})
+    monkeypatch.setattr(pd, "DataFrame", Frame)
+    got = [tuple(r) for r in piece_candidate_scorer(4)(pdf).itertuples(index=False)]
+    assert got == [(7, 0, 0, "abcd", "B-SKILL", 0), (7, 0, 1, "##efgh", "B-SKILL", 4), (7, 0, 2, "##i", "O", 8), (7, 0, 3, "x", "O", 10),
+                   (9, 0, 0, "a_bé", "B-SKILL", 1), (9, 0, 1, "##2", "O", 5), (9, 0, 2, "q", "O", 7)]
+    assert dict in made and list not in made
