@@ -175,3 +175,20 @@ def test_reordered_patterns_equal_the_plain_ones(spark):
         T.split_sentences("t").alias("e"), F.split("t", r"(?<=\.)\s+").alias("f"),
         T.drop_commas("t").alias("g"), F.translate("t", ",", "").alias("h")).where("a <> b OR c <> d OR e <> f OR g <> h")
     assert bad.count() == 0
+
+
+def test_spans_of_a_batch_hold_few_rows_as_strings(monkeypatch):
+    """A worker turns a bounded number of rows into Python strings at a time; the spans are those of the whole batch."""
+    import pyarrow as pa
+
+    from spanforge.functions import spans as S
+
+    texts = [f"go {i}  é_{i}, x." * (i % 5) for i in range(2000)] + [None, ""]
+    whole, seen = S.batch_token_spans([t or "" for t in texts]), []
+    plain = S.batch_token_spans
+    monkeypatch.setattr(S, "batch_token_spans", lambda rows: seen.append(len(rows)) or plain(rows))
+    got = S._span_arrays(pa.array(texts))
+    assert max(seen) <= 1000 and sum(seen) == len(texts) == len(got)
+    flat = got.flatten()
+    assert flat.field("text").to_pylist() == whole[3] and flat.field("start").to_pylist() == whole[1].tolist()
+    assert [len(x) for x in got.to_pylist()] == (whole[0][1:] - whole[0][:-1]).tolist() and len(S._span_arrays(pa.array([], pa.string()))) == 0
