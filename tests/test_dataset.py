@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -199,3 +200,13 @@ def test_split_files_round_trip(spark, tmp_path):
     write_split(train_val_split(wl, "id"), str(tmp_path / "s"))
     parts = [sorted(r.id for r in read_word_level(spark, str(tmp_path / "s"), split=x).collect()) for x in ("train", "validation")]
     assert [len(p) for p in parts] == [8, 2] and sorted(sum(parts, [])) == [str(i) for i in range(10)]
+
+
+def test_scores_and_loss_come_from_one_pass(spark):
+    rows = spark.createDataFrame([([1, -100, 0], [[0.0, 2.0], [9.0, 9.0], [1.0, 1.0]]), ([-100], [[5.0, 5.0]]), (None, None)], "labels array<int>, scores array<array<double>>")
+    out = evaluate_scores(rows, loss=True)
+    r, p = out.first(), evaluate_scores(rows).first()
+    assert out.columns[-1] == "loss" and tuple(r)[:-1] == tuple(p)
+    assert abs(r.loss - (math.log(1 + math.exp(2)) - 2 + math.log(2)) / 2) < 1e-12
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and plan.count("Exchange SinglePartition") == 1
