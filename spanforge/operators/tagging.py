@@ -10,12 +10,12 @@ one is joined on salted keys with token rows that carry no text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import find_spans, phrase_word_spans
 from ..functions.terms import find_phrases
-from ..functions.text import WORD_CLASS, WORD_EDGE, WORD_TOKEN_PATTERN, normalize_word
+from ..functions.text import WORD_CLASS, WORD_EDGE, WORD_TOKEN_PATTERN, key_pattern, normalize_word
 from ..session import fits_broadcast
 
 KEYS = ["doc_id", "chunk_no"]
@@ -23,6 +23,8 @@ ORIGIN_PHRASE, ORIGIN_WORD = 0, 1
 # word runs, and runs of signs for phrases made of signs only
 PROBE_PATTERN = rf"{WORD_TOKEN_PATTERN}|[^\p{{L}}\p{{N}}_\s]+"
 SALTS = 16
+# a lookup of at most so many bytes (some 200 terms) is also searched as one pattern before chunks are cut into tokens
+PATTERN_MAX_BYTES = 64 << 10
 
 
 def quoted(c):
@@ -70,6 +72,14 @@ def lookup_table(dictionary: DataFrame, exclusions: DataFrame | None = None, kin
     return both if kinds == "wp" else both.where(F.col("kind") == kinds)
 
 
+def may_hit(lookup: DataFrame) -> Column:
+    """Whether one of the lookup's keys may stand in ``text`` as a token: false for ASCII texts without
+    any, true for all others (elsewhere letter case depends on the neighbours).  The keys are read by a
+    small job when the plan is built."""
+    pattern = key_pattern(r.key for r in lookup.select("key").distinct().collect())  # a dimension table of known size
+    return (F.octet_length("text") != F.length("text")) | F.lower("text").rlike(pattern)
+
+
 def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Chunks joined with the lookup rows that one of their tokens meets, one row per distinct
     hit: ``KEYS, text, kind, term, label, priority, pattern``.
@@ -79,7 +89,11 @@ def dictionary_hits(chunks: DataFrame, lookup: DataFrame, lookup_bytes: int | No
     ``(kind, key)`` is salted, so a word that stands in every chunk is dealt over ``SALTS``
     tasks, and the hits (no text in them) are joined back to the chunks.  ``carry`` names
     further columns of the lookup to be kept.
+
+    With a small lookup only chunks that may hold one of its keys (``may_hit``) are cut into tokens.
     """
+    if lookup_bytes is not None and lookup_bytes <= PATTERN_MAX_BYTES:
+        chunks = chunks.where(may_hit(lookup))
     toks = chunks.select(*KEYS, "text", F.array_distinct(F.regexp_extract_all("text", F.lit(PROBE_PATTERN), 0)).alias("toks"))
     low = toks.withColumn("lows", F.array_distinct(F.transform("toks", lambda t: F.lower(t))))
     whole = F.forall("words", lambda w: F.array_contains(F.col("lows"), w))

@@ -192,3 +192,23 @@ def test_spans_of_a_batch_hold_few_rows_as_strings(monkeypatch):
     flat = got.flatten()
     assert flat.field("text").to_pylist() == whole[3] and flat.field("start").to_pylist() == whole[1].tolist()
     assert [len(x) for x in got.to_pylist()] == (whole[0][1:] - whole[0][:-1]).tolist() and len(S._span_arrays(pa.array([], pa.string()))) == 0
+
+
+def test_cleaning_and_lengths_make_one_pass_less(spark):
+    """Stop words and runs of spaces go in one pass, and units are counted without an array of them; both give the results of the separate steps."""
+    import random
+
+    from spanforge.functions import text as T
+
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice(["a", "the", "it's", ".", " ", "  ", "\t", "\n", "\x0b", ",", "é", "\U0001F600", "<b>", "'", "_"]) for _ in range(rnd.randint(0, 14))) for _ in range(800)]
+    df = spark.createDataFrame([(x,) for x in texts] + [(None,)], "t string")
+    for stop in (None, [], ["a"]):
+        steps = F.coalesce("t", F.lit(""))
+        for f in (T.strip_tags, T.keep_basic_chars, T.drop_commas, T.drop_inner_dots, F.lower, T.squeeze):
+            steps = f(steps)
+        assert df.where(~T.clean_text("t", stop).eqNullSafe(T.remove_stopwords(steps, stop))).count() == 0
+    units = F.size(F.regexp_extract_all("t", F.lit(r"\w+|[^\w\s]"), 0))
+    assert df.where("t IS NOT NULL").where(T.text_length("t") != units).count() == 0
+    plan = df.select(T.clean_text("t").alias("c"), T.text_length("t").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and r"[\t\n\x0B\f\r]" not in plan

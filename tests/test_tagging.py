@@ -90,3 +90,21 @@ def test_lookup_join_is_compiled_and_words_keep_their_case(spark):
     assert rows == [(1, 0, 2, "Go", 0), (1, 3, 5, "GO", 0), (1, 6, 8, "go", 0), (1, 13, 22, "Big  DATA", 0), (1, 27, 29, "go", 0)]
     joins = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "BroadcastHashJoin" in x]
     assert any(re.search(r"\*\(\d+\) BroadcastHashJoin", x) for x in joins) and not any("forall" in x for x in joins)
+
+
+def test_chunks_without_keys_are_not_cut_into_tokens(spark):
+    """A small lookup is searched as one pattern first; labels are those of the join of all tokens."""
+    import random
+
+    terms = {"programming_languages": ["c", "c++", "c#", "go", "big data", "σας", "r"], "databases": ["++", ".", "no sql", "node.js", "é", "x_1"], "tools": ["a b", "..", "\x1c", "i̇"]}
+    parts = ["c", "C", "++", "+", "#", " ", "  ", "go", "Go", "BIG", "data", "ΣΑΣ", "'", "r", ".", "no", "sql", "é", "É", "X_1", "_", "a", "b", "\n", "\x1c", "İ"]
+    d, n = dictionary(spark, terms)
+    x, _ = term_list(spark, ["r"])
+    rnd = random.Random(2)
+    rows = [(i, 0, None if i % 97 == 0 else "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9)))) for i in range(1500)]
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_no int, text string")
+    small, joined = tag_chunks(chunks, d, x, n), tag_chunks(chunks, d, x, None)
+    assert sorted(map(str, small.collect())) == sorted(map(str, joined.collect())) and small.count() > 100
+    assert "RLIKE" in small._jdf.queryExecution().optimizedPlan().toString() and "RLIKE" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    none, m = dictionary(spark, {})
+    assert tag_chunks(chunks, none, None, m).count() == 0
