@@ -210,3 +210,23 @@ def test_scores_and_loss_come_from_one_pass(spark):
     assert abs(r.loss - (math.log(1 + math.exp(2)) - 2 + math.log(2)) / 2) < 1e-12
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and plan.count("Exchange SinglePartition") == 1
+
+
+def test_merge_joins_each_word_from_its_slice(spark):
+    """No fold carries an open word; null pieces, empty words and records of ``##`` pieces only merge as by the fold."""
+    def fold(pieces):
+        words, cur, lab = [], "", None
+        for p, label in pieces:
+            if p is not None and p.startswith("##"):
+                cur = None if cur is None else cur + p[2:]
+                continue
+            words, cur, lab = words + [(cur, lab)], p, label
+        return [(w, x) for w, x in words + [(cur, lab)] if w and w not in ("[PAD]", "[CLS]", "[SEP]")]
+
+    rnd = random.Random(6)
+    recs = [[(rnd.choice(["a", "##b", "", "##", "[CLS]", "##[SEP]", "[PAD]", None, "é##"]), rnd.choice(["x", None, "y"])) for _ in range(k)] for k in (0, 1, 2, 3, 5, 9, 300) * 30]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(recs)] + [(len(recs), None)], "i int, p array<struct<piece:string,label:string>>")
+    out = df.select("i", merge_pieces(F.col("p")).alias("m"))
+    for r in out.collect():
+        assert (r.m is None) if r.i == len(recs) else [tuple(w) for w in r.m] == fold(recs[r.i])
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
