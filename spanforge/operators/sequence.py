@@ -81,12 +81,33 @@ def viterbi_paths(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move:
     return path
 
 
+PATHS_AT_ONCE = 256
+
+
+def _path_arrays(rows: pa.Array, start: np.ndarray, move: np.ndarray) -> pa.Array:
+    """Best paths of an Arrow batch, ``PATHS_AT_ONCE`` records of about equal length at a time.  A null record has none."""
+    bounds = rows.offsets.to_numpy().astype(np.int64) - rows.offsets[0].as_py()
+    flat = rows.flatten()  # positions; null records hold none
+    size = np.where(np.asarray(rows.is_null()), 0, np.diff(bounds))
+    values = np.asarray(flat.flatten().to_numpy(zero_copy_only=False), float).reshape(len(flat), len(start))
+    first, paths = np.cumsum(size) - size, np.zeros(len(flat), np.int32)
+    order = np.argsort(size, kind="stable")
+    order = order[size[order] > 0]
+    for k in range(0, len(order), PATHS_AT_ONCE):
+        some = order[k:k + PATHS_AT_ONCE]
+        n = size[some]
+        inside = np.arange(n[-1]) < n[:, None]
+        at = (first[some][:, None] + np.arange(n[-1]))[inside]
+        scores = np.zeros((*inside.shape, len(start)))
+        scores[inside] = values[at]
+        paths[at] = viterbi_paths(scores, n, start, move)[inside]
+    cut = pa.array(np.append(first, len(flat)), pa.int32(), mask=np.append(np.asarray(rows.is_null()), False))
+    return pa.ListArray.from_arrays(cut, pa.array(paths))
+
+
 def viterbi_path(scores: Column, start: np.ndarray, move: np.ndarray) -> Column:
     """Best paths of ``array<array<double>>`` (positions x labels) as ``array<int>``, in-row."""
-    def run(rows: pa.Array) -> pa.Array:
-        return pa.array([None if r is None else viterbi(np.array(r, float).reshape(len(r), len(start)), start, move) for r in rows.to_pylist()], pa.list_(pa.int32()))
-
-    return F.arrow_udf(run, "array<int>")(scores)
+    return F.arrow_udf(lambda rows: _path_arrays(rows, start, move), "array<int>")(scores)
 
 
 def _total(x: np.ndarray, axis: int) -> np.ndarray:

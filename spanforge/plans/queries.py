@@ -481,8 +481,8 @@ def q_train_sequence(spark, sf):
 def q_viterbi_tags(spark, sf):
     """Best BIO paths over given class scores (noise by position plus a bonus for the word's tag)."""
     start, move = bio_rules([t for _i, t in LABELS])
-    scores = F.transform("ner_tags", lambda t, i: F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: (
-        (i * 7 + c * 5) % 9 + F.when(c == t, F.lit(5)).otherwise(F.lit(0))).cast("double")))
+    scores = F.transform("ner_tags", lambda t, i: F.array(*[(
+        (i * 7 + F.lit(c * 5)) % 9 + F.when(t == c, F.lit(5)).otherwise(F.lit(0))).cast("double") for c in range(N_CLASSES)]))
     rows = gold_word_level(spark, sf).select("id", scores.alias("scores"))
     return rows.select("id", F.posexplode(viterbi_path(F.col("scores"), start, move)).alias("pos", "tag"))
 

@@ -142,3 +142,22 @@ def test_batches_tag_like_single_records(spark, monkeypatch):
         whole, p, _m = forward_backward(s[None], np.array([len(s)]), start, move)
         assert x[0].tolist() == path and np.allclose(x[1], p[0][np.arange(len(s)), path]) and np.allclose(x[2], s)
         assert np.isclose(model.loss(x[2], path, x[3]), whole[0] - path_score(path, s, start, move))
+
+
+def test_paths_of_a_batch_are_found_together(monkeypatch):
+    """Records of a batch share the steps of the search, ``PATHS_AT_ONCE`` at a time; null and empty records stay."""
+    import pyarrow as pa
+
+    from spanforge.operators import sequence as S
+
+    calls = []
+    together = S.viterbi_paths
+    monkeypatch.setattr(S, "viterbi_paths", lambda scores, *a: calls.append(len(scores)) or together(scores, *a))
+    rnd = np.random.default_rng(3)
+    start, move = S.bio_rules(["O", "B-x", "I-x"])
+    rows = [None if k % 50 == 7 else rnd.integers(0, 4, (k % 13, 3)).astype(float).tolist() for k in range(600)]
+    array = pa.array([[[9.0, 9.0, 9.0]], *rows], pa.list_(pa.list_(pa.float64()))).slice(1)
+    got = S._path_arrays(array, start, move).to_pylist()
+    assert got == [None if r is None else S.viterbi(np.array(r).reshape(len(r), 3), start, move) for r in rows]
+    assert len(calls) == 3 and max(calls) == S.PATHS_AT_ONCE
+    assert S._path_arrays(array.slice(0, 0), start, move).to_pylist() == []
