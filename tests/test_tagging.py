@@ -108,3 +108,24 @@ def test_chunks_without_keys_are_not_cut_into_tokens(spark):
     assert "RLIKE" in small._jdf.queryExecution().optimizedPlan().toString() and "RLIKE" not in joined._jdf.queryExecution().optimizedPlan().toString()
     none, m = dictionary(spark, {})
     assert tag_chunks(chunks, none, None, m).count() == 0
+
+
+def test_only_tokens_that_are_keys_become_rows(spark):
+    """A row behind the tokens carries the chunk's text and tokens, so none is made for a token the lookup lacks."""
+    import re
+
+    from spanforge.functions.text import key_pattern
+    from spanforge.operators.tagging import dictionary_hits, lookup_table
+
+    d, n = dictionary(spark, {"programming_languages": ["go", "big data"], "databases": ["++"]})
+    chunks = spark.createDataFrame([(1, 0, "Go on, GO with big big data++"), (2, 0, "ergo big"), (3, 0, "gé é go"), (4, 0, None)], "doc_id long, chunk_no int, text string")
+    hits = dictionary_hits(chunks, lookup_table(d, None), n)
+    got = sorted((r.doc_id, r.kind, r.term) for r in hits.collect())
+    assert got == [(1, "p", "big data"), (1, "w", "++"), (1, "w", "go"), (1, "w", "go"), (3, "w", "go")]
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Generate explode\(filter\(", plan) and not re.search(r"Generate explode\(lows", plan)
+    # the words are tried behind a sign or space, never at each letter
+    pattern = key_pattern(["go", "++"])
+    assert pattern.startswith(r"\W") and not any(re.search(pattern, " " + t) for t in ("", "ergo", "gone", "+ +", "go_"))
+    assert all(re.search(pattern, " " + t) for t in ("go", "a go", "a.go.", "x++y", "go go"))
+    assert not re.search(key_pattern([]), " go")
