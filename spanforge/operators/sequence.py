@@ -23,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.spans import token_spans
+from ..functions.hashed import context_features, xxhash64
 from ..session import local_table, materialize
 from ..sources.dictionary import LABELS
 from .evaluation import best_run, evaluate
-from .scoring import decode_ids
-from .training import METRICS, feature_rows
+from .training import METRICS, feature_rows, token_rows, token_schema
 
 BUCKETS = 1 << 18
 SHARD_RECORDS = 20_000
@@ -36,6 +35,7 @@ BATCH = 16
 TOGETHER = 1 << 14  # places (padded) of the records tagged at once
 FORBIDDEN = -1e4
 FIRST_SQUARE = 1e-8
+LEAST = 600.0  # in logarithms; doubles end at about -708
 
 
 def bio_rules(labels: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,23 +61,31 @@ def viterbi(scores: np.ndarray, start: np.ndarray, move: np.ndarray) -> list[int
     return path[::-1]
 
 
+def _by_size(scores: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(order, scores, left)`` of a batch: its records by falling size, as positions x labels x records, and how
+    many records have each position (a last 0), so that a step reads the first records only."""
+    order = np.argsort(-size, kind="stable")
+    left = np.searchsorted(-size[order], -np.arange(scores.shape[1] + 1))
+    return order, np.ascontiguousarray(scores[order].transpose(1, 2, 0)), left
+
+
 def viterbi_paths(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """``viterbi`` of a batch (records x positions x labels, ``size`` >= 1 positions each); past the end 0."""
+    """``viterbi`` of a batch (records x positions x labels, ``size`` >= 1 positions each); past the end 0.
+
+    The way forward keeps the best sums only; the way back finds each tag from those of the position before."""
     n, longest, _k = scores.shape
-    best = start + scores[:, 0]
-    back = np.zeros((longest, *best.shape), np.int32)
+    order, s, left = _by_size(scores, size)
+    best = np.empty_like(s)
+    best[0] = start[:, None] + s[0]
     for t in range(1, longest):
-        total = best[:, :, None] + move
-        here = (t < size)[:, None]
-        back[t] = total.argmax(1)
-        best = np.where(here, total.max(1) + scores[:, t], best)
-    path, each = np.zeros((n, longest), np.int32), np.arange(n)
-    now = best.argmax(1)
+        m = left[t]
+        np.add((best[t - 1][:, None, :m] + move[:, :, None]).max(0), s[t][:, :m], out=best[t][:, :m])
+    path, now = np.zeros((n, longest), np.int32), np.zeros(n, np.int64)
     for t in range(longest - 1, -1, -1):
-        inside = t < size
-        path[inside, t] = now[inside]
-        if t:
-            now = np.where(inside, back[t, each, now], now)
+        on, m = left[t + 1], left[t]
+        now[:on] = (best[t][:, :on] + move[:, now[:on]]).argmax(0)
+        now[on:m] = best[t][:, on:m].argmax(0)
+        path[order[:m], t] = now[:m]
     return path
 
 
@@ -117,7 +125,70 @@ def _total(x: np.ndarray, axis: int) -> np.ndarray:
 
 def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray, with_moves: bool = True):
     """``(log sum of all paths, tag probabilities, expected moves)`` of a batch (records x positions x
-    labels, ``size`` positions each), by sums in logarithms; no moves are added up unless ``with_moves``."""
+    labels, ``size`` positions each); no moves are added up unless ``with_moves``.
+
+    The sums are products of matrices, brought to a sum of 1 at each position, where the scores are
+    so near each other that none gets lost; else they are sums in logarithms."""
+    found = _product_sums(scores, size, start, move, with_moves) if _near(scores, size, start, move) else None
+    return found or _log_sums(scores, size, start, move, with_moves)
+
+
+def _near(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray) -> bool:
+    """Whether no sum falls below ``exp(-LEAST)`` of its position's largest: each label is reached from each
+    by few allowed moves, and scores and moves are of such a range."""
+    k = len(start)
+    allowed, steps = move > FORBIDDEN / 2, 1
+    ways = allowed
+    while not ways.all() and steps < k:
+        ways, steps = ways @ allowed, steps + 1
+    first = start[start > FORBIDDEN / 2]
+    if not ways.all() or not len(first):
+        return False
+    apart = scores.max(2) - scores.min(2)
+    wide = (apart * (np.arange(scores.shape[1]) < size[:, None])).max() + np.ptp(move[allowed])
+    return bool((steps + 1) * wide + np.ptp(first) < LEAST)
+
+
+def _product_sums(scores, size, start, move, with_moves):
+    n, longest, k = scores.shape
+    order, s, left = _by_size(scores, size)
+    top = s.max(1)
+    first = start.max()
+    e = np.exp(s - top[:, None])
+    most = move.max()
+    over = np.exp(move - most)
+    ahead, after, part = np.zeros((longest, k, n)), np.ones((longest, k, n)), np.ones((longest, n))
+    a = np.exp(start - first)[:, None] * e[0]
+    part[0] = a.sum(0)
+    ahead[0] = a / part[0]
+    back = np.ascontiguousarray(over.T)
+    for t in range(1, longest):
+        m = left[t]
+        a = back @ ahead[t - 1][:, :m]
+        a *= e[t][:, :m]
+        c = a.sum(0)
+        part[t, :m] = c
+        np.divide(a, c, out=ahead[t][:, :m])
+    e /= part[:, None]  # from here on each position's scores over its sum
+    for t in range(longest - 1, 0, -1):
+        m = left[t]
+        e[t][:, :m] *= after[t][:, :m]
+        e[t][:, m:] = 0
+        after[t - 1][:, :m] = over @ e[t][:, :m]
+    inside = np.arange(longest)[:, None] < size[order]
+    whole = np.empty(n)
+    whole[order] = ((np.log(part) + top) * inside).sum(0) + first + (size[order] - 1) * most
+    if not np.isfinite(whole).all():
+        return None
+    moves = np.zeros((k, k))
+    if with_moves and longest > 1:
+        moves = over * np.tensordot(ahead[:-1], e[1:], ((0, 2), (0, 2)))
+    tags = np.empty((n, longest, k))
+    tags[order] = (ahead * after * inside[:, None]).transpose(2, 0, 1)
+    return whole, tags, moves
+
+
+def _log_sums(scores, size, start, move, with_moves):
     n, longest, k = scores.shape
     ahead, after = np.zeros((longest, n, k)), np.zeros((longest, n, k))
     ahead[0] = start + scores[:, 0]
@@ -130,12 +201,18 @@ def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, mo
         here = (t < size)[:, None]
         into = (scores[:, t] + after[t])[:, None, :] + move
         if with_moves:
-            moves += (np.exp(ahead[t - 1][:, :, None] + into - whole[:, None, None]) * here[:, :, None]).sum(0)
+            moves += np.exp(np.where(here[:, :, None], ahead[t - 1][:, :, None] + into - whole[:, None, None], -np.inf)).sum(0)
         after[t - 1] = np.where(here, _total(into, 2), 0.0)
     tags = np.exp(ahead + after - whole[None, :, None]).transpose(1, 0, 2)
     return whole, tags * (np.arange(longest) < size[:, None])[:, :, None], moves
 
 
+def _bounds(lists: pa.Array) -> np.ndarray:
+    """Where the lists of an array begin and end in ``lists.flatten()``; null lists hold nothing."""
+    size = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
+    return np.concatenate(([0], np.cumsum(np.where(np.asarray(lists.is_valid()), size, 0))))
+
+
 class SequenceModel:
     """Weights by feature number (sorted), start and transition scores, label names."""
 
@@ -178,50 +255,56 @@ class SequenceModel:
         s = self.scores(feats)
         if not len(s):
             return [], [], s
-        path, sure, _whole = next(self._tagged([s]))
+        path, sure, _sums = self.tag_places(s, np.array([0, len(s)]))
         return path.tolist(), sure.tolist(), s
 
-    def _tagged(self, scores: list[np.ndarray]):
-        """``(tags, their probabilities, log sum of all paths)`` of records of at least one place."""
+    def tag_places(self, scores: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(tags, their probabilities, log sum of all paths by record)`` of the scores of many records, with
+        the bounds ``cut``.  Records of similar length are tagged together, at most ``TOGETHER`` places at once."""
         start, move = self.start + self.rules[0], self.move + self.rules[1]
-        size = np.array([len(s) for s in scores])
-        padded = np.zeros((len(scores), size.max(), len(self.labels)))
-        for row, s in zip(padded, scores):
-            row[:len(s)] = s
-        paths = viterbi_paths(padded, size, start, move)
-        whole, p, _m = forward_backward(padded, size, start, move, with_moves=False)
-        sure = np.minimum(1.0, np.take_along_axis(p, paths[:, :, None].astype(np.int64), 2)[:, :, 0])
-        return ((path[:n], x[:n], w) for path, x, n, w in zip(paths, sure, size, whole))
-
-    def tag_batch(self, feats: pa.Array):
-        """``(tags, probabilities, scores, log sum)`` by record of a ``list<list<int64>>`` array; None for empty
-        records.  Records of similar length are tagged together, at most ``TOGETHER`` places at once."""
-        cut = feats.offsets.to_numpy().astype(np.int64)
-        inner = feats.values
-        at = inner.offsets.to_numpy().astype(np.int64)
-        ids = inner.values.to_numpy(zero_copy_only=False)
-        size = np.where(np.asarray(feats.is_valid()), np.diff(cut), 0)
-        table = np.vstack([self.weights, np.zeros(len(self.labels))])
+        size = np.diff(cut)
+        tags, sure, sums = np.zeros(len(scores), np.int32), np.zeros(len(scores)), np.zeros(len(size))
         order = np.argsort(size, kind="stable")
-        order, out = order[size[order] > 0], [None] * len(feats)
+        order = order[size[order] > 0]
         while len(order):
             n = max(1, min(len(order), TOGETHER // int(size[order[-1]])))
-            part, order = order[-n:], order[:-n]
-            scores = []
-            for r in part:
-                lo, hi = at[cut[r]], at[cut[r + 1]]
-                s = np.zeros((size[r], len(self.labels)))
-                flat = table[self.rows_of(ids[lo:hi])]
-                width = np.diff(at[cut[r]:cut[r + 1] + 1])
-                if (width == width[0]).all() and width[0]:
-                    for j in range(width[0]):  # in the order of the features
-                        s += flat[j::width[0]]
-                else:
-                    np.add.at(s, np.repeat(np.arange(size[r]), width), flat)
-                scores.append(s)
-            for r, s, (path, sure, whole) in zip(part, scores, self._tagged(scores)):
-                out[r] = path, sure, s, whole
-        return out
+            some, order = order[-n:], order[:-n]
+            inside = np.arange(size[some[-1]]) < size[some][:, None]
+            at = (cut[some][:, None] + np.arange(inside.shape[1]))[inside]
+            padded = np.zeros((*inside.shape, len(self.labels)))
+            padded[inside] = scores[at]
+            paths = viterbi_paths(padded, size[some], start, move)
+            sums[some], p, _m = forward_backward(padded, size[some], start, move, with_moves=False)
+            tags[at] = paths[inside]
+            sure[at] = np.minimum(1.0, np.take_along_axis(p, paths[:, :, None].astype(np.int64), 2)[:, :, 0][inside])
+        return tags, sure, sums
+
+    def tag_batch(self, feats: pa.Array):
+        """``(tags, probabilities, scores, log sum)`` by record of a ``list<list<int64>>`` array; None for empty records."""
+        inner, cut = feats.flatten(), _bounds(feats)
+        ids, at = inner.flatten().to_numpy(zero_copy_only=False), _bounds(inner)
+        width = np.diff(at)
+        scores = np.zeros((len(inner), len(self.labels)))
+        row = self.rows_of(ids)
+        table = np.vstack([self.weights, np.zeros(len(self.labels))])
+        if len(width) and width[0] and (width == width[0]).all():
+            for j in range(width[0]):  # in the order of the features
+                scores += table[row[j::width[0]]]
+        else:
+            np.add.at(scores, np.repeat(np.arange(len(inner)), width), table[row])
+        tags, sure, sums = self.tag_places(scores, cut)
+        return [(tags[a:b], sure[a:b], scores[a:b], w) if a < b else None for a, b, w in zip(cut[:-1], cut[1:], sums)]
+
+    def place_scores(self, features: list[tuple[pa.Array, np.ndarray]]) -> np.ndarray:
+        """Scores of places with the features of ``context_features``; each different feature is looked up once."""
+        scores = np.zeros((len(features[0][1]), len(self.labels)))
+        for names, at in features:
+            row = self.rows_of(xxhash64(names) % self.buckets)
+            known = row < len(self.features)
+            if known.any():
+                has = np.flatnonzero(known[at])
+                scores[has] += self.weights[row[at[has]]]
+        return scores
 
     def loss(self, s: np.ndarray, gold: Sequence[int], whole: float | None = None) -> float:
         start, move = self.start + self.rules[0], self.move + self.rules[1]
@@ -388,17 +471,15 @@ def load_sequence_tagger(spark: SparkSession, path: str) -> SequenceModel:
 
 def tag_sequences(chunks: DataFrame, model: SequenceModel, keep: Sequence[str] = ("doc_id", "chunk_no")) -> DataFrame:
     """M1: words of each chunk with offsets, tag name and its probability: ``(keep, pos, word, start,
-    end, tag, confidence)``.  Row-local."""
-    rows = chunks.select(*keep, token_spans("text").alias("spans"))
-    rows = rows.select(F.struct(*keep, "spans").alias("own"), F.transform("spans", lambda t: t["text"]).alias("tokens"))
-    feats = F.transform(feature_rows(), lambda f: F.transform(f["features"], lambda x: F.pmod(F.xxhash64(x), F.lit(model.buckets))))
+    end, tag, confidence)``.  Row-local: a batch of texts becomes the rows of its words in one pass."""
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
-    def run(rows: pa.Array) -> pa.Array:
-        return _tag_lists(shared.value.tag_batch(rows), {}, "tag")
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            for rows, cut, cols, tokens in token_rows(batch, keep):
+                tags, sure, _sums = m.tag_places(m.place_scores(context_features(tokens, cut)), cut)
+                names = pa.array(m.labels, pa.string()).take(pa.array(tags))
+                yield pa.RecordBatch.from_arrays([*cols, names, pa.array(sure)], [*rows, "tag", "confidence"])
 
-    rows = rows.select("own", feats.alias("feats")).withColumn("tags", F.arrow_udf(run, "array<struct<tag:int,confidence:double>>")(F.col("feats")))
-    out = rows.select("own", F.posexplode(F.arrays_zip(F.col("own.spans").alias("s"), F.col("tags").alias("t"))).alias("pos", "z"))
-    names = list(enumerate(model.labels))
-    return out.select(*[F.col(f"own.{c}").alias(c) for c in keep], "pos", F.col("z.s.text").alias("word"), F.col("z.s.start").alias("start"),
-                      F.col("z.s.end").alias("end"), decode_ids(F.col("z.t.tag"), names).alias("tag"), F.col("z.t.confidence").alias("confidence"))
+    return chunks.select(*keep, "text").mapInArrow(run, token_schema(chunks, keep).add("tag", "string").add("confidence", "double"))

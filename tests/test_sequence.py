@@ -161,3 +161,78 @@ def test_paths_of_a_batch_are_found_together(monkeypatch):
     assert got == [None if r is None else S.viterbi(np.array(r).reshape(len(r), 3), start, move) for r in rows]
     assert len(calls) == 3 and max(calls) == S.PATHS_AT_ONCE
     assert S._path_arrays(array.slice(0, 0), start, move).to_pylist() == []
+
+
+TEXTS = ["Go x x, w3 my x", "", None, "ΑΣ Σ İx x² éa", "one", "  . ,", "x" * 40 + " 漢字 y_1 go x", "go x " * 300]
+
+
+def test_words_are_tagged_like_their_feature_rows(spark):
+    """Words, offsets, tags and probabilities are those of the SQL features of each text, tagged alone."""
+    from spanforge.functions.spans import token_spans
+
+    d = spark.createDataFrame([(i, i % 3, t) for i, t in enumerate(TEXTS)], "doc_id long, chunk_no int, text string").coalesce(1)
+    r = np.random.default_rng(4)
+    rows = d.select("doc_id", token_spans("text").alias("s")).select(F.col("doc_id").alias("id"), F.transform("s", lambda t: t["text"]).alias("tokens"), F.transform("s", lambda _t: F.lit(0)).alias("ner_tags"), "s")
+    feats = {int(x.id): x.feats for x in sequence_rows(rows, 1 << 40).collect()}
+    spans = {x.id: x.s for x in rows.collect()}
+    ids = np.unique(np.array([x for f in feats.values() for g in f for x in g[:3] + g[5:]], np.int64))
+    model = SequenceModel(NAMES, 1 << 40, ids, r.normal(size=(len(ids), 9)), r.normal(size=9), r.normal(size=(9, 9)))
+    got = {}
+    for w in tag_sequences(d, model).orderBy("doc_id", "pos").collect():
+        got.setdefault(w.doc_id, []).append(w)
+    assert set(got) == {i for i, f in feats.items() if f}
+    for i, words in got.items():
+        tags, sure, _s = model.tag(feats[i])
+        assert [(w.chunk_no, w.pos, w.word, w.start, w.end) for w in words] == [(i % 3, k, t.text, t.start, t.end) for k, t in enumerate(spans[i])]
+        assert [NAMES.index(w.tag) for w in words] == tags and np.allclose([w.confidence for w in words], sure)
+
+
+def test_features_are_hashed_once_a_batch(monkeypatch):
+    """A word that stands often in a batch is hashed once for each kind of feature, not at each place."""
+    import pyarrow as pa
+
+    from spanforge.functions import hashed
+
+    cut, starts, _ends, tokens = hashed.token_arrays(pa.array(["go x"] * 1000 + TEXTS))
+    features = hashed.context_features(tokens, cut)
+    assert all(len(at) == len(starts) > 2600 for _names, at in features)
+    assert sum(len(names) for names, _at in features) < 150
+    seen = []
+    monkeypatch.setattr(sequence, "xxhash64", lambda names: seen.append(len(names)) or hashed.xxhash64(names))
+    model = SequenceModel(NAMES, 1000, np.arange(1000), np.ones((1000, 9)))
+    assert (model.place_scores(features) == 7).all() and sum(seen) < 150
+    assert [list(p) for p in hashed.parts(pa.array(["ab", None, "c"]))] == [[0, 3]]
+    monkeypatch.setattr(hashed, "TEXT_AT_ONCE", 2)
+    assert list(hashed.parts(pa.array(["abc", None, "c", "d", "e"]).slice(0))) == [(0, 1), (1, 4), (4, 5)]
+
+
+def test_hashes_are_those_of_spark(spark):
+    import pyarrow as pa
+    from pyspark.ml.feature import HashingTF
+
+    from spanforge.functions import hashed
+
+    names = [c * n for n in range(70) for c in ("q", "é")] + ["pw=<s>|", "漢😀"]
+    d = spark.createDataFrame([(i, x, [x]) for i, x in enumerate(names)], "i int, s string, a array<string>")
+    rows = HashingTF(inputCol="a", outputCol="x", numFeatures=1 << 18).transform(d).select("x", F.xxhash64("s").alias("h")).orderBy("i").collect()
+    assert hashed.xxhash64(pa.array(names)).tolist() == [r.h for r in rows]
+    assert (hashed.murmur3(pa.array(names)).astype(np.int64) % (1 << 18)).tolist() == [int(r.x.indices[0]) for r in rows]
+
+
+@pytest.mark.parametrize("wide", [1.0, 30.0, 1000.0])
+def test_sums_of_products_equal_sums_of_logarithms(wide):
+    """Records of any length, with forbidden moves; scores too far apart are summed in logarithms."""
+    r = np.random.default_rng(7)
+    start, move = bio_rules(NAMES)
+    size = np.array([3, 1, 12, 7, 12])
+    s = r.normal(size=(5, 12, 9)) * wide
+    start, move = start + r.normal(size=9), move + r.normal(size=(9, 9))
+    near = sequence._near(s, size, start, move)
+    assert near == (wide < 1000)
+    want, got = sequence._log_sums(s, size, start, move, True), forward_backward(s, size, start, move)
+    for a, b in zip(want, got):
+        assert np.allclose(a, b)
+    for n, x, path in zip(size, s, sequence.viterbi_paths(s, size, start, move)):
+        assert path[:n].tolist() == viterbi(x[:n], start, move) and not path[n:].any()
+    alone = np.full((2, 2), -1e4)
+    assert not sequence._near(s[:, :, :2], size, np.zeros(2), alone + np.diag([1e4, 1e4]))  # labels that never meet
