@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,60 +130,53 @@ def forward_backward(scores: np.ndarray, size: np.ndarray, start: np.ndarray, mo
 
     The sums are products of matrices, brought to a sum of 1 at each position, where the scores are
     so near each other that none gets lost; else they are sums in logarithms."""
-    found = _product_sums(scores, size, start, move, with_moves) if _near(scores, size, start, move) else None
+    found = _product_sums(scores, size, start, move, with_moves)
     return found or _log_sums(scores, size, start, move, with_moves)
 
 
-def _near(scores: np.ndarray, size: np.ndarray, start: np.ndarray, move: np.ndarray) -> bool:
+def _near(apart: float, start: np.ndarray, move: np.ndarray) -> bool:
     """Whether no sum falls below ``exp(-LEAST)`` of its position's largest: each label is reached from each
-    by few allowed moves, and scores and moves are of such a range."""
-    k = len(start)
+    by few allowed moves, and the moves and the scores of a position (``apart``) are of such a range."""
     allowed, steps = move > FORBIDDEN / 2, 1
     ways = allowed
-    while not ways.all() and steps < k:
+    while not ways.all() and steps < len(start):
         ways, steps = ways @ allowed, steps + 1
     first = start[start > FORBIDDEN / 2]
-    if not ways.all() or not len(first):
-        return False
-    apart = scores.max(2) - scores.min(2)
-    wide = (apart * (np.arange(scores.shape[1]) < size[:, None])).max() + np.ptp(move[allowed])
-    return bool((steps + 1) * wide + np.ptp(first) < LEAST)
+    return bool(ways.all() and len(first) and (steps + 1) * (apart + np.ptp(move[allowed])) + np.ptp(first) < LEAST)
 
 
 def _product_sums(scores, size, start, move, with_moves):
     n, longest, k = scores.shape
     order, s, left = _by_size(scores, size)
+    inside = np.arange(longest)[:, None] < size[order]
     top = s.max(1)
-    first = start.max()
-    e = np.exp(s - top[:, None])
-    most = move.max()
-    over = np.exp(move - most)
-    ahead, after, part = np.zeros((longest, k, n)), np.ones((longest, k, n)), np.ones((longest, n))
-    a = np.exp(start - first)[:, None] * e[0]
-    part[0] = a.sum(0)
-    ahead[0] = a / part[0]
+    if not _near(((top - s.min(1)) * inside).max(), start, move):
+        return None
+    first, most = start.max(), move.max()
+    e, over = np.exp(s - top[:, None]), np.exp(move - most)
     back = np.ascontiguousarray(over.T)
-    for t in range(1, longest):
-        m = left[t]
-        a = back @ ahead[t - 1][:, :m]
-        a *= e[t][:, :m]
-        c = a.sum(0)
-        part[t, :m] = c
-        np.divide(a, c, out=ahead[t][:, :m])
+    ahead, after, part = np.empty((longest, k, n)), np.ones((longest, k, n)), np.empty((longest, n))
+    e[0] *= np.exp(start - first)[:, None]
+    ahead[0] = e[0]
+    for t, (a, x, c) in enumerate(zip(ahead, e, part)):
+        if t:  # places past the end hold ones and are left out below
+            np.matmul(back, ahead[t - 1], out=a)
+            a *= x
+        np.add.reduce(a, 0, out=c)
+        a /= c
     e /= part[:, None]  # from here on each position's scores over its sum
     for t in range(longest - 1, 0, -1):
-        m = left[t]
-        e[t][:, :m] *= after[t][:, :m]
-        e[t][:, m:] = 0
-        after[t - 1][:, :m] = over @ e[t][:, :m]
-    inside = np.arange(longest)[:, None] < size[order]
+        m, x = left[t], e[t]
+        x *= after[t]
+        np.matmul(over, x, out=after[t - 1])
+        if m < n:
+            after[t - 1][:, m:] = 1
+            x[:, m:] = 0
     whole = np.empty(n)
-    whole[order] = ((np.log(part) + top) * inside).sum(0) + first + (size[order] - 1) * most
+    whole[order] = (np.where(inside, np.log(part) + top, 0)).sum(0) + first + (size[order] - 1) * most
     if not np.isfinite(whole).all():
         return None
-    moves = np.zeros((k, k))
-    if with_moves and longest > 1:
-        moves = over * np.tensordot(ahead[:-1], e[1:], ((0, 2), (0, 2)))
+    moves = over * np.tensordot(ahead[:-1], e[1:], ((0, 2), (0, 2))) if with_moves else np.zeros((k, k))
     tags = np.empty((n, longest, k))
     tags[order] = (ahead * after * inside[:, None]).transpose(2, 0, 1)
     return whole, tags, moves
@@ -315,77 +309,109 @@ class SequenceModel:
         return float(whole - own)
 
 
+def _feature_numbers(tokens: pa.Array, buckets: int) -> pa.Array:
+    """``feats`` of the records of an Arrow batch; a null record has none."""
+    cut = _bounds(tokens)
+    features = context_features(pc.fill_null(tokens.flatten().cast(pa.string()), ""), cut)
+    numbers = np.stack([(xxhash64(names) % buckets)[at] for names, at in features], 1)
+    each = pa.ListArray.from_arrays(pa.array(np.arange(len(numbers) + 1) * len(features), pa.int32()), pa.array(numbers.ravel()))
+    missing = np.append(np.asarray(tokens.is_null()), False)
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32(), mask=missing), each)
+
+
 def sequence_rows(records: DataFrame, buckets: int = BUCKETS, id_col: str = "id") -> DataFrame:
-    """``(id, feats array<array<bigint>>, gold array<int>)``: numbers of the context features of each token."""
-    feats = F.transform(feature_rows(), lambda f: F.transform(f["features"], lambda x: F.pmod(F.xxhash64(x), F.lit(buckets))))
+    """``(id, feats array<array<bigint>>, gold array<int>)``: numbers of the context features of each token.  Only
+    records with a null token go through the SQL features."""
+    def run(tokens: pa.Array) -> pa.Array:
+        return _feature_numbers(tokens, buckets)
+
+    slow = F.transform(feature_rows(), lambda f: F.transform(f["features"], lambda x: F.pmod(F.xxhash64(x), F.lit(buckets))))
+    feats = F.when(F.exists("tokens", lambda t: t.isNull()), slow).otherwise(F.arrow_udf(run, "array<array<bigint>>")(F.col("tokens")))
     return records.select(F.col(id_col).cast("string").alias("id"), feats.alias("feats"), F.col("ner_tags").cast("array<int>").alias("gold"))
 
 
+def _summed(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows of ``values`` by ``at`` (below ``n``), added in their order."""
+    k = values.shape[1]
+    return np.bincount((at[:, None] * k + np.arange(k)).ravel(), values.ravel(), n * k).reshape(n, k)
+
+
 def _shard_pass(shared, rate: float):
     def run(group: pa.Table) -> pa.Table:
         model: SequenceModel = shared.value
         k = len(model.labels)
-        rows = sorted((r for r in group.select(["id", "feats", "gold"]).to_pylist() if r["gold"]), key=lambda r: r["id"])
-        ids = np.unique(np.array([x for r in rows for f in r["feats"] for x in f], np.int64))
+        rows = group.select(["id", "feats", "gold"])
+        rows = rows.filter(pc.greater(pc.list_value_length(rows["gold"]), 0))
+        rows = rows.take(pc.sort_indices(rows, [("id", "ascending")])).combine_chunks()
+        feats, golds = (pa.concat_arrays([pa.array([], rows.schema.field(c).type), *rows[c].chunks]) for c in ("feats", "gold"))
+        inner, cut = feats.flatten(), _bounds(golds)
+        begin, labels = _bounds(inner), golds.flatten().to_numpy(zero_copy_only=False)
+        coded = inner.flatten().dictionary_encode()
+        order = np.argsort(coded.dictionary.to_numpy())
+        ids, place_of = coded.dictionary.to_numpy()[order], np.argsort(order)[coded.indices.to_numpy()]
         n, known = len(ids), model.rows_of(ids)
         own = np.r_[known, len(model.features) + 1 + np.arange(k + 1)]  # the row before start is of zeros
         spaced = lambda x: np.insert(x, len(model.features), 0.0, axis=0)[own]
         w, squares = spaced(model.parameters()), spaced(model.squares)
         before = w.copy(), squares.copy()
 
+        last = np.zeros(n, np.int64)
+
         def climb(at, slope):
-            squares[at] += slope**2
-            w[at] += rate * slope / np.sqrt(squares[at] + FIRST_SQUARE)
+            squares[at] = sums = squares[at] + slope**2
+            w[at] += rate * slope / np.sqrt(sums + FIRST_SQUARE)
 
         for lo in range(0, len(rows), BATCH):
-            part = rows[lo:lo + BATCH]
-            size = np.array([len(r["gold"]) for r in part])
-            rec, pos = np.repeat(np.arange(len(part)), size), np.concatenate([np.arange(x) for x in size])
-            count = np.array([len(f) for r in part for f in r["feats"]])
-            at = np.searchsorted(ids, np.array([x for r in part for f in r["feats"] for x in f], np.int64))
-            gold = np.array([g for r in part for g in r["gold"]])
-            flat = np.zeros((len(pos), k))
-            np.add.at(flat, np.repeat(np.arange(len(pos)), count), w[at])
-            scores = np.zeros((len(part), size.max(), k))
-            scores[rec, pos] = flat
+            ends = cut[lo:lo + BATCH + 1]
+            size, gold = np.diff(ends), labels[ends[0]:ends[-1]]
+            count, at = np.diff(begin[ends[0]:ends[-1] + 1]), place_of[begin[ends[0]]:begin[ends[-1]]]
+            last[at] = each = np.arange(len(at))
+            used = at[last[at] == each]  # each feature at the last place that has it
+            last[used] = np.arange(len(used))
+            place = last[at]
+            inside = np.arange(size.max()) < size[:, None]
+            scores = np.zeros((*inside.shape, k))
+            scores[inside] = _summed(np.repeat(np.arange(len(gold)), count), w[used][place], len(gold))
             _whole, tags, moves = forward_backward(scores, size, w[n] + model.rules[0], w[n + 1:] + model.rules[1])
-            step = -tags[rec, pos]
+            step = -tags[inside]
             step[np.arange(len(gold)), gold] += 1
-            used, place = np.unique(at, return_inverse=True)
-            slope = np.zeros((len(used), k))
-            np.add.at(slope, place, np.repeat(step, count, axis=0))
-            climb(used, slope)
-            first = pos == 0
+            climb(used, _summed(place, np.repeat(step, count, axis=0), len(used)))
+            first = np.zeros(len(gold), bool)
+            first[ends[:-1] - ends[0]] = True
             climb(slice(n, n + 1), step[first].sum(0)[None])
-            seen = np.zeros((k, k))
-            np.add.at(seen, (gold[:-1][~first[1:]], gold[1:][~first[1:]]), 1)
+            seen = np.bincount((gold[:-1] * k + gold[1:])[~first[1:]], minlength=k * k).reshape(k, k)
             climb(slice(n + 1, None), seen - moves)
         names = np.r_[ids, -1 - np.arange(k + 1)]
         change, growth = w - before[0], squares - before[1]
-        i, j = np.nonzero(growth)
-        return pa.table({"feature": pa.array(names[i], pa.int64()), "label": pa.array(j, pa.int32()), "change": pa.array(len(rows) * change[i, j], pa.float64()),
-                         "growth": pa.array(len(rows) * growth[i, j], pa.float64())})
+        some = growth.any(1)
+        values = len(rows) * np.hstack([change[some], growth[some]])
+        return pa.table([pa.array(names[some], pa.int64()), *(pa.array(x) for x in values.T)], ["feature", *_sums(k)])
     return run
 
 
+def _sums(k: int) -> list[str]:
+    """Names of the columns of a row's changes, then of the growth of its squares, one a label."""
+    return [f"{c}{j}" for c in ("change", "growth") for j in range(k)]
+
+
 def _epoch(rows: DataFrame, model: SequenceModel, n: int, rate: float) -> SequenceModel:
-    """The model after one pass of all shards and the average of their changes."""
+    """The model after one pass of all shards and the average of their changes; a shard gives one row a feature."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    change = rows.groupBy("shard").applyInArrow(_shard_pass(shared, rate), "feature long, label int, change double, growth double")
-    got = change.groupBy("feature", "label").agg((F.sum("change") / n).alias("change"), (F.sum("growth") / n).alias("growth")).toArrow()
-    shared.unpersist()
-    feature, label = got.column("feature").to_numpy(), got.column("label").to_numpy()
     k = len(model.labels)
+    change = rows.groupBy("shard").applyInArrow(_shard_pass(shared, rate), "feature long, " + ", ".join(f"{c} double" for c in _sums(k)))
+    got = change.groupBy("feature").agg(*[(F.sum(c) / n).alias(c) for c in _sums(k)]).toArrow()
+    shared.unpersist()
+    feature = got.column("feature").to_numpy()
     features = np.unique(np.r_[model.features, feature[feature >= 0]])
     out = SequenceModel(model.labels, model.buckets, features, np.zeros((len(features), k)))
     names = out.parameter_names()
     order = np.argsort(names)
     row = lambda x: order[np.searchsorted(names, x, sorter=order)]
     tables = []
-    for old, new in ((model.parameters(), got.column("change")), (model.squares, got.column("growth"))):
+    for old, new in ((model.parameters(), _sums(k)[:k]), (model.squares, _sums(k)[k:])):
         x = np.zeros((len(names), k))
         x[row(model.parameter_names())] = old
-        x[row(feature), label] += new.to_numpy()
+        x[row(feature)] += np.stack([got.column(c).to_numpy() for c in new], 1)
         tables.append(x)
     f = len(features)
     return SequenceModel(model.labels, model.buckets, features, tables[0][:f], tables[0][f], tables[0][f + 1:], tables[1])

@@ -227,12 +227,73 @@ def test_sums_of_products_equal_sums_of_logarithms(wide):
     size = np.array([3, 1, 12, 7, 12])
     s = r.normal(size=(5, 12, 9)) * wide
     start, move = start + r.normal(size=9), move + r.normal(size=(9, 9))
-    near = sequence._near(s, size, start, move)
-    assert near == (wide < 1000)
+    assert (sequence._product_sums(s, size, start, move, True) is None) == (wide == 1000)
     want, got = sequence._log_sums(s, size, start, move, True), forward_backward(s, size, start, move)
     for a, b in zip(want, got):
         assert np.allclose(a, b)
     for n, x, path in zip(size, s, sequence.viterbi_paths(s, size, start, move)):
         assert path[:n].tolist() == viterbi(x[:n], start, move) and not path[n:].any()
-    alone = np.full((2, 2), -1e4)
-    assert not sequence._near(s[:, :, :2], size, np.zeros(2), alone + np.diag([1e4, 1e4]))  # labels that never meet
+    assert not sequence._near(1.0, np.zeros(2), np.array([[0.0, -1e4], [-1e4, 0.0]]))  # labels that never meet
+
+
+def test_a_shard_pass_steps_through_arrays(spark):
+    """Batches of 16 records by id, each weight by its own squares: as written out record by record.  Records of any
+    number of features, without tags left out; one row a feature for all labels."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    rows = []
+    for i in r.permutation(40).tolist():
+        n = int(r.integers(0, 9))
+        rows.append({"id": f"{i:02d}", "feats": [r.integers(0, 60, r.integers(0, 5)).tolist() for _ in range(n)], "gold": r.integers(0, 9, n).tolist()})
+    rows[3]["gold"] = None
+    kind = pa.schema([("id", pa.string()), ("feats", pa.list_(pa.list_(pa.int64()))), ("gold", pa.list_(pa.int32()))])
+
+    class Shared:
+        ids = np.arange(0, 60, 2)
+        value = SequenceModel(NAMES, 60, ids, r.normal(size=(30, 9)), r.normal(size=9), r.normal(size=(9, 9)), r.random((30 + 10, 9)))
+
+    m = Shared.value
+    w, sq = {}, {}
+    names, values = m.parameter_names(), m.parameters()
+    for x, a, b in zip(names.tolist(), values, m.squares):
+        w[x], sq[x] = a.copy(), b.copy()
+    for x in range(60):
+        w.setdefault(x, np.zeros(9)), sq.setdefault(x, np.zeros(9))
+    old = {x: (w[x].copy(), sq[x].copy()) for x in w}
+    used = sorted((x for x in rows if x["gold"]), key=lambda x: x["id"])
+    for lo in range(0, len(used), 16):
+        slope = {}
+        add = lambda x, v: slope.setdefault(x, np.zeros(9)).__iadd__(v)
+        for x in used[lo:lo + 16]:
+            s = np.array([sum((w[f] for f in fs), np.zeros(9)) for fs in x["feats"]])
+            move = np.array([w[-2 - i] for i in range(9)])
+            _all, tags, moves = sequence._log_sums(s[None], np.array([len(s)]), w[-1] + m.rules[0], move + m.rules[1], True)
+            step = np.eye(9)[x["gold"]] - tags[0]
+            for fs, v in zip(x["feats"], step):
+                for f in fs:
+                    add(f, v)
+            add(-1, step[0])
+            for a, b in zip(x["gold"], x["gold"][1:]):
+                moves[a, b] -= 1
+            for i in range(9):
+                add(-2 - i, -moves[i])
+        for x, v in slope.items():
+            sq[x] += v**2
+            w[x] += 0.3 * v / np.sqrt(sq[x] + sequence.FIRST_SQUARE)
+    got = sequence._shard_pass(Shared, 0.3)(pa.Table.from_pylist(rows, kind)).to_pylist()
+    assert len({x["feature"] for x in got}) == len(got) and {x["feature"] for x in got} == {x for x in w if (sq[x] != old[x][1]).any()}
+    for x in got:
+        f, n = x["feature"], len(used)
+        assert np.allclose([x[f"change{j}"] for j in range(9)], n * (w[f] - old[f][0])) and np.allclose([x[f"growth{j}"] for j in range(9)], n * (sq[f] - old[f][1]))
+
+
+def test_feature_numbers_equal_the_sql_features(spark):
+    """Whole batches of records, also without words or with a null among them, have the numbers of the SQL features."""
+    from spanforge.operators.training import feature_rows
+
+    rows = [("a", ["Go", "x", "ΑΣ", ""], [1, 2, 0, 0]), ("b", ["x", None, "y", None], [0, 0, 0, 0]), ("c", [], []), ("d", None, None), (None, ["x" * 40], [3])]
+    d = spark.createDataFrame(rows, "id string, tokens array<string>, ner_tags array<int>").coalesce(1)
+    sql = F.transform(feature_rows(), lambda f: F.transform(f["features"], lambda x: F.pmod(F.xxhash64(x), F.lit(1000))))
+    want = [tuple(x) for x in d.select("id", sql.alias("f"), "ner_tags").collect()]
+    assert [tuple(x) for x in sequence_rows(d, 1000).collect()] == want
