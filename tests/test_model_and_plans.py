@@ -88,3 +88,30 @@ def test_batch_scorer_makes_columns_not_rows(monkeypatch):
     assert got == [(7, 0, 0, "abcd", "B-SKILL", 0), (7, 0, 1, "##efgh", "B-SKILL", 4), (7, 0, 2, "##i", "O", 8), (7, 0, 3, "x", "O", 10),
                    (9, 0, 0, "a_bé", "B-SKILL", 1), (9, 0, 1, "##2", "O", 5), (9, 0, 2, "q", "O", 7)]
     assert dict in made and list not in made
+
+
+def test_words_get_the_classes_of_the_fitted_model(spark, tmp_path):
+    """A saved tagger's tags, taken a batch at a time from its weights, are those of its stages a row a word; the plan
+    holds no row of features.  A model with other stages still goes through them."""
+    from pyspark.ml import PipelineModel
+
+    from spanforge.operators import training as T
+
+    rows = [(str(i), ["go", "x", f"w{i % 7}", "ΑΣ", "y"], [1, 2, i % 3, 0, 5]) for i in range(90)]
+    d = spark.createDataFrame(rows, "id string, tokens array<string>, ner_tags array<int>")
+    model, metrics = train_tagger(d, d, grid=(0.0,), max_iter=5)
+    save_tagger(model, metrics, str(tmp_path / "m"))
+    model = load_tagger(str(tmp_path / "m"))
+    texts = ["Go x, w1 ΑΣ y", None, "", "w3 w4 x² go go x", "y" * 50 + " new İ_1", "go x w2 " * 200]
+    chunks = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "doc_id long, chunk_no int, text string")
+    fast = tag_text(chunks, model)
+    slow = T._tag_rows(chunks, model, ("doc_id", "chunk_no"), None)
+    assert fast.columns == slow.columns and [x.dataType for x in fast.schema] == [x.dataType for x in slow.schema]
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect())) and fast.select("tag").distinct().count() > 2
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan and "lambdafunction" not in plan
+    few = [(0, "O"), (1, "B-x")]
+    assert {r.tag for r in tag_text(chunks, model, label_pairs=few).collect()} == {"O", "B-x", "UNK"}
+    model.stages[1].setThresholds([1.0] * 5 + [1e-6])
+    other = PipelineModel([model.stages[0], model.stages[1]])
+    assert {r.tag for r in tag_text(chunks.where("doc_id = 0"), other).collect()} == {dict(LABELS)[5]}
